@@ -31,7 +31,7 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage for good.
 
     A lost executor costs no recomputation of what lies before, since every
@@ -39,7 +39,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
