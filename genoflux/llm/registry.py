@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality_model, secret_scan, toxicity
+from . import decontaminate, packing, quality_model, quality_rules, secret_scan, toxicity
 
-_MODULES = (secret_scan, decontaminate, packing, quality_model, toxicity)
+_MODULES = (secret_scan, decontaminate, packing, quality_model, quality_rules, toxicity)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
