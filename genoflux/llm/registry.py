@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality_model, quality_rules, secret_scan, toxicity, warc
+from . import decontaminate, jaccard_join, packing, quality_model, quality_rules, secret_scan, toxicity, warc
 
-_MODULES = (secret_scan, decontaminate, packing, quality_model, quality_rules, toxicity, warc)
+_MODULES = (
+    secret_scan,
+    decontaminate,
+    packing,
+    quality_model,
+    quality_rules,
+    jaccard_join,
+    warc,
+    toxicity,
+)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
