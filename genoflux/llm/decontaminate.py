@@ -140,7 +140,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: li
     The benchmark is the stated, fixed query set; its rows are read to the
     driver in blocks to make the windows.
     """
-    columns = docs.columns if keep is None else keep
+    # A kept column named like an output gives way to it.
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in ("n_words", "hit_spans", "hit_items")]
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string"), "text")
     blocks: list[dict[str, list[str]]] = [{}]
     for item_id, text in rows.distinct().orderBy("item_id", "text").toLocalIterator():

@@ -154,7 +154,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
     accepted = (
         labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("lo")).where("lo = 1").select("doc_id")
     )
-    good = counted.where(~F.col("base_failed")).join(accepted, "doc_id", "left_semi").groupBy(F.col(stratum).alias("stratum"))
+    good = counted.where(~F.col("base_failed")).join(accepted, "doc_id", "left_semi").groupBy(F.col(stratum).alias("__stratum"))
     falsely = [
         F.sum(exceeds(r, F.lit(c)).cast("int")).cast("int").alias(f"{r}_{c}") for r, (_, _, grid) in RATIOS.items() for c in grid
     ]
@@ -166,17 +166,17 @@ def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
     def strictest(r: str) -> Column:
         grid = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{r}_{c}").alias("k")) for c in sorted(RATIOS[r][2])])
         fine = F.filter(grid, lambda g: binomial_tail(g["k"], F.col("n")) <= F.col("__level"))
-        return F.try_element_at(fine, F.lit(1))["c"].alias(f"cut_{r}")
+        return F.try_element_at(fine, F.lit(1))["c"].alias(f"__cut_{r}")
 
-    return rejected.join(F.broadcast(strata)).withColumn("__level", level).select("stratum", *[strictest(r) for r in RATIOS])
+    return rejected.join(F.broadcast(strata)).withColumn("__level", level).select("__stratum", *[strictest(r) for r in RATIOS])
 
 
 def judged(counted: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
     """Adds ``kept``: passes the base rule and every cutoff of its stratum."""
-    joined = counted.join(chosen, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
+    joined = counted.join(chosen, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
     over = F.lit(False)
     for r in RATIOS:
-        over = over | F.coalesce(exceeds(r, F.col(f"cut_{r}")), F.lit(False))
+        over = over | F.coalesce(exceeds(r, F.col(f"__cut_{r}")), F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~over)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, packing, quality_model, quality_rules, secret_scan, toxicity, warc
+from . import decontaminate, jaccard_join, license_scan, packing, quality_model, quality_rules, secret_scan, token_counts, toxicity, warc
 
 _MODULES = (
     secret_scan,
@@ -12,7 +12,9 @@ _MODULES = (
     quality_rules,
     jaccard_join,
     warc,
+    license_scan,
     toxicity,
+    token_counts,
 )
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}

@@ -45,6 +45,8 @@ THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.8}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: The look-behind only spares the engine restarts within a run.
 CANDIDATE_FAST = r"(?<![A-Za-z0-9+/_=-])" + CANDIDATE
+#: What stands in place of a found secret.
+MARK = "[SECRET]"
 ALLOW = r"example|EXAMPLE|sample|dummy|placeholder|changeme|0123456789|abcdefghij|ABCDEFGHIJ"
 
 
@@ -181,7 +183,7 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame:
     """Replace every found span (overlaps merged) by ``mark``; rows without a
     finding stay as they are, nulls stay null."""
     scanned = scan(df, text_col)
