@@ -19,15 +19,26 @@ def in_range(lat: Column, lon: Column) -> Column:
     return F.coalesce(lat.between(-90, 90) & lon.between(-180, 180), F.lit(False))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: later rules of the optimizer
+    copy expressions, and nested texts would multiply."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _pair(parts: Column, validate: bool) -> Column:
+    def checked(p: Column) -> Column:
+        good = p["lat"].isNotNull() & p["lon"].isNotNull()
+        return F.when(good & in_range(p["lat"], p["lon"]) if validate else good, p)
+
+    both = F.struct(number(F.get(parts, 0)).alias("lat"), number(F.get(parts, 1)).alias("lon"))
+    return F.when(F.size(parts) == 2, _let(both, checked))
+
+
 def coordinate_pair(text: Column, validate: bool = True) -> Column:
     """struct<lat,lon> of '[34.5, -76.2]', '34.5, -76.2' or '34.5 -76.2'; null if it is no pair."""
+    split = lambda bare: F.when(bare.contains(","), F.split(bare, ",")).otherwise(F.split(bare, r"\s+"))
     bare = F.trim(F.translate(F.trim(text), "[](){}", ""))
-    parts = F.when(bare.contains(","), F.split(bare, ",")).otherwise(F.split(bare, r"\s+"))
-    lat, lon = number(F.get(parts, 0)), number(F.get(parts, 1))
-    good = (F.size(parts) == 2) & lat.isNotNull() & lon.isNotNull()
-    if validate:
-        good = good & in_range(lat, lon)
-    return F.when(good, F.struct(lat.alias("lat"), lon.alias("lon")))
+    return _let(bare, lambda b: _let(split(b), lambda parts: _pair(parts, validate)))
 
 
 def embedded_pair(text: Column) -> Column:

@@ -31,8 +31,8 @@ def with_coordinates(df: DataFrame, column: str = "coord", infer_order: bool = F
     if column not in df.columns:
         return df.withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
     if not infer_order:
-        pair = coords.coordinate_pair(F.col(column))
-        return df.withColumns({"latitude": pair["lat"], "longitude": pair["lon"]})
+        found = df.withColumn("__pair", coords.coordinate_pair(F.col(column)))
+        return found.withColumns({"latitude": F.col("__pair.lat"), "longitude": F.col("__pair.lon")}).drop("__pair")
     raw = df.withColumn("__pair", coords.coordinate_pair(F.col(column), validate=False))
     both = raw.join(F.broadcast(coordinate_order(raw, "__pair")))
     swap = F.col("coord_order") == "lon_lat"

@@ -22,7 +22,7 @@ def na_to_null(df: DataFrame) -> DataFrame:
 
 def _utf8(spark: SparkSession, path: str) -> bool:
     """Whether every line decodes as UTF-8 (checked on the executors)."""
-    bad = spark.read.option("encoding", "ISO-8859-1").text(path).where(~F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string")))
+    bad = spark.read.text(path).where(~F.is_valid_utf8("value"))
     return bad.limit(1).count() == 0
 
 
