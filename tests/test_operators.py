@@ -251,3 +251,22 @@ def test_stream_equals_batch(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("processid", "status").collect()
     want = assign.assign(s, c).select("processid", "status").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_command_line(spark, tmp_path):
+    from genoflux.cli import main
+
+    random.seed(5)
+    bases = ["".join(random.choices("ACGT", k=150)) for _ in range(2)]
+    rows = ["processid\tnuc\tcoord\tcoord_source\tspecies\tgenus"]
+    for i in range(12):
+        s = list(bases[i % 2])
+        s[10 + i] = "A"
+        rows.append(f"P{i}\t{''.join(s)}\t[{i}.5, -{i}.25]\tGPS\tGen sp{i % 2}\tGen")
+    (tmp_path / "Gen_sp_data.tsv").write_text("\n".join(rows) + "\n")
+    Config().update(dereplication__min_sequence_length=100, dereplication__min_post_trim_length=100).save(str(tmp_path / "c.json"))
+    assert main(["run", str(tmp_path / "Gen_sp_data.tsv"), "--output", str(tmp_path / "out"), "--config", str(tmp_path / "c.json"), "--min-identity", "0.8"]) == 0
+    got = spark.read.csv(str(tmp_path / "out/annotated"), header=True)
+    assert got.count() == 12 and got.select("consensus_group").distinct().count() == 2
+    assert {r["assigned_sp"] for r in got.collect()} == {"Gen sp0", "Gen sp1"}
+    assert "Methods" in (tmp_path / "out/report.html").read_text()
