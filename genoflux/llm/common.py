@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,6 +32,13 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished writes, which otherwise stay
+    until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage for good.
 
@@ -40,7 +48,16 @@ def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFra
     spark = df.sparkSession
     path = fresh_path(spark, tag)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(column: str = "text") -> Column:
