@@ -42,7 +42,7 @@ from .common import fresh_path, table
 
 MIN_REVISIT = 100
 ROLL_BYTES = 64 << 20
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 #: Buckets of the page-id histogram; so many rows reach the driver at most.
 BUCKETS = 1 << 17
 DATE = "1970-01-01T00:00:00Z"
@@ -125,17 +125,23 @@ class _File:
 
 
 def _writer(folder: str, roll_bytes: int):
+    """Rows sorted by (shard, page_id, digest, kind): a keeper row (kind 0) stands
+    before the pages (kind 1) that it speaks of."""
     names = ["file", "shard", "records", "bytes", "sha256", "first_page", "last_page"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    given = ("kind", "shard", "page_id", "url", "html", "digest", "keeper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file: _File | None = None
-        number, rows, last = 0, [], None
+        number, rows, last, told = 0, [], None, None
         repeat = 0
         for batch in batches:
-            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            for shard, page_id, url, html, digest, keeper in zip(*(columns[c] for c in ("shard", "page_id", "url", "html", "digest", "keeper")), strict=True):
-                shard, page_id, digest, keeper = shard.as_py(), page_id.as_py(), digest.as_py(), keeper.as_py()
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in given]
+            for kind, shard, page_id, url, html, digest, keeper in zip(*columns, strict=True):
+                shard, page_id, digest = shard.as_py(), page_id.as_py(), digest.as_py()
+                if kind.as_py() == 0:
+                    told = (page_id, digest, keeper.as_py())
+                    continue
                 if file and (file.shard != shard or file.bytes >= roll_bytes):
                     number = number + 1 if file.shard == shard else 0
                     rows.append(file.close())
@@ -146,6 +152,7 @@ def _writer(folder: str, roll_bytes: int):
                 repeat = repeat + 1 if last == (page_id, digest) else 0
                 last = (page_id, digest)
                 payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
+                keeper = told[2] if told and told[:2] == last else None
                 # Of repeated rows of the response itself, all but the first revisit it.
                 refers_to = keeper if keeper is not None and (keeper != page_id or repeat) else None
                 file.add(page_id, record(page_id, url.as_py(), payload, digest, refers_to, repeat))
@@ -157,17 +164,19 @@ def _writer(folder: str, roll_bytes: int):
 
 
 def with_digests(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, payload_bytes, digest, keeper (the page that a payload's records refer to, or null)."""
+    """page_id, url, html, payload_bytes, digest."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    known = pages.select(
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("digest"),
     )
-    # Only digests that repeat matter; the counts are combined before the shuffle.
-    repeated = (
-        known.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("keeper")).where("n > 1").drop("n")
-    )
-    return known.join(repeated, "digest", "left")
+
+
+def keepers(known: DataFrame) -> DataFrame:
+    """(page_id, digest, keeper) of the pages whose payload repeats; payloads themselves do not move."""
+    small = known.where(F.col("payload_bytes") >= MIN_REVISIT).select("page_id", "digest")
+    repeated = small.groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("keeper")).where("n > 1").drop("n")
+    return small.join(repeated, "digest").select("page_id", "digest", "keeper").distinct()
 
 
 def shards_of(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[int, int, list[tuple[int, int]]]:
@@ -204,14 +213,20 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
     n = found[-1][1] + 1 if found else 1
     # At most BUCKETS pairs of numbers are broadcast.
     shards = spark.createDataFrame(found, "b bigint, shard bigint")
+    known = with_digests(pages)
+    told = keepers(known)
+    text, none = F.lit(None).cast("string"), F.lit(None).cast("long")
+    # One shuffle moves the payloads: keeper rows meet them in the writer, by order.
+    both = known.select(F.lit(1).alias("kind"), "page_id", "url", "html", "digest", none.alias("keeper")).unionByName(
+        told.select(F.lit(0).alias("kind"), "page_id", text.alias("url"), text.alias("html"), "digest", "keeper")
+    )
     dealt = (
-        with_digests(pages)
-        .withColumn("b", _bucket(lo, width))
+        both.withColumn("b", _bucket(lo, width))
         .join(F.broadcast(shards), "b", "left")
         .withColumn("shard", F.coalesce("shard", F.lit(0).cast("long")))
-        .repartition(2 * n, "shard")
-        .sortWithinPartitions("shard", "page_id", "digest", "url")
-        .select("shard", "page_id", "url", "html", "digest", "keeper")
+        .repartitionById(n, F.col("shard").cast("int"))
+        .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
+        .select("kind", "shard", "page_id", "url", "html", "digest", "keeper")
     )
     dealt.mapInArrow(_writer(f"{folder}/data", roll_bytes), MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
