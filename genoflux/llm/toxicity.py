@@ -271,7 +271,8 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> dict:
     """Logistic regression by Newton steps, and the cut with the best F1 in training."""
     if not len(y) or y.min() == y.max():
         return {"w": np.zeros(FEATURES), "bias": -20.0}
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    # The floor keeps a feature that hardly varies in training from deciding elsewhere.
+    centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 0.1)
     z = np.hstack([(x - centre) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     penalty = np.eye(len(w)) * ridge
