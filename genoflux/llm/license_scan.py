@@ -85,7 +85,7 @@ NEAR_MISSES = [
     "The redistribution of wealth and the use of force were the terms of the debate.",
 ]
 ORDINARY = ["the weather was fine and we walked along the river", "a short note about cooking rice and beans", "she opened the door and looked at the garden", "mit der und von für das ist nicht auf sich", "mit einer erlaubnis und der version von morgen", ""]
-ANCHOR = r"licen[sc]e|copyright|redistribut|warrant|permission|public domain|creative commons|spdx|free software"
+ANCHOR = r"licen[sc]e|copyright|redistribut|warrant|permission|public domain|creative commons|spdx|free software|mozilla"
 WORD = r"[a-z0-9.+-]*[a-z0-9]"
 UNKNOWN = "unknown"
 CLASSES = [UNKNOWN, *TEMPLATES]
