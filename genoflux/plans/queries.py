@@ -410,6 +410,19 @@ def _(spark, d):
     return out.withColumns({"cluster_id": F.col("cluster_id").cast("bigint"), "n_reference": F.col("n_reference").cast("bigint")})
 
 
+@query(
+    "k1_all_pairs",
+    f"""WITH {ALL_PAIRS}, size AS (SELECT node.ord, count(*) AS n FROM node JOIN spec USING (aln) GROUP BY node.ord)
+    SELECT i, j, a.n AS n_i, b.n AS n_j, dist FROM dist JOIN size a ON a.ord = i JOIN size b ON b.ord = j""",
+)
+def _(spark, d):
+    """Every pair of distinct sequences of all specimens, and how many specimens each stands for."""
+    _, pairs, s = _all_nodes(spark, d)
+    size = s.groupBy("aln").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
+    side = lambda k: size.select(F.col("ord").alias(k), F.col("n").alias(f"n_{k}"))
+    return pairs.join(side("i"), "i").join(side("j"), "j").select("i", "j", "n_i", "n_j", "dist")
+
+
 @query(
     "a21_intra_cluster",
     f"""WITH {ALL_PAIRS}, lab AS (SELECT node.ord, any_value(fam) AS c FROM node JOIN spec USING (aln) GROUP BY node.ord), inside AS (SELECT a.c, dist FROM dist JOIN lab a ON a.ord = i JOIN lab b ON b.ord = j WHERE a.c = b.c)
