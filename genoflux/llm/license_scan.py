@@ -7,12 +7,17 @@ with ``unknown`` as a class of its own. Its temperature and the least
 probability of a family are set on variants that were kept out of the fit, so
 that near-misses stay unknown.
 
-Scanning uses DataFrame functions only: lines that hold an anchor word become
-paragraphs, their n-grams meet the weight table (its size is fixed by the
-templates, so it is broadcast), scores are summed per paragraph and class, and a
-softmax gives the family. A prediction is confirmed if the paragraph holds
-enough of one template's 3-grams or consists of them; else it is reported as
-unconfirmed. A line without an anchor word is unknown by definition.
+Scanning uses DataFrame functions only. A paragraph is a block of lines between
+blank lines that holds an anchor word. Its units are scored: every anchored line
+alone, with the lines beside it, all lines from the first to the last anchored
+one, and the whole block, so that a wrapped notice is read in full and a notice
+in a block of other text is not lost in it. The n-grams of a unit meet the weight
+table (its size is fixed by the templates, so it is broadcast), scores are summed
+per unit and class, and a softmax gives the family. A prediction is confirmed if
+the unit holds enough of one template's 3-grams or consists of them; else it is
+reported as unconfirmed. Units of several lines count if they are confirmed, or
+if their block has no other finding. A paragraph gives one finding per family,
+at its first line. A block without an anchor word is unknown by definition.
 
 Defined cases: null texts have no paragraphs; every row of the input gives one
 row of the result, repeated rows too; an empty table gives an empty result.
@@ -21,7 +26,7 @@ row of the result, repeated rows too; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, table, text_of
@@ -33,38 +38,88 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+        "Licensed under Apache 2.0.",
     ],
     "MIT": [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        "Licensed under MIT.",
     ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES.",
+        "Licensed under the BSD 3-Clause License.",
     ],
     "GPL": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
         "You should have received a copy of the GNU General Public License along with this program.",
         "Licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "Licensed under GPL v3.",
     ],
     "LGPL": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
         "SPDX-License-Identifier: LGPL-2.1-only",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+    ],
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under AGPL v3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
+        "Licensed under the Mozilla Public License 2.0.",
+    ],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution.",
+        "Licensed under the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
     ],
     "CC-BY": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
         "SPDX-License-Identifier: CC-BY-4.0",
+        "Licensed under CC BY 4.0.",
+        "Licensed under CC BY-SA 4.0.",
+    ],
+    "CC-BY-NC": [
+        "Licensed under CC BY-NC 4.0.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
     ],
     "public-domain": [
         "This is free and unencumbered software released into the public domain.",
@@ -83,13 +138,23 @@ NEAR_MISSES = [
     "A liquor license is required under the law of the state.",
     "You must obtain permission from the school before you use this file.",
     "The redistribution of wealth and the use of force were the terms of the debate.",
+    "Licensed under",
+    "Licensed under the terms of the agreement.",
+    "Released under the terms below.",
+    "The tools are free software of many kinds.",
+    "The goods are sold as is, and the seller gives no warranty.",
 ]
 ORDINARY = ["the weather was fine and we walked along the river", "a short note about cooking rice and beans", "she opened the door and looked at the garden", "mit der und von für das ist nicht auf sich", "mit einer erlaubnis und der version von morgen", ""]
-ANCHOR = r"licen[sc]e|copyright|redistribut|warrant|permission|public domain|creative commons|spdx|free software|mozilla"
+ANCHOR = r"licen[sc]e|copyright|redistribut|warrant|permission|public domain|creative commons|spdx|free software|mozilla|\bcc[ -]by\b|\bcc0\b|\"as is\""
+#: The same with words apart by any white space: a wrapped line may split "free software".
+ANCHOR_WRAPPED = ANCHOR.replace("public domain", r"public\s+domain").replace("creative commons", r"creative\s+commons").replace("free software", r"free\s+software").replace("[ -]by", r"[\s-]by").replace("as is", r"as\s+is")
+BLANK = r"\n[^\S\n]*(?=\n)"
 WORD = r"[a-z0-9.+-]*[a-z0-9]"
 UNKNOWN = "unknown"
 CLASSES = [UNKNOWN, *TEMPLATES]
 CONTAINED = 0.6
+#: A notice with at most so many words that name its family keeps them in its variants.
+NAMES = 3
 
 
 def words_of(text: str) -> list[str]:
@@ -106,12 +171,19 @@ def train(seed: int = 5) -> dict:
     """Weights (n-gram -> one per class), bias, temperature and least probability."""
     rng = np.random.default_rng(seed)
     samples: list[tuple[list[str], int]] = []
+    # A word of one family only names it: without such a word a notice could be another family's.
+    owners: dict[str, set[int]] = {}
+    for label, texts in [(0, NEAR_MISSES + ORDINARY), *enumerate(TEMPLATES.values(), start=1)]:
+        for word in {w for text in texts for w in words_of(text)}:
+            owners.setdefault(word, set()).add(label)
     for label, texts in [(0, NEAR_MISSES + ORDINARY), *enumerate(TEMPLATES.values(), start=1)]:
         for text in texts:
             words = words_of(text)
+            own = {w for w in words if label and owners[w] == {label}}
+            stays = own if len(own) <= NAMES else set()
             samples.append((words, label))
             for share in (0.05, 0.1, 0.15, 0.2) * 3:
-                samples.append(([w for w in words if rng.random() > share], label))
+                samples.append(([w for w in words if rng.random() > share or w in stays], label))
     vocabulary = {g: i for i, g in enumerate(sorted(set().union(*(grams(w) for w, _ in samples))))}
     x = np.zeros((len(samples), len(vocabulary)))
     for k, (words, _) in enumerate(samples):
@@ -150,12 +222,33 @@ def gram_column(words: Column, sizes: tuple[int, ...]) -> Column:
     return F.array_distinct(F.concat(*out))
 
 
-def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Anchored lines: the columns of ``docs``, line (from 0), words."""
-    lines = docs.where(text_of(text_col).rlike(f"(?i){ANCHOR}")).select("*", F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("line", "__line"))
-    return lines.where(F.col("__line").rlike(f"(?i){ANCHOR}")).withColumn(
-        "words", F.regexp_extract_all(ascii_lower(F.col("__line")), F.lit(WORD), F.lit(0))
-    )
+def paragraphs(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """Units of the anchored blocks of ``docs`` (one row per ``key``): key, block, unit,
+    wide (0 a line, 1 lines around an anchor, 2 the block), line (from 0), words."""
+    # A piece ends where a blank line follows; each separator holds one line break.
+    pieces = docs.where(text_of(text_col).rlike(f"(?i){ANCHOR_WRAPPED}")).select(key, F.posexplode(F.split(text_of(text_col), BLANK, -1)).alias("block", "__piece"))
+    breaks = F.length("__piece") - F.length(F.translate("__piece", "\n", "")) + 1
+    first = F.coalesce(F.sum(breaks).over(Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = pieces.withColumn("__first", first).where(F.col("__piece").rlike(f"(?i){ANCHOR_WRAPPED}")).withColumn("__lines", F.split("__piece", "\n", -1))
+    n = F.size("__lines")
+    found = F.filter(F.transform("__lines", lambda x, i: F.when(x.rlike(f"(?i){ANCHOR}"), i)), lambda i: i.isNotNull())
+    blocks = blocks.withColumn("__at", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(0))))
+
+    def unit(wide: int, at: Column, lo: Column, hi: Column) -> Column:
+        lo, hi = F.greatest(lo, F.lit(0)), F.least(hi, n - 1)
+        return F.struct(F.lit(wide).alias("wide"), at.alias("at"), lo.alias("lo"), hi.alias("hi"))
+
+    alone = F.transform("__at", lambda i: unit(0, i, i, i))
+    around = F.flatten(F.transform("__at", lambda i: F.array(*[unit(1, i, i + a, i + b) for a, b in ((-1, 0), (0, 1), (-1, 1))])))
+    head = F.get("__at", F.lit(0))
+    whole = F.array(unit(1, head, head, F.array_max("__at")), unit(2, head, F.lit(0), n - 1))
+    units = F.array_distinct(F.concat(alone, F.filter(F.concat(around, whole), lambda u: u["lo"] < u["hi"])))
+    each = blocks.select(key, "block", "__first", "__lines", F.posexplode(units).alias("unit", "__u"))
+    text = F.concat_ws(" ", F.slice("__lines", F.col("__u.lo") + 1, F.col("__u.hi") - F.col("__u.lo") + 1))
+    return each.select(
+        key, "block", "unit", F.col("__u.wide").alias("wide"), (F.col("__first") + F.col("__u.at")).cast("int").alias("line"),
+        F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)).alias("words"),
+    )
 
 
 def classified(paras: DataFrame, key: list[str], model: dict) -> DataFrame:
@@ -183,16 +276,28 @@ def classified(paras: DataFrame, key: list[str], model: dict) -> DataFrame:
     return guess.join(close, [*key, "line", "family"], "left").withColumn("confirmed", F.coalesce("confirmed", F.lit(False)))
 
 
+def settled(units: DataFrame) -> DataFrame:
+    """__text_key, line, family, confirmed: one row per block and family."""
+    block, spot = Window.partitionBy("__text_key", "block"), Window.partitionBy("__text_key", "block", "line")
+    sure = (F.col("wide") == 0) | F.col("confirmed")
+    # A line that is confirmed with its neighbours is not also another, unconfirmed family.
+    near = F.max("confirmed").over(spot)
+    known = units.withColumn("__any", F.max(sure).over(block)).withColumn("__near", near)
+    kept = known.where(F.col("confirmed") | ((F.col("wide") == 0) & ~F.col("__near")) | ((F.col("wide") == 2) & ~F.col("__any")))
+    return kept.groupBy("__text_key", "block", "family").agg(F.min("line").alias("line"), F.max("confirmed").alias("confirmed"))
+
+
 def scan(docs: DataFrame, text_col: str = "text", model: dict | None = None) -> DataFrame:
-    """doc_id, families, n_paragraphs, n_confirmed, findings (line:family:confirmed, by line).
+    """doc_id, families, n_paragraphs (findings, one per paragraph and family), n_confirmed,
+    findings (line:family:confirmed, by line).
 
     Rows that share id and text are found alike; findings join back by both.
     """
     model = model or train()
     given = docs.select("doc_id", text_of(text_col).alias("text")).withColumn("__text_key", F.sha2("text", 256))
-    one = given.where(F.col("text").rlike(f"(?i){ANCHOR}")).dropDuplicates(["__text_key"]).select("__text_key", "text")
-    paras = paragraphs(one).drop("text")
-    found = classified(paras, ["__text_key"], model)
+    one = given.where(F.col("text").rlike(f"(?i){ANCHOR_WRAPPED}")).dropDuplicates(["__text_key"]).select("__text_key", "text")
+    units = classified(paragraphs(one, "__text_key"), ["__text_key", "block", "unit", "wide"], model)
+    found = settled(units)
     listed = found.groupBy("__text_key").agg(
         F.array_sort(F.collect_list(F.struct("line", "family", "confirmed"))).alias("f"), F.count("*").alias("n"), F.count_if("confirmed").alias("c"), F.array_sort(F.collect_set("family")).alias("families")
     )
