@@ -9,6 +9,13 @@ at or over the class's threshold are merged to spans; candidates on the
 allow-list are suppressed. Entropies are compared as integers (``c log2 c``
 scaled by 2^20), so every engine decides alike.
 
+That choice of the class looks at a whole candidate, as the SQL does. With
+``by_window`` each window chooses for itself: hex of either case, with or without
+separators; letters and digits; base64; and letters of both cases without a digit,
+each with its own threshold. Words on the allow-list then suppress only the windows
+they overlap. All windows of the first kind are among these. ``redact`` and
+``op1_secret_windows`` work by window.
+
 Defined cases: a null text is empty and has no spans; an empty table gives an
 empty result; repeated rows are scanned each for itself; other columns are
 ignored by the query and kept by the operator.
@@ -31,7 +38,7 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_alnum")
 ASSIGN_MIN = 6
 
 # Parameters of the entropy method.
@@ -50,6 +57,12 @@ MARK = "[SECRET]"
 ALLOW = r"example|EXAMPLE|sample|dummy|placeholder|changeme|0123456789|abcdefghij|ABCDEFGHIJ"
 
 
+#: Thresholds of windows that choose their class; ``letters``: both cases, no digit.
+WINDOW_THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.8, "entropy_alnum": 3.6, "letters": 4.0}
+#: Places in the base64 alphabet, from 1: character classes of a window.
+CLASSES = {"hu": (1, 6), "ou": (7, 26), "hl": (27, 32), "ol": (33, 52), "d": (53, 62), "sep": (63, 67)}
+
+
 def weight(count: int) -> int:
     """``c log2 c`` scaled to an integer."""
     return round(count * math.log2(count) * SCALE) if count else 0
@@ -127,6 +140,67 @@ def entropy_windows(word: Column, alphabet: str, most: int, window: int) -> Colu
     return F.aggregate(F.sequence(F.lit(0), F.length(word) - 1), start, step, lambda acc: acc["runs"])
 
 
+def class_windows(word: Column, window: int, thresholds: dict, allow: str) -> Column:
+    """Merged [a, b) ranges of found windows and their kind ``k``; offsets within ``word``.
+
+    Beside the counts of characters the fold keeps those of character classes, so
+    that a window's class costs constant work too.
+    """
+    weights = F.array(*[F.lit(weight(c)).cast("long") for c in range(window + 2)])
+    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(ALPHABETS["entropy_base64"]), ch))
+    zero = F.array_repeat(F.lit(0), len(ALPHABETS["entropy_base64"]) + 1)
+    runs = F.array().cast("array<struct<a:int,b:int,k:int>>")
+    spared = F.when(word.rlike(allow), matches(word, allow)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,text:string>>"))
+    mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]")
+    at_most = {k: limit(k, window, thresholds) for k in thresholds}
+    number = lambda k: F.lit(KINDS.index(k))
+
+    def step(acc: Column, i: Column) -> Column:
+        coming = F.get(acc["codes"], i)
+        going = F.when(i >= window, F.get(acc["codes"], i - window)).otherwise(F.lit(-1))
+        entered = F.transform(acc["n"], lambda c, j: c + (j == coming).cast("int"))
+        counts = F.transform(entered, lambda c, j: c - (j == going).cast("int"))
+        more, less = F.get(acc["n"], coming), F.get(entered, F.greatest(going, F.lit(0)))
+        total = (
+            acc["s"]
+            + F.get(weights, more + 1)
+            - F.get(weights, more)
+            + F.when(going >= 0, F.get(weights, less - 1) - F.get(weights, less)).otherwise(F.lit(0))
+        )
+        return F.struct(
+            acc["codes"].alias("codes"),
+            counts.alias("n"),
+            total.alias("s"),
+            *[(acc[c] + coming.between(*at).cast("int") - going.between(*at).cast("int")).alias(c) for c, at in CLASSES.items()],
+            acc["spared"].alias("spared"),
+            acc["mixed"].alias("mixed"),
+            acc["runs"].alias("runs"),
+        )
+
+    def marked(acc: Column, i: Column) -> Column:
+        hexed = (acc["ou"] + acc["ol"] == 0) & (F.least(acc["hl"], acc["hu"]) == 0)
+        hexed = hexed & F.when(acc["sep"] == 0, acc["mixed"]).otherwise((acc["sep"] * 4 <= window) & (acc["hl"] + acc["hu"] >= 2) & (acc["d"] >= 2))
+        alnum = (acc["sep"] == 0) & (acc["d"] >= 2) & (window - acc["d"] >= 2)
+        upper, lower = acc["hu"] + acc["ou"], acc["hl"] + acc["ol"]
+        letters = (acc["d"] == 0) & (F.least(upper, lower) * 5 >= window)
+        total, first = acc["s"], i - window + 1
+        kind = (
+            F.when(hexed & (total <= at_most["entropy_hex"]), number("entropy_hex"))
+            .when(alnum & (total <= at_most["entropy_alnum"]), number("entropy_alnum"))
+            .when(acc["mixed"] & (total <= at_most["entropy_base64"]), number("entropy_base64"))
+            .when(letters & (total <= at_most["letters"]), number("entropy_base64"))
+        )
+        last = F.try_element_at(acc["runs"], F.lit(-1))
+        fresh = lambda a: F.array(F.struct(a.alias("a"), (i + 1).alias("b"), kind.alias("k")))
+        joined = F.when((last["k"] == kind) & (last["b"] >= first), F.concat(F.slice(acc["runs"], F.lit(1), F.size(acc["runs"]) - 1), fresh(last["a"]))).otherwise(F.concat(acc["runs"], fresh(first)))
+        free = ~F.exists(acc["spared"], lambda x: (x["start"] < i + 1) & (x["end"] > first))
+        put = F.when((i >= window - 1) & kind.isNotNull() & free, joined).otherwise(acc["runs"])
+        return acc.withField("runs", put)
+
+    start = F.struct(codes.alias("codes"), zero.alias("n"), F.lit(0).cast("long").alias("s"), *[F.lit(0).alias(c) for c in CLASSES], spared.alias("spared"), mixed.alias("mixed"), runs.alias("runs"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(word) - 1), start, lambda acc, i: F.element_at(F.transform(F.array(step(acc, i)), lambda now: marked(now, i)), 1), lambda acc: acc["runs"])
+
+
 def _span(kind: str, start: Column, end: Column) -> Column:
     return F.struct(start.cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("k"), end.cast("long").alias("end"))
 
@@ -138,9 +212,10 @@ def _marker(kind: str):
 SPANS = "array<struct<start:bigint,k:int,end:bigint>>"
 
 
-def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds: dict = THRESHOLDS, allow: str = ALLOW) -> DataFrame:
+def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds: dict = THRESHOLDS, allow: str = ALLOW, by_window: bool = False) -> DataFrame:
     """Add ``base_spans`` and ``all_spans`` (array<struct<start,k,end>>, sorted;
-    ``k`` numbers KINDS) to every row."""
+    ``k`` numbers KINDS) to every row. ``by_window``: windows choose their class,
+    by WINDOW_THRESHOLDS and those given."""
     text = F.col("__text")
     none = F.array().cast(SPANS)
     df = df.withColumn("__text", text_of(text_col))
@@ -166,7 +241,19 @@ def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds
         )
         return F.when(text.rlike(CANDIDATE_FAST), F.flatten(each)).otherwise(none)
 
-    added = [
+    def windows() -> Column:
+        limits = WINDOW_THRESHOLDS if thresholds is THRESHOLDS else WINDOW_THRESHOLDS | thresholds
+        letters = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]") | t.rlike("[A-Z]") & t.rlike("[a-z]")
+        each = F.transform(
+            F.filter(matches(text, CANDIDATE_FAST), lambda m: letters(m["text"])),
+            lambda m: F.transform(
+                class_windows(m["text"], window, limits, allow),
+                lambda r: F.struct((m["start"] + r["a"]).cast("long").alias("start"), r["k"].alias("k"), (m["start"] + r["b"]).cast("long").alias("end")),
+            ),
+        )
+        return F.when(text.rlike(CANDIDATE_FAST), F.flatten(each)).otherwise(none)
+
+    added = [windows()] if by_window else [
         extra("entropy_hex", lambda m: m["text"].rlike("^[0-9a-f]+$")),
         extra("entropy_base64", lambda m: ~m["text"].rlike("^[0-9a-f]+$")),
     ]
@@ -186,7 +273,7 @@ def written(spans: Column) -> Column:
 def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame:
     """Replace every found span (overlaps merged) by ``mark``; rows without a
     finding stay as they are, nulls stay null."""
-    scanned = scan(df, text_col)
+    scanned = scan(df, text_col, by_window=True)
     text = text_of(text_col)
 
     def step(acc: Column, s: Column) -> Column:
@@ -205,10 +292,10 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame
     return scanned.withColumn(text_col, clean).drop("base_spans", "all_spans")
 
 
-def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _listed(spark: SparkSession, sf_dir: str, by_window: bool) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     count = lambda k: F.size(F.filter("base_spans", lambda s: s["k"] == KINDS.index(k))).cast("long")
-    return scan(docs).select(
+    return scan(docs, by_window=by_window).select(
         "doc_id",
         count("assign").alias("n_assign"),
         count("access").alias("n_access"),
@@ -218,6 +305,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(spark, sf_dir, by_window=False)
+
+
+def op1_secret_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(spark, sf_dir, by_window=True)
+
+
 def _oracle() -> str:
     q = lambda s: s.replace("'", "''")
     weights = "[" + ",".join(str(weight(c)) for c in range(WINDOW + 1)) + "]"
@@ -265,5 +360,5 @@ FROM d LEFT JOIN n USING (u) LEFT JOIN e USING (u)
 """
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op1_secret_windows": op1_secret_windows}
 ORACLE_SQL = {"op1_secret_scan": _oracle()}

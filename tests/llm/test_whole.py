@@ -1,8 +1,9 @@
 """Corpus operators on what a shorter job would miss."""
 
-import pytest
+import hashlib
+import uuid
 
-from genoflux.llm import license_scan
+from genoflux.llm import license_scan, secret_scan
 
 HELD_OUT = {
     "This dataset is licensed under CC BY-NC 4.0": "CC-BY-NC",
@@ -46,3 +47,37 @@ def test_wrapped_licences(spark):
         assert got[i]["families"] == family and got[i]["findings"].endswith(f"{family}:confirmed"), got[i]
     assert got[2]["findings"] == "2:EPL:confirmed"
     assert got[1]["findings"].split(":")[0] in ("3", "4")
+
+
+def digest(name, i):
+    return hashlib.new(name, str(i).encode()).hexdigest()
+
+
+def made(i):
+    return {"SHA-1": digest("sha1", i).upper(), "MD5": digest("md5", i).upper(), "uuid": str(uuid.UUID(hex=digest("md5", i)))}
+
+
+def test_secrets_by_window(spark):
+    texts = [(f"{kind}{i}", f"see {x} now") for i in range(150) for kind, x in made(i).items()]
+    rows = secret_scan.scan(spark.createDataFrame(texts, "doc_id string, text string"), by_window=True).collect()
+    for kind in made(0):
+        found = [bool(r["all_spans"]) for r in rows if r["doc_id"].startswith(kind)]
+        assert sum(found) >= 0.97 * len(found), (kind, sum(found))
+
+
+def test_allow_words_suppress_only_their_windows(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    upper = key.upper()
+    texts = [f"at /sample/keys/{upper} end", "at sample0123456789abcdefghij end", "dGhQzcyBpWcyBhIHNlYJldCBrZXkgMTIz", "AbQzXrTyUvKpLmNwSdGhJcEfBi", "plain-hyphenated-words-without-any-digit", f"example-{key[:22]}"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [tuple(x) for x in r["all_spans"]] for r in secret_scan.scan(frame, by_window=True).collect()}
+    at = texts[0].index(upper)
+    assert any(k == 3 and a <= at + 1 and b >= at + len(upper) for a, k, b in got[0])
+    assert got[1] == [] and got[2] and got[3] and got[4] == []
+    assert got[5] and all(a >= len("example") for a, _, _ in got[5])
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame).collect()}
+    assert upper[1:] not in clean[0] and clean[1] == texts[1]
+    # Nothing that the whole-candidate rule finds is lost.
+    for r in secret_scan.scan(frame).collect():
+        covered = {p for a, _, b in got[r["doc_id"]] for p in range(a, b)}
+        assert all(p in covered for a, _, b in r["all_spans"] for p in range(a, b))
