@@ -19,6 +19,11 @@ link when ``100 * |A and B| >= 85 * |A or B|``. Steps:
 4. Surviving pairs are verified on the full sets; components of all true links
    are the result.
 
+Steps 2 and 3 leave out pairs of a component that is known by then: they give exact
+components, not every link. To count links, every class is a label of its own in
+step 3, so all pairs that may link are verified, k(k-1)/2 of them in a group of k
+near copies; the number of links is that large by nature.
+
 The order of step 3 affects speed alone. Fingerprints are 64 bits wide: within a
 pair of sets a false match has a chance of about |A||B| / 2^64.
 
@@ -380,8 +385,11 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return out
 
 
-def join(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, n_links of the row's class to other classes (as found), component_id."""
+def join(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, n_links (all links of the row's class to other classes), component_id.
+
+    Without ``count_links`` there is no n_links and less work.
+    """
     spark = docs.sparkSession
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, prefix array<bigint>"
@@ -394,12 +402,15 @@ def join(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent:
     nodes = members.select(F.col("rep").alias("id")).distinct()
     chosen = members.where("doc_id = rep").select("doc_id").distinct()
 
-    # Star links by min-hash keys.
-    keyed = live.join(chosen, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.posexplode("keys").alias("k", "key"))
-    heads = keyed.groupBy("k", "key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head <> last").drop("last")
-    star = materialize(keyed.join(heads, ["k", "key"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = verified(star, given, width, percent)
-    roots = components(links)
+    # Star links by min-hash keys; of no use where every link is looked for.
+    if count_links:
+        labels = nodes.select("id", F.col("id").alias("label"))
+    else:
+        keyed = live.join(chosen, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.posexplode("keys").alias("k", "key"))
+        heads = keyed.groupBy("k", "key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head <> last").drop("last")
+        star = materialize(keyed.join(heads, ["k", "key"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        links = verified(star, given, width, percent)
+        labels = nodes.join(components(links), "id", "left").select("id", F.coalesce("root", "id").alias("label"))
     release(spark)
 
     # Common tokens go last in the order: exact counts over all documents.
@@ -412,8 +423,7 @@ def join(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent:
     discard(sketches)
     release(spark)
     prefixes = given.where("doc_id IS NOT NULL").mapInArrow(_prefixer(width, percent, common), "id bigint, n bigint, prefix array<bigint>, bits binary")
-    labelled = nodes.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("label"))
-    tree_rows = materialize(prefixes.join(labelled, "id"), "prefixes")
+    tree_rows = materialize(prefixes.join(labels, "id"), "prefixes")
     release(spark)
     flat = tree_rows.select("id", "label", "n", F.explode("prefix").alias("token"))
     met = materialize(
@@ -441,21 +451,29 @@ def join(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent:
     discard(tree_rows)
     release(spark)
     more = verified(rest, given, width, percent)
-    every = links.union(more)
+    # Every link is among the completed ones if all classes were labels.
+    every = more if count_links else links.union(more)
     final = components(every)
-    degree = (
-        every.select(F.col("a").alias("id")).union(every.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
-    )
-    found = members.distinct().join(final.withColumnRenamed("id", "rep"), "rep", "left").join(degree.withColumnRenamed("id", "rep"), "rep", "left")
-    found = found.groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"), F.max("links").alias("links"))
+    found = members.distinct().join(final.withColumnRenamed("id", "rep"), "rep", "left")
+    totals = [F.min(F.coalesce("root", "rep")).alias("component_id")]
+    if count_links:
+        degree = every.select(F.col("a").alias("id")).union(every.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+        found = found.join(degree.withColumnRenamed("id", "rep"), "rep", "left")
+        totals.append(F.max("links").alias("links"))
+    found = found.groupBy("doc_id").agg(*totals)
     release(spark)
+    counted = [F.coalesce("links", F.lit(0)).alias("n_links")] if count_links else []
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", *counted, F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return join(table(spark, sf_dir, "documents"), count_links=False).select("doc_id", "n_shingles", "component_id")
+
+
+def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join(table(spark, sf_dir, "documents"))
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -471,5 +489,13 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(other)::BIGINT AS c
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY ALL
 """
 
-QUERIES = {"op6_jaccard_join": op6_jaccard_join}
-ORACLE_SQL = {"op6_jaccard_join": ORACLE}
+#: The same with the links to other sets, each of those sets counted once.
+LINKS_ORACLE = ORACLE.rpartition("SELECT d.doc_id")[0].rstrip() + r""",
+k AS (SELECT doc_id, md5(string_agg(x, chr(10) ORDER BY x)) AS k FROM s GROUP BY doc_id),
+l AS (SELECT e.a AS doc_id, count(DISTINCT kb.k) FILTER (kb.k <> ka.k) AS n FROM e JOIN k ka ON ka.doc_id = e.a JOIN k kb ON kb.doc_id = e.b GROUP BY e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.n, 0)::BIGINT AS n_links, min(other)::BIGINT AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN l USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY ALL
+"""
+
+QUERIES = {"op6_jaccard_join": op6_jaccard_join, "op6_jaccard_links": op6_jaccard_links}
+ORACLE_SQL = {"op6_jaccard_join": ORACLE, "op6_jaccard_links": LINKS_ORACLE}

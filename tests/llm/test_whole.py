@@ -1,9 +1,13 @@
 """Corpus operators on what a shorter job would miss."""
 
 import hashlib
+import random
 import uuid
 
-from genoflux.llm import license_scan, secret_scan
+import pytest
+
+from genoflux.llm import jaccard_join, license_scan, secret_scan
+from .test_small import brute_components
 
 HELD_OUT = {
     "This dataset is licensed under CC BY-NC 4.0": "CC-BY-NC",
@@ -81,3 +85,27 @@ def test_allow_words_suppress_only_their_windows(spark):
     for r in secret_scan.scan(frame).collect():
         covered = {p for a, _, b in got[r["doc_id"]] for p in range(a, b)}
         assert all(p in covered for a, _, b in r["all_spans"] for p in range(a, b))
+
+
+@pytest.mark.parametrize("count_links", [True, False])
+def test_links_of_a_group_are_all_found(spark, monkeypatch, count_links):
+    monkeypatch.setattr(jaccard_join, "COMMON", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    monkeypatch.setattr(jaccard_join, "LEAF", 2)
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(90)]
+    texts = []
+    for size in (25, 6, 1):
+        base = draw.choices(words, k=80)
+        texts += [" ".join([*base[:i], f"new{i}", *base[i + 1 :]]) for i in draw.sample(range(80), size)]
+    texts += [texts[0], texts[0].upper(), texts[30], "", None]
+    sets, root = brute_components(texts, 4, 80)
+    classes = {frozenset(s) for s in sets}
+    near = lambda a, b: len(a & b) and 100 * len(a & b) >= 80 * len(a | b)
+    want = [sum(bool(near(s, c)) for c in classes if c != s) for s in map(frozenset, sets)]
+    assert max(want) == 24
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r for r in jaccard_join.join(frame, percent=80, count_links=count_links).collect()}
+    assert [got[i]["component_id"] for i in range(len(texts))] == root
+    if count_links:
+        assert [got[i]["n_links"] for i in range(len(texts))] == want
