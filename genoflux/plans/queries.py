@@ -165,6 +165,13 @@ def _(spark, d):
     return a.join(b, "k").where("a < b").select("a", "b", F.levenshtein("x", "y").cast("bigint").alias("dist"))
 
 
+@query("p15_levenshtein_rows", "SELECT p_partkey, levenshtein(lower(p_name), lower(p_type))::BIGINT AS dist FROM part")
+def _(spark, d):
+    """The distance of one pair in every row of the table."""
+    p = spark.read.parquet(f"{d}/part.parquet")
+    return p.select("p_partkey", F.levenshtein(F.lower("p_name"), F.lower("p_type")).cast("bigint").alias("dist"))
+
+
 @query("p16_classic_identity", f"WITH {SPEC}, {CONS} SELECT processid, 1e0 - levenshtein(nuc, consensus_seq)::DOUBLE / greatest(length(nuc), length(consensus_seq)) AS ident FROM spec JOIN cons ON cons.ord = fam WHERE nuc IS NOT NULL")
 def _(spark, d):
     c = fx.consensus(spark, d).select(F.col("ord").alias("fam"), "consensus_seq")

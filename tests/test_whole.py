@@ -28,3 +28,19 @@ def test_all_pairs_of_all_specimens(spark, tmp_path):
     assert {(r["i"], r["j"], r["n_i"], r["n_j"]): round(r["dist"], 9) for r in got} == want and len(got) == len(want)
     # Pairs of specimens: those of different sequences and those of one.
     assert sum(r["n_i"] * r["n_j"] for r in got) + sum(n * (n - 1) // 2 for n in count.values()) == 160 * 159 // 2
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, z in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != z))
+    return row[-1]
+
+
+def test_distance_of_every_row(spark, tmp_path):
+    parts = [(1, "cold widget", "ECONOMY"), (2, "", "PROMO"), (51, "promo", "PROMO"), (52, None, "ECONOMY"), (53, "large bolt", "STANDARD")]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["p_partkey"]: r["dist"] for r in QUERIES["p15_levenshtein_rows"](spark, str(tmp_path)).collect()}
+    assert got == {k: None if n is None else edits(n, t.lower()) for k, n, t in parts}
