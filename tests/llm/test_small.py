@@ -173,10 +173,7 @@ def brute_components(texts, width, percent):
 
 @pytest.mark.parametrize("width,percent", [(4, 85), (5, 80), (2, 50)])
 def test_jaccard(spark, docs, width, percent, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "COMMON", 3)
     monkeypatch.setattr(jaccard_join, "BLOCK", 4)
-    if width == 4:
-        monkeypatch.setattr(jaccard_join, "LOCAL_LINKS", 0)
     if width == 2:
         monkeypatch.setattr(jaccard_join, "LEAF", 1)
     sets, root = brute_components(TEXTS, width, percent)
@@ -200,7 +197,7 @@ def test_tree_loses_no_pair():
     sets.sort(key=len)
     n = np.array([len(s) for s in sets], np.int64)
     bits = np.stack([np.frombuffer(jaccard_join.bitmap_of(s).tobytes(), np.uint64) for s in sets])
-    tree = jaccard_join.SignatureTree(n, bits)
+    tree = jaccard_join.SignatureTree(n, bits, np.arange(len(n)))
     kept = {(int(a), int(b)) for i, j in jaccard_join.dual(tree, tree, 85, True) for a, b in zip(i, j)}
     for i, j in combinations(range(len(sets)), 2):
         both = len(np.intersect1d(sets[i], sets[j]))

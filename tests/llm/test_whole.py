@@ -87,10 +87,10 @@ def test_allow_words_suppress_only_their_windows(spark):
         assert all(p in covered for a, _, b in r["all_spans"] for p in range(a, b))
 
 
-@pytest.mark.parametrize("count_links", [True, False])
-def test_links_of_a_group_are_all_found(spark, monkeypatch, count_links):
-    monkeypatch.setattr(jaccard_join, "COMMON", 3)
+@pytest.mark.parametrize("links", [True, False])
+def test_links_of_a_group_are_all_found(spark, monkeypatch, links):
     monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    monkeypatch.setattr(jaccard_join, "SETS", 9)
     monkeypatch.setattr(jaccard_join, "LEAF", 2)
     draw = random.Random(3)
     words = [f"w{i}" for i in range(90)]
@@ -105,7 +105,7 @@ def test_links_of_a_group_are_all_found(spark, monkeypatch, count_links):
     want = [sum(bool(near(s, c)) for c in classes if c != s) for s in map(frozenset, sets)]
     assert max(want) == 24
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    got = {r["doc_id"]: r for r in jaccard_join.join(frame, percent=80, count_links=count_links).collect()}
+    got = {r["doc_id"]: r for r in jaccard_join.join(frame, percent=80, links=links).collect()}
     assert [got[i]["component_id"] for i in range(len(texts))] == root
-    if count_links:
+    if links:
         assert [got[i]["n_links"] for i in range(len(texts))] == want
