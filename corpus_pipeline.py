@@ -38,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays, with
     all its rows if the id repeats; rows without an id stay."""
-    groups = jaccard_join.join(docs.select("doc_id", "text"), width=SHINGLE, percent=PERCENT, count_links=False)
+    groups = jaccard_join.join(docs.select("doc_id", "text"), width=SHINGLE, percent=PERCENT, links=False)
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
