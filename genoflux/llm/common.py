@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    Read from ``spark.checkpoint.dir``; only where that is unset (as in local
-    tests) a temporary folder of this machine is chosen and recorded there.
+    Read from ``spark.checkpoint.dir``; only where that is unset and the master is
+    local (as in tests) a temporary folder of this machine is chosen and recorded there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="genoflux-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -60,6 +65,23 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_inside: list = []
+
+
+def enter(operator: str, forget: Callable[[], object]) -> None:
+    """Python workers are reused: when another operator begins in one, the caches of
+    the operator before go (``forget`` drops them), and their memory is given back."""
+    if _inside and _inside[0] != operator:
+        _inside[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+    _inside[:] = [operator, forget]
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -6,31 +6,35 @@ by single spaces. A window is 13 consecutive words of an item (the whole item
 if it is shorter). The automaton holds all windows; each text is scanned once,
 and word numbers lead back to code-point offsets of the original text.
 
-The windows travel to the executors with the task's closure. Their size is
-measured first; if the benchmark exceeds ``block_windows`` windows, it is dealt
-into blocks, one automaton and one scan each, and the hits are merged by
-document, so no automaton outgrows an executor.
+The windows are made, combined and counted on the executors and written once to the
+shared folder. An automaton has to fit a worker's memory, so it holds at most
+``block_windows`` of them (some 0.5 GB): the windows are dealt by hash to as many
+automata as that takes, one for every benchmark of usual size. Only one automaton's
+windows are on the driver at a time, from where they are broadcast. The text is read
+once; the automata pass over it one after another, each adding to the hits so far.
 
 Defined cases: null texts have no words and no hits; null or wordless items
 match nothing; repeated item rows count once; repeated documents are judged
-each for itself; an empty benchmark leaves every document clean.
+each for itself; an empty benchmark leaves every document clean; an empty table gives
+an empty result. Kept columns named ``n_words``, ``hit_spans`` or ``hit_items`` give
+way to the results; other columns may have any name.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table
+from .common import enter, materialize, table
 
 WORDS_PER_WINDOW = 13
-#: Windows in one automaton at most; some 80 bytes each, so under 2 GB of nodes
-#: is never reached: 200,000 windows take about 0.5 GB.
+#: Windows in one automaton at most: about 0.5 GB of nodes.
 BLOCK_WINDOWS = 200_000
 #: A contaminated document has at least one hit word in this many words.
 SHARE = 20
@@ -46,27 +50,33 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(NORMAL).split()
 
 
-def windows_of(items: list[tuple[str, str | None]], width: int = WORDS_PER_WINDOW) -> dict[str, list[str]]:
-    """Window (space-joined words with a space at both ends, bytes as Latin-1) to the ids of its items."""
-    found: dict[str, dict[str, None]] = {}
-    for item_id, text in items:
-        words = words_of(text)
-        for i in range(max(len(words) - width, 0) + 1 if words else 0):
-            found.setdefault((b" %s " % b" ".join(words[i : i + width])).decode("latin-1"), {})[item_id] = None
-    return {k: list(v) for k, v in found.items()}
+def windows_of(text: str | None, width: int = WORDS_PER_WINDOW) -> list[str]:
+    """An item's windows: space-joined words with a space at both ends, bytes as Latin-1."""
+    words = words_of(text)
+    return [(b" %s " % b" ".join(words[i : i + width])).decode("latin-1") for i in range(max(len(words) - width, 0) + 1 if words else 0)]
+
+
+def _windower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = list(dict.fromkeys(windows_of(text)))
+            for at in range(0, len(found), 10_000):
+                part = found[at : at + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([item_id] * len(part), pa.string())], names=["window", "item_id"])
 
 
 _built: dict[str, object] = {}
 
 
-def automaton_of(windows: dict[str, list[str]], key: str):
-    """Built once in each Python worker."""
+def automaton_of(windows: list[tuple[str, list[str]]], key: str):
+    """Built once in each Python worker; the worker keeps the last one."""
+    enter("decontaminate", _built.clear)
     if key not in _built:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for i, (window, items) in enumerate(windows.items()):
-            automaton.add_word(window, (i, window.count(" ") - 1, items))
+        for window, items in windows:
+            automaton.add_word(window, (window.count(" ") - 1, items))
         automaton.make_automaton()
         _built.clear()
         _built[key] = automaton
@@ -80,7 +90,7 @@ def scan_text(text: str | None, automaton) -> tuple[int, list[tuple[int, int]],
         return len(words), [], []
     line = f" {b' '.join(words).decode('latin-1')} "
     hits, items = [], set()
-    for end, (_, n, ids) in automaton.iter(line):
+    for end, (n, ids) in automaton.iter(line):
         hits.append((end, n))
         items.update(ids)
     if not hits:
@@ -90,13 +100,18 @@ def scan_text(text: str | None, automaton) -> tuple[int, list[tuple[int, int]],
     for k in range(len(words) + 1):  # the k-th space stands before word k
         at = at + 1 if k == 0 else at + len(words[k - 1]) + 1
         ends[at] = k
-    ranges: list[tuple[int, int]] = []
-    for a, b in sorted((ends[end] - n, ends[end]) for end, n in hits):
-        if ranges and a <= ranges[-1][1]:
-            ranges[-1] = (ranges[-1][0], max(b, ranges[-1][1]))
+    return len(words), union((ends[end] - n, ends[end]) for end, n in hits), sorted(items)
+
+
+def union(ranges) -> list[tuple[int, int]]:
+    """Ranges that overlap or touch, joined."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
-            ranges.append((a, b))
-    return len(words), ranges, sorted(items)
+            out.append((a, b))
+    return out
 
 
 def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
@@ -109,90 +124,49 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
 
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_word", pa.int64()), ("end_word", pa.int64())])
 SPAN_SQL = "array<struct<start:bigint,end:bigint,first_word:bigint,end_word:bigint>>"
+FOUND = ["n_words", "hit_spans", "hit_items"]
 
 
-def _scanner(windows: dict[str, list[str]], columns: list[str], text_col: str):
-    key = hashlib.sha256("".join(sorted(windows)).encode() + repr(sorted(map(tuple, windows.values()))).encode()).hexdigest()
+def _scanner(windows, key: str, first: bool):
+    """The text is the last column but FOUND, which the first scan adds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = automaton_of(windows, key)
+        automaton = automaton_of(windows.value, key)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__scanned"))
+            kept = batch.num_columns - (0 if first else len(FOUND))
+            before = [[], []] if first else [batch.column(kept + 1).to_pylist(), batch.column(kept + 2).to_pylist()]
             n, spans, items = [], [], []
-            for x in texts:
+            for k, x in enumerate(batch.column(kept - 1)):
                 text = x.as_py()
                 count, ranges, ids = scan_text(text, automaton)
+                if not first and before[0][k]:
+                    ranges = union([*ranges, *((s["first_word"], s["end_word"]) for s in before[0][k])])
+                    ids = sorted({*ids, *before[1][k]})
                 n.append(count)
                 spans.append(original_spans(text, ranges))
                 items.append(ids)
-            kept = [batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(n, pa.int64()), pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string()))],
-                names=[*columns, "n_words", "hit_spans", "hit_items"],
+                [*(batch.column(i) for i in range(kept)), pa.array(n, pa.int64()), pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string()))],
+                names=[*batch.schema.names[:kept], *FOUND],
             )
 
     return run
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: list[str] | None = None, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``keep`` columns (all by default) plus n_words, hit_spans and hit_items.
-
-    The benchmark is the stated, fixed query set; its rows are read to the
-    driver in blocks to make the windows.
-    """
-    # A kept column named like an output gives way to it.
-    columns = [c for c in (docs.columns if keep is None else keep) if c not in ("n_words", "hit_spans", "hit_items")]
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string"), "text")
-    blocks: list[dict[str, list[str]]] = [{}]
-    for item_id, text in rows.distinct().orderBy("item_id", "text").toLocalIterator():
-        for window, ids in windows_of([(item_id, text)]).items():
-            if window not in blocks[-1] and len(blocks[-1]) >= block_windows:
-                blocks.append({})
-            blocks[-1].setdefault(window, []).extend(x for x in ids if x not in blocks[-1].get(window, []))
-    from pyspark.sql import types as T
-
-    fields = [docs.schema[c] for c in columns]
-    given = docs.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__scanned"))
-    schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), *T._parse_datatype_string(f"hit_spans {SPAN_SQL}, hit_items array<string>").fields])
-    found = [given.mapInArrow(_scanner(block, columns, text_col), schema) for block in blocks]
-    if len(found) == 1:
-        return found[0]
-    out = found[0]
-    for more in found[1:]:
-        # Same rows in the same order of columns: scan what the last block passed on.
-        again = out.withColumn("__scanned", F.coalesce(F.col(text_col).cast("string"), F.lit(""))) if text_col in columns else None
-        if again is None:
-            raise ValueError("a benchmark of several blocks needs the text among the kept columns")
-        block = blocks[found.index(more)]
-        names = [*columns, "n_words", "hit_spans", "hit_items"]
-        wide = T.StructType([*fields, *schema.fields[len(fields):], *T._parse_datatype_string(f"n2 bigint, s2 {SPAN_SQL}, i2 array<string>").fields])
-        inner = _scanner(block, names, text_col)
-
-        def renamed(batches, inner=inner, names=names):
-            for b in inner(batches):
-                yield b.rename_columns([*names, "n2", "s2", "i2"])
-
-        out = again.mapInArrow(renamed, wide)
-        out = out.withColumn("hit_spans", merged(F.array_sort(F.concat("hit_spans", "s2")))).withColumn(
-            "hit_items", F.array_sort(F.array_union("hit_items", "i2"))
-        ).drop("n2", "s2", "i2")
-    return out
-
-
-def merged(spans):
-    """Union of sorted spans that overlap or touch in words."""
-    def step(acc, s):
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
-            last["first_word"].alias("first_word"), F.greatest(last["end_word"], s["end_word"]).alias("end_word"),
-        )
-        return F.when(
-            (F.size(acc) > 0) & (last["end_word"] >= s["first_word"]),
-            F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined)),
-        ).otherwise(F.concat(acc, F.array(s)))
-
-    return F.aggregate(spans, F.array().cast(SPAN_SQL), step)
+    """``keep`` columns (all by default) plus n_words, hit_spans and hit_items."""
+    spark = docs.sparkSession
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    windows = materialize(rows.mapInArrow(_windower, "window string, item_id string").groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
+    blocks = max(-(-windows.count() // block_windows), 1)
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in FOUND]
+    out = docs.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__scanned"))
+    schema = T.StructType([*out.schema.fields, T.StructField("n_words", T.LongType()), *T._parse_datatype_string(f"hit_spans {SPAN_SQL}, hit_items array<string>").fields])
+    for k in range(blocks):
+        block = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).orderBy("window").collect()
+        held = spark.sparkContext.broadcast([(r["window"], r["items"]) for r in block])
+        out = out.mapInArrow(_scanner(held, uuid.uuid4().hex, k == 0), schema)
+    return out.drop("__scanned")
 
 
 def judged(scanned: DataFrame) -> DataFrame:
@@ -206,7 +180,7 @@ def judged(scanned: DataFrame) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     benchmark = table(spark, sf_dir, "benchmark")
-    return judged(scan(docs, benchmark, keep=["doc_id", "text"])).select(
+    return judged(scan(docs, benchmark, keep=["doc_id"])).select(
         "doc_id",
         "n_words",
         "n_hit",

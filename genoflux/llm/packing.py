@@ -9,22 +9,27 @@ packing pattern. Patterns go back to documents by rank: the r-th piece of a
 length takes the r-th slot of that length.
 
 Ranks come without gathering a length's rows in one task: rows are counted by
-(length, salt), offsets are running sums over those few counts, and a row's rank
-is its salt group's offset plus its number within the group.
+(length, salt), with as many salts as the length has rows in ROWS_PER_SALT, offsets
+are running sums over those few counts, and a row's rank is its salt group's offset
+plus its number within the group.
+
+Ids move in 16 bits where the vocabulary allows it and leave in 32.
 
 Defined cases: a null text is empty and becomes the end id alone; repeated rows
 are packed each for itself (ties are ordered by all columns of the piece); an
-empty table gives an empty result. Every id lies in exactly one piece.
+empty table gives an empty result; ids of documents are cast to long; other columns
+are not read. Every id lies in exactly one piece.
 """
 
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,28 +38,29 @@ from .tokens import default_path, word_bpe
 
 CAPACITY = 2048
 END_ID = 1
-SALTS = 256
+ROWS_PER_SALT = 8_192
 
-PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
+PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids_crc32 bigint, ids binary"
 
 
 def _cutter(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        end = np.array([end_id], dtype="<u4")
+        end = np.array([end_id], dtype=bpe.dtype)
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             size = 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([np.frombuffer(bpe.encode(text.as_py() or ""), dtype=bpe.dtype).astype("<u4"), end])
+                ids = np.concatenate([np.frombuffer(bpe.encode(text.as_py() or ""), dtype=bpe.dtype), end])
                 for start in range(0, len(ids), capacity):
                     piece = ids[start : start + capacity]
-                    for column, value in zip(out, (doc_id, start, len(piece), len(ids), piece.tobytes()), strict=True):
+                    row = (doc_id, start, len(piece), len(ids), zlib.crc32(piece.astype("<u4").tobytes()), piece.tobytes())
+                    for column, value in zip(out, row, strict=True):
                         column.append(value)
                     size += piece.nbytes
-                if size > 16 << 20:
+                if size > 8 << 20:
                     yield _pieces(out)
-                    out, size = [[], [], [], [], []], 0
+                    out, size = [[], [], [], [], [], []], 0
             if out[0]:
                 yield _pieces(out)
 
@@ -62,14 +68,15 @@ def _cutter(path: str, capacity: int, end_id: int):
 
 
 def _pieces(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "length", "doc_tokens", "ids"]
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
     )
 
 
 def cut(docs: DataFrame, text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of at most ``capacity`` ids (little-endian unsigned 32-bit)."""
+    """Pieces of at most ``capacity`` ids (little-endian, as wide as the vocabulary needs)
+    with the checksum of the ids in 32 bits."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return given.mapInArrow(_cutter(path or default_path(), capacity, end_id), PIECES)
 
@@ -123,59 +130,71 @@ def slots_of(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, dict[str,
 
 def _placer(slots: dict[int, dict[str, np.ndarray]], columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)
-            rank = batch.column(batch.schema.get_field_index("rank")).to_numpy(zero_copy_only=False)
-            sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
-            for one in np.unique(length):
-                here, s = length == one, slots[int(one)]
-                k = np.searchsorted(s["rank"], rank[here], side="right") - 1
-                sequence[here] = s["sequence"][k] + rank[here] - s["rank"][k]
-                offset[here] = s["offset"][k]
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[*columns, "sequence_id", "offset"])
+        for whole in batches:
+            for begin in range(0, max(whole.num_rows, 1), 1024):
+                batch = whole.slice(begin, 1024)
+                length = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)
+                rank = batch.column(batch.schema.get_field_index("rank")).to_numpy(zero_copy_only=False)
+                sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
+                for one in np.unique(length):
+                    here, s = length == one, slots[int(one)]
+                    k = np.searchsorted(s["rank"], rank[here], side="right") - 1
+                    sequence[here] = s["sequence"][k] + rank[here] - s["rank"][k]
+                    offset[here] = s["offset"][k]
+                kept = [batch.column(batch.schema.get_field_index(c)) for c in columns]
+                if "ids" in columns:
+                    at = columns.index("ids")
+                    kept[at] = pa.array([_wide(x.as_py(), n) for x, n in zip(kept[at], length, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[*columns, "sequence_id", "offset"])
 
     return run
 
 
-def ranked(pieces: DataFrame, ties: list[str]) -> DataFrame:
-    """Adds ``rank`` from 0 within each length, and drops nothing."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "salt").count()
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    # At most capacity x SALTS rows, whatever the corpus holds.
-    offsets = counts.select("length", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "start", *ties)
+def _wide(ids: bytes, length: int) -> bytes:
+    return ids if len(ids) == 4 * length else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
+def ranked(pieces: DataFrame, counts: list[tuple[int, int]]) -> DataFrame:
+    """Adds ``rank`` from 0 within each length, and drops nothing.
+
+    ``counts``: (length, rows), one for each length. Rows, counts and ranks meet by
+    (length, salt), so one shuffle serves all.
+    """
+    spark = pieces.sparkSession
+    # At most ``capacity`` pairs of numbers are broadcast.
+    salts = spark.createDataFrame([(k, -(-n // ROWS_PER_SALT)) for k, n in counts], "length bigint, __salts bigint")
+    of_row = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.col("__salts"))
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("__salt", of_row).drop("__salts")
+    before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = salted.groupBy("length", "__salt").count().select("length", "__salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("length", "__salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     return (
-        salted.withColumn("n", F.row_number().over(within).cast("long"))
-        .join(F.broadcast(offsets), ["length", "salt"])
-        .withColumn("rank", F.col("before") + F.col("n") - 1)
-        .drop("salt", "n", "before")
+        salted.withColumn("__n", F.row_number().over(within).cast("long"))
+        .join(offsets.hint("merge"), ["length", "__salt"])
+        .withColumn("rank", F.col("__before") + F.col("__n") - 1)
+        .drop("__salt", "__n", "__before")
     )
 
 
-def pack(docs: DataFrame, text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, carry: dict[str, Column] | None = None) -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids, sequence_id, offset: one row per piece.
+def pack(docs: DataFrame, text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset: one row per piece.
 
     The pieces are written once to the shared folder: their histogram and their
-    places both read that copy, so the tokenizer runs once. ``carry`` names what
-    goes along in place of ``ids`` (expressions on the piece's columns); a short
-    digest spares moving the ids when only that is wanted.
+    places both read that copy, so the tokenizer runs once. Without ``with_ids`` the
+    ids are neither written nor moved, only their checksum.
     """
-    pieces = materialize(cut(docs, text_col, path, capacity, end_id), "pieces", compression="zstd")
+    made = cut(docs, text_col, path, capacity, end_id)
+    pieces = materialize(made if with_ids else made.drop("ids"), "pieces", compression="zstd")
     # At most ``capacity`` rows.
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = slots_of(patterns_of(histogram, capacity))
-    carry = {"ids": F.col("ids")} if carry is None else carry
-    columns = ["doc_id", "start", "length", "doc_tokens", *carry]
-    moved = pieces.select("doc_id", "start", "length", "doc_tokens", *[c.alias(k) for k, c in carry.items()])
-    schema = T.StructType([*moved.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked(moved, list(carry)).mapInArrow(_placer(slots, columns), schema)
+    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked(pieces, sorted(histogram.items())).mapInArrow(_placer(slots, pieces.columns), schema)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pack(docs, carry={"ids_crc32": F.crc32("ids")})
+    return pack(docs, with_ids=False)
 
 
 QUERIES = {"op3_packing": op3_packing}

@@ -3,13 +3,16 @@
 Per document: counts of words, word characters, symbols, repeated lines and
 words in repeated three-word windows. The base rule rejects short and highly
 repetitive texts. The method adds cutoffs on four ratios, chosen per stratum
-(language) from labelled documents: a cutoff is admissible if an exact binomial
-test shows that it rejects more than ``RISK`` of the accepted documents of its
-stratum with probability at most ``DELTA`` over all tests together (Bonferroni
-over strata, ratios and grid points). Of a ratio's admissible cutoffs the
-strictest is taken; strata with too few labels admit none and reject nothing.
-
-The binomial tail P(X <= k), X ~ Bin(n, RISK), is summed in logarithms by its
+(language) from labelled documents. A document goes if any of the ratios is over its
+cutoff, so each ratio gets an equal share of ``RISK``: a cutoff is admissible if an
+exact binomial test shows that it rejects more than that share of the accepted
+documents of its stratum with probability at most ``DELTA`` over all tests together
+(Bonferroni over strata, ratios and grid points). Then, with probability 1 - ``DELTA``,
+the cutoffs of every stratum together reject at most ``RISK`` of its accepted documents.
+Of a ratio's admissible cutoffs the strictest is taken; strata with too few labels
+admit none and reject nothing.
+
+The binomial tail P(X <= k) of a share of RISK is summed in logarithms by its
 recurrence, so it neither under- nor overflows at any n.
 
 Repeated windows are found inside the row: 64-bit fingerprints of the windows
@@ -19,7 +22,8 @@ leading bits, or more words than positions fit) the row sorts full structures.
 
 Defined cases: a null text has no words and fails; an empty table gives an empty
 result; repeated rows are judged each for itself; null languages are a stratum;
-null or conflicting labels are left out.
+null labels are left out, conflicting ones count as rejected; columns that are named
+like the counts give way to them.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ RATIOS = {
     "repeats": ("n_repeat_words", "n_words", [50, 100, 150, 200, 300, 400]),
     "long_words": ("word_chars", "n_words", [6000, 7000, 8000, 9000, 10000, 12000]),
 }
+#: Any one ratio may reject this share of a stratum's accepted documents.
+RISK_EACH = RISK / len(RATIOS)
 TESTS_PER_STRATUM = sum(len(r[2]) for r in RATIOS.values())
 
 _POSITION_BITS = 20
@@ -126,7 +132,7 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def binomial_tail(k: Column, n: Column, p: float = RISK) -> Column:
+def binomial_tail(k: Column, n: Column, p: float = RISK_EACH) -> Column:
     """P(X <= k) for X ~ Bin(n, p), summed in logarithms."""
     odds = math.log(p / (1 - p))
     step = lambda acc, j: F.struct(
@@ -158,17 +164,16 @@ def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
     falsely = [
         F.sum(exceeds(r, F.lit(c)).cast("int")).cast("int").alias(f"{r}_{c}") for r, (_, _, grid) in RATIOS.items() for c in grid
     ]
-    rejected = good.agg(F.count("*").cast("int").alias("n"), *falsely)
+    rejected = materialize(good.agg(F.count("*").cast("int").alias("n"), *falsely), "strata")
     # The correction counts every stratum that is tested.
-    strata = rejected.agg(F.count("*").alias("strata"))
-    level = F.lit(DELTA) / (F.col("strata") * F.lit(float(TESTS_PER_STRATUM)))
+    level = F.lit(DELTA) / F.lit(max(rejected.count(), 1) * float(TESTS_PER_STRATUM))
 
     def strictest(r: str) -> Column:
         grid = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{r}_{c}").alias("k")) for c in sorted(RATIOS[r][2])])
         fine = F.filter(grid, lambda g: binomial_tail(g["k"], F.col("n")) <= F.col("__level"))
         return F.try_element_at(fine, F.lit(1))["c"].alias(f"__cut_{r}")
 
-    return rejected.join(F.broadcast(strata)).withColumn("__level", level).select("__stratum", *[strictest(r) for r in RATIOS])
+    return rejected.withColumn("__level", level).select("__stratum", *[strictest(r) for r in RATIOS])
 
 
 def judged(counted: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
@@ -194,7 +199,7 @@ def _oracle() -> str:
         f"count(*) FILTER (1000 * {t} > {c} * {b}) AS {r}_{c}" for r, (t, b, grid) in RATIOS.items() for c in grid
     )
     tail = (
-        f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}::DOUBLE) + (n - j) * ln(1 - {RISK}::DOUBLE)))"
+        f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK_EACH}::DOUBLE) + (n - j) * ln(1 - {RISK_EACH}::DOUBLE)))"
         " FROM unnest(range(0, {k} + 1)) AS q(j))"
     )
     chosen = ", ".join(

@@ -4,7 +4,8 @@ Base findings come from three fixed patterns. The method adds to them: over
 candidate strings (long runs of token characters) it slides a window of
 ``window`` characters, keeps the count of every character of the class's
 alphabet up to date by adding the one that enters and taking off the one that
-leaves, and so updates the Shannon entropy in constant work per step. Windows
+leaves (two places of the list of counts), and so updates the Shannon entropy in
+constant work per step. Windows
 at or over the class's threshold are merged to spans; candidates on the
 allow-list are suppressed. Entropies are compared as integers (``c log2 c``
 scaled by 2^20), so every engine decides alike.
@@ -74,17 +75,34 @@ def limit(kind: str, window: int = WINDOW, thresholds: dict = THRESHOLDS) -> int
     return math.floor(window * (math.log2(window) - thresholds[kind]) * SCALE)
 
 
+#: Matches that one inner fold lists; outer folds join such lists.
+CHUNK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: lambdas know no common subexpressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def after(acc: Column, value: Column, use) -> Column:
+    """The state ``use(acc, value)`` of the same type, with the value computed once and no
+    copy of the state (``transform`` copies what it gives)."""
+    return F.aggregate(F.array(value), acc, use)
+
+
 def matches(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
     """All matches as array<struct<start,end,text>>, code points, end exclusive.
 
     Positions follow from the pieces between matches, which ``split`` gives.
     Matches whose ``group`` is shorter than ``least`` are dropped. The fold walks
-    over the zipped pieces, so no expression on the text runs once per match.
+    over the zipped pieces, so no expression on the text runs once per match, and
+    lists them in chunks, so that appending does not copy what many matches gave.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     gaps = F.split(text, pattern, -1)
     pieces = F.zip_with(F.zip_with(found, part, lambda f, v: F.struct(f.alias("f"), v.alias("v"))), gaps, lambda x, g: F.struct(x["f"].alias("f"), x["v"].alias("v"), g.alias("g")))
+    kind = "array<struct<start:bigint,end:bigint,text:string>>"
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["at"] + F.length(x["g"])
@@ -96,109 +114,154 @@ def matches(text: Column, pattern: str, group: int = 0, least: int = 0) -> Colum
             F.when(x["f"].isNotNull() & (F.length(x["v"]) >= least), put).otherwise(acc["out"]).alias("out"),
         )
 
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,text:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    def chunk(acc: Column, k: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), F.array().cast(kind).alias("out"))
+        inner = F.aggregate(F.slice(acc["pieces"], k * CHUNK + 1, F.lit(CHUNK)), start, step)
+        return after(acc, inner, lambda a, v: F.struct(a["pieces"].alias("pieces"), v["at"].alias("at"), F.concat(a["out"], F.array(v["out"])).alias("out")))
+
+    def listed(all_pieces: Column) -> Column:
+        start = F.struct(all_pieces.alias("pieces"), F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        chunks = F.sequence(F.lit(0), F.floor((F.size(all_pieces) - 1) / CHUNK).cast("int"))
+        return F.aggregate(chunks, start, chunk, lambda acc: F.flatten(acc["out"]))
+
+    return bound(pieces, listed)
+
+
+# Counts of a window's characters: a string with one character per letter of the
+# alphabet, whose code is the count plus that of "0". A step reads and writes two
+# places of it. Before the text a window holds as many filling characters, which
+# have the place behind the alphabet, so a step always adds one and takes off one.
+_ZERO = ord("0")
+
+
+def _turns(word: Column, alphabet: str, window: int) -> Column:
+    """By step, the places (from 1) of the character that enters and of the one that leaves."""
+    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(alphabet), ch))
+    filling = F.array_repeat(F.lit(len(alphabet) + 1), window)
+    return bound(codes, lambda c: F.zip_with(c, F.slice(F.concat(filling, c), F.lit(1), F.size(c)), lambda x, y: F.struct(x.alias("x"), y.alias("y"))))
+
+
+def _gains(window: int) -> Column:
+    """By count c (from 0): what the sum of weights gains when the count grows by one."""
+    return F.array(*[F.lit(weight(c + 1) - weight(c)).cast("long") for c in range(window)])
+
+
+def _full(alphabet: str, window: int) -> Column:
+    return F.lit("0" * len(alphabet) + chr(_ZERO + window))
+
+
+def _counted(acc: Column, x: Column, use) -> Column:
+    """``use(acc, v)`` after a step, where ``v`` has the counts ``n`` and the sum of weights ``s``."""
+    at = lambda place: F.ascii(F.substring(acc["n"], place, F.lit(1)))
+    change = F.struct(at(x["x"]).alias("more"), at(x["y"]).alias("less"))
+
+    def changed(v: Column) -> Column:
+        grown = F.overlay(acc["n"], F.chr(v["more"] + 1), x["x"], F.lit(1))
+        counts = F.overlay(grown, F.chr(v["less"] - 1), x["y"], F.lit(1))
+        total = acc["s"] + F.get(acc["gain"], v["more"] - _ZERO) - F.get(acc["gain"], v["less"] - 1 - _ZERO)
+        return F.struct(counts.alias("n"), total.alias("s"))
+
+    same = F.struct(acc["n"].alias("n"), acc["s"].alias("s"))
+    return after(acc, F.when(x["x"] == x["y"], same).otherwise(bound(change, changed)), use)
 
 
 def entropy_windows(word: Column, alphabet: str, most: int, window: int) -> Column:
     """Merged [from, to) ranges of windows whose sum of weights is at most
     ``most``; offsets within ``word``."""
-    weights = F.array(*[F.lit(weight(c)).cast("long") for c in range(window + 2)])
-    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(alphabet), ch))
-    zero = F.array_repeat(F.lit(0), len(alphabet) + 1)
-    runs = F.array().cast("array<struct<a:int,b:int>>")
-
-    def step(acc: Column, i: Column) -> Column:
-        coming = F.get(acc["codes"], i)
-        going = F.when(i >= window, F.get(acc["codes"], i - window)).otherwise(F.lit(-1))
-        entered = F.transform(acc["n"], lambda c, j: c + (j == coming).cast("int"))
-        counts = F.transform(entered, lambda c, j: c - (j == going).cast("int"))
-        more, less = F.get(acc["n"], coming), F.get(entered, F.greatest(going, F.lit(0)))
-        total = (
-            acc["s"]
-            + F.get(weights, more + 1)
-            - F.get(weights, more)
-            + F.when(going >= 0, F.get(weights, less - 1) - F.get(weights, less)).otherwise(F.lit(0))
-        )
-        first = i - window + 1
-        joined = F.when(
-            (F.size(acc["runs"]) > 0) & (F.try_element_at(acc["runs"], F.lit(-1))["b"] >= first),
-            F.concat(
-                F.slice(acc["runs"], F.lit(1), F.greatest(F.size(acc["runs"]) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc["runs"], F.lit(-1))["a"].alias("a"), (i + 1).alias("b"))),
-            ),
-        ).otherwise(F.concat(acc["runs"], F.array(F.struct(first.alias("a"), (i + 1).alias("b")))))
-        return F.struct(
-            acc["codes"].alias("codes"),
-            counts.alias("n"),
-            total.alias("s"),
-            F.when((i >= window - 1) & (total <= most), joined).otherwise(acc["runs"]).alias("runs"),
-        )
+    runs = "array<struct<a:int,b:int>>"
 
-    start = F.struct(codes.alias("codes"), zero.alias("n"), F.lit(0).cast("long").alias("s"), runs.alias("runs"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(word) - 1), start, step, lambda acc: acc["runs"])
+    def step(acc: Column, x: Column) -> Column:
+        def moved(a: Column, v: Column) -> Column:
+            end = a["i"] + 1
+            first = end - window
+            hit = (first >= 0) & (v["s"] <= most)
+            fresh = hit & (a["b"] < first)
+            return F.struct(
+                a["gain"].alias("gain"), end.alias("i"), v["n"].alias("n"), v["s"].alias("s"),
+                F.when(fresh, first).otherwise(a["a"]).alias("a"), F.when(hit, end).otherwise(a["b"]).alias("b"),
+                F.when(fresh & (a["b"] >= 0), F.concat(a["runs"], F.array(F.struct(a["a"].alias("a"), a["b"].alias("b"))))).otherwise(a["runs"]).alias("runs"),
+            )
+
+        return _counted(acc, x, moved)
+
+    start = F.struct(
+        _gains(window).alias("gain"), F.lit(0).alias("i"), _full(alphabet, window).alias("n"), F.lit(weight(window)).cast("long").alias("s"),
+        F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.array().cast(runs).alias("runs"),
+    )
+    last = lambda acc: F.when(acc["b"] < 0, acc["runs"]).otherwise(F.concat(acc["runs"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b")))))
+    return F.aggregate(_turns(word, alphabet, window), start, step, last)
 
 
 def class_windows(word: Column, window: int, thresholds: dict, allow: str) -> Column:
     """Merged [a, b) ranges of found windows and their kind ``k``; offsets within ``word``.
 
-    Beside the counts of characters the fold keeps those of character classes, so
-    that a window's class costs constant work too.
+    Beside the counts of characters the fold keeps those of character classes (eight
+    bits each in one number), so that a window's class costs constant work too.
     """
-    weights = F.array(*[F.lit(weight(c)).cast("long") for c in range(window + 2)])
-    codes = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(ALPHABETS["entropy_base64"]), ch))
-    zero = F.array_repeat(F.lit(0), len(ALPHABETS["entropy_base64"]) + 1)
-    runs = F.array().cast("array<struct<a:int,b:int,k:int>>")
+    alphabet = ALPHABETS["entropy_base64"]
+    runs = "array<struct<a:int,b:int,k:int>>"
     spared = F.when(word.rlike(allow), matches(word, allow)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,text:string>>"))
     mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]")
     at_most = {k: limit(k, window, thresholds) for k in thresholds}
     number = lambda k: F.lit(KINDS.index(k))
+    names = list(CLASSES)
+    place = [0] * (len(alphabet) + 2)
+    for k, (lo, hi) in enumerate(CLASSES.values()):
+        for code in range(lo, hi + 1):
+            place[code] = 1 << 8 * k
+    places = F.array(*[F.lit(v).cast("long") for v in place])
+
+    def kind_of(acc: Column, classes: Column, total: Column) -> Column:
+        count = {c: F.shiftright(classes, 8 * k).bitwiseAND(F.lit(255).cast("long")) for k, c in enumerate(names)}
+        each = F.struct(*[v.alias(c) for c, v in count.items()])
+
+        def decided(c: Column) -> Column:
+            hexed = (c["ou"] + c["ol"] == 0) & (F.least(c["hl"], c["hu"]) == 0)
+            hexed = hexed & F.when(c["sep"] == 0, acc["mixed"]).otherwise((c["sep"] * 4 <= window) & (c["hl"] + c["hu"] >= 2) & (c["d"] >= 2))
+            alnum = (c["sep"] == 0) & (c["d"] >= 2) & (window - c["d"] >= 2)
+            upper, lower = c["hu"] + c["ou"], c["hl"] + c["ol"]
+            letters = (c["d"] == 0) & (F.least(upper, lower) * 5 >= window)
+            return (
+                F.when((total <= at_most["entropy_hex"]) & hexed, number("entropy_hex"))
+                .when((total <= at_most["entropy_alnum"]) & alnum, number("entropy_alnum"))
+                .when((total <= at_most["entropy_base64"]) & acc["mixed"], number("entropy_base64"))
+                .when((total <= at_most["letters"]) & letters, number("entropy_base64"))
+                .otherwise(F.lit(-1))
+            )
+
+        return bound(each, decided)
 
-    def step(acc: Column, i: Column) -> Column:
-        coming = F.get(acc["codes"], i)
-        going = F.when(i >= window, F.get(acc["codes"], i - window)).otherwise(F.lit(-1))
-        entered = F.transform(acc["n"], lambda c, j: c + (j == coming).cast("int"))
-        counts = F.transform(entered, lambda c, j: c - (j == going).cast("int"))
-        more, less = F.get(acc["n"], coming), F.get(entered, F.greatest(going, F.lit(0)))
-        total = (
-            acc["s"]
-            + F.get(weights, more + 1)
-            - F.get(weights, more)
-            + F.when(going >= 0, F.get(weights, less - 1) - F.get(weights, less)).otherwise(F.lit(0))
-        )
-        return F.struct(
-            acc["codes"].alias("codes"),
-            counts.alias("n"),
-            total.alias("s"),
-            *[(acc[c] + coming.between(*at).cast("int") - going.between(*at).cast("int")).alias(c) for c, at in CLASSES.items()],
-            acc["spared"].alias("spared"),
-            acc["mixed"].alias("mixed"),
-            acc["runs"].alias("runs"),
-        )
-
-    def marked(acc: Column, i: Column) -> Column:
-        hexed = (acc["ou"] + acc["ol"] == 0) & (F.least(acc["hl"], acc["hu"]) == 0)
-        hexed = hexed & F.when(acc["sep"] == 0, acc["mixed"]).otherwise((acc["sep"] * 4 <= window) & (acc["hl"] + acc["hu"] >= 2) & (acc["d"] >= 2))
-        alnum = (acc["sep"] == 0) & (acc["d"] >= 2) & (window - acc["d"] >= 2)
-        upper, lower = acc["hu"] + acc["ou"], acc["hl"] + acc["ol"]
-        letters = (acc["d"] == 0) & (F.least(upper, lower) * 5 >= window)
-        total, first = acc["s"], i - window + 1
-        kind = (
-            F.when(hexed & (total <= at_most["entropy_hex"]), number("entropy_hex"))
-            .when(alnum & (total <= at_most["entropy_alnum"]), number("entropy_alnum"))
-            .when(acc["mixed"] & (total <= at_most["entropy_base64"]), number("entropy_base64"))
-            .when(letters & (total <= at_most["letters"]), number("entropy_base64"))
-        )
-        last = F.try_element_at(acc["runs"], F.lit(-1))
-        fresh = lambda a: F.array(F.struct(a.alias("a"), (i + 1).alias("b"), kind.alias("k")))
-        joined = F.when((last["k"] == kind) & (last["b"] >= first), F.concat(F.slice(acc["runs"], F.lit(1), F.size(acc["runs"]) - 1), fresh(last["a"]))).otherwise(F.concat(acc["runs"], fresh(first)))
-        free = ~F.exists(acc["spared"], lambda x: (x["start"] < i + 1) & (x["end"] > first))
-        put = F.when((i >= window - 1) & kind.isNotNull() & free, joined).otherwise(acc["runs"])
-        return acc.withField("runs", put)
-
-    start = F.struct(codes.alias("codes"), zero.alias("n"), F.lit(0).cast("long").alias("s"), *[F.lit(0).alias(c) for c in CLASSES], spared.alias("spared"), mixed.alias("mixed"), runs.alias("runs"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(word) - 1), start, lambda acc, i: F.element_at(F.transform(F.array(step(acc, i)), lambda now: marked(now, i)), 1), lambda acc: acc["runs"])
+    def step(acc: Column, x: Column) -> Column:
+        def moved(a: Column, v: Column) -> Column:
+            classes = a["classes"] + F.get(a["places"], x["x"]) - F.get(a["places"], x["y"])
+            return after(a, F.struct(v["n"].alias("n"), v["s"].alias("s"), classes.alias("c")), judged)
+
+        def judged(a: Column, v: Column) -> Column:
+            end = a["i"] + 1
+            first = end - window
+            free = ~F.exists(a["spared"], lambda m: (m["start"] < end) & (m["end"] > first))
+            kind = F.when((first >= 0) & (v["s"] <= max(at_most.values())) & free, kind_of(a, v["c"], v["s"])).otherwise(F.lit(-1))
+            return after(a, F.struct(v["n"].alias("n"), v["s"].alias("s"), v["c"].alias("c"), kind.alias("k")), put)
+
+        def put(a: Column, v: Column) -> Column:
+            end = a["i"] + 1
+            first = end - window
+            hit = v["k"] >= 0
+            fresh = hit & ((a["k"] != v["k"]) | (a["b"] < first))
+            return F.struct(
+                a["gain"].alias("gain"), a["places"].alias("places"), a["spared"].alias("spared"), a["mixed"].alias("mixed"), end.alias("i"), v["n"].alias("n"), v["s"].alias("s"), v["c"].alias("classes"),
+                F.when(fresh, first).otherwise(a["a"]).alias("a"), F.when(hit, end).otherwise(a["b"]).alias("b"), F.when(hit, v["k"]).otherwise(a["k"]).alias("k"),
+                F.when(fresh & (a["k"] >= 0), F.concat(a["runs"], F.array(F.struct(a["a"].alias("a"), a["b"].alias("b"), a["k"].alias("k"))))).otherwise(a["runs"]).alias("runs"),
+            )
+
+        return _counted(acc, x, moved)
+
+    start = F.struct(
+        _gains(window).alias("gain"), places.alias("places"), spared.alias("spared"), mixed.alias("mixed"), F.lit(0).alias("i"), _full(alphabet, window).alias("n"), F.lit(weight(window)).cast("long").alias("s"), F.lit(0).cast("long").alias("classes"),
+        F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.lit(-1).alias("k"), F.array().cast(runs).alias("runs"),
+    )
+    last = lambda acc: F.when(acc["k"] < 0, acc["runs"]).otherwise(F.concat(acc["runs"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"), acc["k"].alias("k")))))
+    return F.aggregate(_turns(word, alphabet, window), start, step, last)
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -212,10 +275,11 @@ def _marker(kind: str):
 SPANS = "array<struct<start:bigint,k:int,end:bigint>>"
 
 
-def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds: dict = THRESHOLDS, allow: str = ALLOW, by_window: bool = False) -> DataFrame:
-    """Add ``base_spans`` and ``all_spans`` (array<struct<start,k,end>>, sorted;
-    ``k`` numbers KINDS) to every row. ``by_window``: windows choose their class,
-    by WINDOW_THRESHOLDS and those given."""
+def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds: dict = THRESHOLDS, allow: str = ALLOW, by_window: bool = False, names: tuple[str, str] = ("base_spans", "all_spans")) -> DataFrame:
+    """Add the base spans and all spans (array<struct<start,k,end>>, sorted; ``k``
+    numbers KINDS) to every row, as columns of these ``names``, to which columns of the
+    same name give way. ``by_window``: windows choose their class, by WINDOW_THRESHOLDS
+    and those given."""
     text = F.col("__text")
     none = F.array().cast(SPANS)
     df = df.withColumn("__text", text_of(text_col))
@@ -258,8 +322,8 @@ def scan(df: DataFrame, text_col: str = "text", window: int = WINDOW, thresholds
         extra("entropy_base64", lambda m: ~m["text"].rlike("^[0-9a-f]+$")),
     ]
     return (
-        df.withColumn("base_spans", F.array_sort(F.concat(*base)))
-        .withColumn("all_spans", F.array_sort(F.concat(F.col("base_spans"), *added)))
+        df.withColumn(names[0], F.array_sort(F.concat(*base)))
+        .withColumn(names[1], F.array_sort(F.concat(F.col(names[0]), *added)))
         .drop("__text")
     )
 
@@ -273,7 +337,8 @@ def written(spans: Column) -> Column:
 def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame:
     """Replace every found span (overlaps merged) by ``mark``; rows without a
     finding stay as they are, nulls stay null."""
-    scanned = scan(df, text_col, by_window=True)
+    found = "__secret_spans"
+    scanned = scan(df, text_col, by_window=True, names=("__secret_base", found))
     text = text_of(text_col)
 
     def step(acc: Column, s: Column) -> Column:
@@ -288,8 +353,8 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame
     rest = lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))
     )
-    clean = F.when(F.size("all_spans") > 0, F.aggregate("all_spans", start, step, rest)).otherwise(F.col(text_col))
-    return scanned.withColumn(text_col, clean).drop("base_spans", "all_spans")
+    clean = F.when(F.size(found) > 0, F.aggregate(found, start, step, rest)).otherwise(F.col(text_col))
+    return scanned.withColumn(text_col, clean).drop("__secret_base", found)
 
 
 def _listed(spark: SparkSession, sf_dir: str, by_window: bool) -> DataFrame:

@@ -16,6 +16,8 @@ import json
 import numpy as np
 import regex
 
+from .common import enter
+
 #: Chunks of these characters alone behave alike in both engines: printable
 #: ASCII, and letters of Latin-1 and Latin Extended-A with one-to-one lower case.
 _PLAIN = regex.compile(r"[!-~À-ÖØ-öø-įıĴ-ķĹ-ľŁ-ňŊ-ŷ]*").fullmatch
@@ -25,8 +27,8 @@ _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 _TRAILING = ".,;:!?%$&*#|"
 #: The byte-pair engine is quadratic in a pre-token's length; longer ones go to the library.
 _LONGEST = 200
-#: Entries of the cache; some 150 bytes each.
-_CACHE = 700_000
+#: Entries of a cache (chunks, pre-tokens); some 150 bytes each.
+_CACHE = 300_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -130,6 +132,7 @@ _loaded: dict[str, WordBpe] = {}
 
 def word_bpe(path: str) -> WordBpe:
     """Loaded once in each Python worker."""
+    enter("tokens", _loaded.clear)
     if path not in _loaded:
         _loaded[path] = WordBpe(path)
     return _loaded[path]

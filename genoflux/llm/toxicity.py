@@ -8,8 +8,9 @@ odds as weight.
 Matching. The Levenshtein automaton of one edit runs over the trie: a state is a
 set of (trie node, edits so far), made into a deterministic automaton as words
 ask for it, so a word costs one table step per letter and most words leave the
-trie within a few. Words of five letters and more match with one edit, shorter
-ones exactly; stems match exactly.
+trie within a few. A letter put in, left out or changed, or two neighbours swapped,
+is one edit. Words of five letters and more match with one edit, shorter ones
+exactly; stems match exactly; words are of any length.
 
 Context. A hit counts less where the words around it quote or report it
 (quotation marks, verbs of saying); counts inside and outside such windows are
@@ -19,7 +20,8 @@ training a document's own counts are taken off the lexicon's (leave one out).
 Labels, language, source and id are no inputs of a score. Defined cases: a null
 text is scored as the empty text; repeated rows are scored each for itself; null
 or conflicting labels are left out of training; without both classes every score
-is below the threshold.
+is below the threshold; an empty table gives an empty result. Kept columns may have
+any name but ``score`` and ``predicted``, which give way to the results.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, materialize, table
+from .common import crc_of_id, enter, materialize, table
 
-#: Labelled documents used for fitting at most, and terms in the lexicon at most.
-MAX_LABELLED, MAX_TERMS = 12_000, 3_000
+#: Labelled documents used for fitting at most; they bound the lexicon too.
+MAX_LABELLED = 12_000
 #: A term stands in so many toxic training documents at least; its G statistic is so high at least.
 LEAST_DOCUMENTS, LEAST_G = 3, 12.0
 FOLDS, HELD_OUT, CUT_AT = 3, 1, 0.7
@@ -53,11 +55,12 @@ REPORTING = frozenset(
 _QUOTES = frozenset("\"“”„«»‘’")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LEET = str.maketrans("013457@$", "oieastas")
-_CACHE = 600_000
+#: Chunks remembered, and trie places in all states of the automaton (some 100 bytes each), before both are begun anew.
+_CHUNKS, _SPOTS = 300_000, 600_000
 
 
 def words_in(text: str) -> set[str]:
-    return {w for w in _LETTERS.findall(text.lower()) if len(w) <= 40}
+    return set(_LETTERS.findall(text.lower()))
 
 
 def terms_of(words: set[str]) -> set[str]:
@@ -82,13 +85,17 @@ class Lexicon:
                     self.stem_at.append(None)
                 node = self.next[node][c]
             (self.stem_at if term.endswith("*") else self.word_at)[node] = term
+        self._begin()
+
+    def _begin(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.held = 0
         self.start = self._state({(0, 0)})
         self.found: dict[str, tuple | None] = {}
 
-    def _state(self, spots: set[tuple[int, int]]) -> int:
+    def _state(self, spots: set[tuple]) -> int:
         work = list(spots)
         while work:  # a letter left out of the text
             node, e = work.pop()
@@ -97,21 +104,30 @@ class Lexicon:
                     if (to, 1) not in spots:
                         spots.add((to, 1))
                         work.append((to, 1))
-        kept = frozenset(s for s in spots if s[1] == 0 or (s[0], 0) not in spots)
+        kept = frozenset(s for s in spots if s[1] != 1 or (s[0], 0) not in spots)
         if kept not in self.states:
             self.states[kept] = len(self.sets)
+            self.held += len(kept)
             self.sets.append(kept)
             self.moves.append({})
         return self.states[kept]
 
     def _move(self, state: int, c: str) -> int:
-        spots: set[tuple[int, int]] = set()
+        spots: set[tuple] = set()
         for node, e in self.sets[state]:
+            if isinstance(e, str):  # the second of two swapped letters
+                if e == c:
+                    spots.add((node, 1))
+                continue
             if c in self.next[node]:
                 spots.add((self.next[node][c], e))
             if e == 0:
                 spots.add((node, 1))  # a letter put in
-                spots.update((to, 1) for k, to in self.next[node].items() if k != c)  # a letter changed
+                for k, to in self.next[node].items():
+                    if k != c:
+                        spots.add((to, 1))  # a letter changed
+                        if c in self.next[to]:  # two neighbours swapped, if ``k`` comes next
+                            spots.add((self.next[to][c], k))
         to = self._state(spots) if spots else -1
         self.moves[state][c] = to
         return to
@@ -132,7 +148,7 @@ class Lexicon:
         exact = self.word_at[node] if node >= 0 else None
         near = None
         if exact is None and state >= 0 and len(word) >= 5:
-            close = [t for n, e in self.sets[state] if e and (t := self.word_at[n]) and len(t) >= 5]
+            close = [t for n, e in self.sets[state] if e == 1 and (t := self.word_at[n]) and len(t) >= 5]
             near = max(close, key=lambda t: (self.weight(t), t), default=None)
         return exact, stem, near
 
@@ -146,16 +162,17 @@ class Lexicon:
 
     def chunk(self, chunk: str) -> tuple | None:
         """Matches of a white-space chunk, or None."""
-        if len(self.found) > _CACHE or len(self.sets) > _CACHE:
-            self.__init__(self.terms, *self.totals)
-        words = [w for w in _LETTERS.findall(chunk.lower()) if len(w) <= 40]
+        if len(self.found) > _CHUNKS or self.held > _SPOTS:
+            self._begin()
+        words = _LETTERS.findall(chunk.lower())
         core = chunk.strip(".,;:!?\"'()[]#*$%&|<>").lower()
         if core != core.translate(_LEET) and any(map(str.isalpha, core)):
             folded = core.translate(_LEET)
             if folded.isalpha():
                 words.append(folded)
         out = tuple(m for w in words if any(m := self.match(w)))
-        self.found[chunk] = out or None
+        if len(chunk) <= 64:
+            self.found[chunk] = out or None
         return out or None
 
     def features(self, text: str | None, label: int | None = None) -> list[float]:
@@ -193,6 +210,7 @@ class Lexicon:
 
 
 FEATURES = 16
+FEATURE_COLUMN = "__toxicity_features"
 
 
 def _inside_quotes(chunks: list[str], i: int) -> bool:
@@ -214,8 +232,8 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learn_lexicon(training: DataFrame, most: int = MAX_TERMS) -> Lexicon:
-    """``training``: text and y. The strongest ``most`` terms by G statistic."""
+def learn_lexicon(training: DataFrame) -> Lexicon:
+    """``training``: text and y, of a bounded number of documents. All terms that are tied to the toxic label."""
     sizes = training.groupBy("y").count().collect()
     n = {r["y"]: r["count"] for r in sizes}
     toxic, other = n.get(1, 0), n.get(0, 0)
@@ -231,8 +249,6 @@ def learn_lexicon(training: DataFrame, most: int = MAX_TERMS) -> Lexicon:
         .where(F.col("a") * other > 4 * F.col("b") * toxic)
         .withColumn("g", g)
         .where(F.col("g") >= LEAST_G)
-        .orderBy(F.desc("g"), "term")
-        .limit(most)
     )
     return Lexicon({r["term"]: (int(r["a"]), int(r["b"])) for r in strong.collect()}, toxic, other)
 
@@ -244,6 +260,7 @@ def _featured(terms: dict[str, tuple[int, int]], totals: tuple[int, int], column
     key = zlib.crc32(repr((sorted(terms.items()), totals)).encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity", _made.clear)
         if key not in _made:
             _made.clear()
             _made[key] = Lexicon(terms, *totals)
@@ -253,7 +270,7 @@ def _featured(terms: dict[str, tuple[int, int]], totals: tuple[int, int], column
             y = batch.column(len(columns) + 1).to_pylist()
             found = [lexicon.features(t.as_py(), label) for t, label in zip(text, y, strict=True)]
             kept = [batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.float64()))], names=[*columns, "features"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.float64()))], names=[*columns, FEATURE_COLUMN])
 
     return run
 
@@ -263,7 +280,7 @@ def features(df: DataFrame, lexicon: Lexicon, keep: list[str], text_col: str = "
 
     y = F.col(label).cast("int") if label else F.lit(None).cast("int")
     given = df.select(*keep, F.col(text_col).cast("string").alias("__text"), y.alias("__y"))
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("features", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(FEATURE_COLUMN, T.ArrayType(T.DoubleType()))])
     return given.mapInArrow(_featured(lexicon.terms, lexicon.totals, keep), schema)
 
 
@@ -297,7 +314,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> dict:
 
 def scored(feats: DataFrame, model: dict, at: float = CUT_AT) -> DataFrame:
     w = F.array(*[F.lit(float(v)) for v in model["w"]])
-    raw = F.aggregate(F.zip_with("features", w, lambda a, b: a * b), F.lit(float(model["bias"] + math.log(at / (1 - at)))), lambda a, v: a + v)
+    raw = F.aggregate(F.zip_with(FEATURE_COLUMN, w, lambda a, b: a * b), F.lit(float(model["bias"] + math.log(at / (1 - at)))), lambda a, v: a + v)
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(raw, F.lit(30.0)), F.lit(-30.0))))
     return feats.withColumn("score", score).withColumn("predicted", (F.col("score") >= F.lit(at)).cast("int"))
 
@@ -316,14 +333,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     training = materialize(docs.select("doc_id", "text").join(F.broadcast(given), "doc_id"), "training")
     lexicon = learn_lexicon(training)
     rows = features(training, lexicon, ["y"], label="y").toPandas()
-    x = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), -1) if len(rows) else np.zeros((0, FEATURES))
+    x = np.array(rows[FEATURE_COLUMN].tolist(), dtype=float).reshape(len(rows), -1) if len(rows) else np.zeros((0, FEATURES))
     return lexicon, fit(x, rows["y"].to_numpy())
 
 
 def score(docs: DataFrame, lexicon: Lexicon, model: dict, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """``keep`` columns (all by default), score and predicted."""
-    keep = docs.columns if keep is None else keep
-    return scored(features(docs, lexicon, keep, text_col), model).drop("features")
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    return scored(features(docs, lexicon, keep, text_col), model).drop(FEATURE_COLUMN)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
