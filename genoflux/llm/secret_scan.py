@@ -75,7 +75,7 @@ def limit(kind: str, window: int = WINDOW, thresholds: dict = THRESHOLDS) -> int
     return math.floor(window * (math.log2(window) - thresholds[kind]) * SCALE)
 
 
-#: Matches that one inner fold lists; outer folds join such lists.
+#: Matches or steps of one inner fold; outer folds join what they list.
 CHUNK = 256
 
 
@@ -165,6 +165,24 @@ def _counted(acc: Column, x: Column, use) -> Column:
     return after(acc, F.when(x["x"] == x["y"], same).otherwise(bound(change, changed)), use)
 
 
+def _listed(turns: Column, start: Column, step, last, kind: str) -> Column:
+    """The ranges that ``step`` closes (field ``runs`` of the state, of type ``kind``) and the
+    ``last`` one. They are handed on after every CHUNK steps, so that a step's work does
+    not grow with what was found before."""
+    none = F.array().cast(kind)
+
+    def chunk(acc: Column, k: Column) -> Column:
+        inner = F.aggregate(F.slice(acc["turns"], k * CHUNK + 1, F.lit(CHUNK)), acc["state"], step)
+        return after(acc, inner, lambda a, v: F.struct(a["turns"].alias("turns"), v.withField("runs", none).alias("state"), F.concat(a["lists"], F.array(v["runs"])).alias("lists")))
+
+    def every(t: Column) -> Column:
+        begin = F.struct(t.alias("turns"), start.alias("state"), F.array().cast(f"array<{kind}>").alias("lists"))
+        chunks = F.sequence(F.lit(0), F.floor((F.size(t) - 1) / CHUNK).cast("int"))
+        return F.aggregate(chunks, begin, chunk, lambda acc: F.concat(F.flatten(acc["lists"]), last(acc["state"])))
+
+    return bound(turns, every)
+
+
 def entropy_windows(word: Column, alphabet: str, most: int, window: int) -> Column:
     """Merged [from, to) ranges of windows whose sum of weights is at most
     ``most``; offsets within ``word``."""
@@ -188,8 +206,8 @@ def entropy_windows(word: Column, alphabet: str, most: int, window: int) -> Colu
         _gains(window).alias("gain"), F.lit(0).alias("i"), _full(alphabet, window).alias("n"), F.lit(weight(window)).cast("long").alias("s"),
         F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.array().cast(runs).alias("runs"),
     )
-    last = lambda acc: F.when(acc["b"] < 0, acc["runs"]).otherwise(F.concat(acc["runs"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b")))))
-    return F.aggregate(_turns(word, alphabet, window), start, step, last)
+    last = lambda acc: F.when(acc["b"] >= 0, F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b")))).otherwise(F.array().cast(runs))
+    return _listed(_turns(word, alphabet, window), start, step, last, runs)
 
 
 def class_windows(word: Column, window: int, thresholds: dict, allow: str) -> Column:
@@ -260,8 +278,8 @@ def class_windows(word: Column, window: int, thresholds: dict, allow: str) -> Co
         _gains(window).alias("gain"), places.alias("places"), spared.alias("spared"), mixed.alias("mixed"), F.lit(0).alias("i"), _full(alphabet, window).alias("n"), F.lit(weight(window)).cast("long").alias("s"), F.lit(0).cast("long").alias("classes"),
         F.lit(-1).alias("a"), F.lit(-1).alias("b"), F.lit(-1).alias("k"), F.array().cast(runs).alias("runs"),
     )
-    last = lambda acc: F.when(acc["k"] < 0, acc["runs"]).otherwise(F.concat(acc["runs"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"), acc["k"].alias("k")))))
-    return F.aggregate(_turns(word, alphabet, window), start, step, last)
+    last = lambda acc: F.when(acc["k"] >= 0, F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"), acc["k"].alias("k")))).otherwise(F.array().cast(runs))
+    return _listed(_turns(word, alphabet, window), start, step, last, runs)
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -357,7 +375,7 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame
     return scanned.withColumn(text_col, clean).drop("__secret_base", found)
 
 
-def _listed(spark: SparkSession, sf_dir: str, by_window: bool) -> DataFrame:
+def _rows(spark: SparkSession, sf_dir: str, by_window: bool) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     count = lambda k: F.size(F.filter("base_spans", lambda s: s["k"] == KINDS.index(k))).cast("long")
     return scan(docs, by_window=by_window).select(
@@ -371,11 +389,11 @@ def _listed(spark: SparkSession, sf_dir: str, by_window: bool) -> DataFrame:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(spark, sf_dir, by_window=False)
+    return _rows(spark, sf_dir, by_window=False)
 
 
 def op1_secret_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(spark, sf_dir, by_window=True)
+    return _rows(spark, sf_dir, by_window=True)
 
 
 def _oracle() -> str:

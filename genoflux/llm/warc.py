@@ -3,16 +3,17 @@
 Writing. Pages get a payload digest; of equal payloads of at least ``MIN_REVISIT``
 bytes the record of the smallest page id is the response and the others revisit
 it (decided by a minimum per digest, combined before the shuffle). Records are
-dealt to shards by ranges of the page id that follow from an exact histogram, so
-the same pages always give the same shards, however Spark splits the input.
-Within a shard they are sorted by page id and written as one gzip member per
-record, rolling to the next file when the compressed size is reached. Headers
+dealt to shards by ranges of the page id that follow from an exact histogram, whose
+crowded buckets are split again until none holds more than a shard (a single id of more
+than that is split by digest), so the same pages always give the same shards, however
+Spark splits the input. Within a shard they are sorted by page id and written as one gzip
+member per record, rolling to the next file when the compressed size is reached. Headers
 and digests are generated anew; ids and dates derive from the content, never
 from the clock. A file is written under a temporary name and renamed when it is
 complete: a task that is repeated, or runs twice, renames identical bytes over
 identical bytes. The manifest (one row per file: name, records, bytes, SHA-256,
 first and last page id) is written last; what it does not list is not part of
-the archive.
+the archive. Temporary files that lost tasks left behind are deleted then.
 
 Reading goes over the manifest's files, record by record, and checks each
 payload against its digest.
@@ -20,10 +21,11 @@ payload against its digest.
 Files are opened through the file system named by the folder's scheme, so local
 folders, HDFS and object stores serve alike.
 
-Defined cases: a null payload is empty; a null page id is written first with an
-empty id and read back as null; of repeated rows of one page id and payload
+Defined cases: a null payload is empty; a null URL has no header and is read back as
+null; a null page id is written first with an empty id and read back as null; of repeated rows of one page id and payload
 exactly one is the response, the others revisit it; an empty table gives an
-empty archive with an empty manifest.
+empty archive with an empty manifest; page ids are cast to long; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -35,16 +37,17 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, table
+from .common import discard, fresh_path, materialize, table
 
 MIN_REVISIT = 100
-ROLL_BYTES = 64 << 20
-SHARD_BYTES = 16 << 20
-#: Buckets of the page-id histogram; so many rows reach the driver at most.
-BUCKETS = 1 << 17
+#: Compressed bytes of a file, and bytes of payloads in a shard, which is some files.
+ROLL_BYTES = 16 << 20
+SHARD_BYTES = 128 << 20
+#: Buckets of the page-id histogram, and of each bucket that holds more than a shard.
+BUCKETS, FINER = 1 << 16, 1 << 8
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 5
 
@@ -76,7 +79,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: {_urn('page', page_id, digest, repeat)}",
         f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {_line(url)}",
+        *([] if url is None else [f"WARC-Target-URI: {_line(url)}"]),
         f"WARC-Payload-Digest: sha256:{digest}",
         f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
         f"X-Page-ID: {_line(page_id)}",
@@ -179,40 +182,84 @@ def keepers(known: DataFrame) -> DataFrame:
     return small.join(repeated, "digest").select("page_id", "digest", "keeper").distinct()
 
 
-def shards_of(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[int, int, list[tuple[int, int]]]:
-    """Lowest page id, bucket width, and the shard of every bucket: shards are
-    runs of histogram buckets of about ``shard_bytes``.
+def _bucket() -> Column:
+    wide = lambda x: x.cast("decimal(38,0)")
+    return F.floor((wide(F.col("page_id")) - wide(F.col("__lo"))) / wide(F.col("__width"))).cast("long")
+
 
-    Exact sums over all pages; at most BUCKETS rows come to the driver.
+def shards_of(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[int, int, list[tuple[list, list]]]:
+    """The number of shards, how many of them (the first ones) hold null ids, and the levels.
+
+    Level 0 has one cell, the span of all ids, dealt into BUCKETS buckets; a bucket that
+    holds more than a shard is a cell of the next level. Of each level: its cells (cell, lo,
+    width) and its buckets (cell, bucket, shard, parts, next cell). Exact sums over all
+    pages; at most BUCKETS rows, and FINER for every crowded cell, come to the driver.
+    Buckets without a next cell make shards in the order of their ids; a single id of more
+    than a shard has ``parts`` of them, by digest.
     """
+    spark = pages.sparkSession
     size = (F.octet_length(F.coalesce(F.col("html").cast("string"), F.lit(""))) + 1024).cast("long")
-    span = pages.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-    if span["lo"] is None:
-        return 0, 1, []
-    width = max(1, -(-(span["hi"] - span["lo"] + 1) // BUCKETS))
-    rows = pages.where("page_id IS NOT NULL").groupBy(_bucket(span["lo"], width).alias("b")).agg(F.sum(size).alias("n")).orderBy("b").collect()
-    most = max(shard_bytes, sum(r["n"] for r in rows) // BUCKETS)
-    found, filled, shard = [], 0, 0
-    for r in rows:
-        if filled and filled + r["n"] > most:
+    sizes = materialize(pages.select(F.col("page_id").cast("long").alias("page_id"), size.alias("n")), "sizes")
+    span = sizes.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi"), F.sum(F.when(F.col("page_id").isNull(), F.col("n"))).alias("none")).first()
+    nulls = -(-(span["none"] or 0) // shard_bytes)
+    spans = [] if span["lo"] is None else [(span["lo"], span["hi"])]
+    rows, fan = sizes.where("page_id IS NOT NULL").withColumn("__cell", F.lit(0).cast("long")), BUCKETS
+    levels: list[tuple[list, list]] = []
+    leaves: list[tuple[int, int, list]] = []  # first id, bytes, bucket
+    while spans:
+        cells = [(k, lo, max(1, -(-(hi - lo + 1) // fan))) for k, (lo, hi) in enumerate(spans)]
+        dealt = _in_buckets(rows, cells)
+        buckets, crowded = [], []
+        for cell, bucket, n in dealt.groupBy("__cell", "__bucket").agg(F.sum("n")).collect():
+            _, lo, width = cells[cell]
+            lo += bucket * width
+            hi = min(lo + width - 1, spans[cell][1])
+            buckets.append([cell, bucket, None, 1, None])
+            if n > shard_bytes and hi > lo:
+                buckets[-1][4] = len(crowded)
+                crowded.append((lo, hi))
+            else:
+                leaves.append((lo, n, buckets[-1]))
+        levels.append((cells, buckets))
+        if crowded:
+            chosen = spark.createDataFrame([(b[0], b[1], b[4]) for b in buckets if b[4] is not None], "__cell bigint, __bucket bigint, __next bigint")
+            rows = dealt.join(F.broadcast(chosen), ["__cell", "__bucket"]).select("page_id", "n", F.col("__next").alias("__cell"))
+        spans, fan = crowded, FINER
+    shard, filled = nulls, 0
+    for _, n, bucket in sorted(leaves, key=lambda x: x[0]):
+        if filled and filled + n > shard_bytes:
             shard, filled = shard + 1, 0
-        filled += r["n"]
-        found.append((r["b"], shard))
-    return span["lo"], width, found
+        bucket[2], bucket[3] = shard, max(-(-n // shard_bytes), 1)
+        shard, filled = (shard + bucket[3], 0) if bucket[3] > 1 else (shard, filled + n)
+    discard(sizes)
+    return max(shard + (filled > 0), 1), nulls, levels
 
 
-def _bucket(lo: int, width: int) -> Column:
-    wide = lambda x: x.cast("decimal(38,0)")
-    return F.floor((wide(F.col("page_id")) - wide(F.lit(lo))) / wide(F.lit(width))).cast("long")
+def _in_buckets(rows: DataFrame, cells: list) -> DataFrame:
+    """Rows with ``__cell`` get ``__bucket``; both are null behind the last level."""
+    known = rows.sparkSession.createDataFrame(cells, "__cell bigint, __lo bigint, __width bigint")
+    wide = lambda c: F.col(c).cast("decimal(38,0)")
+    bucket = F.floor((wide("page_id") - wide("__lo")) / wide("__width")).cast("long")
+    return rows.join(F.broadcast(known), "__cell", "left").withColumn("__bucket", bucket).drop("__lo", "__width")
+
+
+def with_shard(rows: DataFrame, nulls: int, levels: list[tuple[list, list]]) -> DataFrame:
+    """Adds ``shard`` to rows with page_id and digest; what is broadcast is bounded as in ``shards_of``."""
+    spark = rows.sparkSession
+    out = rows.withColumns({"__cell": F.lit(0).cast("long"), "shard": F.lit(None).cast("long"), "__parts": F.lit(None).cast("long")})
+    for cells, buckets in levels:
+        known = spark.createDataFrame([tuple(b) for b in buckets], "__cell bigint, __bucket bigint, __shard bigint, __of bigint, __next bigint")
+        out = _in_buckets(out, cells).join(F.broadcast(known), ["__cell", "__bucket"], "left")
+        out = out.withColumns({"shard": F.coalesce("shard", "__shard"), "__parts": F.coalesce("__parts", "__of"), "__cell": F.col("__next")}).drop("__bucket", "__shard", "__of", "__next")
+    shard, parts = F.coalesce("shard", F.lit(0).cast("long")), F.coalesce("__parts", F.lit(max(nulls, 1)).cast("long"))
+    part = F.shiftright(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * parts, 32)
+    return out.withColumn("shard", shard + part).drop("__cell", "__parts")
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the archive to ``folder`` and return its manifest, as committed."""
     spark = pages.sparkSession
-    lo, width, found = shards_of(pages, shard_bytes)
-    n = found[-1][1] + 1 if found else 1
-    # At most BUCKETS pairs of numbers are broadcast.
-    shards = spark.createDataFrame(found, "b bigint, shard bigint")
+    n, nulls, levels = shards_of(pages, shard_bytes)
     known = with_digests(pages)
     told = keepers(known)
     text, none = F.lit(None).cast("string"), F.lit(None).cast("long")
@@ -221,14 +268,16 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
         told.select(F.lit(0).alias("kind"), "page_id", text.alias("url"), text.alias("html"), "digest", "keeper")
     )
     dealt = (
-        both.withColumn("b", _bucket(lo, width))
-        .join(F.broadcast(shards), "b", "left")
-        .withColumn("shard", F.coalesce("shard", F.lit(0).cast("long")))
+        with_shard(both, nulls, levels)
         .repartitionById(n, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
         .select("kind", "shard", "page_id", "url", "html", "digest", "keeper")
     )
     dealt.mapInArrow(_writer(f"{folder}/data", roll_bytes), MANIFEST).write.parquet(f"{folder}/manifest")
+    left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/data/_temporary-*")
+    store = left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in store.globStatus(left) or []:
+        store.delete(found.getPath(), False)
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -279,7 +328,7 @@ def _reader(folder: str, with_payload: bool):
                             raise ValueError(f"{file}: the payload of page {fields['X-Page-ID']} does not match its digest")
                         to = fields.get("X-Refers-To-Page")
                         page = fields["X-Page-ID"]
-                        rows.append((int(page) if page else None, fields["WARC-Target-URI"], kind, int(to) if to else None, n, digest, payload if with_payload and kind == "response" else None))
+                        rows.append((int(page) if page else None, fields.get("WARC-Target-URI"), kind, int(to) if to else None, n, digest, payload if with_payload and kind == "response" else None))
                         size += len(data) if with_payload else 200
                         if size > 16 << 20:
                             yield _rows(rows)

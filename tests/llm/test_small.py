@@ -223,6 +223,17 @@ def test_warc(spark, tmp_path):
             if r["record_type"] == "response":
                 assert hashlib.sha256(r["payload"]).hexdigest() == r["payload_digest"] and len(r["payload"]) == r["payload_bytes"]
     assert sums[0] == sums[1] and len(sums[0]) > 1
+    assert {r["page_id"]: r["url"] for r in got if r["page_id"] in (2, 8)} == {2: "u2", 8: "u8"}
+    # One far id, one id of many rows, null ids and null addresses.
+    wide = spark.createDataFrame([(i % 40, None if i % 2 else f"u{i}", f"page {i} " + "y" * 300) for i in range(120)] + [(5, "v", "z" * (400 + i)) for i in range(40)] + [(1 << 62, "far", "f"), (-(1 << 62), "low", "f")] + [(None, None, "n" * i) for i in range(60)], "page_id bigint, url string, html string")
+    far = f"file://{tmp_path}/far"
+    manifest = warc.write(wide, far, roll_bytes=1500, shard_bytes=10_000).collect()
+    assert len({r["shard"] for r in manifest}) > 10 and max(r["records"] for r in manifest) < 30
+    read = warc.read(spark, far).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "", r[2])
+    assert sorted(((r["page_id"], r["url"], r["payload"].decode()) for r in read), key=key) == sorted(((r[0], r[1], r[2]) for r in wide.collect()), key=key)
+    spans = sorted((r["shard"], r["first_page"], r["last_page"]) for r in manifest if r["first_page"] is not None)
+    assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
     empty = f"file://{tmp_path}/none"
     assert warc.write(pages.limit(0), empty).count() == 0 and warc.read(spark, empty).count() == 0
 
