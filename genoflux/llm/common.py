@@ -82,6 +82,14 @@ def enter(operator: str, forget: Callable[[], object]) -> None:
     _inside[:] = [operator, forget]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows with whole texts go to Python 2,000 at a time, unless the session says
+    otherwise than Spark's default: this bounds what workers and their JVM hold."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

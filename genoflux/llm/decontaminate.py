@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import enter, materialize, table
+from .common import enter, materialize, small_batches, table
 
 WORDS_PER_WINDOW = 13
 #: Windows in one automaton at most: about 0.5 GB of nodes.
@@ -155,6 +155,7 @@ def _scanner(windows, key: str, first: bool):
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: list[str] | None = None, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``keep`` columns (all by default) plus n_words, hit_spans and hit_items."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     windows = materialize(rows.mapInArrow(_windower, "window string, item_id string").groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")

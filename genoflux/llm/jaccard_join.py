@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, release, table
+from .common import discard, materialize, release, small_batches, table
 
 SHINGLE, PERCENT = 4, 85
 #: Min-hash keys of a set, and minima in each.
@@ -514,6 +514,7 @@ def prefix_rows(nodes: DataFrame, percent: int) -> DataFrame:
 def joined(docs: DataFrame, text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Sizes (doc_id, n), members (doc_id, rep), roots (id, root) of linked classes, and the texts they come from."""
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, sampled bigint, tokens array<bigint>"
     rows = materialize(given.mapInArrow(_sketcher(width, percent), sketch), "sketches", "zstd")

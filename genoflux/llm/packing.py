@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, table
+from .common import materialize, small_batches, table
 from .tokens import default_path, word_bpe
 
 CAPACITY = 2048
@@ -77,6 +77,7 @@ def _pieces(columns: list[list]) -> pa.RecordBatch:
 def cut(docs: DataFrame, text_col: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``capacity`` ids (little-endian, as wide as the vocabulary needs)
     with the checksum of the ids in 32 bits."""
+    small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return given.mapInArrow(_cutter(path or default_path(), capacity, end_id), PIECES)
 

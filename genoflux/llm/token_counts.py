@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, table, text_of
+from .common import materialize, small_batches, table, text_of
 from .tokens import default_path, word_bpe
 
 LEAF = 512
@@ -170,6 +170,7 @@ def _builder(path: str):
 
 def build(docs: DataFrame, keep: list[str], text_col: str = "text", path: str | None = None) -> DataFrame:
     """``keep`` columns, ``text`` and ``tree`` (lengths and counts of its leaves): the table to keep."""
+    small_batches(docs.sparkSession)
     keep = [c for c in keep if c not in ("text", "tree")]
     given = docs.select(*keep, F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([*given.schema.fields, *T._parse_datatype_string(TREE).fields])

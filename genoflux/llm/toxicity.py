@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, enter, materialize, table
+from .common import crc_of_id, enter, materialize, small_batches, table
 
 #: Labelled documents used for fitting at most; they bound the lexicon too.
 MAX_LABELLED = 12_000
@@ -55,8 +55,8 @@ REPORTING = frozenset(
 _QUOTES = frozenset("\"“”„«»‘’")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LEET = str.maketrans("013457@$", "oieastas")
-#: Chunks remembered, and trie places in all states of the automaton (some 100 bytes each), before both are begun anew.
-_CHUNKS, _SPOTS = 300_000, 600_000
+#: Chunks and words remembered, and trie places in all states of the automaton (some 100 bytes each), before both are begun anew.
+_CHUNKS, _SPOTS = 400_000, 300_000
 
 
 def words_in(text: str) -> set[str]:
@@ -94,6 +94,7 @@ class Lexicon:
         self.held = 0
         self.start = self._state({(0, 0)})
         self.found: dict[str, tuple | None] = {}
+        self.words: dict[str, tuple] = {}
 
     def _state(self, spots: set[tuple]) -> int:
         work = list(spots)
@@ -152,6 +153,12 @@ class Lexicon:
             near = max(close, key=lambda t: (self.weight(t), t), default=None)
         return exact, stem, near
 
+    def _matched(self, word: str) -> tuple[str | None, str | None, str | None]:
+        found = self.match(word)
+        if len(word) <= 64:
+            self.words[word] = found
+        return found
+
     def weight(self, term: str, label: int | None = None) -> float:
         """Log odds; with ``label`` as if one document of that label had not been counted."""
         a, b = self.terms[term]
@@ -162,7 +169,7 @@ class Lexicon:
 
     def chunk(self, chunk: str) -> tuple | None:
         """Matches of a white-space chunk, or None."""
-        if len(self.found) > _CHUNKS or self.held > _SPOTS:
+        if len(self.found) + len(self.words) > _CHUNKS or self.held > _SPOTS:
             self._begin()
         words = _LETTERS.findall(chunk.lower())
         core = chunk.strip(".,;:!?\"'()[]#*$%&|<>").lower()
@@ -170,7 +177,7 @@ class Lexicon:
             folded = core.translate(_LEET)
             if folded.isalpha():
                 words.append(folded)
-        out = tuple(m for w in words if any(m := self.match(w)))
+        out = tuple(m for w in words if any(m := self.words.get(w) or self._matched(w)))
         if len(chunk) <= 64:
             self.found[chunk] = out or None
         return out or None
@@ -278,6 +285,7 @@ def _featured(terms: dict[str, tuple[int, int]], totals: tuple[int, int], column
 def features(df: DataFrame, lexicon: Lexicon, keep: list[str], text_col: str = "text", label: str | None = None) -> DataFrame:
     from pyspark.sql import types as T
 
+    small_batches(df.sparkSession)
     y = F.col(label).cast("int") if label else F.lit(None).cast("int")
     given = df.select(*keep, F.col(text_col).cast("string").alias("__text"), y.alias("__y"))
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(FEATURE_COLUMN, T.ArrayType(T.DoubleType()))])
