@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--tie-margin", type=float)
     r.add_argument("--tie-threshold", type=float)
     r.add_argument("--no-report", action="store_true")
+    r.add_argument("--build-tree", action="store_true", help="a distance tree of the genotypes")
     r.add_argument("--aligned", action="store_true", help="sequences are aligned already")
     c = sub.add_parser("cluster-diagnostics", help="assignment and distance statistics of clusters")
     c.add_argument("--consensus", required=True)
@@ -78,7 +79,15 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("taxonomy", "species_counts", "assignment_summary", "characterisation", "conflicts", "sequence_quality", "basin_summary", "crosstab", "color_map"):
         sinks.write_csv(found[name], str(folder / name))
     fasta.write_fasta(found["consensus"].withColumnsRenamed({"consensus_group": "header", "consensus_seq": "seq"}), str(folder / "consensus_fasta"), order="ord")
-    sinks.write_documents(found["distribution_map"], str(folder / "distribution_map"))
+    # With the FASTA of the consensus, what ``cluster-diagnostics`` needs.
+    sinks.write_csv(found["consensus_metadata"], str(folder / "consensus_metadata"))
+    for name in ("distribution_map", "bars_relative", "bars_total", "bars_faceted"):
+        sinks.write_documents(found[name], str(folder / name))
+    if args.build_tree:
+        from .plans.genotyping import phylogeny
+
+        for name, text in phylogeny(found["consensus"], found["taxonomy"]).items():
+            (folder / f"{name}.{'fasta' if name.startswith('alignment') else 'nwk'}").write_text(text.rstrip("\n") + "\n")
     if not args.no_report:
         sinks.html_report(f"{organism}: genotypes", reports.sections(found, config), str(folder / "report.html"))
     return 0

@@ -37,7 +37,7 @@ def _pair(parts: Column, validate: bool) -> Column:
 def coordinate_pair(text: Column, validate: bool = True) -> Column:
     """struct<lat,lon> of '[34.5, -76.2]', '34.5, -76.2' or '34.5 -76.2'; null if it is no pair."""
     split = lambda bare: F.when(bare.contains(","), F.split(bare, ",")).otherwise(F.split(bare, r"\s+"))
-    bare = F.trim(F.translate(F.trim(text), "[](){}", ""))
+    bare = F.regexp_replace(F.trim(text), r"^[\[\](){} ]+|[\[\](){} ]+$", "")
     return _let(bare, lambda b: _let(split(b), lambda parts: _pair(parts, validate)))
 
 

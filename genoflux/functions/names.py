@@ -6,6 +6,7 @@ import re
 from datetime import datetime
 from pathlib import Path
 
+# Words that are no species, and endings of file names.
 _NOT_SPECIES = {"data", "bold", "samples", "sequences"}
 _SUFFIXES = ("_bold_data", "_sequences", "_samples", "_data", "_bold", "_annotated", "_metadata")
 

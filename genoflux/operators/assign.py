@@ -24,6 +24,7 @@ METHODS = ("target_based", "classic")
 #: Consensus rows broadcast at most: some 1,000 letters each, so 20 MB.
 BROADCAST_ROWS = 20_000
 BLOCK_ROWS = 2_000
+SALT_ROWS = 20_000
 
 
 def align_path(q: str, t: str) -> tuple[int, int, int, int, str]:
@@ -80,10 +81,11 @@ def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False) -> Da
     if n <= BROADCAST_ROWS:
         pairs = sequences.join(F.broadcast(c))
     else:
-        blocks = -(-n // BLOCK_ROWS)
-        left = sequences.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        right = c.withColumn("block", F.pmod(F.xxhash64("c_ord"), F.lit(blocks)).cast("int"))
-        pairs = left.join(right, "block").drop("block")
+        # Both sides are dealt, so a task meets some rows of each.
+        blocks, salts = -(-n // BLOCK_ROWS), max(1, -(-sequences.count() // SALT_ROWS))
+        left = sequences.withColumn("salt", F.pmod(F.xxhash64("nuc"), F.lit(salts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        right = c.withColumn("block", F.pmod(F.xxhash64("c_ord"), F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        pairs = left.join(right, ["block", "salt"]).drop("block", "salt")
     if path:
         pairs = pairs.withColumn("__p", path_identity("nuc", "target"))
         q, t = F.length("nuc"), F.length("target")

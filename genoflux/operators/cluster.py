@@ -5,6 +5,8 @@ connected component of the graph of pairs at distance <= t. So: close pairs,
 components by alternating star contraction, then the linkage inside each
 component. Single linkage is the component itself. Ward has no such guarantee on
 distances that are not Euclidean and takes all sequences as one group.
+``cluster_alignment`` keeps only close pairs and computes the distances inside a
+component from its sequences; ``clusters`` takes a table of all pairs.
 Labels are numbered by the smallest ``ord`` of a cluster.
 """
 
@@ -12,10 +14,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.storage import materialize
+from ..plans.storage import materialize, numbered
+from . import distance
 
 METHODS = ("single", "complete", "average", "weighted", "ward")
 
@@ -40,37 +43,80 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
 
 
 def linkage(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
-    """Merges (a, b, height, size) in SciPy's numbering, by nearest pair with Lance-Williams updates."""
+    """Merges (a, b, height, size) in SciPy's numbering, by a chain of nearest neighbours.
+
+    All the methods are reducible, so merging any two that are each other's nearest
+    gives the same tree as merging the nearest of all; that takes quadratic time. The
+    merges are then sorted by height and numbered.
+    """
     n = len(d)
     d = d.astype(float).copy()
     np.fill_diagonal(d, np.inf)
-    number, size, alive, out = list(range(n)), [1] * n, np.ones(n, bool), []
-    for step in range(n - 1):
-        k = int(np.argmin(d))
-        i, j = sorted(divmod(k, n))
-        h, si, sj = d[i, j], size[i], size[j]
-        a, b = d[i], d[j]
+    size, alive, chain = np.ones(n), np.ones(n, bool), []
+    merges: list[tuple[int, int, float]] = []
+    for _ in range(n - 1):
+        if not chain:
+            chain.append(int(np.argmax(alive)))
+        while True:
+            x = chain[-1]
+            y = int(np.argmin(d[x]))
+            # Among equally near ones the one it came from, so a chain ends.
+            if len(chain) > 1 and d[x, chain[-2]] <= d[x, y]:
+                y = chain[-2]
+            if len(chain) > 1 and y == chain[-2]:
+                break
+            chain.append(y)
+        del chain[-2:]
+        i, j = sorted((x, y))
+        h, a, b = float(d[i, j]), d[i], d[j]
         if method == "single":
             new = np.minimum(a, b)
         elif method == "complete":
-            new = np.where(np.isinf(a) | np.isinf(b), np.inf, np.maximum(a, b))
+            new = np.maximum(a, b)
         elif method == "weighted":
             new = (a + b) / 2
         elif method == "ward":
-            s = np.array(size, float)
             with np.errstate(invalid="ignore"):
-                new = np.sqrt(((si + s) * a**2 + (sj + s) * b**2 - s * h**2) / (si + sj + s))
+                new = np.sqrt(((size[i] + size) * a**2 + (size[j] + size) * b**2 - size * h**2) / (size[i] + size[j] + size))
         else:
-            new = (si * a + sj * b) / (si + sj)
-        new = np.where(alive, new, np.inf)
-        new[[i, j]] = np.inf
-        out.append((*sorted((number[i], number[j])), float(h), si + sj))
+            new = (size[i] * a + size[j] * b) / (size[i] + size[j])
+        alive[j] = False
+        new[~alive] = np.inf
+        new[i] = np.inf
         d[i], d[:, i] = new, new
         d[j], d[:, j] = np.inf, np.inf
-        alive[j], number[i], size[i] = False, n + step, si + sj
+        size[i] += size[j]
+        merges.append((i, j, h))
+    merges.sort(key=lambda m: m[2])
+    number, held, out = list(range(n)), [1] * n, []
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for step, (i, j, h) in enumerate(merges):
+        i, j = root(i), root(j)
+        held[i] += held[j]
+        out.append((*sorted((number[i], number[j])), h, held[i]))
+        parent[j], number[i] = i, n + step
     return out
 
 
+def masked_distances(alns: list[str]) -> np.ndarray:
+    """The distances of ``distance.pairwise`` between the sequences of one group."""
+    letters = np.array([np.frombuffer(a.upper().encode("ascii", "replace"), dtype=np.uint8) for a in alns])
+    planes = [(letters == ord(b)).astype(np.float32) for b in "ACGT"]
+    both = sum(planes) @ sum(planes).T
+    same = sum(x @ x.T for x in planes)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        d = np.where(both > 0, 1.0 - same.astype(float) / both.astype(float), 1.0)
+    np.fill_diagonal(d, 0.0)
+    return d
+
+
 def cut_labels(d: np.ndarray, threshold: float, method: str = "average") -> np.ndarray:
     """0-based labels by first member; clusters whose merges are at heights <= threshold."""
     n = len(d)
@@ -86,36 +132,68 @@ def cut_labels(d: np.ndarray, threshold: float, method: str = "average") -> np.n
     return np.array([seen.setdefault(root(i), len(seen)) for i in range(n)], dtype=np.int64)
 
 
-def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method: str = "average") -> DataFrame:
-    """(ord, cluster_id): nodes has ``ord``; pairs (i, j, dist) holds all pairs."""
+def _checked(threshold: float, method: str) -> None:
     if not 0 <= threshold <= 1:
         raise ValueError(f"threshold must be in [0, 1], got {threshold}")
     if method not in METHODS:
         raise ValueError(f"unknown linkage method {method!r}")
-    nodes = nodes.select("ord")
+
+
+def _roots(nodes: DataFrame, close: DataFrame, method: str) -> DataFrame:
     if method == "ward":
-        roots = nodes.join(F.broadcast(nodes.agg(F.min("ord").alias("root"))))
-    else:
-        roots = components(nodes, pairs.where(F.col("dist") <= F.lit(threshold)).select("i", "j"))
-    if method == "single":
-        found = roots.withColumnRenamed("root", "head")
-    else:
-        inside = (
-            pairs.join(roots.withColumnsRenamed({"ord": "i", "root": "ri"}), "i").join(roots.withColumnsRenamed({"ord": "j", "root": "rj"}), "j")
-            .where("ri = rj").select(F.col("ri").alias("root"), "i", "j", "dist")
-        )
-
-        def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-            ids = np.unique(np.concatenate([pdf["i"], pdf["j"]]))
-            d = np.zeros((len(ids), len(ids)))
-            a, b = np.searchsorted(ids, pdf["i"]), np.searchsorted(ids, pdf["j"])
-            d[a, b] = d[b, a] = pdf["dist"]
-            labels = cut_labels(d, threshold, method)
-            heads = pd.Series(ids).groupby(labels).transform("min")
-            return pd.DataFrame({"ord": ids, "head": heads})
-
-        cutted = inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint")
-        found = nodes.join(cutted, "ord", "left").select("ord", F.coalesce("head", "ord").alias("head"))
+        return nodes.withColumn("root", F.lit(0).cast("bigint"))
+    return components(nodes, close)
+
+
+def _labelled(nodes: DataFrame, cutted: DataFrame) -> DataFrame:
+    found = nodes.join(cutted, "ord", "left").select("ord", F.coalesce("head", "ord").alias("head"))
     # One row per cluster is numbered; the members only look it up.
-    heads = found.select("head").distinct().withColumn("cluster_id", F.row_number().over(Window.orderBy("head")))
+    heads = numbered(found.select("head").distinct(), ["head"], "cluster_id")
     return found.join(heads, "head").select("ord", "cluster_id")
+
+
+def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method: str = "average") -> DataFrame:
+    """(ord, cluster_id): nodes has ``ord``; pairs (i, j, dist) holds all pairs."""
+    _checked(threshold, method)
+    nodes = nodes.select("ord")
+    roots = _roots(nodes, pairs.where(F.col("dist") <= F.lit(threshold)).select("i", "j"), method)
+    if method == "single":
+        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
+    inside = (
+        pairs.join(roots.withColumnsRenamed({"ord": "i", "root": "ri"}), "i").join(roots.withColumnsRenamed({"ord": "j", "root": "rj"}), "j")
+        .where("ri = rj").select(F.col("ri").alias("root"), "i", "j", "dist")
+    )
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(np.concatenate([pdf["i"], pdf["j"]]))
+        d = np.zeros((len(ids), len(ids)))
+        a, b = np.searchsorted(ids, pdf["i"]), np.searchsorted(ids, pdf["j"])
+        d[a, b] = d[b, a] = pdf["dist"]
+        return pd.DataFrame({"ord": ids, "head": pd.Series(ids).groupby(cut_labels(d, threshold, method)).transform("min")})
+
+    return _labelled(nodes, inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
+
+
+def cluster_alignment(alignment: DataFrame, threshold: float = 0.01, method: str = "average") -> DataFrame:
+    """(ord, cluster_id) of aligned sequences (ord, aln), as ``clusters`` over all pairs gives.
+
+    Only pairs up to the cut are kept; a component's sequences then go to one group,
+    once each, and their distances are computed there.
+    """
+    _checked(threshold, method)
+    rows = alignment.select("ord", "aln", F.lit(None).cast("string").alias("seq_id"))
+    nodes = rows.select("ord")
+    close = nodes.select(F.col("ord").alias("i"), F.col("ord").alias("j")).limit(0) if method == "ward" else distance.pairwise(rows, max_distance=threshold).select("i", "j")
+    roots = _roots(nodes, close, method)
+    if method == "single":
+        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
+    roots = materialize(roots, "roots")
+    shared = roots.groupBy("root").count().where("count > 1").select("root")
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ord")
+        labels = cut_labels(masked_distances(pdf["aln"].tolist()), threshold, method)
+        return pd.DataFrame({"ord": pdf["ord"].to_numpy(), "head": pd.Series(pdf["ord"].to_numpy()).groupby(labels).transform("min")})
+
+    inside = rows.select("ord", "aln").join(roots.join(shared, "root"), "ord")
+    return _labelled(nodes, inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))

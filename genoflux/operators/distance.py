@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASES = "ACGT"
+BLOCK_ROWS = 2_000
 
 
 def planes(aln: Column) -> Column:
@@ -58,11 +59,13 @@ def check_alignment(alignment: DataFrame, aln: str = "aln") -> None:
         raise ValueError(f"aligned sequences differ in length: {found['lo']} to {found['hi']}")
 
 
-def pairwise(alignment: DataFrame, blocks: int = 8, max_distance: float | None = None, seq_id: str = "seq_id", aln: str = "aln", order: str = "ord") -> DataFrame:
+def pairwise(alignment: DataFrame, blocks: int | None = None, max_distance: float | None = None, seq_id: str = "seq_id", aln: str = "aln", order: str = "ord") -> DataFrame:
     """(i, j, id_i, id_j, dist) for every pair with ord_i < ord_j, of one block pair a task.
 
-    ``max_distance`` keeps only the close pairs (before any further shuffle).
+    ``max_distance`` keeps only the close pairs (before any further shuffle). Blocks
+    hold some BLOCK_ROWS sequences, so a task's pairs do not grow with the table.
     """
+    blocks = blocks or max(8, -(-alignment.count() // BLOCK_ROWS))
     e = encoded(alignment, seq_id, aln, order)
     own = F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int")
     dealt = e.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

@@ -68,21 +68,29 @@ def _in_box() -> Column:
     return (F.col("point_lon") > F.col("xmin")) & (F.col("point_lon") < F.col("xmax")) & (F.col("point_lat") > F.col("ymin")) & (F.col("point_lat") < F.col("ymax"))
 
 
-def first_basin(spots: DataFrame, polygons: DataFrame) -> DataFrame:
-    """point_lat, point_lon -> basin_name of the polygon with the lowest poly_ord that holds the point.
+def boxed_pairs(spots: DataFrame, polygons: DataFrame, within: Column | None = None, margin: float = 0.0) -> DataFrame:
+    """Distinct points with the polygons whose box (widened by ``margin``) holds them.
 
-    ``spots`` are distinct points. Without a ``rings`` column polygons are boxes.
+    Polygons are broadcast up to BROADCAST_VERTICES (counted first), else both meet on grid cells.
     """
     boxes = "rings" not in polygons.columns
+    inside = _in_box() if within is None else within
     size = polygons.count() * 4 if boxes else polygons.agg(F.sum(F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)))).first()[0] or 0
     if size <= BROADCAST_VERTICES:
-        pairs = spots.join(F.broadcast(polygons), _in_box())
-    else:
-        cell = lambda c: F.floor(c / CELL).cast("int")
-        spread = lambda lo, hi: F.sequence(cell(F.col(lo)), cell(F.col(hi)))
-        cells = polygons.withColumn("cx", F.explode(spread("xmin", "xmax"))).withColumn("cy", F.explode(spread("ymin", "ymax")))
-        pairs = spots.withColumns({"cx": cell(F.col("point_lon")), "cy": cell(F.col("point_lat"))}).join(cells, ["cx", "cy"]).where(_in_box())
-    if not boxes:
+        return spots.join(F.broadcast(polygons), inside)
+    cell = lambda c: F.floor(c / CELL).cast("int")
+    spread = lambda lo, hi: F.sequence(cell(F.col(lo) - margin), cell(F.col(hi) + margin))
+    cells = polygons.withColumn("cx", F.explode(spread("xmin", "xmax"))).withColumn("cy", F.explode(spread("ymin", "ymax")))
+    return spots.withColumns({"cx": cell(F.col("point_lon")), "cy": cell(F.col("point_lat"))}).join(cells, ["cx", "cy"]).where(inside).drop("cx", "cy")
+
+
+def first_basin(spots: DataFrame, polygons: DataFrame) -> DataFrame:
+    """point_lat, point_lon -> basin_name of the polygon with the lowest poly_ord that holds the point.
+
+    ``spots`` are distinct points. Without a ``rings`` column polygons are boxes.
+    """
+    pairs = boxed_pairs(spots, polygons)
+    if "rings" in polygons.columns:
         pairs = pairs.where(contains("point_lon", "point_lat", "rings"))
     return pairs.groupBy("point_lat", "point_lon").agg(F.min_by("basin_name", "poly_ord").alias("basin_name"))
 
@@ -114,6 +122,24 @@ def marine(df: DataFrame, polygons: DataFrame, lat: str = "lat", lon: str = "lon
     return out.where("is_marine").drop("is_marine") if remove else out
 
 
+def valid_marine(df: DataFrame, polygons: DataFrame, buffer: float = 0.0, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Adds is_marine: the point lies in a polygon or within ``buffer`` degrees of one; null out of range.
+
+    ``polygons`` have rings.
+    """
+    located = points(df, lat, lon)
+    spots = located.where("point_lat IS NOT NULL").select("point_lat", "point_lon").distinct()
+    x, y, m = F.col("point_lon"), F.col("point_lat"), F.lit(buffer)
+    near = (x >= F.col("xmin") - m) & (x <= F.col("xmax") + m) & (y >= F.col("ymin") - m) & (y <= F.col("ymax") + m)
+    pairs = boxed_pairs(spots, polygons, near, buffer)
+    good = contains("point_lon", "point_lat", "rings")
+    if buffer > 0:
+        good = good | (F.sqrt(snapped("point_lon", "point_lat", "rings")["d"]) <= buffer)
+    found = pairs.where(good).select("point_lat", "point_lon", F.lit(True).alias("is_marine")).distinct()
+    out = located.join(found, ["point_lat", "point_lon"], "left")
+    return out.withColumn("is_marine", F.when(F.col("point_lat").isNotNull(), F.coalesce("is_marine", F.lit(False)))).drop("point_lat", "point_lon")
+
+
 def nearest_edge(x: float, y: float, rings: list) -> tuple[float, float]:
     """The nearest point of the rings' edges, in plain degrees."""
     best, where = np.inf, (x, y)
@@ -151,7 +177,7 @@ def classify_coordinates(df: DataFrame, land: DataFrame, policy: str = "mark", l
         raise ValueError(f"unknown policy {policy!r}")
     located = points(df, lat, lon)
     spots = located.where("point_lat IS NOT NULL").select("point_lat", "point_lon").distinct()
-    pairs = spots.join(F.broadcast(land), _in_box()).where(contains("point_lon", "point_lat", "rings"))
+    pairs = boxed_pairs(spots, land).where(contains("point_lon", "point_lat", "rings"))
     hits = pairs.withColumn("s", snapped("point_lon", "point_lat", "rings")).groupBy("point_lat", "point_lon").agg(F.min_by("s", F.struct("s.d", "poly_ord")).alias("s"))
     out = located.join(hits, ["point_lat", "point_lon"], "left")
     on_land = F.col("s").isNotNull()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.storage import numbered
 from .geo import BASIN_ORDER
 
 # The five lead colours, and the colour-blind palette that follows.
@@ -16,7 +17,7 @@ MIN_SIZE, MAX_SIZE = 50.0, 500.0
 def abundance(df: DataFrame, genotype: str = "consensus_group", order: str = "ord") -> DataFrame:
     """(genotype, n, rank) by count, ties by first occurrence. The ranked table has one row per genotype."""
     n = df.where(F.col(genotype).isNotNull()).groupBy(F.col(genotype).alias("genotype")).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "first"))).drop("first")
+    return numbered(n, [F.desc("n"), "first"], "rank").drop("first")
 
 
 def colors(n: int) -> list[str]:
@@ -28,13 +29,18 @@ def colors(n: int) -> list[str]:
     return out[:n]
 
 
+def color_at(rank: Column) -> Column:
+    """The colour of a rank from 1."""
+    rest = [c for c in PALETTE if c.lower() not in {x.lower() for x in LEAD_COLORS}]
+    lead, tail = F.array(*map(F.lit, LEAD_COLORS)), F.array(*map(F.lit, rest))
+    k = rank - 1
+    return F.when(k < len(LEAD_COLORS), F.get(lead, k)).otherwise(F.get(tail, (k - len(LEAD_COLORS)) % len(rest)))
+
+
 def color_map(df: DataFrame) -> DataFrame:
     """V6: consensus_group, consensus_group_sp, color, rank."""
     ranks = abundance(df)
-    rest = [c for c in PALETTE if c.lower() not in {x.lower() for x in LEAD_COLORS}]
-    lead, tail = F.array(*map(F.lit, LEAD_COLORS)), F.array(*map(F.lit, rest))
-    k = F.col("rank") - 1
-    color = F.when(k < len(LEAD_COLORS), F.get(lead, k)).otherwise(F.get(tail, (k - len(LEAD_COLORS)) % len(rest)))
+    color = color_at(F.col("rank"))
     labels = df.where("consensus_group IS NOT NULL").groupBy(F.col("consensus_group").alias("genotype")).agg(F.min("consensus_group_sp").alias("consensus_group_sp"))
     return ranks.join(labels, "genotype").select(F.col("genotype").alias("consensus_group"), "consensus_group_sp", color.alias("color"), "rank")
 
@@ -84,6 +90,31 @@ def distribution_document(df: DataFrame) -> DataFrame:
     return doc.join(F.broadcast(enough)).drop("total").select("genotype", "sample_count", F.to_json("points").alias("points"))
 
 
+def bar_document(df: DataFrame, total: bool = False, facet: str | None = None, genotype: str = "consensus_group_sp", basin: str = "ocean_basin", order: str = "ord") -> DataFrame:
+    """V2, V3, V5: one row per genotype (and ``facet``) of a bar chart's JSON.
+
+    genotype, rank and color (by abundance over all known basins), counts (basin ->
+    specimens), sample_count, plot_type. Specimens without a genotype are 'Unassigned'.
+    """
+    d = df.where(F.col(basin).isNotNull() & (F.col(basin) != "Unknown")).withColumn("genotype", F.coalesce(genotype, F.lit("Unassigned")))
+    if facet:
+        d = d.where(F.col(facet).isNotNull()).withColumn("facet", F.col(facet))
+    keys = ["facet"] if facet else []
+    n = d.groupBy(*keys, "genotype", F.col(basin).alias("basin")).agg(F.count("*").alias("n"))
+    rows = n.groupBy(*keys, "genotype").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("basin", "n")))).alias("counts"), F.sum("n").alias("sample_count"))
+    ranks = abundance(d.select("genotype", order), "genotype", order).select("genotype", "rank", color_at(F.col("rank")).alias("color"))
+    kind = "faceted_abundance" if facet else "total_abundance" if total else "relative_abundance"
+    return rows.join(ranks, "genotype").withColumn("plot_type", F.lit(kind))
+
+
+def faceted_points(df: DataFrame, facet: str = "assigned_sp", lat: str = "lat", lon: str = "lon", genotype: str = "consensus_group") -> DataFrame:
+    """V4: (facet, lat, lon, genotype, n); empty with fewer than five complete rows."""
+    d = df.where(F.col(facet).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull() & F.col(genotype).isNotNull())
+    n = d.groupBy(F.col(facet).alias("facet"), F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(genotype).alias("genotype")).agg(F.count("*").alias("n"))
+    enough = d.agg(F.count("*").alias("total")).where("total >= 5").drop("total").withColumn("__one", F.lit(1))
+    return n.withColumn("__one", F.lit(1)).join(F.broadcast(enough), "__one").drop("__one")
+
+
 def filtered(long: DataFrame, genotypes: list[str] | None = None, basins: list[str] | None = None, min_count: int = 1) -> DataFrame:
     """What the report's check boxes and slider select."""
     if genotypes is not None:

@@ -77,6 +77,20 @@ def final_taxon(
     )
 
 
+def with_evidence(voted: DataFrame, evidence: DataFrame, **thresholds: float) -> DataFrame:
+    """The vote's table joined with sequence-based names (consensus_group, cluster_sp,
+    cluster_level, identity_pct, query_cov_pct): final_taxon, final_level, provenance.
+
+    Repeated groups in ``evidence`` are an error; groups without evidence keep the vote.
+    """
+    if evidence.groupBy("consensus_group").count().where("count > 1").limit(1).count():
+        raise ValueError("evidence has repeated groups")
+    joined_rows = voted.join(evidence, "consensus_group", "left")
+    final = final_taxon(*map(F.col, ("cluster_sp", "cluster_level", "identity_pct", "query_cov_pct", "assigned_sp", "assignment_level", "majority_fraction")), **thresholds)
+    out = joined_rows.withColumn("__f", final)
+    return out.withColumns({"final_taxon": F.col("__f.taxon"), "final_level": F.col("__f.level"), "provenance": F.col("__f.provenance")}).drop("__f", *[c for c in evidence.columns if c != "consensus_group"])
+
+
 def conflict(level: Column, species: Column, genus: Column, assigned_sp: Column) -> Column:
     """The assigned name differs from the reported one at its own level."""
     return F.coalesce(F.when(level == "species", species != assigned_sp).when(level == "genus", genus != assigned_sp), F.lit(False))

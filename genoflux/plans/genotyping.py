@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import sequence
-from ..operators import aggregates, align, assign, cluster, consensus, distance, geo, plotdata, qc, taxonomy
+from ..operators import aggregates, align, assign, cluster, consensus, geo, plotdata, qc, taxonomy, tree
 from .storage import materialize
 
 
@@ -24,9 +24,8 @@ def dereplicate(sequences: DataFrame, config: Config, aligned: bool = False) ->
     laid = materialize(qc.filter_ungapped(laid, min(d.min_post_trim_length, d.min_sequence_length)), "aligned")
     # Equal aligned sequences are one node; the first stands for all.
     node = laid.groupBy("aln").agg(F.min("ord").alias("node"))
-    reps = node.select(F.col("node").alias("ord"), F.col("node").cast("string").alias("seq_id"), "aln")
-    pairs = materialize(distance.pairwise(reps), "distances")
-    labels = cluster.clusters(reps, pairs, d.clustering_threshold, d.clustering_method)
+    reps = materialize(node.select(F.col("node").alias("ord"), "aln"), "nodes")
+    labels = cluster.cluster_alignment(reps, d.clustering_threshold, d.clustering_method)
     members = laid.join(node, "aln").join(labels.withColumnRenamed("ord", "node"), "node")
     labelled = materialize(members.select("processid", "ord", "aln", "cluster_id"), "labels")
     found = qc.filter_relative_length(consensus.consensus(labelled, d.consensus_frequency_cutoff), d.min_consensus_length_ratio)
@@ -61,5 +60,21 @@ def run(specimens: DataFrame, config: Config | None = None, polygons: DataFrame
         "conflicts": aggregates.conflict_report(annotated, diagnostics), "sequence_quality": aggregates.sequence_quality(annotated),
         "basin_counts": geo.basin_counts(annotated, sort_by=None), "basin_summary": geo.basin_summary(annotated), "crosstab": aggregates.crosstab(annotated),
         "basin_abundance": plotdata.basin_abundance(annotated), "color_map": plotdata.color_map(annotated), "distribution_map": plotdata.distribution_document(annotated),
-        "cluster_stats": aggregates.cluster_stats(cons, diagnostics), "skipped": qc.skip_reasons(kept, config.dereplication.min_sequence_length),
+        "bars_relative": plotdata.bar_document(annotated), "bars_total": plotdata.bar_document(annotated, total=True), "bars_faceted": plotdata.bar_document(annotated, facet="assigned_sp"),
+        "consensus_metadata": cons.select("consensus_group", "cluster_id", "n_reference"), "cluster_stats": aggregates.cluster_stats(cons, diagnostics), "skipped": qc.skip_reasons(kept, config.dereplication.min_sequence_length),
     }
+
+
+def phylogeny(consensus: DataFrame, taxonomy_table: DataFrame, label: str = "consensus_group_sp") -> dict[str, str]:
+    """A distance tree of the consensus sequences and its relabelled form, as Newick texts.
+
+    One tip per genotype: the alignment and the labels of one tree come to the driver.
+    """
+    rows = align.trim_columns(align.star_align(consensus.select(F.col("consensus_group").alias("processid"), F.col("consensus_seq").alias("seq"), "ord")))
+    laid = [(r["processid"], r["aln"]) for r in rows.orderBy("ord").collect()]
+    if len(laid) < 2:
+        return {}
+    labels = {r["consensus_group"]: r[label] for r in taxonomy_table.collect() if r[label]}
+    text = tree.write(tree.distance_tree([n for n, _ in laid], cluster.masked_distances([a for _, a in laid])))
+    fasta = "".join(f">{labels.get(n, n)}\n{a}\n" for n, a in laid)
+    return {"tree": text, "tree_relabeled": tree.relabel_newick(text, labels), "alignment_relabeled": fasta}

@@ -157,14 +157,6 @@ def _(spark, d):
     return fx.specimens(spark, d).select("processid", sequence.normal_species(messy).alias("species"), sequence.genus_of(messy).alias("genus"))
 
 
-@query("p15_levenshtein", "SELECT a.p_partkey AS a, b.p_partkey AS b, levenshtein(a.p_name, b.p_name)::BIGINT AS dist FROM part a JOIN part b ON a.p_partkey % 50 = b.p_partkey % 50 AND a.p_partkey < b.p_partkey")
-def _(spark, d):
-    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", "p_name")
-    a = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), (F.col("p_partkey") % 50).alias("k"))
-    b = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), (F.col("p_partkey") % 50).alias("k"))
-    return a.join(b, "k").where("a < b").select("a", "b", F.levenshtein("x", "y").cast("bigint").alias("dist"))
-
-
 @query("p15_levenshtein_rows", "SELECT p_partkey, levenshtein(lower(p_name), lower(p_type))::BIGINT AS dist FROM part")
 def _(spark, d):
     """The distance of one pair in every row of the table."""
@@ -347,22 +339,6 @@ def _(spark, d):
 
 # --- distances, clusters, consensus -------------------------------------------------
 
-_FEW = "SELECT cast(ord AS string) AS seq_id, ord, aln FROM spec WHERE ord < 90"
-PAIR_SQL = f"""{SPEC}, few AS ({_FEW}), pos AS (SELECT a.ord AS i, b.ord AS j, substr(a.aln, p, 1) AS x, substr(b.aln, p, 1) AS y FROM few a JOIN few b ON a.ord < b.ord, unnest(range(1, 129)) AS r(p)),
- dist AS (SELECT i, j, CASE WHEN count(*) FILTER (ok) = 0 THEN 1e0 ELSE 1e0 - count(*) FILTER (ok AND x = y)::DOUBLE / count(*) FILTER (ok) END AS dist
-          FROM (SELECT *, x IN ('A','C','G','T') AND y IN ('A','C','G','T') AS ok FROM pos) GROUP BY i, j)"""
-
-
-def few(spark: SparkSession, d: str) -> DataFrame:
-    """A stated small set of sequences for the quadratic kernels' SQL."""
-    return fx.specimens(spark, d).where("ord < 90").select(F.col("ord").cast("string").alias("seq_id"), "ord", "aln")
-
-
-@query("k1_pairwise_distance", f"WITH {PAIR_SQL} SELECT i, j, dist FROM dist")
-def _(spark, d):
-    return distance.pairwise(few(spark, d)).select("i", "j", "dist")
-
-
 def _all_nodes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct aligned sequences of all specimens (the first stands for all), their pairs, and the members."""
     s = fx.specimens(spark, d).select("processid", "ord", "aln", "fam")
@@ -378,8 +354,9 @@ _NUMBERED = "SELECT spec.processid, dense_rank() OVER (ORDER BY head)::BIGINT AS
 
 
 def _clustered(spark, d, method, threshold):
-    node, pairs, s = _all_nodes(spark, d)
-    labels = cluster.clusters(node, pairs, threshold, method).withColumnRenamed("ord", "node")
+    s = fx.specimens(spark, d).select("processid", "ord", "aln")
+    node = materialize(s.groupBy("aln").agg(F.min("ord").alias("ord")), "nodes")
+    labels = cluster.cluster_alignment(node, threshold, method).withColumnRenamed("ord", "node")
     return s.join(node.withColumnRenamed("ord", "node"), "aln").join(labels, "node").select("processid", F.col("cluster_id").cast("bigint").alias("cluster_id"))
 
 
@@ -403,6 +380,16 @@ def _(spark, d):
     return _clustered(spark, d, "complete", 0.03)
 
 
+@query("k2_weighted_linkage")
+def _(spark, d):
+    return _clustered(spark, d, "weighted", 0.03)
+
+
+@query("k2_ward_linkage")
+def _(spark, d):
+    return _clustered(spark, d, "ward", 0.03)
+
+
 @query(
     "k3_consensus",
     f"""WITH {SPEC}, c AS (SELECT fam, p, substr(upper(aln), p, 1) AS b, ord FROM spec, unnest(range(1, 129)) AS r(p)),
@@ -795,3 +782,6 @@ def _(spark, d):
     config = Config().update(dereplication__min_sequence_length=100, dereplication__min_post_trim_length=60, genotype_assignment__min_identity=0.9, geographic__exclude_missing=False)
     s = fx.specimens(spark, d).drop("aln", "fam")
     return run(s, config, fx.boxes(spark))["annotated"].select("processid", "consensus_group", "assigned_sp", "assignment_level", "ocean_basin")
+
+
+from . import source_queries  # noqa: E402, F401  (registers its queries here)

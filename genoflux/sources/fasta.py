@@ -1,13 +1,14 @@
 """FASTA as a Spark data source, read in byte ranges, and FASTA text written by Spark.
 
-The reader splits large local files into ranges; a range owns the records whose
-'>' lies in it, so a record is read by one task wherever it ends. ``read_fasta``
-goes through Spark's own text reader instead and works on any file system.
+The data source splits large files into ranges; a range owns the records whose '>'
+lies in it, so a record is read by one task wherever it ends. It opens files through
+the file system that the path names, and takes folders. ``read_fasta`` goes through
+Spark's own text reader instead.
 """
 
 from __future__ import annotations
 
-import os
+import io
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,12 @@ def read_fasta(spark: SparkSession, path: str, allow_empty: bool = False) -> Dat
 
     Text before the first '>' is discarded; a file without records is an error.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).withColumn("ord", F.monotonically_increasing_id())
+    raw = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("ord"))
+    # Only a file's first piece may lack a '>' that the separator took.
+    heads = raw.groupBy("file").agg(F.min(F.struct("start", "ord")).alias("head")).select("file", F.col("head.ord").alias("first"))
+    raw = raw.join(heads, "file")
     text = F.regexp_replace("value", "\r", "")
-    # Only the file's first piece may lack its '>' cut off by the separator.
-    first = F.col("ord") == 0
-    body = F.when(~first, text).when(text.startswith(">"), F.substring(text, 2, F.length(text)))
+    body = F.when(F.col("ord") != F.col("first"), text).when(text.startswith(">"), F.substring(text, 2, F.length(text)))
     lines = F.split(body, "\n")
     seq = F.upper(F.regexp_replace(F.array_join(F.slice(lines, F.lit(2), F.size(lines)), ""), r"\s", ""))
     out = raw.where(body.isNotNull()).select(F.trim(F.get(lines, 0)).alias("header"), seq.alias("seq"), "ord").where("header <> '' OR seq <> ''")
@@ -51,9 +53,15 @@ def write_fasta(df: DataFrame, path: str, order: str | None = None, width: int =
     fasta_lines(df.orderBy(order) if order else df, width=width).write.text(path)
 
 
+def _store(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
 class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
+    def __init__(self, path: str, start: int, end: int, number: int):
+        self.path, self.start, self.end, self.number = path, start, end, number
 
 
 class _Reader(DataSourceReader):
@@ -61,11 +69,23 @@ class _Reader(DataSourceReader):
         self.path, self.size = path, size
 
     def partitions(self) -> list[InputPartition]:
-        n = os.path.getsize(self.path)
-        return [_Range(self.path, a, min(a + self.size, n)) for a in range(0, max(n, 1), self.size)]
+        from pyarrow import fs
+
+        store, path = _store(self.path)
+        found = store.get_file_info(path)
+        if found.type == fs.FileType.NotFound:
+            raise FileNotFoundError(self.path)
+        files = [found]
+        if found.type == fs.FileType.Directory:
+            files = sorted((f for f in store.get_file_info(fs.FileSelector(path)) if f.type == fs.FileType.File and f.base_name[:1] not in "_."), key=lambda f: f.path)
+        base = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else "file://"
+        return [_Range(base + f.path, a, min(a + self.size, f.size), k) for k, f in enumerate(files) for a in range(0, max(f.size, 1), self.size)]
 
     def read(self, part: _Range) -> Iterator[tuple]:
-        with open(part.path, "rb") as f:
+        store, path = _store(part.path)
+        #: Records of one file keep its order, and files theirs.
+        before = part.number << 44
+        with io.BufferedReader(store.open_input_file(path)) as f:
             f.seek(max(part.start - 1, 0))
             if part.start:
                 f.readline()  # the line that began before this range
@@ -78,7 +98,7 @@ class _Reader(DataSourceReader):
                 if line.startswith(b">"):
                     if header is not None:
                         yield header, "".join(lines), at
-                    header, at, lines = line[1:].decode().strip(), here, []
+                    header, at, lines = line[1:].decode().strip(), before + here, []
                 elif header is not None:
                     lines.append("".join(line.decode().upper().split()))
             if header is not None:
@@ -86,7 +106,7 @@ class _Reader(DataSourceReader):
 
 
 class FastaSource(DataSource):
-    """``spark.read.format("fasta").option("path", ...)``: header, seq, ord (the record's byte offset)."""
+    """``spark.read.format("fasta").option("path", ...)``: header, seq, ord (by file and byte offset)."""
 
     @classmethod
     def name(cls) -> str:
@@ -96,7 +116,7 @@ class FastaSource(DataSource):
         return "header string, seq string, ord bigint"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"].removeprefix("file://"), int(self.options.get("rangeBytes", 64 << 20)))
+        return _Reader(self.options["path"], int(self.options.get("rangeBytes", 64 << 20)))
 
 
 def register(spark: SparkSession) -> None:

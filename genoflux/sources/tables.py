@@ -71,7 +71,8 @@ def read_consensus(spark: SparkSession, fasta_path: str, metadata_path: str) ->
     return joined
 
 
-NAME_COLUMNS = ("name", "NAME", "Name", "basin", "BASIN", "basin_name", "ocean", "OCEAN", "label", "LABEL")
+#: The properties that may name a basin, in their order of precedence.
+NAME_COLUMNS = ("name", "NAME", "basin", "BASIN", "ocean", "OCEAN", "area_name", "AREA_NAME", "region", "REGION")
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:

@@ -115,6 +115,28 @@ def test_clusters(spark, method):
     assert {frozenset(g) for g in groups.values()} == naive(d, 0.25, method)
 
 
+@pytest.mark.parametrize("method", ["single", "complete", "average", "weighted", "ward"])
+def test_clusters_of_an_alignment(spark, method):
+    """Distances inside components give what a table of all pairs gives, and what repeated merging of the nearest pair gives."""
+    random.seed(8)
+    heads = ["".join(random.choices("ACGT", k=400)) for _ in range(4)]
+    seqs = []
+    for k in range(30):
+        s = list(heads[k % 4])
+        for i in random.sample(range(400), random.randint(0, 9)):
+            s[i] = random.choice("ACGTN-")
+        seqs.append("".join(s))
+    df = spark.createDataFrame([(str(i), i, s) for i, s in enumerate(seqs)], "seq_id string, ord bigint, aln string")
+    groups = lambda rows: {frozenset(r["ord"] for r in rows if r["cluster_id"] == c) for c in {r["cluster_id"] for r in rows}}
+    got = cluster.cluster_alignment(df, 0.02, method).collect()
+    assert groups(got) == groups(cluster.clusters(df, distance.pairwise(df), 0.02, method).collect())
+    firsts = [min(r["ord"] for r in got if r["cluster_id"] == c) for c in sorted({r["cluster_id"] for r in got})]
+    assert firsts == sorted(firsts) and sorted({r["cluster_id"] for r in got}) == list(range(1, len(firsts) + 1))
+    d = cluster.masked_distances(seqs)
+    heights = [h for *_, h, _ in cluster.linkage(d, method)]
+    assert heights == sorted(heights) and cluster.linkage(d, method)[-1][3] == len(seqs)
+
+
 def test_clusters_reject_bad_settings(spark):
     n = spark.createDataFrame([(1,)], "ord bigint")
     e = spark.createDataFrame([], "i bigint, j bigint, dist double")
@@ -224,6 +246,14 @@ def test_sources(spark, tmp_path):
     for size in (1, 7, 1000):
         rows = spark.read.format("fasta").option("path", str(tmp_path / "a.fasta")).option("rangeBytes", size).load().orderBy("ord").collect()
         assert [(r["header"], r["seq"]) for r in rows] == [("one two", "ACGT"), ("b", "GG")]
+    (tmp_path / "many").mkdir()
+    (tmp_path / "many/a.fasta").write_text(">a1\nAC\n>a2\nGG\n")
+    (tmp_path / "many/b.fasta").write_text("junk\n>b1\nTT\n")
+    (tmp_path / "many/c.fasta").write_text(">c1\nCC\n>c2\nAA")
+    want = [("a1", "AC"), ("a2", "GG"), ("b1", "TT"), ("c1", "CC"), ("c2", "AA")]
+    assert sorted((r["header"], r["seq"]) for r in fasta.read_fasta(spark, str(tmp_path / "many")).collect()) == want
+    for where in (str(tmp_path / "many"), f"file://{tmp_path}/many"):
+        assert [(r["header"], r["seq"]) for r in spark.read.format("fasta").option("path", where).option("rangeBytes", 4).load().orderBy("ord").collect()] == want
     (tmp_path / "empty.fasta").write_text("")
     with pytest.raises(ValueError):
         fasta.read_fasta(spark, str(tmp_path / "empty.fasta"))
@@ -265,8 +295,12 @@ def test_command_line(spark, tmp_path):
         rows.append(f"P{i}\t{''.join(s)}\t[{i}.5, -{i}.25]\tGPS\tGen sp{i % 2}\tGen")
     (tmp_path / "Gen_sp_data.tsv").write_text("\n".join(rows) + "\n")
     Config().update(dereplication__min_sequence_length=100, dereplication__min_post_trim_length=100).save(str(tmp_path / "c.json"))
-    assert main(["run", str(tmp_path / "Gen_sp_data.tsv"), "--output", str(tmp_path / "out"), "--config", str(tmp_path / "c.json"), "--min-identity", "0.8"]) == 0
+    assert main(["run", str(tmp_path / "Gen_sp_data.tsv"), "--output", str(tmp_path / "out"), "--config", str(tmp_path / "c.json"), "--min-identity", "0.8", "--build-tree"]) == 0
     got = spark.read.csv(str(tmp_path / "out/annotated"), header=True)
     assert got.count() == 12 and got.select("consensus_group").distinct().count() == 2
     assert {r["assigned_sp"] for r in got.collect()} == {"Gen sp0", "Gen sp1"}
     assert "Methods" in (tmp_path / "out/report.html").read_text()
+    assert (tmp_path / "out/tree.nwk").read_text().endswith(";\n") and "Gen sp0" in (tmp_path / "out/tree_relabeled.nwk").read_text()
+    # The run's own files are what the other command takes.
+    assert main(["cluster-diagnostics", "--consensus", str(tmp_path / "out/consensus_fasta"), "--metadata", str(tmp_path / "out/consensus_metadata"), "--diagnostics", str(tmp_path / "out/diagnostics"), "--output", str(tmp_path / "stats")]) == 0
+    assert spark.read.csv(str(tmp_path / "stats"), header=True, sep="\t").count() == spark.read.csv(str(tmp_path / "out/consensus_metadata"), header=True).count()
