@@ -20,16 +20,19 @@ if their block has no other finding. A paragraph gives one finding per family,
 at its first line. A block without an anchor word is unknown by definition.
 
 Defined cases: null texts have no paragraphs; every row of the input gives one
-row of the result, repeated rows too; an empty table gives an empty result.
+row of the result, repeated rows too; an empty table gives an empty result; other
+columns are not read. Blocks without an anchor word do not reach the classifier.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table, text_of
+from .common import ascii_lower, materialize, table, text_of
 
 #: Short notices as they stand in files and headers, by family.
 TEMPLATES = {
@@ -167,6 +170,7 @@ def grams(words: list[str], sizes=(1, 2)) -> set[str]:
     return {" ".join(words[i : i + n]) for n in sizes for i in range(len(words) - n + 1)}
 
 
+@functools.cache
 def train(seed: int = 5) -> dict:
     """Weights (n-gram -> one per class), bias, temperature and least probability."""
     rng = np.random.default_rng(seed)
@@ -301,6 +305,8 @@ def scan(docs: DataFrame, text_col: str = "text", model: dict | None = None) ->
     listed = found.groupBy("__text_key").agg(
         F.array_sort(F.collect_list(F.struct("line", "family", "confirmed"))).alias("f"), F.count("*").alias("n"), F.count_if("confirmed").alias("c"), F.array_sort(F.collect_set("family")).alias("families")
     )
+    # Written, so that rows of one text that is very frequent join to a plain table.
+    listed = materialize(listed, "licences")
     text = F.transform("f", lambda s: F.concat_ws(":", s["line"].cast("string"), s["family"], F.when(s["confirmed"], "confirmed").otherwise("unconfirmed")))
     return given.drop("text").join(listed, "__text_key", "left").select(
         "doc_id",

@@ -19,8 +19,8 @@ training a document's own counts are taken off the lexicon's (leave one out).
 
 Labels, language, source and id are no inputs of a score. Defined cases: a null
 text is scored as the empty text; repeated rows are scored each for itself; null
-or conflicting labels are left out of training; without both classes every score
-is below the threshold; an empty table gives an empty result. Kept columns may have
+or conflicting labels are left out of training; without both classes, or where the
+features tell nothing (as of empty texts alone), every score is below the threshold; an empty table gives an empty result. Kept columns may have
 any name but ``score`` and ``predicted``, which give way to the results.
 """
 
@@ -55,6 +55,8 @@ REPORTING = frozenset(
 _QUOTES = frozenset("\"“”„«»‘’")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LEET = str.maketrans("013457@$", "oieastas")
+_MARKS = ".,;:!?\"'()[]#*$%&|<>"
+_NOTHING = (None, None, None)
 #: Chunks and words remembered, and trie places in all states of the automaton (some 100 bytes each), before both are begun anew.
 _CHUNKS, _SPOTS = 400_000, 300_000
 
@@ -136,15 +138,16 @@ class Lexicon:
     def match(self, word: str) -> tuple[str | None, str | None, str | None]:
         """The term itself, its longest stem, a term one edit away."""
         state, node, stem = self.start, 0, None
+        moves, following, stems = self.moves, self.next, self.stem_at
         for c in word:
             if node >= 0:
-                node = self.next[node].get(c, -1)
-                if node >= 0 and self.stem_at[node]:
-                    stem = self.stem_at[node]
+                node = following[node].get(c, -1)
+                if node >= 0 and stems[node]:
+                    stem = stems[node]
             if state >= 0:
-                to = self.moves[state].get(c)
+                to = moves[state].get(c)
                 state = self._move(state, c) if to is None else to
-            if state < 0 and node < 0:
+            elif node < 0:
                 break
         exact = self.word_at[node] if node >= 0 else None
         near = None
@@ -155,6 +158,8 @@ class Lexicon:
 
     def _matched(self, word: str) -> tuple[str | None, str | None, str | None]:
         found = self.match(word)
+        if found == _NOTHING:
+            found = _NOTHING
         if len(word) <= 64:
             self.words[word] = found
         return found
@@ -171,13 +176,19 @@ class Lexicon:
         """Matches of a white-space chunk, or None."""
         if len(self.found) + len(self.words) > _CHUNKS or self.held > _SPOTS:
             self._begin()
+        core = chunk.strip(_MARKS).lower()
+        if core.isalpha():
+            m = self.words.get(core) or self._matched(core)
+            out = (m,) if m is not _NOTHING else None
+            if len(chunk) <= 64:
+                self.found[chunk] = out
+            return out
         words = _LETTERS.findall(chunk.lower())
-        core = chunk.strip(".,;:!?\"'()[]#*$%&|<>").lower()
         if core != core.translate(_LEET) and any(map(str.isalpha, core)):
             folded = core.translate(_LEET)
             if folded.isalpha():
                 words.append(folded)
-        out = tuple(m for w in words if any(m := self.words.get(w) or self._matched(w)))
+        out = tuple(m for w in words if (m := self.words.get(w) or self._matched(w)) is not _NOTHING)
         if len(chunk) <= 64:
             self.found[chunk] = out or None
         return out or None
@@ -314,6 +325,8 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> dict:
     cuts = np.unique(np.quantile(s, np.linspace(0.3, 0.999, 300)))
     f1 = [2 * (y[s >= c].sum()) / max((s >= c).sum() + y.sum(), 1) for c in cuts]
     best = max(f1)
+    if best <= 2 * y.sum() / (len(y) + y.sum()):  # no better than calling every text toxic
+        return {"w": np.zeros(x.shape[1]), "bias": -20.0}
     good = [c for c, v in zip(cuts, f1, strict=True) if v >= best - 1e-12]
     cut = good[len(good) // 2]
     weights = w[:-1] / scale
