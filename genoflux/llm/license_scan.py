@@ -189,7 +189,7 @@ def train(seed: int = 5) -> dict:
             for share in (0.05, 0.1, 0.15, 0.2) * 3:
                 samples.append(([w for w in words if rng.random() > share or w in stays], label))
     vocabulary = {g: i for i, g in enumerate(sorted(set().union(*(grams(w) for w, _ in samples))))}
-    x = np.zeros((len(samples), len(vocabulary)))
+    x = np.zeros((len(samples), len(vocabulary)), dtype=np.float32)
     for k, (words, _) in enumerate(samples):
         for g in grams(words):
             x[k, vocabulary[g]] = 1.0
@@ -202,12 +202,12 @@ def train(seed: int = 5) -> dict:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    fit_x, fit_y = x[~kept_out], y[~kept_out]
+    fit_x, fit_y, x = x[~kept_out], y[~kept_out], x[kept_out]
     for _ in range(600):
         d = softmax(fit_x @ w + b) - fit_y
         w -= 8.0 * (fit_x.T @ d / len(d) + 2e-5 * w)
         b -= 8.0 * d.mean(axis=0)
-    z, truth = x[kept_out] @ w + b, y[kept_out].argmax(axis=1)
+    z, truth = x @ w + b, y[kept_out].argmax(axis=1)
     temperature = min((0.5, 0.7, 1.0, 1.4, 2.0), key=lambda t: -np.log(softmax(z / t)[np.arange(len(z)), truth] + 1e-12).mean())
     p = softmax(z / temperature)
     wrong = p[:, 1:].max(axis=1)[(truth == 0) | (p[:, 1:].argmax(axis=1) + 1 != truth)]

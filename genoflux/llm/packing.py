@@ -38,7 +38,7 @@ from .tokens import default_path, word_bpe
 
 CAPACITY = 2048
 END_ID = 1
-ROWS_PER_SALT = 8_192
+ROWS_PER_SALT = 1_024
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids_crc32 bigint, ids binary"
 
