@@ -8,7 +8,9 @@ probability of a family are set on variants that were kept out of the fit, so
 that near-misses stay unknown.
 
 Scanning uses DataFrame functions only. A paragraph is a block of lines between
-blank lines that holds an anchor word. Its units are scored: every anchored line
+blank lines that holds evidence: a licence's name, or a word such as "warranty"
+(``EVIDENCE``, at any width of white space or marks). A block without is unknown by
+definition. Its units are scored: every anchored line
 alone, with the lines beside it, all lines from the first to the last anchored
 one, and the whole block, so that a wrapped notice is read in full and a notice
 in a block of other text is not lost in it. The n-grams of a unit meet the weight
@@ -17,16 +19,17 @@ per unit and class, and a softmax gives the family. A prediction is confirmed if
 the unit holds enough of one template's 3-grams or consists of them; else it is
 reported as unconfirmed. Units of several lines count if they are confirmed, or
 if their block has no other finding. A paragraph gives one finding per family,
-at its first line. A block without an anchor word is unknown by definition.
+at its first line.
 
 Defined cases: null texts have no paragraphs; every row of the input gives one
 row of the result, repeated rows too; an empty table gives an empty result; other
-columns are not read. Blocks without an anchor word do not reach the classifier.
+columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -78,6 +81,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: LGPL-2.1-only",
         "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under LGPL v2.1.",
     ],
     "AGPL": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
@@ -128,6 +132,7 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "SPDX-License-Identifier: CC0-1.0",
+        "Released under CC0 1.0.",
     ],
 }
 NEAR_MISSES = [
@@ -146,23 +151,37 @@ NEAR_MISSES = [
     "Released under the terms below.",
     "The tools are free software of many kinds.",
     "The goods are sold as is, and the seller gives no warranty.",
+    "The Apache riders crossed the river, and the gnu grazed on the plain.",
+    "The painting is in the public domain of memory, said the owner of the copyright.",
+    "Licensed under the zlib License.",
+    "This code is licensed under the Python Software Foundation License, version 2.",
+    "Released under the Microsoft Public License.",
+    "Fonts are licensed under the SIL Open Font License, Version 1.1.",
+    "Licensed under the Academic Free License version 3.0.",
+    "You may use this library under the terms of the Common Development and Distribution License 1.0.",
 ]
 ORDINARY = ["the weather was fine and we walked along the river", "a short note about cooking rice and beans", "she opened the door and looked at the garden", "mit der und von für das ist nicht auf sich", "mit einer erlaubnis und der version von morgen", ""]
-ANCHOR = r"licen[sc]e|copyright|redistribut|warrant|permission|public domain|creative commons|spdx|free software|mozilla|\bcc[ -]by\b|\bcc0\b|\"as is\""
-#: The same with words apart by any white space: a wrapped line may split "free software".
-ANCHOR_WRAPPED = ANCHOR.replace("public domain", r"public\s+domain").replace("creative commons", r"creative\s+commons").replace("free software", r"free\s+software").replace("[ -]by", r"[\s-]by").replace("as is", r"as\s+is")
+#: Words and names, one of which a paragraph of a family holds.
+NOT_AFTER, NOT_BEFORE = "(?<![a-z0-9])", "(?![a-z0-9])"
+EVIDENCE = "|".join([
+    "licen[sc]", "copyright", "redistribut", "warrant", "merchantab", "noninfring", "permission", "spdx", "mozilla", "apache", "affero", "unencumbered",
+    "public domain", "creative commons", "free software", "eclipse public", "gpl", "\"as is\"",
+    *[NOT_AFTER + name for name in ("gnu" + NOT_BEFORE, "bsd", "mpl" + NOT_BEFORE, "epl-", "isc" + NOT_BEFORE, "under mit" + NOT_BEFORE, "cc0", "cc by" + NOT_BEFORE)],
+])
+#: The same in a text, where words are apart by anything but letters and digits, line breaks too.
+ANCHOR = "(?i)" + EVIDENCE.replace(" ", "[^a-z0-9]+")
 BLANK = r"\n[^\S\n]*(?=\n)"
 WORD = r"[a-z0-9.+-]*[a-z0-9]"
 UNKNOWN = "unknown"
 CLASSES = [UNKNOWN, *TEMPLATES]
 CONTAINED = 0.6
+#: A unit of fewer 3-grams does not confirm a template by consisting of its words.
+LEAST_OWN = 3
 #: A notice with at most so many words that name its family keeps them in its variants.
 NAMES = 3
 
 
 def words_of(text: str) -> list[str]:
-    import re
-
     return re.findall(WORD, text.lower())
 
 
@@ -230,12 +249,12 @@ def paragraphs(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """Units of the anchored blocks of ``docs`` (one row per ``key``): key, block, unit,
     wide (0 a line, 1 lines around an anchor, 2 the block), line (from 0), words."""
     # A piece ends where a blank line follows; each separator holds one line break.
-    pieces = docs.where(text_of(text_col).rlike(f"(?i){ANCHOR_WRAPPED}")).select(key, F.posexplode(F.split(text_of(text_col), BLANK, -1)).alias("block", "__piece"))
+    pieces = docs.where(text_of(text_col).rlike(ANCHOR)).select(key, F.posexplode(F.split(text_of(text_col), BLANK, -1)).alias("block", "__piece"))
     breaks = F.length("__piece") - F.length(F.translate("__piece", "\n", "")) + 1
     first = F.coalesce(F.sum(breaks).over(Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = pieces.withColumn("__first", first).where(F.col("__piece").rlike(f"(?i){ANCHOR_WRAPPED}")).withColumn("__lines", F.split("__piece", "\n", -1))
+    blocks = pieces.withColumn("__first", first).where(F.col("__piece").rlike(ANCHOR)).withColumn("__lines", F.split("__piece", "\n", -1))
     n = F.size("__lines")
-    found = F.filter(F.transform("__lines", lambda x, i: F.when(x.rlike(f"(?i){ANCHOR}"), i)), lambda i: i.isNotNull())
+    found = F.filter(F.transform("__lines", lambda x, i: F.when(x.rlike(ANCHOR), i)), lambda i: i.isNotNull())
     blocks = blocks.withColumn("__at", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(0))))
 
     def unit(wide: int, at: Column, lo: Column, hi: Column) -> Column:
@@ -276,7 +295,7 @@ def classified(paras: DataFrame, key: list[str], model: dict) -> DataFrame:
     own = paras.withColumn("__n", F.least(F.size("words"), F.lit(3)))
     small = own.select(*key, "line", F.explode(F.when(F.col("__n") == 3, gram_column(F.col("words"), (3,))).when(F.col("__n") == 2, gram_column(F.col("words"), (2,))).otherwise(F.array_distinct("words"))).alias("gram"), F.greatest(F.size("words") - 2, F.lit(1)).alias("__own"))
     shared = small.join(F.broadcast(templates), "gram").groupBy(*key, "line", "family", "template").agg(F.count("*").alias("c"), F.first("size").alias("size"), F.first("__own").alias("own"))
-    close = shared.where((F.col("c") >= CONTAINED * F.col("size")) | (F.col("c") >= CONTAINED * F.col("own"))).select(*key, "line", "family").distinct().withColumn("confirmed", F.lit(True))
+    close = shared.where((F.col("c") >= CONTAINED * F.col("size")) | ((F.col("own") >= LEAST_OWN) & (F.col("c") >= CONTAINED * F.col("own")))).select(*key, "line", "family").distinct().withColumn("confirmed", F.lit(True))
     return guess.join(close, [*key, "line", "family"], "left").withColumn("confirmed", F.coalesce("confirmed", F.lit(False)))
 
 
@@ -299,7 +318,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: dict | None = None) ->
     """
     model = model or train()
     given = docs.select("doc_id", text_of(text_col).alias("text")).withColumn("__text_key", F.sha2("text", 256))
-    one = given.where(F.col("text").rlike(f"(?i){ANCHOR_WRAPPED}")).dropDuplicates(["__text_key"]).select("__text_key", "text")
+    one = given.where(F.col("text").rlike(ANCHOR)).dropDuplicates(["__text_key"]).select("__text_key", "text")
     units = classified(paragraphs(one, "__text_key"), ["__text_key", "block", "unit", "wide"], model)
     found = settled(units)
     listed = found.groupBy("__text_key").agg(

@@ -160,6 +160,9 @@ UNKNOWN = [
     "Licensed under the European Union Public Licence, version 1.2.",
     "This software is licensed under the Boost Software License, Version 1.0.",
     "You may copy this program under the terms of the Artistic License.",
+    "Licensed under the Intel Open Source License.",
+    "Use is governed by the Ruby licence.",
+    "This font is licensed under the Ubuntu Font Licence.",
 ]
 
 

@@ -20,6 +20,9 @@ HELD_OUT = {
     "Made available under the Eclipse Public License 2.0": "EPL",
     "Distributed under the ISC license": "ISC",
     "Released under the Apache License 2.0": "Apache-2.0",
+    "Distributed under GPL v2 or later.": "GPL",
+    "Available under LGPL 2.1": "LGPL",
+    "(c) 2019, BSD 3-Clause": "BSD",
 }
 
 
