@@ -177,6 +177,8 @@ CLASSES = [UNKNOWN, *TEMPLATES]
 CONTAINED = 0.6
 #: A unit of fewer 3-grams does not confirm a template by consisting of its words.
 LEAST_OWN = 3
+#: Characters of texts with evidence in a task, on average.
+TASK_CHARS = 1 << 20
 #: A notice with at most so many words that name its family keeps them in its variants.
 NAMES = 3
 
@@ -318,7 +320,10 @@ def scan(docs: DataFrame, text_col: str = "text", model: dict | None = None) ->
     """
     model = model or train()
     given = docs.select("doc_id", text_of(text_col).alias("text")).withColumn("__text_key", F.sha2("text", 256))
-    one = given.where(F.col("text").rlike(ANCHOR)).dropDuplicates(["__text_key"]).select("__text_key", "text")
+    one = materialize(given.where(F.col("text").rlike(ANCHOR)).dropDuplicates(["__text_key"]).select("__text_key", "text"), "licence-texts")
+    # A character costs far more than its byte here, so tasks follow the characters.
+    tasks = one.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // TASK_CHARS + 1
+    one = one.repartition(max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "__text_key")
     units = classified(paragraphs(one, "__text_key"), ["__text_key", "block", "unit", "wide"], model)
     found = settled(units)
     listed = found.groupBy("__text_key").agg(
