@@ -156,6 +156,15 @@ def test_licence_classes_equal_plain_python(spark):
     assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
 
 
+def test_evidence_by_plain_searches_first(spark):
+    parts = [*license_scan.STEMS, *license_scan.PHRASES, "gnu", "MPL", "isc", "under MIT", "cc by", "bsd", "epl-", "cc0", "discuss", "example", "mit"]
+    rng = random.Random(9)
+    texts = [rng.choice(["", "a", "é", "İ", "-", "\u212a"]) + p.replace(" ", rng.choice([" ", "\n", ", ", "\t- ", "x"])).swapcase() + rng.choice(["", "s", ".", "ß"]) for p in parts for _ in range(12)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", license_scan.evident(F.col("text")).alias("e"), F.col("text").rlike(license_scan.ANCHOR).alias("a")).collect()
+    assert all(r["e"] == r["a"] for r in got) and 0 < sum(r["e"] for r in got) < len(got)
+
+
 UNKNOWN = [
     "Licensed under the European Union Public Licence, version 1.2.",
     "This software is licensed under the Boost Software License, Version 1.0.",
