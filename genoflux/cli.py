@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
             distance.check_alignment(aln)
             pairs = distance.pairwise(aln)
             labels = cluster.clusters(aln, pairs, args.threshold)
-            stats = stats.join(aggregates.intra_cluster(labels, pairs), "cluster_id", "left")
+            stats = aggregates.cluster_table(stats, aggregates.intra_cluster(labels, pairs))
         sinks.write_csv(stats.orderBy("cluster_id"), args.output, sep="\t")
         return 0
     config = settings(args)

@@ -125,6 +125,11 @@ class Config:
             Path(path).write_text(json.dumps(self.to_dict(), indent=2) + "\n")
 
 
+def write_template(path: str) -> None:
+    """The default settings, to be edited."""
+    Config().save(path)
+
+
 def load(path: str) -> Config:
     text = Path(path).read_text()
     if path.endswith((".yaml", ".yml")):

@@ -82,9 +82,9 @@ def conflict_report(annotated: DataFrame, diagnostics: DataFrame) -> DataFrame:
     delta = F.col("identity") - F.col("runner_up_identity")
     said = F.concat_ws(
         "; ",
-        F.concat(F.lit("Genetic identity to assigned group: "), F.format_string("%.3f", "identity")),
+        F.concat(F.lit("Genetic identity to assigned group: "), F.format_string("%.3f", F.bround("identity", 3))),
         F.concat(F.lit("Group contains "), F.col("n_samples_in_assigned_group").cast("string"), F.lit(" samples")),
-        F.when(delta > 0.01, F.concat(F.lit("Identity "), F.format_string("%.3f", delta), F.lit(" higher than runner-up"))),
+        F.when(delta > 0.01, F.concat(F.lit("Identity "), F.format_string("%.3f", F.bround(delta, 3)), F.lit(" higher than runner-up"))),
         F.when(F.col("status") == "assigned", "High-confidence assignment")
         .when(F.col("status") == "low_confidence", "Low-confidence assignment - verify manually")
         .when(F.col("status") == "tie", "Tied assignment - verify manually"),
@@ -161,6 +161,11 @@ def cluster_stats(consensus: DataFrame, diagnostics: DataFrame) -> DataFrame:
     )
 
 
+def cluster_table(stats: DataFrame, intra: DataFrame) -> DataFrame:
+    """The statistics of clusters with those of the distances inside, where there are any."""
+    return stats.join(intra, "cluster_id", "left")
+
+
 def intra_cluster(labels: DataFrame, pairs: DataFrame) -> DataFrame:
     """Labels (ord, cluster_id), pairs (i, j, dist); singletons have null statistics."""
     a = labels.withColumnsRenamed({"ord": "i", "cluster_id": "ci"})

@@ -197,3 +197,17 @@ def cluster_alignment(alignment: DataFrame, threshold: float = 0.01, method: str
 
     inside = rows.select("ord", "aln").join(roots.join(shared, "root"), "ord")
     return _labelled(nodes, inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
+
+
+def dendrogram(rows: DataFrame, method: str = "average") -> DataFrame:
+    """V9: the merges of a few aligned sequences (name, ord, aln), one row each.
+
+    step, the two merged nodes (below the number of sequences these are sequences by
+    ``ord``, beyond it earlier steps), their names if they are sequences, height, size.
+    A drawing has one leaf per genotype, so the genotypes come to the driver.
+    """
+    laid = [(r["name"], r["aln"]) for r in rows.orderBy("ord").select("name", "aln").collect()]
+    name_of = lambda k: laid[k][0] if k < len(laid) else None
+    merges = linkage(masked_distances([a for _, a in laid]), method) if len(laid) > 1 else []
+    out = [(k, a, b, name_of(a), name_of(b), float(h), int(n)) for k, (a, b, h, n) in enumerate(merges)]
+    return rows.sparkSession.createDataFrame([(k, int(a), int(b), x, y, h, n) for k, a, b, x, y, h, n in out], "step int, a int, b int, name_a string, name_b string, height double, size int")

@@ -26,6 +26,28 @@ def methods_text(config: Config, counts: dict[str, float]) -> str:
     return " ".join(said)
 
 
+def said_in_log(metrics: dict[str, float | str | None]) -> str:
+    """The text on methods from the counters of a run's log; what a log lacks is left out."""
+    def n(key: str) -> str | None:
+        return None if metrics.get(key) is None else f"{int(metrics[key]):,}"
+
+    parts = [
+        ("total_samples_loaded", "{} specimens were read."), ("duplicates_removed", "{} repeated ones were dropped."), ("samples_after_coord_filter", "{} passed the rules on coordinates."),
+        ("centroid_coords_excluded", "{} had coordinates of a centroid."), ("valid_sequences", "{} had a valid sequence."), ("sequences_too_short", "{} sequences were too short after trimming."),
+        ("pairwise_comparisons", "{} pairs of sequences were compared."), ("consensus_genotypes", "{} genotypes were found."), ("successfully_assigned", "{} specimens were assigned."),
+        ("ties_flagged", "{} were ties."), ("low_confidence_flagged", "{} were of low confidence."), ("unassigned_no_sequence", "{} had no sequence."),
+        ("unassigned_below_threshold", "{} were below the least identity."), ("ocean_basin_assigned", "{} lie in a basin."), ("unknown_basin", "{} lie in none that is known."),
+    ]
+    said = [text.format(n(key)) for key, text in parts if n(key) is not None]
+    said += [f"{tool} ran with {metrics[key]}." for key, tool in (("mafft_params", "The aligner"), ("trimal_params", "The trimmer"), ("fasttree_params", "The tree builder")) if metrics.get(key)]
+    return " ".join(said)
+
+
+def parameters(config: Config) -> str:
+    """The settings of a run."""
+    return "; ".join(f"{part}.{key} = {value}" for part, inner in config.to_dict().items() for key, value in inner.items())
+
+
 def sections(tables: dict[str, DataFrame], config: Config) -> dict[str, DataFrame | str]:
     """Section titles with a table or a text, for ``sinks.html_report``."""
     ann, diag = tables["annotated"], tables["diagnostics"]
@@ -42,5 +64,6 @@ def sections(tables: dict[str, DataFrame], config: Config) -> dict[str, DataFram
         "Genotypes and basins": aggregates.crosstab(ann, include_unknown=False).orderBy(F.desc("row_total"), F.desc("column_total"), "genotype", "basin"),
         "Missing geography": aggregates.missing_geography(ann),
         "Sequence quality": tables["sequence_quality"],
+        "Parameters": parameters(config),
         "Methods": methods_text(config, row),
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import sequence
 from ..operators import aggregates, align, assign, cluster, consensus, geo, plotdata, qc, taxonomy, tree
+from ..sources import sinks
 from .storage import materialize
 
 
@@ -61,7 +62,7 @@ def run(specimens: DataFrame, config: Config | None = None, polygons: DataFrame
         "basin_counts": geo.basin_counts(annotated, sort_by=None), "basin_summary": geo.basin_summary(annotated), "crosstab": aggregates.crosstab(annotated),
         "basin_abundance": plotdata.basin_abundance(annotated), "color_map": plotdata.color_map(annotated), "distribution_map": plotdata.distribution_document(annotated),
         "bars_relative": plotdata.bar_document(annotated), "bars_total": plotdata.bar_document(annotated, total=True), "bars_faceted": plotdata.bar_document(annotated, facet="assigned_sp"),
-        "consensus_metadata": cons.select("consensus_group", "cluster_id", "n_reference"), "cluster_stats": aggregates.cluster_stats(cons, diagnostics), "skipped": qc.skip_reasons(kept, config.dereplication.min_sequence_length),
+        "consensus_metadata": sinks.consensus_metadata(cons), "cluster_stats": aggregates.cluster_stats(cons, diagnostics), "skipped": qc.skip_reasons(kept, config.dereplication.min_sequence_length),
     }
 
 

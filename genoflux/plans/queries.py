@@ -564,12 +564,15 @@ def _(spark, d):
 @query(
     "a11_conflict_report",
     f"""WITH {ANNOT} SELECT ann.processid, species AS reported_species, assigned_sp, ann.consensus_group, identity AS identity_to_assigned_group, n AS n_samples_in_assigned_group,
-    comp AS species_composition_of_assigned_group, runner_up_group, runner_up_identity, identity - runner_up_identity AS delta_identity, status AS assignment_status
+    comp AS species_composition_of_assigned_group, runner_up_group, runner_up_identity, identity - runner_up_identity AS delta_identity, status AS assignment_status,
+    concat_ws('; ', concat('Genetic identity to assigned group: ', printf('%.3f', identity)), concat('Group contains ', n, ' samples'),
+      CASE WHEN identity - runner_up_identity > 0.01e0 THEN concat('Identity ', printf('%.3f', identity - runner_up_identity), ' higher than runner-up') END,
+      CASE status WHEN 'assigned' THEN 'High-confidence assignment' WHEN 'low_confidence' THEN 'Low-confidence assignment - verify manually' WHEN 'tie' THEN 'Tied assignment - verify manually' END) AS evidence_summary
     FROM ann JOIN diag USING (processid) JOIN (SELECT consensus_group, count(*) AS n FROM ann GROUP BY 1) z ON z.consensus_group = ann.consensus_group JOIN {COMP.format(src='ann')} c ON c.consensus_group = ann.consensus_group
     WHERE taxonomy_conflict AND nullif(assigned_sp, '') IS NOT NULL""",
 )
 def _(spark, d):
-    return aggregates.conflict_report(*annotated(spark, d)).drop("evidence_summary")
+    return aggregates.conflict_report(*annotated(spark, d))
 
 
 _n = "length(nuc)"

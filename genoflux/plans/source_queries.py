@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import distance, geo, plotdata, qc, taxonomy, tree
+from ..operators import aggregates, cluster, distance, geo, plotdata, qc, taxonomy, tree
 from ..sources import fasta, sinks, tables
 from . import fixtures as fx
-from .queries import ANNOT, CONS, DIAG, SPEC, annotated, diagnostics, query
+from .queries import ANNOT, CONS, DIAG, ORACLE_SQL, QUERIES, SPEC, annotated, diagnostics, query
 from .storage import shared_dir
 
 
@@ -116,13 +116,25 @@ def _(spark, d):
     return tables.read_polygons(spark, path).select("basin_name", F.col("poly_ord").cast("bigint"), "xmin", "ymin", "xmax", "ymax")
 
 
-@query("s13_log_metrics", "SELECT count(*)::DOUBLE AS n_parsed, count(DISTINCT lang)::DOUBLE AS n_genotypes, 0.03::DOUBLE AS clustering_threshold, 90::BIGINT AS seconds FROM documents")
+@query(
+    "s13_log_metrics",
+    """SELECT count(*)::DOUBLE AS total_samples_loaded, count(DISTINCT lang)::DOUBLE AS consensus_genotypes, count(DISTINCT source)::DOUBLE AS successfully_assigned, 87.5e0 AS assignment_rate,
+    count(*)::DOUBLE AS samples_for_assignment, NULL::DOUBLE AS ties_flagged, 'in.tsv' AS input_file, '--auto --thread 4' AS mafft_params, 90::BIGINT AS seconds FROM documents""",
+)
 def _(spark, d):
+    """A log of two runs, with counts of the table; the second counts."""
     path = _path(spark, "run.log")
-    counts = fx.documents(spark, d).agg(F.count("*").alias("n"), F.count_distinct("lang").alias("g"))
-    said = F.concat_ws("\n", F.lit("2024-01-01 10:00:00 Clustering threshold: 0.03"), F.format_string("2024-01-01 10:00:10 Parsed %d records", "n"), F.format_string("2024-01-01 10:01:30 Identified %d unique genotypes", "g"))
+    counts = fx.documents(spark, d).agg(F.count("*").alias("n"), F.count_distinct("lang").alias("g"), F.count_distinct("source").alias("a"))
+    at = lambda t, text: F.lit(f"[2024-01-01 10:{t}] {text}")
+    said = F.concat_ws(
+        "\n", at("00:00", "Logging to file: a"), F.lit("===="), F.lit("Pipeline - first"), F.lit("  - Ties (ambiguous): 3"), F.lit("Identified 2 unique genotypes"),
+        at("02:00", "Logging to file: b"), F.lit("===="), F.lit("Pipeline - second"), F.lit("Input TSV: in.tsv "), F.format_string("Read %d rows and 9 columns", "n"), F.lit("Total samples: 1"),
+        F.lit("Running MAFFT alignment: mafft --auto --thread 4 /tmp/x.fasta"), F.format_string("Identified %d unique genotypes", "g"),
+        F.lit("Genotype assignment summary"), F.format_string("Total samples: %d", "n"), F.format_string("Successfully assigned: %d (87.5%%)", "a"), at("03:30", "Pipeline completed successfully"),
+    )
     counts.select(said.alias("value")).write.text(path)
-    return tables.log_metrics(spark, path).select("n_parsed", "n_genotypes", "clustering_threshold", "seconds")
+    names_of = ["total_samples_loaded", "consensus_genotypes", "successfully_assigned", "assignment_rate", "samples_for_assignment", "ties_flagged", "input_file", "mafft_params", "seconds"]
+    return tables.log_metrics(spark, path).select(*names_of)
 
 
 @query("w01_annotated_csv", f"WITH {SPEC} SELECT processid, coalesce(species, '') AS species, coalesce(coord, '') AS coord FROM spec")
@@ -143,6 +155,58 @@ def _(spark, d):
     return sinks.rounded(diagnostics(spark, d).select("processid", "target_identity", "classic_identity"))
 
 
+@query("w04_consensus_metadata", f"WITH {CONS} SELECT consensus_group, cluster_id::BIGINT AS cluster_id, n_reference::BIGINT AS n_reference FROM cons")
+def _(spark, d):
+    """The sidecar of the consensus, as statistics of clusters read it."""
+    path = _path(spark, "consensus_metadata")
+    sinks.write_csv(sinks.consensus_metadata(fx.consensus(spark, d)), path)
+    return spark.read.csv(path, header=True).select("consensus_group", F.col("cluster_id").cast("bigint"), F.col("n_reference").cast("bigint"))
+
+
+@query("w10_aligned_fasta", f"WITH {SPEC} SELECT processid AS header, aln AS seq FROM spec WHERE aln IS NOT NULL")
+def _(spark, d):
+    """Gaps and unknown bases come back as they were."""
+    path = _path(spark, "alignment")
+    fasta.write_fasta(fx.specimens(spark, d).where("aln IS NOT NULL").select(F.col("processid").alias("header"), F.col("aln").alias("seq"), "ord"), path, order="ord")
+    return fasta.read_fasta(spark, path).select("header", "seq")
+
+
+@query("j10_cluster_table", f"SELECT a.*, cluster_size, intra_min, intra_mean, intra_median, intra_max, intra_p95 FROM ({ORACLE_SQL['a20_cluster_stats']}) a LEFT JOIN ({ORACLE_SQL['a21_intra_cluster']}) b USING (cluster_id)")
+def _(spark, d):
+    return aggregates.cluster_table(QUERIES["a20_cluster_stats"](spark, d), QUERIES["a21_intra_cluster"](spark, d))
+
+
+@query(
+    "v01_map_points",
+    f"""WITH {ANNOT}, n AS (SELECT lat, lon, consensus_group AS genotype, coalesce(ocean_basin, 'Unknown') AS basin, count(*) AS n FROM ann WHERE lat IS NOT NULL AND lon IS NOT NULL AND consensus_group IS NOT NULL GROUP BY ALL), s AS (SELECT min(n) AS lo, max(n) AS hi FROM n)
+    SELECT genotype, (sum(n) OVER (PARTITION BY genotype))::BIGINT AS sample_count, lat, lon, basin, n, CASE WHEN hi > 1 AND hi > lo THEN 50e0 + (n - lo)::DOUBLE / (hi - lo) * 450e0 ELSE 50e0 END AS size FROM n, s""",
+)
+def _(spark, d):
+    """The points of the map's documents."""
+    point = "array<struct<lat:double,lon:double,size:double,basin:string,n:bigint>>"
+    rows = plotdata.distribution_document(annotated(spark, d)[0])
+    return rows.select("genotype", "sample_count", F.inline(F.from_json("points", point)))
+
+
+@query(
+    "v07_tree_layout",
+    f"""WITH {CONS}, t AS (SELECT consensus_group AS name, cluster_id::DOUBLE AS x, (row_number() OVER (ORDER BY ord) - 1)::DOUBLE AS y FROM cons)
+    SELECT name, x, y, true AS is_tip FROM t UNION ALL SELECT NULL, 0e0, (min(y) + max(y)) / 2, false FROM t""",
+)
+def _(spark, d):
+    """A star of the genotypes, each at its cluster's number: one tip per genotype, so one text."""
+    rows = fx.consensus(spark, d).orderBy("ord").select("consensus_group", "cluster_id").collect()
+    text = f"({','.join(f'{r[0]}:{r[1]}' for r in rows)});"
+    return spark.createDataFrame(tree.layout(tree.parse(text)), "name string, x double, y double, is_tip boolean, support double").drop("support")
+
+
+@query("v09_dendrogram")
+def _(spark, d):
+    """Merges of the families' first aligned sequences by average linkage."""
+    heads = fx.specimens(spark, d).groupBy("fam").agg(F.min("ord").alias("ord"), F.min_by("aln", "ord").alias("aln"))
+    return cluster.dendrogram(heads.select(F.concat(F.lit("f"), "fam").alias("name"), "ord", "aln"))
+
+
 @query("w06_documents", f"WITH {SPEC} SELECT source AS genus, count(*) AS n FROM (SELECT genus AS source FROM spec) x GROUP BY 1")
 def _(spark, d):
     path = _path(spark, "documents")

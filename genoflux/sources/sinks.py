@@ -28,6 +28,11 @@ def write_diagnostics(df: DataFrame, path: str) -> None:
     write_csv(rounded(df), path)
 
 
+def consensus_metadata(consensus: DataFrame) -> DataFrame:
+    """The sidecar that goes with the FASTA of a consensus."""
+    return consensus.select("consensus_group", "cluster_id", "n_reference")
+
+
 def write_parameters(parameters: dict, path: str) -> None:
     Path(path).write_text(json.dumps(parameters, indent=2) + "\n")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence
@@ -102,26 +102,66 @@ def with_bounds(df: DataFrame) -> DataFrame:
     return df.withColumns({"xmin": bound(F.array_min, "x"), "ymin": bound(F.array_min, "y"), "xmax": bound(F.array_max, "x"), "ymax": bound(F.array_max, "y")})
 
 
-#: Counters of a run's log: name -> pattern with the number as its first group.
-LOG_PATTERNS = {
-    "n_parsed": r"Parsed (\d+) (?:records|samples)",
-    "n_filtered": r"(\d+) samples after (?:coordinate )?filtering",
-    "n_sequences": r"(?:Extracted|Wrote) (\d+) (?:valid )?sequences",
-    "n_genotypes": r"Identified (\d+) (?:unique genotypes|consensus genotypes)",
-    "n_assigned": r"(?:Assigned|assigned)[: ]+(\d+)",
-    "clustering_threshold": r"[Cc]lustering threshold[:=]? *([0-9.]+)",
-    "min_identity": r"(?:[Mm]in(?:imum)? identity|[Ss]imilarity threshold)[:=]? *([0-9.]+)",
+# What a run's log says, by the name of the counter.
+LOG_COUNTERS = {
+    "total_samples_loaded": r"Read (\d+) rows and.*columns",
+    "duplicates_removed": r"Found (\d+) duplicate processids",
+    "unique_samples": r"After removing duplicates:.*?(\d+) rows remaining",
+    "samples_after_coord_filter": r"Retained (\d+)/\d+.*samples after coordinate filtering",
+    "centroid_coords_excluded": r"Excluded (\d+) samples with centroid coordinates",
+    "valid_sequences": r"Created (\d+) FASTA records",
+    "invalid_sequences": r"Skipped (\d+) samples with missing or invalid sequences",
+    "sequences_too_short": r"Filtered (\d+) sequences shorter than.*after trimming",
+    "pairwise_comparisons": r"Distance calculation complete:.*?(\d+) pairwise distances",
+    "consensus_genotypes": r"Identified (\d+) unique genotypes",
+    "successfully_assigned": r"Successfully assigned: (\d+)",
+    "assignment_rate": r"Successfully assigned:.*?\((\d+\.?\d*)%\)",
+    "unassigned_no_sequence": r"- No sequence in FASTA: (\d+)",
+    "unassigned_below_threshold": r"- Below identity threshold: (\d+)",
+    "ties_flagged": r"- Ties \(ambiguous\): (\d+)",
+    "low_confidence_flagged": r"- Low confidence: (\d+)",
+    "samples_with_coords": r"Creating point geometries for (\d+)/\d+ samples with coordinates",
+    "ocean_basin_assigned": r"Spatial join results:.*?(\d+) assigned to basins",
+    "outside_basins": r"Spatial join results:.*?assigned to basins, (\d+) outside all basins",
+    "unknown_basin": r"Assigned (\d+) samples.*to 'Unknown' basin",
 }
+LOG_TEXTS = {
+    "input_file": r"Input TSV:\s*(.*\S)",
+    "mafft_params": r"Running MAFFT alignment: mafft (.+?)\s+/",
+    "trimal_params": r"Running trimAl: trimal (.+?)\s+-in",
+    "fasttree_params": r"Running FastTree: fasttree (.+?)\s+/",
+}
+LOG_RUN, LOG_START, LOG_END = "Pipeline -", "Logging to file:", "Pipeline completed successfully"
+LOG_ASSIGNMENT, LOG_TOTAL, LOG_CONTEXT = "Genotype assignment|(?i:assignment summary)", r"Total samples: (\d+)", 10
 
 
 def log_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """One row: the last value of each counter, start, end and seconds."""
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    stamp = F.try_to_timestamp(F.regexp_extract("value", r"(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)", 1), F.lit("yyyy-MM-dd HH:mm:ss"))
-    found = {k: F.nullif(F.regexp_extract("value", p, 1), F.lit("")).cast("double") for k, p in LOG_PATTERNS.items()}
-    out = lines.withColumn("ts", stamp).withColumns(found)
-    last = [F.max_by(k, F.when(F.col(k).isNotNull(), F.col("at"))).alias(k) for k in LOG_PATTERNS]
-    row = out.agg(*last, F.min("ts").alias("started"), F.max("ts").alias("ended"))
-    return row.withColumn("seconds", F.unix_timestamp("ended") - F.unix_timestamp("started"))
-
+    """One row per log file (``log``): the last value of each counter and text in
+    its last run, which begins two lines before its heading; start, end and seconds.
 
+    A log without a heading, or a counter without its line, gives nulls.
+    """
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("log"), F.split("value", r"\r?\n").alias("l"))
+    heads = F.filter(F.transform("l", lambda x, i: F.when(x.contains(LOG_RUN) & ~x.contains(LOG_END), i)), lambda i: i.isNotNull())
+    head = F.array_max(heads)
+    runs = text.withColumn("run", F.when(head.isNotNull(), F.slice("l", F.greatest(head - 1, F.lit(1)), F.size("l"))))
+
+    def last(values: Column) -> Column:
+        found = F.filter(values, lambda v: v != "")
+        return F.get(found, F.size(found) - 1)
+
+    def value(pattern: str) -> Column:
+        return last(F.transform("run", lambda x: F.regexp_extract(x, pattern, 1)))
+
+    def stamp(said: str) -> Column:
+        return F.try_to_timestamp(value(r"^\[(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)\].*" + said), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+    def total(x: Column, i: Column) -> Column:
+        near = F.slice("run", F.greatest(i - LOG_CONTEXT, F.lit(0)) + 1, F.least(i, F.lit(LOG_CONTEXT)) + 1)
+        return F.when(F.exists(near, lambda c: c.rlike(LOG_ASSIGNMENT)), F.regexp_extract(x, LOG_TOTAL, 1))
+
+    out = runs.select(
+        "log", *[value(p).cast("double").alias(k) for k, p in LOG_COUNTERS.items()], last(F.transform("run", total)).cast("double").alias("samples_for_assignment"),
+        *[value(p).alias(k) for k, p in LOG_TEXTS.items()], stamp(LOG_START).alias("started"), stamp(LOG_END).alias("ended"),
+    )
+    return out.withColumn("seconds", F.unix_timestamp("ended") - F.unix_timestamp("started"))

@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from genoflux import config
 from genoflux.config import Config, parse_value
 from genoflux.functions import coords, names, sequence
-from genoflux.operators import align, assign, cluster, consensus, distance, geo, qc, taxonomy, tree
+from genoflux.operators import align, assign, cluster, consensus, distance, geo, qc, reports, taxonomy, tree
 from genoflux.plans import fixtures
 
 
@@ -265,9 +266,60 @@ def test_sources(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"name":"B"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[0,4],[0,0]]]}}]}')
     poly = tables.read_polygons(spark, str(tmp_path / "p.json"))
     assert tuple(poly.select("basin_name", "xmin", "ymax").first()) == ("B", 0.0, 4.0)
-    (tmp_path / "run.log").write_text("2024-01-01 10:00:00 Parsed 12 records\n2024-01-01 10:01:30 Identified 3 unique genotypes\n")
-    m = tables.log_metrics(spark, str(tmp_path / "run.log")).first()
-    assert (m["n_parsed"], m["n_genotypes"], m["seconds"]) == (12.0, 3.0, 90)
+
+
+LOG = """[2024-01-01 09:00:00] Logging to file: old
+====
+Pipeline - old
+Found 9 duplicate processids
+[2024-01-01 10:00:00] Logging to file: new
+====
+Pipeline - new
+Input TSV: /data/in.tsv
+Read 12 rows and 30 columns
+After removing duplicates: 11 rows remaining
+Retained 10/11 samples after coordinate filtering
+Total samples: 99
+Running trimAl: trimal -automated1 -in a.fasta
+Identified 2 unique genotypes
+Identified 3 unique genotypes
+Genotype assignment summary:
+  Total samples: 10
+  Successfully assigned: 9 (90.0%)
+  - Ties (ambiguous): 1
+Spatial join results: 8 assigned to basins, 2 outside all basins
+Assigned 2 samples with coordinates to 'Unknown' basin
+[2024-01-01 10:01:30] Pipeline completed successfully
+"""
+
+
+def test_log_metrics(spark, tmp_path):
+    from genoflux.sources import tables
+
+    (tmp_path / "run.log").write_text(LOG)
+    (tmp_path / "none.log").write_text("Read 12 rows and 30 columns\n")
+    got = {r["log"].rpartition("/")[2]: r.asDict() for r in tables.log_metrics(spark, str(tmp_path)).collect()}
+    m = got["run.log"]
+    want = {
+        "total_samples_loaded": 12, "unique_samples": 11, "samples_after_coord_filter": 10, "consensus_genotypes": 3, "samples_for_assignment": 10, "successfully_assigned": 9, "assignment_rate": 90,
+        "ties_flagged": 1, "ocean_basin_assigned": 8, "outside_basins": 2, "unknown_basin": 2, "duplicates_removed": None, "input_file": "/data/in.tsv", "trimal_params": "-automated1", "mafft_params": None, "seconds": 90,
+    }
+    assert {k: m[k] for k in want} == want
+    assert all(v is None for k, v in got["none.log"].items() if k != "log")
+    said = reports.said_in_log(m)
+    assert said.startswith("12 specimens were read. 10 passed") and said.endswith("The trimmer ran with -automated1.") and "repeated" not in said
+    assert reports.said_in_log(got["none.log"]) == ""
+
+
+def test_dendrogram_and_template(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0, "ACGTACGTAC"), ("b", 1, "ACGTACGTAA"), ("c", 2, "TTTTACGTAA")], "name string, ord bigint, aln string")
+    got = [tuple(r) for r in cluster.dendrogram(rows).orderBy("step").collect()]
+    assert got[0][1:5] == (0, 1, "a", "b") and got[0][5:] == (pytest.approx(0.1), 2)
+    assert set(got[1][1:3]) == {2, 3} and got[1][5:] == (pytest.approx((0.4 + 0.3) / 2), 3)
+    assert cluster.dendrogram(rows.limit(1)).count() == 0
+    config.write_template(str(tmp_path / "t.json"))
+    assert config.load(str(tmp_path / "t.json")) == config.Config()
+    assert "dereplication.clustering_threshold = " in reports.parameters(config.Config())
 
 
 def test_stream_equals_batch(spark, tmp_path):
