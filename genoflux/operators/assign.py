@@ -5,7 +5,7 @@ since barcode data repeat. The consensus table is a small dimension; its rows ar
 counted first, and only up to ``BROADCAST_ROWS`` is it broadcast, else the
 sequences are dealt to blocks and meet every block of the consensus by an
 equi-join. Scoring stays in the JVM (``levenshtein``); a path-based metric runs
-as an Arrow function on the distinct pairs.
+as an Arrow function on the distinct pairs that can be best or runner-up.
 """
 
 from __future__ import annotations
@@ -73,9 +73,30 @@ def path_identity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.D
         yield pd.DataFrame([align_path(q or "", t or "") for q, t in zip(qs, ts, strict=True)], columns=["matches", "mismatches", "insertions", "deletions", "cigar"])
 
 
-def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False) -> DataFrame:
+def contenders(pairs: DataFrame, identity_method: str) -> DataFrame:
+    """Pairs that can be a sequence's best or runner-up by paths; no other is aligned.
+
+    The edit distance d fixes the classic identity. Of q and t letters, a path of d
+    edits with k deletions matches q - d + k, where t - q <= k and 2k <= d + t - q,
+    which bounds the other; two pairs with higher lower bounds rule a pair out.
+    """
+    q, t, d = F.length("nuc"), F.length("target"), F.col("__d")
+    if identity_method == "classic":
+        low = high = sequence.classic_identity(d, q, t)
+    else:
+        share = lambda k: F.when(t > 0, (q - d + k) / t.cast("double"))
+        low, high = share(F.greatest(t - q, F.lit(0))), share(F.floor((d + t - q) / 2))
+    each = Window.partitionBy("nuc")
+    placed = pairs.withColumn("__d", F.levenshtein("nuc", "target")).withColumns({"__low": low, "__high": high})
+    placed = placed.withColumn("__place", F.row_number().over(each.orderBy(F.desc("__low"))))
+    second = F.max(F.when(F.col("__place") == 2, F.col("__low"))).over(each)
+    return placed.withColumn("__second", second).where(F.coalesce(F.col("__high") >= F.col("__second"), F.lit(True))).select(*pairs.columns)
+
+
+def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False, top_by: str | None = None) -> DataFrame:
     """Every (nuc, consensus): distances and identities. ``sequences``: one column
-    of distinct, non-empty nuc; ``consensus``: consensus_group, consensus_seq, ord."""
+    of distinct, non-empty nuc; ``consensus``: consensus_group, consensus_seq, ord.
+    With ``path`` and ``top_by`` (an identity method) only pairs that can be first or second by it."""
     c = consensus.select("consensus_group", F.col("consensus_seq").alias("target"), F.col("ord").alias("c_ord"))
     n = c.count()
     if n <= BROADCAST_ROWS:
@@ -87,6 +108,8 @@ def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False) -> Da
         right = c.withColumn("block", F.pmod(F.xxhash64("c_ord"), F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         pairs = left.join(right, ["block", "salt"]).drop("block", "salt")
     if path:
+        if top_by:
+            pairs = contenders(pairs, top_by)
         pairs = pairs.withColumn("__p", path_identity("nuc", "target"))
         q, t = F.length("nuc"), F.length("target")
         d = F.col("__p.mismatches") + F.col("__p.insertions") + F.col("__p.deletions")
@@ -116,7 +139,7 @@ def assign(
     distinct = specimens.where(some).select("nuc").distinct()
     metric = F.col("target_identity" if identity_method == "target_based" else "classic_identity")
     order = Window.partitionBy("nuc").orderBy(F.desc("identity"), "c_ord")
-    ranked = scored(distinct, consensus, path).withColumn("identity", metric).withColumn("place", F.row_number().over(order)).where("place <= 2")
+    ranked = scored(distinct, consensus, path, identity_method).withColumn("identity", metric).withColumn("place", F.row_number().over(order)).where("place <= 2")
     keep = ["consensus_group", "target", "identity", "target_identity", "classic_identity", "matches", "mismatches", "insertions", "deletions", "edit_distance"]
     at = lambda place, c: F.max(F.when(F.col("place") == place, F.col(c)))
     top = ranked.groupBy("nuc").agg(

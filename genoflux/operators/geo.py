@@ -3,7 +3,8 @@
 Polygons are a dimension: they are broadcast up to a checked number of vertices,
 else points and polygons meet on grid cells. A bounding-box test in the JVM comes
 first; rings are tested (strict interior, even-odd, holes) in an Arrow function
-only for the pairs that pass it. Boxes need no Python at all.
+only for the pairs that pass it, all points of a polygon in a batch at once. Boxes
+need no Python at all.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,8 @@ from ..schemas import struct
 
 BROADCAST_VERTICES = 2_000_000
 CELL = 5.0
+#: Points times vertices in one array.
+AT_ONCE = 1 << 20
 #: The labels of the basins in the order of the charts.
 BASIN_ORDER = [
     "North Atlantic Ocean",
@@ -41,47 +46,135 @@ def points(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     return df.withColumns({"point_lat": F.when(good, F.col(lat)), "point_lon": F.when(good, F.col(lon))})
 
 
+def as_rings(rings) -> list[np.ndarray]:
+    return [np.array([(v["x"], v["y"]) for v in ring], dtype=float).reshape(-1, 2) for ring in (() if rings is None else rings)]
+
+
+def _pieces(n: int, ring: np.ndarray) -> Iterator[slice]:
+    """Points in runs, so that points times vertices stay within AT_ONCE."""
+    step = max(1, AT_ONCE // max(len(ring), 1))
+    for at in range(0, n, step):
+        yield slice(at, at + step)
+
+
+def rings_contain(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Which points lie strictly inside an even-odd polygon; a point on an edge is outside."""
+    inside, on_edge = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for a in rings:
+        b = np.roll(a, -1, axis=0)
+        ax, ay, bx, by = a[:, 0], a[:, 1], b[:, 0], b[:, 1]
+        for part in _pieces(len(x), a):
+            px, py = x[part, None], y[part, None]
+            cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
+            within = (np.minimum(ax, bx) <= px) & (px <= np.maximum(ax, bx)) & (np.minimum(ay, by) <= py) & (py <= np.maximum(ay, by))
+            on_edge[part] |= ((cross == 0) & within).any(axis=1)
+            straddles = (ay > py) != (by > py)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = (bx - ax) * (py - ay) / (by - ay) + ax
+            inside[part] ^= (straddles & (px < at)).sum(axis=1) % 2 == 1
+    return inside & ~on_edge
+
+
 def ring_contains(x: float, y: float, rings: list) -> bool:
-    """Strict interior of an even-odd polygon; a point on an edge is outside."""
-    inside = False
-    for ring in rings:
-        p = np.array([(v["x"], v["y"]) for v in ring], dtype=float)
-        a, b = p, np.roll(p, -1, axis=0)
-        cross = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
-        within = (np.minimum(a[:, 0], b[:, 0]) <= x) & (x <= np.maximum(a[:, 0], b[:, 0])) & (np.minimum(a[:, 1], b[:, 1]) <= y) & (y <= np.maximum(a[:, 1], b[:, 1]))
-        if ((cross == 0) & within).any():
-            return False
-        straddles = (a[:, 1] > y) != (b[:, 1] > y)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            at = (b[:, 0] - a[:, 0]) * (y - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
-        inside ^= bool((straddles & (x < at)).sum() % 2)
-    return inside
-
-
-@F.pandas_udf(T.BooleanType())
-def contains(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for xs, ys, rings in batches:
-        yield pd.Series([ring_contains(x, y, r) for x, y, r in zip(xs, ys, rings, strict=True)], dtype=bool)
+    return bool(rings_contain(np.array([x], float), np.array([y], float), as_rings(rings))[0])
+
+
+def nearest_edges(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest point of the rings' edges for each point, in plain degrees."""
+    best, nx, ny = np.full(len(x), np.inf), x.astype(float), y.astype(float)
+    for a in (r for r in rings if len(r)):
+        d = np.roll(a, -1, axis=0) - a
+        length = (d**2).sum(axis=1)
+        for part in _pieces(len(x), a):
+            px, py = x[part, None], y[part, None]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                t = np.where(length > 0, ((px - a[:, 0]) * d[:, 0] + (py - a[:, 1]) * d[:, 1]) / length, 0.0)
+            t = np.clip(t, 0, 1)
+            ex, ey = a[:, 0] + t * d[:, 0], a[:, 1] + t * d[:, 1]
+            dist = (ex - px) ** 2 + (ey - py) ** 2
+            rows, k = np.arange(len(dist)), dist.argmin(axis=1)
+            nearer = dist[rows, k] < best[part]
+            best[part] = np.where(nearer, dist[rows, k], best[part])
+            nx[part] = np.where(nearer, ex[rows, k], nx[part])
+            ny[part] = np.where(nearer, ey[rows, k], ny[part])
+    return nx, ny
+
+
+def nearest_edge(x: float, y: float, rings: list) -> tuple[float, float]:
+    nx, ny = nearest_edges(np.array([x], float), np.array([y], float), as_rings(rings))
+    return float(nx[0]), float(ny[0])
+
+
+def _by_polygon(rings: pd.Series, held: Broadcast | None) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Rows of a batch and their polygon: all of one together where the rings are held."""
+    if held is None:
+        for k, r in enumerate(rings):
+            yield np.array([k]), as_rings(r)
+    else:
+        for polygon, where in rings.groupby(rings).indices.items():
+            yield where, held.value[polygon]
+
+
+def contains(held: Broadcast | None) -> Column:
+    @F.pandas_udf(T.BooleanType())
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for xs, ys, rings in batches:
+            x, y, out = xs.to_numpy(float), ys.to_numpy(float), np.zeros(len(xs), bool)
+            for where, polygon in _by_polygon(rings, held):
+                out[where] = rings_contain(x[where], y[where], polygon)
+            yield pd.Series(out)
+
+    return run("point_lon", "point_lat", "rings")
+
+
+def snapped(held: Broadcast | None) -> Column:
+    """x, y of the nearest edge and d, the square of the distance."""
+
+    @F.pandas_udf(struct("x double, y double, d double"))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for xs, ys, rings in batches:
+            x, y = xs.to_numpy(float), ys.to_numpy(float)
+            nx, ny = x.copy(), y.copy()
+            for where, polygon in _by_polygon(rings, held):
+                nx[where], ny[where] = nearest_edges(x[where], y[where], polygon)
+            yield pd.DataFrame({"x": nx, "y": ny, "d": (nx - x) ** 2 + (ny - y) ** 2})
+
+    return run("point_lon", "point_lat", "rings")
 
 
 def _in_box() -> Column:
     return (F.col("point_lon") > F.col("xmin")) & (F.col("point_lon") < F.col("xmax")) & (F.col("point_lat") > F.col("ymin")) & (F.col("point_lat") < F.col("ymax"))
 
 
-def boxed_pairs(spots: DataFrame, polygons: DataFrame, within: Column | None = None, margin: float = 0.0) -> DataFrame:
+def _hold(polygons: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """The polygons with a number in place of their rings, and the rings by that
+    number as arrays, broadcast to the Python workers once."""
+    axis = lambda c: F.transform("rings", lambda r: F.transform(r, lambda v: v[c]))
+    spark = polygons.sparkSession
+    found = polygons.withColumns({"__x": axis("x"), "__y": axis("y")}).drop("rings").toArrow()
+    rings = [[np.column_stack([a, b]).astype(float) for a, b in zip(x.as_py() or (), y.as_py() or (), strict=True)] for x, y in zip(found["__x"], found["__y"], strict=True)]
+    numbered = found.drop_columns(["__x", "__y"]).append_column("rings", pa.array(range(len(rings)), pa.int32()))
+    return spark.createDataFrame(numbered), spark.sparkContext.broadcast(rings)
+
+
+def boxed_pairs(spots: DataFrame, polygons: DataFrame, within: Column | None = None, margin: float = 0.0) -> tuple[DataFrame, Broadcast | None]:
     """Distinct points with the polygons whose box (widened by ``margin``) holds them.
 
-    Polygons are broadcast up to BROADCAST_VERTICES (counted first), else both meet on grid cells.
+    Polygons are broadcast up to BROADCAST_VERTICES (counted first): pairs then carry a
+    polygon's number, not its rings, which the second result holds. Else both meet on
+    grid cells and pairs carry the rings.
     """
     boxes = "rings" not in polygons.columns
     inside = _in_box() if within is None else within
     size = polygons.count() * 4 if boxes else polygons.agg(F.sum(F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)))).first()[0] or 0
     if size <= BROADCAST_VERTICES:
-        return spots.join(F.broadcast(polygons), inside)
+        polygons, held = (polygons, None) if boxes else _hold(polygons)
+        return spots.join(F.broadcast(polygons), inside), held
     cell = lambda c: F.floor(c / CELL).cast("int")
     spread = lambda lo, hi: F.sequence(cell(F.col(lo) - margin), cell(F.col(hi) + margin))
     cells = polygons.withColumn("cx", F.explode(spread("xmin", "xmax"))).withColumn("cy", F.explode(spread("ymin", "ymax")))
-    return spots.withColumns({"cx": cell(F.col("point_lon")), "cy": cell(F.col("point_lat"))}).join(cells, ["cx", "cy"]).where(inside).drop("cx", "cy")
+    pairs = spots.withColumns({"cx": cell(F.col("point_lon")), "cy": cell(F.col("point_lat"))}).join(cells, ["cx", "cy"])
+    return pairs.where(inside).drop("cx", "cy"), None
 
 
 def first_basin(spots: DataFrame, polygons: DataFrame) -> DataFrame:
@@ -89,9 +182,9 @@ def first_basin(spots: DataFrame, polygons: DataFrame) -> DataFrame:
 
     ``spots`` are distinct points. Without a ``rings`` column polygons are boxes.
     """
-    pairs = boxed_pairs(spots, polygons)
+    pairs, held = boxed_pairs(spots, polygons)
     if "rings" in polygons.columns:
-        pairs = pairs.where(contains("point_lon", "point_lat", "rings"))
+        pairs = pairs.where(contains(held))
     return pairs.groupBy("point_lat", "point_lon").agg(F.min_by("basin_name", "poly_ord").alias("basin_name"))
 
 
@@ -131,42 +224,15 @@ def valid_marine(df: DataFrame, polygons: DataFrame, buffer: float = 0.0, lat: s
     spots = located.where("point_lat IS NOT NULL").select("point_lat", "point_lon").distinct()
     x, y, m = F.col("point_lon"), F.col("point_lat"), F.lit(buffer)
     near = (x >= F.col("xmin") - m) & (x <= F.col("xmax") + m) & (y >= F.col("ymin") - m) & (y <= F.col("ymax") + m)
-    pairs = boxed_pairs(spots, polygons, near, buffer)
-    good = contains("point_lon", "point_lat", "rings")
+    pairs, held = boxed_pairs(spots, polygons, near, buffer)
+    good = contains(held)
     if buffer > 0:
-        good = good | (F.sqrt(snapped("point_lon", "point_lat", "rings")["d"]) <= buffer)
+        good = good | (F.sqrt(snapped(held)["d"]) <= buffer)
     found = pairs.where(good).select("point_lat", "point_lon", F.lit(True).alias("is_marine")).distinct()
     out = located.join(found, ["point_lat", "point_lon"], "left")
     return out.withColumn("is_marine", F.when(F.col("point_lat").isNotNull(), F.coalesce("is_marine", F.lit(False)))).drop("point_lat", "point_lon")
 
 
-def nearest_edge(x: float, y: float, rings: list) -> tuple[float, float]:
-    """The nearest point of the rings' edges, in plain degrees."""
-    best, where = np.inf, (x, y)
-    for ring in rings:
-        p = np.array([(v["x"], v["y"]) for v in ring], dtype=float)
-        a, d = p, np.roll(p, -1, axis=0) - p
-        length = (d**2).sum(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = np.where(length > 0, ((x - a[:, 0]) * d[:, 0] + (y - a[:, 1]) * d[:, 1]) / length, 0.0)
-        near = a + np.clip(t, 0, 1)[:, None] * d
-        dist = ((near - (x, y)) ** 2).sum(axis=1)
-        k = int(dist.argmin())
-        if dist[k] < best:
-            best, where = dist[k], (float(near[k, 0]), float(near[k, 1]))
-    return where
-
-
-@F.pandas_udf(struct("x double, y double, d double"))
-def snapped(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for xs, ys, rings in batches:
-        rows = []
-        for x, y, r in zip(xs, ys, rings, strict=True):
-            nx, ny = nearest_edge(x, y, r)
-            rows.append((nx, ny, (nx - x) ** 2 + (ny - y) ** 2))
-        yield pd.DataFrame(rows, columns=["x", "y", "d"])
-
-
 def classify_coordinates(df: DataFrame, land: DataFrame, policy: str = "mark", lat: str = "latitude", lon: str = "longitude", column: str = "location_type") -> DataFrame:
     """Points on land are country centroids: marked, dropped or moved to the coast.
 
@@ -177,8 +243,8 @@ def classify_coordinates(df: DataFrame, land: DataFrame, policy: str = "mark", l
         raise ValueError(f"unknown policy {policy!r}")
     located = points(df, lat, lon)
     spots = located.where("point_lat IS NOT NULL").select("point_lat", "point_lon").distinct()
-    pairs = boxed_pairs(spots, land).where(contains("point_lon", "point_lat", "rings"))
-    hits = pairs.withColumn("s", snapped("point_lon", "point_lat", "rings")).groupBy("point_lat", "point_lon").agg(F.min_by("s", F.struct("s.d", "poly_ord")).alias("s"))
+    pairs, held = boxed_pairs(spots, land)
+    hits = pairs.where(contains(held)).withColumn("s", snapped(held)).groupBy("point_lat", "point_lon").agg(F.min_by("s", F.struct("s.d", "poly_ord")).alias("s"))
     out = located.join(hits, ["point_lat", "point_lon"], "left")
     on_land = F.col("s").isNotNull()
     if policy == "drop":

@@ -67,6 +67,29 @@ def masked(a, b):
     return 1.0 if not used else 1 - sum(x == y for x, y in used) / len(used)
 
 
+@pytest.mark.parametrize("method", assign.METHODS)
+def test_paths_of_contenders_give_the_same_top(spark, method):
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    roots = [letters(rng.randint(20, 40)) for _ in range(4)]
+    vary = lambda s: "".join(c for c in s for c in (c, "", "A", c + "G")[0 if rng.random() > 0.2 else rng.randint(1, 3)])
+    cons = [(f"g{k}", vary(rng.choice(roots)), k) for k in range(12)] + [("same", roots[0], 12), ("again", roots[0], 13)]
+    nucs = sorted({vary(rng.choice(roots)) or "A" for _ in range(25)})
+    c = spark.createDataFrame(cons, "consensus_group string, consensus_seq string, ord long")
+    s = spark.createDataFrame([(n,) for n in nucs], "nuc string")
+    metric = "target_identity" if method == "target_based" else "classic_identity"
+
+    def top(rows):
+        by = {}
+        for r in rows:
+            by.setdefault(r["nuc"], []).append((-r[metric], r["c_ord"], r["consensus_group"], r["matches"]))
+        return {n: sorted(v)[:2] for n, v in by.items()}
+
+    every, some = (assign.scored(s, c, path=True, top_by=by).collect() for by in (None, method))
+    assert len(every) == len(nucs) * len(cons) and len(some) < len(every)
+    assert top(some) == top(every)
+
+
 def test_distances(spark):
     random.seed(2)
     seqs = ["".join(random.choices("ACGTN-acgt", k=150)) for _ in range(23)] + ["-" * 150]
@@ -179,6 +202,34 @@ def test_polygon_with_hole(spark):
     assert geo.nearest_edge(1, 5, rings) == (0.0, 5.0)
 
 
+def test_polygons_held_or_carried(spark, monkeypatch):
+    shapes = [
+        ("A", 0, [[(0, 0), (10, 0), (10, 10), (0, 10)], [(4, 4), (6, 4), (6, 6), (4, 6)]]),
+        ("B", 1, [[(8, 8), (20, 8), (14, 20)]]),
+        ("C", 2, [[(5, 5), (5.5, 5), (5.5, 5.5)]]),
+    ]
+    rows = [(n, k, [[{"x": float(x), "y": float(y)} for x, y in r] for r in rings], *(float(f(v[i] for r in rings for v in r)) for f, i in ((min, 0), (min, 1), (max, 0), (max, 1)))) for n, k, rings in shapes]
+    polygons = spark.createDataFrame(rows, "basin_name string, poly_ord int, rings array<array<struct<x:double,y:double>>>, xmin double, ymin double, xmax double, ymax double")
+    spots = spark.createDataFrame([(y / 2, x / 2) for x in range(-2, 44) for y in range(-2, 44)], "point_lat double, point_lon double")
+
+    def found():
+        basins = {(r[0], r[1]): r[2] for r in geo.first_basin(spots, polygons).collect()}
+        moved = geo.classify_coordinates(spots.toDF("latitude", "longitude"), polygons, "snap").collect()
+        near = geo.valid_marine(spots.toDF("lat", "lon"), polygons, 0.5).where("is_marine").count()
+        return basins, sorted(map(str, moved)), near
+
+    held = found()
+    want = {}
+    for y, x in ((y / 2, x / 2) for x in range(-2, 44) for y in range(-2, 44)):
+        name = next((n for n, _, rings, *_ in rows if geo.ring_contains(x, y, rings)), None)
+        if name:
+            want[y, x] = name
+    assert held[0] == want and {"A", "B"} <= set(want.values())
+    monkeypatch.setattr(geo, "BROADCAST_VERTICES", 0)
+    monkeypatch.setattr(geo, "AT_ONCE", 8)
+    assert found() == held
+
+
 def test_basin_fallback(spark):
     s = spark.createDataFrame([("a", 10.0, -20.0, None), ("b", 95.0, 0.0, "Sea X"), ("c", None, None, "")], "processid string, lat double, lon double, country_ocean string")
     got = {r["processid"]: r["ocean_basin"] for r in geo.assign_basins(s, fixtures.boxes(spark), country_ocean="country_ocean").collect()}
