@@ -15,7 +15,8 @@ exactly; stems match exactly; words are of any length.
 Context. A hit counts less where the words around it quote or report it
 (quotation marks, verbs of saying); counts inside and outside such windows are
 separate features. A logistic regression over these features gives the score; in
-training a document's own counts are taken off the lexicon's (leave one out).
+training a document's own counts are taken off the lexicon's (leave one out). Of
+rows that share an id the first text in order is fitted.
 
 Labels, language, source and id are no inputs of a score. Defined cases: a null
 text is scored as the empty text; repeated rows are scored each for itself; null
@@ -351,7 +352,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
         .limit(most)
     )
     # At most ``most`` pairs of numbers are broadcast.
-    training = materialize(docs.select("doc_id", "text").join(F.broadcast(given), "doc_id"), "training")
+    # An id may repeat without bound in ``docs``; one text of each is fitted, so at most ``most`` texts.
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(given), "doc_id")
+    training = materialize(texts.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "training")
     lexicon = learn_lexicon(training)
     rows = features(training, lexicon, ["y"], label="y").toPandas()
     x = np.array(rows[FEATURE_COLUMN].tolist(), dtype=float).reshape(len(rows), -1) if len(rows) else np.zeros((0, FEATURES))

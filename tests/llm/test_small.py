@@ -346,6 +346,16 @@ def test_toxicity_end_to_end(spark):
     assert toxicity.score(docs, none, flat).where("predicted = 1").count() == 0
 
 
+def test_toxicity_fits_one_text_of_an_id(spark):
+    texts = {i: "you utter blockhead go away" if i % 2 else "the river was calm and wide" for i in range(40)}
+    once = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    often = once.unionAll(spark.createDataFrame([(1, texts[1])] * 500 + [(3, "zzz later in order")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    (a, model), (b, other) = toxicity.train(once, labels), toxicity.train(often, labels)
+    assert a.terms == b.terms and a.totals == b.totals and sum(a.totals) < 40
+    np.testing.assert_allclose(model["w"], other["w"], atol=1e-9)
+
+
 def test_licences(spark):
     texts = [t for ts in license_scan.TEMPLATES.values() for t in ts]
     families = [f for f, ts in license_scan.TEMPLATES.items() for _ in ts]
