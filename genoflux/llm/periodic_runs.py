@@ -93,8 +93,8 @@ def runs_of(words: list[str]) -> np.ndarray:
     n, none = len(words), np.zeros((0, 3), np.int64)
     if n < SHORTEST:
         return none
-    known: dict[str, int] = {}
-    codes = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, n)
+    different = dict.fromkeys(words)
+    codes = np.fromiter(map(dict(zip(different, range(n), strict=False)).__getitem__, words), np.int32, n)
     levels = _names(codes)
     found = []
     for k in range(3, len(levels)):
