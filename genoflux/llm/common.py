@@ -6,7 +6,8 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,17 +53,46 @@ def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFra
     """
     spark = df.sparkSession
     path = fresh_path(spark, tag)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+def _delete(spark: SparkSession, where: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._stored_at)
+
+
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is materialized inside is deleted at the end, even after an error, but for
+    the tables that are handed to the function given (the result still reads those)."""
+    kept: set[str] = set()
+    _scratch.append([])
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._stored_at)
+        return df
+
+    try:
+        yield keep
+    finally:
+        for path in _scratch.pop():
+            if path in kept and _scratch:
+                _scratch[-1].append(path)
+            elif path not in kept:
+                _delete(spark, path)
 
 
 _inside: list = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, license_scan, packing, periodic_runs, quality_model, quality_rules, secret_scan, token_counts, toxicity, warc
+from . import decontaminate, jaccard_join, license_scan, packing, periodic_runs, quality_model, quality_rules, secret_scan, token_counts, toxicity, vector_dedup, warc
 
 _MODULES = (
     secret_scan,
@@ -16,6 +16,7 @@ _MODULES = (
     toxicity,
     token_counts,
     periodic_runs,
+    vector_dedup,
 )
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}

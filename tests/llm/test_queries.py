@@ -25,4 +25,4 @@ def test_every_document(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in __spark_entry__.queries()} and "pipeline" in __spark_entry__.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in __spark_entry__.queries()} and "pipeline" in __spark_entry__.queries()
