@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, license_scan, packing, periodic_runs, quality_model, quality_rules, secret_scan, token_counts, toxicity, vector_dedup, warc
+from . import decontaminate, hard_negatives, jaccard_join, license_scan, packing, periodic_runs, quality_model, quality_rules, secret_scan, token_counts, toxicity, vector_dedup, warc
 
 _MODULES = (
     secret_scan,
@@ -17,6 +17,7 @@ _MODULES = (
     token_counts,
     periodic_runs,
     vector_dedup,
+    hard_negatives,
 )
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}

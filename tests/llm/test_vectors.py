@@ -4,8 +4,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from genoflux.llm import vector_dedup
+from genoflux.llm import hard_negatives, vector_dedup
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, root int"
 
@@ -86,3 +87,51 @@ def test_blocks_and_ends_of_partitions(spark, monkeypatch):
 def test_passes_follow_the_rows():
     assert [vector_dedup.passes_for(n) for n in (0, 64, 5000)] == [1, 1, 6]
     assert vector_dedup.passes_for(10**9) < 40
+
+
+def brute_negatives(rows, anchor, flip):
+    kept = {}
+    for i, v, label, *_ in rows:
+        if i is None or label is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        w = [math.floor(256 * float(np.float32(x))) for x in v]
+        one = ((label + 1) % 10 if flip(i) else label, w)
+        kept[i] = min(kept.get(i, one), one)
+    dim = max({len(w) for _, w in kept.values()}, key=lambda n: (sum(len(w) == n for _, w in kept.values()), n)) if kept else 0
+    kept = {i: x for i, x in kept.items() if len(x[1]) == dim}
+    out = set()
+    for a, (label, v) in kept.items():
+        if not anchor(a):
+            continue
+        score = {i: sum(x * y for x, y in zip(v, w, strict=True)) for i, (_, w) in kept.items()}
+        first = sorted((i for i in kept if i != a and kept[i][0] == label), key=lambda i: (-score[i], i))[:5]
+        for p in first:
+            near = sorted((i for i in kept if kept[i][0] != label and 80 * score[p] <= 100 * score[i] <= 100 * score[p]), key=lambda i: (-score[i], i))[:5]
+            out |= {(a, p, r + 1, n, score[p], score[n]) for r, n in enumerate(near)}
+    return out
+
+
+@pytest.mark.parametrize(("anchors", "candidates", "fewest"), [(2048, 16_384, 8), (7, 40, 20)])
+def test_hard_negatives(spark, monkeypatch, anchors, candidates, fewest):
+    monkeypatch.setattr(hard_negatives, "ANCHOR_BLOCK", anchors)
+    monkeypatch.setattr(hard_negatives, "CANDIDATE_BLOCK", candidates)
+    monkeypatch.setattr(hard_negatives, "FEWEST", fewest)
+    rows = planted(3)
+    # Copies of anchors under other labels, and a hot cell of all labels.
+    rows += [(4000 + i, [x + 0.002 * i for x in rows[i][1]], (rows[i][2] + 1) % 3, None, None) for i in range(60)]
+    rows += [(5000 + i, rows[100][1], i % 4, None, None) for i in range(120)] + [rows[20], (20, rows[21][1], 2, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = hard_negatives.mine(hard_negatives.prepared(df, label), F.col("vec_id") % 10 == 0).collect()
+    want = brute_negatives(rows, lambda i: i % 10 == 0, lambda i: i % 7 == 0)
+    assert len(got) == len(want) > 300
+    assert {tuple(r) for r in got} == want
+
+
+def test_no_anchors_and_large_numbers(spark):
+    df = spark.createDataFrame(planted(), SCHEMA)
+    assert hard_negatives.mine(hard_negatives.prepared(df.limit(0), F.col("label")), F.col("vec_id") % 10 == 0).count() == 0
+    assert hard_negatives.mine(hard_negatives.prepared(df, F.col("label")), F.col("vec_id") < 0).count() == 0
+    rows = [(i, [1e6 + i, 2e6 - 3 * i, float(i)], i % 2, None, None) for i in range(40)] + [(50, [1e8, 1e8, 1.0], 0, None, None)]
+    got = hard_negatives.mine(hard_negatives.prepared(spark.createDataFrame(rows, SCHEMA), F.col("label")), F.col("vec_id") % 10 == 0).collect()
+    assert {tuple(r) for r in got} == brute_negatives(rows[:-1], lambda i: i % 10 == 0, lambda i: False) != set()
