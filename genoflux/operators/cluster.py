@@ -6,7 +6,8 @@ components by alternating star contraction, then the linkage inside each
 component. Single linkage is the component itself. Ward has no such guarantee on
 distances that are not Euclidean and takes all sequences as one group.
 ``cluster_alignment`` keeps only close pairs and computes the distances inside a
-component from its sequences; ``clusters`` takes a table of all pairs.
+component from its sequences; ``clusters`` takes a table of all pairs. A component of
+more than GROUP_ROWS rows is dealt over many tasks (``agglomerate``), with the same result.
 Labels are numbered by the smallest ``ord`` of a cluster.
 """
 
@@ -17,9 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.storage import materialize, numbered
+from ..plans.storage import discard, materialize, numbered
 from . import distance
+from .agglomerate import UNIT, agglomerate, units
 
+#: Components of up to so many rows are linked in one task; larger ones by rounds.
+GROUP_ROWS = 2_000
 METHODS = ("single", "complete", "average", "weighted", "ward")
 
 
@@ -34,12 +38,13 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
         large = both.join(least, "i").where("j > i").select(F.col("j").alias("i"), F.col("m").alias("j")).distinct()
         root = large.groupBy("i").agg(F.min("j").alias("m"))
         small = large.join(root, "i").select(F.col("j").alias("i"), F.col("m").alias("j")).union(root.select("i", F.col("m").alias("j")))
-        e = materialize(small.where("i <> j").distinct(), "edges")
+        last, e = e, materialize(small.where("i <> j").distinct(), "edges")
+        discard(last)
         now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("i", "j").cast("decimal(38,0)")), F.lit(0))).first()
         if now == before:
-            break
+            return nodes.join(e.select(F.col("i").alias("ord"), F.col("j").alias("root")), "ord", "left").select("ord", F.coalesce("root", "ord").alias("root"))
         before = now
-    return nodes.join(e.select(F.col("i").alias("ord"), F.col("j").alias("root")), "ord", "left").select("ord", F.coalesce("root", "ord").alias("root"))
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def linkage(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
@@ -47,10 +52,14 @@ def linkage(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
 
     All the methods are reducible, so merging any two that are each other's nearest
     gives the same tree as merging the nearest of all; that takes quadratic time. The
-    merges are then sorted by height and numbered.
+    merges are then sorted by height and numbered. Distances are whole multiples of
+    2^-30 (but for Ward), a cluster is known by its first member, and of equally
+    near pairs the one with the smaller first member is the nearer, then the one with the
+    smaller second: so the merges are those of ``agglomerate``.
     """
     n = len(d)
-    d = d.astype(float).copy()
+    # Of average linkage the sums of distances are kept, which are exact.
+    d = d.astype(float).copy() if method == "ward" else np.round(d.astype(float) * UNIT)
     np.fill_diagonal(d, np.inf)
     size, alive, chain = np.ones(n), np.ones(n, bool), []
     merges: list[tuple[int, int, float]] = []
@@ -59,16 +68,17 @@ def linkage(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
             chain.append(int(np.argmax(alive)))
         while True:
             x = chain[-1]
-            y = int(np.argmin(d[x]))
-            # Among equally near ones the one it came from, so a chain ends.
-            if len(chain) > 1 and d[x, chain[-2]] <= d[x, y]:
+            row = d[x] / (size[x] * size) if method == "average" else d[x]
+            y = int(np.argmin(row))
+            # The first of equally near ones; rounding of Ward's heights may ask for the one it came from.
+            if method == "ward" and len(chain) > 1 and row[chain[-2]] <= row[y]:
                 y = chain[-2]
             if len(chain) > 1 and y == chain[-2]:
                 break
             chain.append(y)
         del chain[-2:]
         i, j = sorted((x, y))
-        h, a, b = float(d[i, j]), d[i], d[j]
+        h, a, b = float(row[y]), d[i], d[j]
         if method == "single":
             new = np.minimum(a, b)
         elif method == "complete":
@@ -79,14 +89,14 @@ def linkage(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
             with np.errstate(invalid="ignore"):
                 new = np.sqrt(((size[i] + size) * a**2 + (size[j] + size) * b**2 - size * h**2) / (size[i] + size[j] + size))
         else:
-            new = (size[i] * a + size[j] * b) / (size[i] + size[j])
+            new = a + b
         alive[j] = False
         new[~alive] = np.inf
         new[i] = np.inf
         d[i], d[:, i] = new, new
         d[j], d[:, j] = np.inf, np.inf
         size[i] += size[j]
-        merges.append((i, j, h))
+        merges.append((i, j, h if method == "ward" else h / UNIT))
     merges.sort(key=lambda m: m[2])
     number, held, out = list(range(n)), [1] * n, []
     parent = list(range(n))
@@ -121,8 +131,9 @@ def cut_labels(d: np.ndarray, threshold: float, method: str = "average") -> np.n
     """0-based labels by first member; clusters whose merges are at heights <= threshold."""
     n = len(d)
     parent = list(range(2 * n - 1))
+    limit = threshold if method == "ward" else round(threshold * UNIT) / UNIT
     for step, (a, b, h, _) in enumerate(linkage(d, method)):
-        if h <= threshold:
+        if h <= limit:
             parent[a] = parent[b] = n + step
     def root(x: int) -> int:
         while parent[x] != x:
@@ -139,12 +150,6 @@ def _checked(threshold: float, method: str) -> None:
         raise ValueError(f"unknown linkage method {method!r}")
 
 
-def _roots(nodes: DataFrame, close: DataFrame, method: str) -> DataFrame:
-    if method == "ward":
-        return nodes.withColumn("root", F.lit(0).cast("bigint"))
-    return components(nodes, close)
-
-
 def _labelled(nodes: DataFrame, cutted: DataFrame) -> DataFrame:
     found = nodes.join(cutted, "ord", "left").select("ord", F.coalesce("head", "ord").alias("head"))
     # One row per cluster is numbered; the members only look it up.
@@ -152,17 +157,24 @@ def _labelled(nodes: DataFrame, cutted: DataFrame) -> DataFrame:
     return found.join(heads, "head").select("ord", "cluster_id")
 
 
-def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method: str = "average") -> DataFrame:
+def _inside(roots: DataFrame, inside_small, small_rows: DataFrame, close: DataFrame, between, threshold: float, method: str, most: int) -> DataFrame:
+    """(ord, head) of the members of components of several rows: one task for each of up to
+    ``most`` rows, rounds over the table of neighbours for the larger ones."""
+    sizes = roots.groupBy("root").count().where("count > 1")
+    local = small_rows.join(roots.join(sizes.where(F.col("count") <= most).select("root"), "root"), "ord")
+    out = local.groupBy("root").applyInPandas(inside_small, "ord bigint, head bigint")
+    large = materialize(roots.join(F.broadcast(sizes.where(F.col("count") > most).select("root")), "root").select("ord"), "large")
+    if large.isEmpty():
+        return out
+    near = close.join(large.withColumnRenamed("ord", "i"), "i", "left_semi").select("i", "j", "dist")
+    return out.union(agglomerate(large, near, between, threshold, method))
+
+
+def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method: str = "average", group_rows: int = GROUP_ROWS) -> DataFrame:
     """(ord, cluster_id): nodes has ``ord``; pairs (i, j, dist) holds all pairs."""
     _checked(threshold, method)
     nodes = nodes.select("ord")
-    roots = _roots(nodes, pairs.where(F.col("dist") <= F.lit(threshold)).select("i", "j"), method)
-    if method == "single":
-        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
-    inside = (
-        pairs.join(roots.withColumnsRenamed({"ord": "i", "root": "ri"}), "i").join(roots.withColumnsRenamed({"ord": "j", "root": "rj"}), "j")
-        .where("ri = rj").select(F.col("ri").alias("root"), "i", "j", "dist")
-    )
+    pairs = pairs.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "dist")
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = np.unique(np.concatenate([pdf["i"], pdf["j"]]))
@@ -171,32 +183,51 @@ def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method
         d[a, b] = d[b, a] = pdf["dist"]
         return pd.DataFrame({"ord": ids, "head": pd.Series(ids).groupby(cut_labels(d, threshold, method)).transform("min")})
 
-    return _labelled(nodes, inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
+    if method == "ward":
+        return _labelled(nodes, pairs.groupBy(F.lit(0)).applyInPandas(cut, "ord bigint, head bigint"))
+    close = pairs.where(units(F.col("dist")) <= round(threshold * UNIT))
+    roots = components(nodes, close.select("i", "j"))
+    if method == "single":
+        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
+    roots = materialize(roots, "roots")
+    # A component's pairs, each once, stand at its first member.
+    of = roots.withColumnsRenamed({"ord": "i"})
+    inside = pairs.join(of, "i").join(roots.withColumnsRenamed({"ord": "j", "root": "other"}), "j").where("root = other")
+    small = inside.select(F.col("i").alias("ord"), "i", "j", "dist")
+    return _labelled(nodes, _inside(roots, cut, small, close, lambda asked: asked_of(asked, pairs), threshold, method, group_rows))
+
+
+def asked_of(asked: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(i, j, dist) of asked pairs, in their own order, from a table that holds each pair once."""
+    ordered = asked.distinct().select("i", "j", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
+    return ordered.join(pairs.withColumnsRenamed({"i": "x", "j": "y"}), ["x", "y"]).select("i", "j", "dist")
 
 
-def cluster_alignment(alignment: DataFrame, threshold: float = 0.01, method: str = "average") -> DataFrame:
+def cluster_alignment(alignment: DataFrame, threshold: float = 0.01, method: str = "average", group_rows: int = GROUP_ROWS) -> DataFrame:
     """(ord, cluster_id) of aligned sequences (ord, aln), as ``clusters`` over all pairs gives.
 
-    Only pairs up to the cut are kept; a component's sequences then go to one group,
-    once each, and their distances are computed there.
+    Only pairs up to the cut are kept. The sequences of a component of up to ``group_rows``
+    go to one task, once each, and their distances are computed there; a larger component
+    is linked by many tasks (``agglomerate``). Both give the same clusters.
     """
     _checked(threshold, method)
     rows = alignment.select("ord", "aln", F.lit(None).cast("string").alias("seq_id"))
     nodes = rows.select("ord")
-    close = nodes.select(F.col("ord").alias("i"), F.col("ord").alias("j")).limit(0) if method == "ward" else distance.pairwise(rows, max_distance=threshold).select("i", "j")
-    roots = _roots(nodes, close, method)
-    if method == "single":
-        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
-    roots = materialize(roots, "roots")
-    shared = roots.groupBy("root").count().where("count > 1").select("root")
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
         labels = cut_labels(masked_distances(pdf["aln"].tolist()), threshold, method)
         return pd.DataFrame({"ord": pdf["ord"].to_numpy(), "head": pd.Series(pdf["ord"].to_numpy()).groupby(labels).transform("min")})
 
-    inside = rows.select("ord", "aln").join(roots.join(shared, "root"), "ord")
-    return _labelled(nodes, inside.groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
+    if method == "ward":
+        return _labelled(nodes, rows.select("ord", "aln").groupBy(F.lit(0)).applyInPandas(cut, "ord bigint, head bigint"))
+    limit = round(threshold * UNIT)
+    close = materialize(distance.pairwise(rows).where(units(F.col("dist")) <= limit).select("i", "j", "dist"), "close")
+    roots = components(nodes, close.select("i", "j"))
+    if method == "single":
+        return _labelled(nodes, roots.withColumnRenamed("root", "head"))
+    between = lambda asked: distance.of_pairs(asked, rows)
+    return _labelled(nodes, _inside(materialize(roots, "roots"), cut, rows.select("ord", "aln"), close, between, threshold, method, group_rows))
 
 
 def dendrogram(rows: DataFrame, method: str = "average") -> DataFrame:

@@ -66,13 +66,20 @@ def pairwise(alignment: DataFrame, blocks: int | None = None, max_distance: floa
     hold some BLOCK_ROWS sequences, so a task's pairs do not grow with the table.
     """
     blocks = blocks or max(8, -(-alignment.count() // BLOCK_ROWS))
-    e = encoded(alignment, seq_id, aln, order)
-    own = F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int")
-    dealt = e.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-    a, b = dealt.alias("a"), dealt.alias("b")
-    # A pair of blocks p < q meets across; a block meets itself once (p = q).
-    across = ((F.col("a.own") != F.col("b.own")) | (F.col("a.p") == F.col("a.q"))) & (F.col("a.ord") < F.col("b.ord"))
-    pairs = a.join(b, (F.col("a.p") == F.col("b.p")) & (F.col("a.q") == F.col("b.q")) & across)
-    out = pairs.select(F.col("a.ord").alias("i"), F.col("b.ord").alias("j"), F.col("a.seq_id").alias("id_i"), F.col("b.seq_id").alias("id_j"), pair_distance().alias("dist"))
+    e = encoded(alignment, seq_id, aln, order).withColumn("own", F.pmod(F.xxhash64("ord"), F.lit(blocks)).cast("int"))
+    # Of a pair of blocks p <= q the rows of p stand left, those of q right; a block meets itself once.
+    a = e.withColumn("p", F.col("own")).withColumn("q", F.explode(F.sequence(F.col("own"), F.lit(blocks - 1)))).alias("a")
+    b = e.withColumn("q", F.col("own")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("own")))).alias("b")
+    once = (F.col("a.p") != F.col("a.q")) | (F.col("a.ord") < F.col("b.ord"))
+    pairs = a.join(b, (F.col("a.p") == F.col("b.p")) & (F.col("a.q") == F.col("b.q")) & once)
+    i_first = F.col("a.ord") < F.col("b.ord")
+    pick = lambda x, y, c: F.when(i_first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}"))
+    out = pairs.select(pick("a", "b", "ord").alias("i"), pick("b", "a", "ord").alias("j"), pick("a", "b", "seq_id").alias("id_i"), pick("b", "a", "seq_id").alias("id_j"), pair_distance().alias("dist"))
     return out if max_distance is None else out.where(F.col("dist") <= F.lit(max_distance))
+
+
+def of_pairs(asked: DataFrame, alignment: DataFrame, aln: str = "aln", order: str = "ord") -> DataFrame:
+    """(i, j, dist) of the asked pairs (i, j) of sequences."""
+    e = encoded(alignment.withColumn("seq_id", F.lit(None).cast("string")), "seq_id", aln, order).drop("seq_id", "length")
+    both = asked.distinct().join(e.alias("a"), F.col("i") == F.col("a.ord")).join(e.alias("b"), F.col("j") == F.col("b.ord"))
+    return both.select("i", "j", pair_distance().alias("dist"))

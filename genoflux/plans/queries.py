@@ -353,10 +353,10 @@ ALL_PAIRS = f"""{SPEC}, node AS (SELECT aln, min(ord) AS ord FROM spec GROUP BY
 _NUMBERED = "SELECT spec.processid, dense_rank() OVER (ORDER BY head)::BIGINT AS cluster_id FROM spec JOIN node USING (aln) JOIN heads ON heads.ord = node.ord"
 
 
-def _clustered(spark, d, method, threshold):
+def _clustered(spark, d, method, threshold, **how):
     s = fx.specimens(spark, d).select("processid", "ord", "aln")
     node = materialize(s.groupBy("aln").agg(F.min("ord").alias("ord")), "nodes")
-    labels = cluster.cluster_alignment(node, threshold, method).withColumnRenamed("ord", "node")
+    labels = cluster.cluster_alignment(node, threshold, method, **how).withColumnRenamed("ord", "node")
     return s.join(node.withColumnRenamed("ord", "node"), "aln").join(labels, "node").select("processid", F.col("cluster_id").cast("bigint").alias("cluster_id"))
 
 
@@ -375,6 +375,12 @@ def _(spark, d):
     return _clustered(spark, d, "average", 0.03)
 
 
+@query("k2_average_rounds")
+def _(spark, d):
+    """The same clusters with every component dealt over many tasks."""
+    return _clustered(spark, d, "average", 0.03, group_rows=1)
+
+
 @query("k2_complete_linkage")
 def _(spark, d):
     return _clustered(spark, d, "complete", 0.03)
