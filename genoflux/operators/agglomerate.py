@@ -97,11 +97,13 @@ def agglomerate(members: DataFrame, close: DataFrame, between: Callable[[DataFra
             lack = merged.where(F.size("have") < F.col("of")).select("lo", "hi", F.explode(F.array_except(every, F.col("have"))).alias("p")).select("lo", "hi", "p.x", "p.y")
             ours = lambda side, i: held.select(F.col("head").alias(side), F.col("ord").alias(i), F.col("w").alias(f"w{i}"))
             asked = materialize(lack.join(ours("x", "i"), "x").join(ours("y", "j"), "y").select("lo", "hi", "i", "j", "wi", "wj"), "asked")
-            found = between(asked.select("i", "j"))
-            worth = units(F.col("dist")) if method == "average" else F.col("wi") * F.col("wj") * units(F.col("dist"))
-            added = asked.join(found, ["i", "j"]).groupBy("lo", "hi").agg(F.sum(worth).alias("more"))
-            both = merged.join(added, ["lo", "hi"], "left").withColumn("s", F.col("s") + F.coalesce(F.col("more"), F.lit(0)))
-            now = both.select(F.col("lo").alias("a"), F.col("hi").alias("b"), (F.col("s") if method == "average" else F.col("s") / F.col("of")).alias("s"), "na", "nb")
+            if not asked.isEmpty():
+                worth = units(F.col("dist")) if method == "average" else F.col("wi") * F.col("wj") * units(F.col("dist"))
+                added = asked.join(between(asked.select("i", "j")), ["i", "j"]).groupBy("lo", "hi").agg(F.sum(worth).alias("more"))
+                merged_all = merged.join(added, ["lo", "hi"], "left").withColumn("s", F.col("s") + F.coalesce(F.col("more"), F.lit(0)))
+            else:
+                merged_all = merged
+            now = merged_all.select(F.col("lo").alias("a"), F.col("hi").alias("b"), (F.col("s") if method == "average" else F.col("s") / F.col("of")).alias("s"), "na", "nb")
         last, edges = edges, materialize(now, "linkage")
         moved = merges.select(F.col("old").alias("head"), "new").union(merges.select(F.col("new").alias("head"), "new"))
         before, held = held, materialize(

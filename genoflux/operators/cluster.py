@@ -184,7 +184,7 @@ def clusters(nodes: DataFrame, pairs: DataFrame, threshold: float = 0.01, method
         return pd.DataFrame({"ord": ids, "head": pd.Series(ids).groupby(cut_labels(d, threshold, method)).transform("min")})
 
     if method == "ward":
-        return _labelled(nodes, pairs.groupBy(F.lit(0)).applyInPandas(cut, "ord bigint, head bigint"))
+        return _labelled(nodes, pairs.withColumn("root", F.lit(0)).groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
     close = pairs.where(units(F.col("dist")) <= round(threshold * UNIT))
     roots = components(nodes, close.select("i", "j"))
     if method == "single":
@@ -220,13 +220,19 @@ def cluster_alignment(alignment: DataFrame, threshold: float = 0.01, method: str
         return pd.DataFrame({"ord": pdf["ord"].to_numpy(), "head": pd.Series(pdf["ord"].to_numpy()).groupby(labels).transform("min")})
 
     if method == "ward":
-        return _labelled(nodes, rows.select("ord", "aln").groupBy(F.lit(0)).applyInPandas(cut, "ord bigint, head bigint"))
+        return _labelled(nodes, rows.select("ord", "aln", F.lit(0).alias("root")).groupBy("root").applyInPandas(cut, "ord bigint, head bigint"))
     limit = round(threshold * UNIT)
     close = materialize(distance.pairwise(rows).where(units(F.col("dist")) <= limit).select("i", "j", "dist"), "close")
     roots = components(nodes, close.select("i", "j"))
     if method == "single":
         return _labelled(nodes, roots.withColumnRenamed("root", "head"))
-    between = lambda asked: distance.of_pairs(asked, rows)
+    planes: list[DataFrame] = []
+
+    def between(asked: DataFrame) -> DataFrame:
+        if not planes:
+            planes.append(materialize(distance.encoded(rows), "planes"))
+        return distance.of_pairs(asked, planes[0])
+
     return _labelled(nodes, _inside(materialize(roots, "roots"), cut, rows.select("ord", "aln"), close, between, threshold, method, group_rows))
 
 

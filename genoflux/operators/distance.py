@@ -78,8 +78,8 @@ def pairwise(alignment: DataFrame, blocks: int | None = None, max_distance: floa
     return out if max_distance is None else out.where(F.col("dist") <= F.lit(max_distance))
 
 
-def of_pairs(asked: DataFrame, alignment: DataFrame, aln: str = "aln", order: str = "ord") -> DataFrame:
-    """(i, j, dist) of the asked pairs (i, j) of sequences."""
-    e = encoded(alignment.withColumn("seq_id", F.lit(None).cast("string")), "seq_id", aln, order).drop("seq_id", "length")
+def of_pairs(asked: DataFrame, e: DataFrame) -> DataFrame:
+    """(i, j, dist) of the asked pairs (i, j) of sequences; ``e`` as ``encoded`` gives them."""
+    e = e.drop("seq_id", "length")
     both = asked.distinct().join(e.alias("a"), F.col("i") == F.col("a.ord")).join(e.alias("b"), F.col("j") == F.col("b.ord"))
     return both.select("i", "j", pair_distance().alias("dist"))

@@ -104,7 +104,7 @@ def test_chain_with_ties(method):
 
 def test_plan_has_no_group_of_a_component(spark):
     df = spark.createDataFrame(list(enumerate(family(4, 6))), "ord bigint, aln string")
-    found = cluster.agglomerate(df.select("ord"), distance.pairwise(df.selectExpr("string(ord) AS seq_id", "ord", "aln"), max_distance=0.09), lambda p: distance.of_pairs(p, df), 0.09)
+    found = cluster.agglomerate(df.select("ord"), distance.pairwise(df.selectExpr("string(ord) AS seq_id", "ord", "aln"), max_distance=0.09), lambda p: distance.of_pairs(p, distance.encoded(df.selectExpr("string(ord) AS seq_id", "ord", "aln"))), 0.09)
     assert "Pandas" not in found._jdf.queryExecution().toString()
     assert found.count() == 6
 
