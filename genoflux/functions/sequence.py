@@ -73,13 +73,14 @@ def cigar_counts(cigar: Column) -> Column:
     return F.struct(*[cigar_count(cigar, ops).alias(name) for ops, name in (("=M", "matches"), ("X", "mismatches"), ("I", "insertions"), ("D", "deletions"))])
 
 
-def path_free_identity(query: Column, target: Column) -> Column:
-    """Identity without an alignment path: matches are taken as longest - distance.
+def path_free_identity(query: Column, target: Column, distance: Column | None = None) -> Column:
+    """Identity without an alignment path: matches are taken as longest - distance
+    (``distance``: the edit distance, if it is known).
 
     Both empty is an error of the input and gives null; one empty gives zeros.
     """
     q, t = F.length(query), F.length(target)
-    d = F.levenshtein(query, target)
+    d = F.levenshtein(query, target) if distance is None else distance
     approx = F.greatest(q, t) - d
     empty = (q == 0) | (t == 0)
     method = F.when(empty, "empty_sequence").when(query == target, "identical").otherwise("classic_fallback")

@@ -1,67 +1,29 @@
 """K4: best and runner-up genotype of every specimen.
 
-Each distinct sequence is scored once against every consensus and joined back,
-since barcode data repeat. The consensus table is a small dimension; its rows are
-counted first, and only up to ``BROADCAST_ROWS`` is it broadcast, else the
-sequences are dealt to blocks and meet every block of the consensus by an
-equi-join. Scoring stays in the JVM (``levenshtein``); a path-based metric runs
-as an Arrow function on the distinct pairs that can be best or runner-up.
+Each distinct sequence is scored once and joined back, since barcode data repeat. It
+meets only the consensus sequences that can be its best or runner-up (``nearest``: a seed
+index and falling bounds), exactly. Scoring stays in the JVM (``levenshtein``); a
+path-based metric runs as an Arrow function on the distinct pairs that are left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence
 from ..schemas import struct
+from . import nearest, paths
 
 METHODS = ("target_based", "classic")
-#: Consensus rows broadcast at most: some 1,000 letters each, so 20 MB.
-BROADCAST_ROWS = 20_000
-BLOCK_ROWS = 2_000
-SALT_ROWS = 20_000
 
 
 def align_path(q: str, t: str) -> tuple[int, int, int, int, str]:
-    """Global unit-cost alignment: matches, mismatches, insertions, deletions, CIGAR.
-
-    Of equally good paths the diagonal is preferred, then the insertion (letters
-    of ``q`` alone), then the deletion. Rows are computed as arrays.
-    """
-    n, m = len(q), len(t)
-    a, b = np.frombuffer(q.encode("utf-32-le"), np.uint32), np.frombuffer(t.encode("utf-32-le"), np.uint32)
-    cost = np.empty((n + 1, m + 1), np.int32)
-    cost[0] = np.arange(m + 1)
-    steps = np.arange(m + 1)
-    for i in range(1, n + 1):
-        row = np.minimum(cost[i - 1, 1:] + 1, cost[i - 1, :-1] + (b != a[i - 1]))
-        row = np.concatenate([[i], row])
-        # Deletions run along the row: a prefix minimum of cost less position.
-        cost[i] = np.minimum.accumulate(row - steps) + steps
-    i, j, ops = n, m, []
-    while i or j:
-        if i and j and cost[i, j] == cost[i - 1, j - 1] + (a[i - 1] != b[j - 1]):
-            ops.append("=" if a[i - 1] == b[j - 1] else "X")
-            i, j = i - 1, j - 1
-        elif i and cost[i, j] == cost[i - 1, j] + 1:
-            ops.append("I")
-            i -= 1
-        else:
-            ops.append("D")
-            j -= 1
-    ops.reverse()
-    cigar, run = [], 0
-    for k, op in enumerate(ops):
-        run += 1
-        if k + 1 == len(ops) or ops[k + 1] != op:
-            cigar.append(f"{run}{op}")
-            run = 0
-    return ops.count("="), ops.count("X"), ops.count("I"), ops.count("D"), "".join(cigar)
+    """Global unit-cost alignment: matches, mismatches, insertions, deletions, CIGAR."""
+    return paths.align([q], [t])[0]
 
 
 PATH = struct("matches int, mismatches int, insertions int, deletions int, cigar string")
@@ -70,43 +32,31 @@ PATH = struct("matches int, mismatches int, insertions int, deletions int, cigar
 @F.pandas_udf(PATH)
 def path_identity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for qs, ts in pairs:
-        yield pd.DataFrame([align_path(q or "", t or "") for q, t in zip(qs, ts, strict=True)], columns=["matches", "mismatches", "insertions", "deletions", "cigar"])
+        yield pd.DataFrame(paths.align([q or "" for q in qs], [t or "" for t in ts]), columns=["matches", "mismatches", "insertions", "deletions", "cigar"])
 
 
 def contenders(pairs: DataFrame, identity_method: str) -> DataFrame:
-    """Pairs that can be a sequence's best or runner-up by paths; no other is aligned.
+    """Pairs (with d) that can be a sequence's best or runner-up by paths; no other is aligned.
 
-    The edit distance d fixes the classic identity. Of q and t letters, a path of d
-    edits with k deletions matches q - d + k, where t - q <= k and 2k <= d + t - q,
-    which bounds the other; two pairs with higher lower bounds rule a pair out.
+    Two pairs with higher lower bounds (``nearest.bounds``) rule a pair out.
     """
-    q, t, d = F.length("nuc"), F.length("target"), F.col("__d")
-    if identity_method == "classic":
-        low = high = sequence.classic_identity(d, q, t)
-    else:
-        share = lambda k: F.when(t > 0, (q - d + k) / t.cast("double"))
-        low, high = share(F.greatest(t - q, F.lit(0))), share(F.floor((d + t - q) / 2))
+    low, high = nearest.bounds(F.length("nuc"), F.length("target"), F.col("d"), identity_method, True)
     each = Window.partitionBy("nuc")
-    placed = pairs.withColumn("__d", F.levenshtein("nuc", "target")).withColumns({"__low": low, "__high": high})
+    placed = pairs.withColumns({"__low": low, "__high": high})
     placed = placed.withColumn("__place", F.row_number().over(each.orderBy(F.desc("__low"))))
     second = F.max(F.when(F.col("__place") == 2, F.col("__low"))).over(each)
     return placed.withColumn("__second", second).where(F.coalesce(F.col("__high") >= F.col("__second"), F.lit(True))).select(*pairs.columns)
 
 
 def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False, top_by: str | None = None) -> DataFrame:
-    """Every (nuc, consensus): distances and identities. ``sequences``: one column
-    of distinct, non-empty nuc; ``consensus``: consensus_group, consensus_seq, ord.
-    With ``path`` and ``top_by`` (an identity method) only pairs that can be first or second by it."""
+    """(nuc, consensus) with distances and identities. ``sequences``: one column of distinct,
+    non-empty nuc; ``consensus``: consensus_group, consensus_seq, ord. With ``top_by`` (an identity
+    method) only pairs that can be first or second by it (``nearest``), else every pair."""
     c = consensus.select("consensus_group", F.col("consensus_seq").alias("target"), F.col("ord").alias("c_ord"))
-    n = c.count()
-    if n <= BROADCAST_ROWS:
-        pairs = sequences.join(F.broadcast(c))
+    if top_by:
+        pairs = nearest.candidates(sequences, c, top_by, path)
     else:
-        # Both sides are dealt, so a task meets some rows of each.
-        blocks, salts = -(-n // BLOCK_ROWS), max(1, -(-sequences.count() // SALT_ROWS))
-        left = sequences.withColumn("salt", F.pmod(F.xxhash64("nuc"), F.lit(salts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        right = c.withColumn("block", F.pmod(F.xxhash64("c_ord"), F.lit(blocks)).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = left.join(right, ["block", "salt"]).drop("block", "salt")
+        pairs = nearest.dealt(sequences, c, "nuc", "c_ord", sequences.count(), c.count()).withColumn("d", F.levenshtein("nuc", "target"))
     if path:
         if top_by:
             pairs = contenders(pairs, top_by)
@@ -118,7 +68,7 @@ def scored(sequences: DataFrame, consensus: DataFrame, path: bool = False, top_b
             (F.col("__p.matches") / t.cast("double")).alias("target_identity"), sequence.classic_identity(d, q, t).alias("classic_identity"),
             F.lit("path").alias("method"), F.col("__p.mismatches").alias("mismatches"), F.col("__p.insertions").alias("insertions"), F.col("__p.deletions").alias("deletions"),
         )
-    found = pairs.withColumn("__i", sequence.path_free_identity(F.col("nuc"), F.col("target")))
+    found = pairs.withColumn("__i", sequence.path_free_identity(F.col("nuc"), F.col("target"), F.col("d")))
     none = F.lit(None).cast("int")
     return found.select("nuc", "consensus_group", "target", "c_ord", "__i.*", none.alias("mismatches"), none.alias("insertions"), none.alias("deletions"))
 
