@@ -1,10 +1,8 @@
 """K5 and basin statistics: points in polygons, marine filters, snapping, summaries.
 
-Polygons are a dimension: they are broadcast up to a checked number of vertices,
-else points and polygons meet on grid cells. A bounding-box test in the JVM comes
-first; rings are tested (strict interior, even-odd, holes) in an Arrow function
-only for the pairs that pass it, all points of a polygon in a batch at once. Boxes
-need no Python at all.
+Polygons with rings meet points by leaves of a quadtree (``quadtree``): strict interior, even-odd,
+holes; each leaf has its own edges only. Boxes are compared directly; they are broadcast up to
+a checked number, else both meet on grid cells. The nearest coast is found by a tree of edge boxes.
 """
 
 from __future__ import annotations
@@ -20,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coords
+from ..plans.storage import materialize
 from ..schemas import struct
+from . import quadtree
 
 BROADCAST_VERTICES = 2_000_000
 CELL = 5.0
@@ -81,23 +81,8 @@ def ring_contains(x: float, y: float, rings: list) -> bool:
 
 def nearest_edges(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The nearest point of the rings' edges for each point, in plain degrees."""
-    best, nx, ny = np.full(len(x), np.inf), x.astype(float), y.astype(float)
-    for a in (r for r in rings if len(r)):
-        d = np.roll(a, -1, axis=0) - a
-        length = (d**2).sum(axis=1)
-        for part in _pieces(len(x), a):
-            px, py = x[part, None], y[part, None]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                t = np.where(length > 0, ((px - a[:, 0]) * d[:, 0] + (py - a[:, 1]) * d[:, 1]) / length, 0.0)
-            t = np.clip(t, 0, 1)
-            ex, ey = a[:, 0] + t * d[:, 0], a[:, 1] + t * d[:, 1]
-            dist = (ex - px) ** 2 + (ey - py) ** 2
-            rows, k = np.arange(len(dist)), dist.argmin(axis=1)
-            nearer = dist[rows, k] < best[part]
-            best[part] = np.where(nearer, dist[rows, k], best[part])
-            nx[part] = np.where(nearer, ex[rows, k], nx[part])
-            ny[part] = np.where(nearer, ey[rows, k], ny[part])
-    return nx, ny
+    closed = [np.hstack([a, np.roll(a, -1, axis=0)]) for a in rings if len(a)]
+    return quadtree.EdgeTree(np.concatenate(closed) if closed else np.zeros((0, 4))).nearest(x, y)
 
 
 def nearest_edge(x: float, y: float, rings: list) -> tuple[float, float]:
@@ -182,10 +167,12 @@ def first_basin(spots: DataFrame, polygons: DataFrame) -> DataFrame:
 
     ``spots`` are distinct points. Without a ``rings`` column polygons are boxes.
     """
-    pairs, held = boxed_pairs(spots, polygons)
+    keep = ["basin_name", "poly_ord"]
     if "rings" in polygons.columns:
-        pairs = pairs.where(contains(held))
-    return pairs.groupBy("point_lat", "point_lon").agg(F.min_by("basin_name", "poly_ord").alias("basin_name"))
+        found = quadtree.hits(spots, materialize(quadtree.cells(polygons, keep), "leaves"), keep)
+    else:
+        found = boxed_pairs(spots, polygons)[0]
+    return found.groupBy("point_lat", "point_lon").agg(F.min_by("basin_name", "poly_ord").alias("basin_name"))
 
 
 def assign_basins(
@@ -243,9 +230,17 @@ def classify_coordinates(df: DataFrame, land: DataFrame, policy: str = "mark", l
         raise ValueError(f"unknown policy {policy!r}")
     located = points(df, lat, lon)
     spots = located.where("point_lat IS NOT NULL").select("point_lat", "point_lon").distinct()
-    pairs, held = boxed_pairs(spots, land)
-    hits = pairs.where(contains(held)).withColumn("s", snapped(held)).groupBy("point_lat", "point_lon").agg(F.min_by("s", F.struct("s.d", "poly_ord")).alias("s"))
-    out = located.join(hits, ["point_lat", "point_lon"], "left")
+    land = materialize(land.select("poly_ord", "rings").withColumn("polygon", F.monotonically_increasing_id()), "land")
+    keep = ["polygon", "poly_ord"]
+    found = quadtree.hits(spots, materialize(quadtree.cells(land, keep), "leaves"), keep)
+    if policy == "snap":
+        found = materialize(found, "found")
+        near = quadtree.nearest_coast(found.drop("poly_ord"), land, "polygon").join(land.select("polygon", "poly_ord"), "polygon")
+        s = F.struct("x", "y", "d")
+        hit = near.groupBy("point_lat", "point_lon").agg(F.min_by(s, F.struct("d", "poly_ord", "polygon")).alias("s"))
+    else:
+        hit = found.groupBy("point_lat", "point_lon").agg(F.min(F.struct(F.lit(0.0).alias("d"))).alias("s"))
+    out = located.join(hit, ["point_lat", "point_lon"], "left")
     on_land = F.col("s").isNotNull()
     if policy == "drop":
         return out.where(~on_land).withColumn(column, F.lit("precise")).drop("s", "point_lat", "point_lon")

@@ -59,6 +59,41 @@ BOXES = [
 BOXES_SQL = " UNION ALL ".join(f"SELECT '{n}' AS basin_name, {o} AS poly_ord, {a}e0 AS xmin, {b}e0 AS ymin, {c}e0 AS xmax, {d}e0 AS ymax" for n, o, a, b, c, d in BOXES)
 
 
+#: Bands from west to east, one for each region, with a jagged coast of the region's customers
+#: (a vertex north and south for each) and a hole of the suppliers of its nations; neighbours overlap.
+#: Only sums, products and quotients, so both engines get the same numbers.
+COAST = """
+SELECT n_regionkey AS poly_ord, c_custkey AS k, row_number() OVER (PARTITION BY n_regionkey ORDER BY c_custkey) AS r, count(*) OVER (PARTITION BY n_regionkey) AS n
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+HOLE = """
+SELECT n_regionkey AS poly_ord, s_suppkey AS k, row_number() OVER (PARTITION BY n_regionkey ORDER BY s_suppkey) AS r, count(*) OVER (PARTITION BY n_regionkey) AS n
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+VERTICES = f"""
+SELECT poly_ord, ring, place, x, y FROM (
+  SELECT poly_ord, 0 AS ring, r AS place, -170e0 + 340e0 * (r - 1) / n AS x, -52e0 + 26e0 * poly_ord + 9e0 + (k * 7919 % 1000) / 100e0 AS y FROM ({COAST}) a
+  UNION ALL SELECT poly_ord, 0, 2 * n + 1 - r, -170e0 + 340e0 * (r - 1) / n, -52e0 + 26e0 * poly_ord - 9e0 - (k * 6007 % 1000) / 100e0 FROM ({COAST}) b
+  UNION ALL SELECT poly_ord, 1, r, -120e0 + 240e0 * (r - 1) / n, -52e0 + 26e0 * poly_ord + 1e0 + (k * 613 % 500) / 100e0 FROM ({HOLE}) c
+  UNION ALL SELECT poly_ord, 1, 2 * n + 1 - r, -120e0 + 240e0 * (r - 1) / n, -52e0 + 26e0 * poly_ord - 1e0 - (k * 419 % 500) / 100e0 FROM ({HOLE}) d) v
+"""
+
+
+def coasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """basin_name, poly_ord, rings and bounds of the bands."""
+    from pyspark.sql import functions as F
+
+    from ..sources.tables import with_bounds
+
+    at = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "supplier", "nation", "region")}
+    text = VERTICES
+    for t in ("customer", "supplier", "nation"):
+        text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
+    found = spark.sql(text, **{t: at[t] for t in ("customer", "supplier", "nation")})
+    ring = found.groupBy("poly_ord", "ring").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x", "y"))), lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"))).alias("vertices"))
+    whole = ring.groupBy("poly_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("ring", "vertices"))), lambda v: v["vertices"]).alias("rings"))
+    named = whole.join(at["region"].select(F.col("r_regionkey").alias("poly_ord"), F.col("r_name").alias("basin_name")), "poly_ord")
+    return with_bounds(named.select("basin_name", F.col("poly_ord").cast("int").alias("poly_ord"), "rings"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

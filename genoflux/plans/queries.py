@@ -621,12 +621,58 @@ def _(spark, d):
     return geo.marine(s, fx.boxes(spark), remove=False).select("processid", "is_marine")
 
 
-@query("geo_snap_to_coast")
+#: Even-odd over all rings of the jagged bands; a point on an edge is outside.
+COASTS = f"""vert AS ({fx.VERTICES}), seg AS (SELECT poly_ord, ring, place, x AS ax, y AS ay, coalesce(lead(x) OVER w, first_value(x) OVER w) AS bx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS by_
+    FROM vert WINDOW w AS (PARTITION BY poly_ord, ring ORDER BY place)),
+  spot AS (SELECT DISTINCT latitude AS py, longitude AS px FROM located WHERE latitude IS NOT NULL),
+  crossed AS (SELECT px, py, poly_ord, count(*) FILTER ((ay > py) <> (by_ > py) AND px < (bx - ax) * (py - ay) / (by_ - ay) + ax) % 2 = 1 AND count(*) FILTER (
+      (bx - ax) * (py - ay) - (by_ - ay) * (px - ax) = 0 AND px BETWEEN least(ax, bx) AND greatest(ax, bx) AND py BETWEEN least(ay, by_) AND greatest(ay, by_)) = 0 AS inside FROM spot, seg GROUP BY ALL),
+  placed AS (SELECT px, py, min(poly_ord) AS poly_ord FROM crossed WHERE inside GROUP BY ALL)"""
+
+
+@query(
+    "k5_jagged_coasts",
+    f"""WITH {LOCATED}, {COASTS} SELECT processid, coalesce(r_name, 'Unknown') AS ocean_basin
+    FROM located LEFT JOIN placed ON px = longitude AND py = latitude LEFT JOIN region ON r_regionkey = poly_ord""",
+)
+def _(spark, d):
+    """Basins with long coasts and holes, from the tables of customers, suppliers and regions."""
+    s = located(spark, d).withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+    return geo.assign_basins(s, fx.coasts(spark, d)).select("processid", "ocean_basin")
+
+
+@query(
+    "geo_snap_to_coast",
+    f"""WITH {LOCATED}, {BASINS}, land AS (SELECT * FROM boxes WHERE poly_ord = 0),
+    seg AS (SELECT unnest([{{'k': 1, 'ax': xmin, 'ay': ymin, 'bx': xmax, 'by': ymin}}, {{'k': 2, 'ax': xmax, 'ay': ymin, 'bx': xmax, 'by': ymax}}, {{'k': 3, 'ax': xmax, 'ay': ymax, 'bx': xmin, 'by': ymax}}, {{'k': 4, 'ax': xmin, 'ay': ymax, 'bx': xmin, 'by': ymin}}]) AS e FROM land),
+    hit AS (SELECT DISTINCT latitude AS py, longitude AS px FROM located JOIN land ON longitude > xmin AND longitude < xmax AND latitude > ymin AND latitude < ymax),
+    t AS (SELECT px, py, e.k AS k, e.ax AS ax, e.ay AS ay, e.bx AS bx, e.by AS by_, least(greatest(((px - e.ax) * (e.bx - e.ax) + (py - e.ay) * (e.by - e.ay)) / ((e.bx - e.ax) * (e.bx - e.ax) + (e.by - e.ay) * (e.by - e.ay)), 0e0), 1e0) AS t FROM hit, seg),
+    near AS (SELECT px, py, k, ax + t * (bx - ax) AS x, ay + t * (by_ - ay) AS y FROM t),
+    best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY px, py ORDER BY (x - px) * (x - px) + (y - py) * (y - py), k) = 1)
+    SELECT processid, coalesce(y, latitude) AS latitude, coalesce(x, longitude) AS longitude, CASE WHEN k IS NULL THEN 'precise' ELSE 'snapped_to_coast' END AS location_type
+    FROM located LEFT JOIN best ON px = longitude AND py = latitude""",
+)
 def _(spark, d):
     land = fx.ringed(fx.boxes(spark).where("poly_ord = 0"))
     return geo.classify_coordinates(located(spark, d), land, "snap").select("processid", "latitude", "longitude", "location_type")
 
 
+@query(
+    "geo_snap_to_jagged_coast",
+    f"""WITH {LOCATED}, {COASTS}, t AS (SELECT placed.px, placed.py, ring, place, ax, ay, bx, by_,
+      least(greatest(((placed.px - ax) * (bx - ax) + (placed.py - ay) * (by_ - ay)) / ((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)), 0e0), 1e0) AS t
+      FROM crossed c JOIN placed ON placed.px = c.px AND placed.py = c.py JOIN seg ON seg.poly_ord = c.poly_ord WHERE c.inside AND (ax <> bx OR ay <> by_)),
+    near AS (SELECT px, py, ax + t * (bx - ax) - px AS dx, ay + t * (by_ - ay) - py AS dy FROM t)
+    SELECT processid, round(sqrt(min(dx * dx + dy * dy)), 9) AS moved FROM located JOIN near ON px = longitude AND py = latitude GROUP BY processid""",
+)
+def _(spark, d):
+    """How far points inside a jagged band move to its nearest coast, in degrees."""
+    kept = located(spark, d).select("processid", "latitude", "longitude", F.col("latitude").alias("la"), F.col("longitude").alias("lo"))
+    moved = geo.classify_coordinates(kept, fx.coasts(spark, d), "snap").where("location_type = 'snapped_to_coast'")
+    dx, dy = F.col("longitude") - F.col("lo"), F.col("latitude") - F.col("la")
+    return moved.select("processid", F.round(F.sqrt(dx * dx + dy * dy), 9).alias("moved"))
+
+
 @query("a14_basin_counts", f"WITH {ANNOT} SELECT ocean_basin AS basin, count(*) AS n FROM ann GROUP BY 1")
 def _(spark, d):
     return geo.basin_counts(basined(spark, d))
