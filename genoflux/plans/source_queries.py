@@ -11,11 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import names, projection
 from ..operators import aggregates, cluster, distance, geo, plotdata, qc, taxonomy, tree
-from ..sources import fasta, sinks, tables
+from ..sources import fasta, shapefile, sinks, tables
 from . import fixtures as fx
-from .queries import ANNOT, CONS, DIAG, ORACLE_SQL, QUERIES, SPEC, annotated, diagnostics, query
+from .queries import ANNOT, CONS, DIAG, LOCATED, ORACLE_SQL, QUERIES, SPEC, annotated, diagnostics, located, query
 from .storage import shared_dir
 
 
@@ -286,3 +286,43 @@ def _(spark, d):
     """Pairs up to the cut alone, as clustering takes them."""
     node = fx.specimens(spark, d).groupBy("aln").agg(F.min("ord").alias("ord"))
     return distance.pairwise(node.select(F.col("ord").cast("string").alias("seq_id"), "ord", "aln"), max_distance=0.02).select("i", "j", "dist")
+
+
+# --- shapefiles and projections -----------------------------------------------------
+
+
+@query("s08_shapefile_basins", ORACLE_SQL["k5_jagged_coasts"])
+def _(spark, d):
+    """The jagged bands written as shapefiles and read back; basins from what was read."""
+    path = _path(spark, "bands")
+    shapefile.write_shapefile(fx.coasts(spark, d).select("rings", "basin_name", "poly_ord").repartitionByRange(3, "poly_ord").sortWithinPartitions("poly_ord"), path)
+    read = shapefile.read_shapefile(spark, path)
+    s = located(spark, d).withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+    polygons = read.select(F.col("attributes")["basin_name"].alias("basin_name"), F.col("attributes")["poly_ord"].cast("int").alias("poly_ord"), "rings")
+    return geo.assign_basins(s, polygons).select("processid", "ocean_basin")
+
+
+_E = "0.08181919084262149e0"
+_PHI = "radians(latitude * 0.9e0)"
+
+
+@query(
+    "s08_reprojected",
+    f"""WITH {LOCATED} SELECT processid, round(6378137e0 * radians(longitude), 3) AS x, round(6378137e0 * (ln(tan(pi() / 4 + {_PHI} / 2)) - {_E} / 2 * ln((1 + {_E} * sin({_PHI})) / (1 - {_E} * sin({_PHI})))), 3) + 0e0 AS y,
+    true AS transverse_ok, true AS mercator_ok, true AS lambert_ok FROM located WHERE latitude IS NOT NULL AND abs(longitude) < 180""",
+)
+def _(spark, d):
+    """Mercator's coordinates (latitudes shrunk to 81 degrees), and whether three projections and their inverses give every coordinate back within 1e-9 degrees."""
+    s = located(spark, d).where("latitude IS NOT NULL AND abs(longitude) < 180").select("processid", F.col("longitude").alias("lon"), (F.col("latitude") * 0.9).alias("lat"))
+    kinds = {
+        "transverse": (projection.Projection("transverse", lon0=3.0, scale=0.9996, east=500000.0), 6.0), "mercator": (projection.Projection("mercator"), 1.0),
+        "lambert": (projection.Projection("lambert", lon0=10.0, lat0=52.0, parallels=(35.0, 65.0), east=4e6, north=2.8e6), 1.0),
+    }
+    out = s
+    for name, (p, shrink) in kinds.items():
+        x, y = projection.from_degrees(F.col("lon") / shrink, F.col("lat"), p)
+        out = out.withColumns({f"{name}_x": x, f"{name}_y": y})
+    for name, (p, shrink) in kinds.items():
+        lon, lat = projection.to_degrees(F.col(f"{name}_x"), F.col(f"{name}_y"), p)
+        out = out.withColumn(f"{name}_ok", (F.abs(lon - F.col("lon") / shrink) < 1e-9) & (F.abs(lat - F.col("lat")) < 1e-9))
+    return out.select("processid", F.round("mercator_x", 3).alias("x"), F.round("mercator_y", 3).alias("y"), *[f"{n}_ok" for n in kinds])
