@@ -18,7 +18,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--output", required=True)
     r.add_argument("--organism")
     r.add_argument("--config")
-    r.add_argument("--polygons")
+    r.add_argument("--polygons", help="GeoJSON, Parquet, or a shapefile (with its projection text)")
+    r.add_argument("--evidence", help="CSV of names by sequence: consensus_group, cluster_seq_sp, cluster_seq_level, cluster_seq_best_identity, cluster_seq_qcov")
     r.add_argument("--clustering-threshold", type=float)
     r.add_argument("--min-identity", type=float)
     r.add_argument("--tie-margin", type=float)
@@ -73,10 +74,11 @@ def main(argv: list[str] | None = None) -> int:
     folder.mkdir(parents=True, exist_ok=True)
     sinks.write_parameters({"organism": organism, **config.to_dict()}, str(folder / f"{names.safe_name(organism)}_parameters.json"))
     polygons = tables.read_polygons(spark, args.polygons) if args.polygons else None
-    found = run(tables.read_specimens(spark, args.input), config, polygons, args.aligned)
+    evidence = tables.read_evidence(spark, args.evidence) if args.evidence else None
+    found = run(tables.read_specimens(spark, args.input), config, polygons, args.aligned, evidence)
     sinks.write_annotated(found["annotated"], str(folder / "annotated"))
     sinks.write_diagnostics(found["diagnostics"], str(folder / "diagnostics"))
-    for name in ("taxonomy", "species_counts", "assignment_summary", "characterisation", "conflicts", "sequence_quality", "basin_summary", "crosstab", "color_map"):
+    for name in ("counters", "taxonomy", "species_counts", "assignment_summary", "characterisation", "conflicts", "sequence_quality", "basin_summary", "crosstab", "color_map"):
         sinks.write_csv(found[name], str(folder / name))
     fasta.write_fasta(found["consensus"].withColumnsRenamed({"consensus_group": "header", "consensus_seq": "seq"}), str(folder / "consensus_fasta"), order="ord")
     # With the FASTA of the consensus, what ``cluster-diagnostics`` needs.

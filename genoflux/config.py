@@ -14,6 +14,12 @@ def _share(name: str, value: float, low_open: bool = False) -> None:
         raise ValueError(f"{name} must be between 0 and 1, got {value}")
 
 
+#: Letters that a sequence has at least, before and after trimming.
+SHORTEST = 100
+
+
+# Fixed values from here on: the names of the settings and their defaults.
+# max_n_content and min_coordinate_precision are kept for files that set them; nothing reads them.
 @dataclass(frozen=True)
 class Dereplication:
     clustering_threshold: float = 0.03
@@ -23,14 +29,21 @@ class Dereplication:
     max_n_content: float = 0.1
     min_post_trim_length: int = 300
     min_consensus_length_ratio: float = 0.75
+    trim_method: str = "gaps"
 
     def __post_init__(self):
-        for k in ("clustering_threshold", "consensus_frequency_cutoff", "max_n_content", "min_consensus_length_ratio"):
+        if not 0 < self.clustering_threshold < 1:
+            raise ValueError(f"clustering_threshold must lie between 0 and 1, got {self.clustering_threshold}")
+        _share("consensus_frequency_cutoff", self.consensus_frequency_cutoff, low_open=True)
+        for k in ("max_n_content", "min_consensus_length_ratio"):
             _share(k, getattr(self, k))
         if self.clustering_method not in ("single", "complete", "average", "weighted", "ward"):
             raise ValueError(f"unknown clustering method {self.clustering_method!r}")
-        if self.min_sequence_length < 1:
-            raise ValueError("min_sequence_length must be positive")
+        if self.trim_method not in ("gaps", "similarity"):
+            raise ValueError(f"unknown trim method {self.trim_method!r}")
+        for k in ("min_sequence_length", "min_post_trim_length"):
+            if getattr(self, k) < SHORTEST:
+                raise ValueError(f"{k} must be at least {SHORTEST}, got {getattr(self, k)}")
 
 
 @dataclass(frozen=True)

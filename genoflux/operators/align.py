@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .assign import align_path
+from . import paths
 
 PIECES = T.StructType([T.StructField("pieces", T.ArrayType(T.StringType())), T.StructField("inserts", T.ArrayType(T.IntegerType()))])
 
@@ -27,8 +27,7 @@ def to_centre(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Dat
 
     for qs, cs in batches:
         rows = []
-        for q, c in zip(qs, cs, strict=True):
-            cigar = align_path(q, c)[4]
+        for q, (*_, cigar) in zip(qs, paths.align(qs.tolist(), cs.tolist()), strict=True):
             pieces, i, held = [], 0, ""
             for run, op in re.findall(r"(\d+)([=XID])", cigar):
                 for _ in range(int(run)):
@@ -58,9 +57,56 @@ def star_align(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.join(rows, F.col(seq) == F.col("q"), "left").drop("q")
 
 
+def _kept(df: DataFrame, columns: DataFrame, aln: str) -> DataFrame:
+    """The alignment with the columns ``k`` alone; their list has an entry a column, not a row."""
+    keep = columns.agg(F.array_sort(F.collect_list("k")).alias("keep"))
+    letters = F.split(aln, "")
+    return df.join(F.broadcast(keep)).withColumn(aln, F.array_join(F.transform(F.arrays_zip(F.col("keep"), F.array_repeat(F.lit(1), F.size("keep"))), lambda s: F.get(letters, s["keep"])), "")).drop("keep")
+
+
 def trim_columns(df: DataFrame, max_gap: float = 0.5, aln: str = "aln") -> DataFrame:
     """Drops alignment columns whose share of gaps exceeds ``max_gap``."""
     cols = df.select(F.posexplode(F.split(aln, "")).alias("k", "c")).groupBy("k").agg(F.avg((F.col("c") == "-").cast("int")).alias("gap"))
-    keep = cols.where(F.col("gap") <= F.lit(max_gap)).agg(F.array_sort(F.collect_list("k")).alias("keep"))
-    letters = F.split(aln, "")
-    return df.join(F.broadcast(keep)).withColumn(aln, F.array_join(F.transform(F.arrays_zip(F.col("keep"), F.array_repeat(F.lit(1), F.size("keep"))), lambda s: F.get(letters, s["keep"])), "")).drop("keep")
+    return _kept(df, cols.where(F.col("gap") <= F.lit(max_gap)), aln)
+
+
+#: Scores are put in so many bins; a cut is sought in the lower half.
+BINS = 100
+
+
+def column_scores(df: DataFrame, aln: str = "aln") -> DataFrame:
+    """k, gap (share of gaps), similarity (share of pairs of rows with the same letter, gaps never the
+    same), score (similarity times the share without gap), bin of each alignment column."""
+    letters = df.select(F.posexplode(F.split(F.upper(aln), "")).alias("k", "c")).groupBy("k", "c").agg(F.count("*").alias("m"))
+    some = F.col("c") != "-"
+    n = F.sum("m").cast("double")
+    same = F.coalesce(F.sum(F.when(some, F.col("m").cast("double") * (F.col("m") - 1))), F.lit(0.0))
+    filled = F.coalesce(F.sum(F.when(some, F.col("m"))), F.lit(0)).cast("double")
+    similarity = F.when(n > 1, same / (n * (n - 1))).otherwise(F.lit(1.0))
+    cols = letters.groupBy("k").agg((1 - filled / n).alias("gap"), similarity.alias("similarity"), (filled / n).alias("__filled"))
+    cols = cols.withColumn("score", F.col("similarity") * F.col("__filled")).drop("__filled")
+    return cols.withColumn("bin", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int"))
+
+
+def trim_similar(df: DataFrame, aln: str = "aln") -> DataFrame:
+    """Drops the columns under a cut that the distribution of the scores decides.
+
+    The cut parts the columns to two classes with the largest variance between them (Otsu), and is
+    sought in the lower half alone: an alignment whose columns all score over one half stays whole.
+    """
+    cols = column_scores(df, aln)
+    return _kept(df, cols.join(F.broadcast(score_cut(cols))).where("bin >= cut"), aln)
+
+
+def score_cut(cols: DataFrame) -> DataFrame:
+    """One row: the lowest bin that is kept."""
+    # A row for each bin, so the window sees BINS rows at most.
+    by_bin = cols.groupBy("bin").agg(F.count("*").cast("double").alias("n"), F.sum("bin").cast("double").alias("s"))
+    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parted = by_bin.select("bin", F.sum("n").over(below).alias("n0"), F.sum("s").over(below).alias("s0"), F.sum("n").over(whole).alias("n"), F.sum("s").over(whole).alias("s"))
+    n1, apart = F.col("n") - F.col("n0"), F.col("s0") * (F.col("n") - F.col("n0")) - (F.col("s") - F.col("s0")) * F.col("n0")
+    between = parted.where(F.col("n0").isNotNull()).select("bin", (apart * apart / (F.col("n0") * n1)).alias("v"))
+    # Only columns that score under one half can go.
+    good = between.where((F.col("bin") <= BINS // 2) & (F.col("v") > 0))
+    return good.agg(F.coalesce(F.max_by("bin", F.struct("v", -F.col("bin"))), F.lit(0)).alias("cut"))

@@ -128,5 +128,24 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def unique(df: DataFrame, key: str, what: str) -> DataFrame:
+    """The same rows; a key that repeats fails the job that reads them (J4-J6: joins to one row).
+
+    The check is part of the plan: rows are grouped by the key that the join deals them by anyway.
+    """
+    rest = [c for c in df.columns if c != key]
+    one = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+    bad = F.raise_error(F.concat(F.lit(f"{what} repeats {key} "), F.col(key).cast("string"))).cast(one.schema["__row"].dataType)
+    checked = one.select(key, F.when(F.col("__n") > 1, bad).otherwise(F.col("__row")).alias("__row"))
+    return checked.select(key, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+
+
+def counters(df: DataFrame) -> list[Column]:
+    """What ``data_quality`` counts, for an observation of a specimen table."""
+    empty = lambda c: F.coalesce(sequence.stripped(F.col(c)), F.lit("")) == "" if c in df.columns else F.lit(True)
+    centroid = F.lower("coord_source").contains("centroid") if "coord_source" in df.columns else F.lit(False)
+    return [F.count("*").alias("n_records"), F.count_if(~empty("nuc")).alias("n_with_sequence"), F.count_if(~empty("coord")).alias("n_with_coordinates"), F.count_if(centroid).alias("n_centroids")]
+
+
 def count_valid(seq: Column) -> Column:
     return F.count_if(sequence.invalid_reason(seq).isNull())

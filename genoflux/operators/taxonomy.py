@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence
+from .qc import unique
 
 
 def normalised(df: DataFrame, species: str = "species", genus: str = "genus") -> DataFrame:
@@ -81,11 +82,9 @@ def with_evidence(voted: DataFrame, evidence: DataFrame, **thresholds: float) ->
     """The vote's table joined with sequence-based names (consensus_group, cluster_sp,
     cluster_level, identity_pct, query_cov_pct): final_taxon, final_level, provenance.
 
-    Repeated groups in ``evidence`` are an error; groups without evidence keep the vote.
+    Repeated groups in ``evidence`` fail the job; groups without evidence keep the vote.
     """
-    if evidence.groupBy("consensus_group").count().where("count > 1").limit(1).count():
-        raise ValueError("evidence has repeated groups")
-    joined_rows = voted.join(evidence, "consensus_group", "left")
+    joined_rows = voted.join(unique(evidence, "consensus_group", "evidence"), "consensus_group", "left")
     final = final_taxon(*map(F.col, ("cluster_sp", "cluster_level", "identity_pct", "query_cov_pct", "assigned_sp", "assignment_level", "majority_fraction")), **thresholds)
     out = joined_rows.withColumn("__f", final)
     return out.withColumns({"final_taxon": F.col("__f.taxon"), "final_level": F.col("__f.level"), "provenance": F.col("__f.provenance")}).drop("__f", *[c for c in evidence.columns if c != "consensus_group"])
@@ -97,7 +96,5 @@ def conflict(level: Column, species: Column, genus: Column, assigned_sp: Column)
 
 
 def joined(annotated: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Many specimens to one taxonomy row; repeated groups on the right are an error."""
-    if taxonomy.groupBy("consensus_group").count().where("count > 1").limit(1).count():
-        raise ValueError("taxonomy has repeated groups")
-    return annotated.join(taxonomy, "consensus_group", "left")
+    """Many specimens to one taxonomy row; repeated groups on the right fail the job."""
+    return annotated.join(unique(taxonomy, "consensus_group", "taxonomy"), "consensus_group", "left")

@@ -6,7 +6,7 @@ distances, diagnostics) are written once to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -21,7 +21,7 @@ def dereplicate(sequences: DataFrame, config: Config, aligned: bool = False) ->
     d = config.dereplication
     valid = sequences.where(sequence.invalid_reason(F.col("nuc"), d.min_sequence_length).isNull())
     rows = valid.select("processid", F.upper(sequence.stripped(F.col("nuc"))).alias("seq"), "ord")
-    laid = rows.withColumn("aln", F.col("seq")) if aligned else align.trim_columns(align.star_align(rows))
+    laid = rows.withColumn("aln", F.col("seq")) if aligned else {"gaps": align.trim_columns, "similarity": align.trim_similar}[d.trim_method](align.star_align(rows))
     laid = materialize(qc.filter_ungapped(laid, min(d.min_post_trim_length, d.min_sequence_length)), "aligned")
     # Equal aligned sequences are one node; the first stands for all.
     node = laid.groupBy("aln").agg(F.min("ord").alias("node"))
@@ -33,13 +33,30 @@ def dereplicate(sequences: DataFrame, config: Config, aligned: bool = False) ->
     return materialize(found.withColumn("ord", F.col("cluster_id").cast("bigint")), "consensus"), labelled
 
 
-def run(specimens: DataFrame, config: Config | None = None, polygons: DataFrame | None = None, aligned: bool = False) -> dict[str, DataFrame]:
-    """Tables by name. ``specimens``: processid, nuc, ord and whatever else there is."""
+def counted(spark: SparkSession, read: Observation, first: Observation, kept: Observation) -> DataFrame:
+    """A1 and the counters of a run, from observations of its first job: no scan of their own."""
+    r, n = read.get, first.get["n"]
+    row = {
+        "n_records": r["n_records"], "n_processids": n, "n_with_sequence": r["n_with_sequence"], "n_without_sequence": r["n_records"] - r["n_with_sequence"], "n_with_coordinates": r["n_with_coordinates"],
+        "n_without_coordinates": r["n_records"] - r["n_with_coordinates"], "n_centroids": r["n_centroids"], "n_duplicates": r["n_records"] - n, "n_filtered": n - kept.get["n"], "n_kept": kept.get["n"],
+    }
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} bigint" for k in row))
+
+
+def run(specimens: DataFrame, config: Config | None = None, polygons: DataFrame | None = None, aligned: bool = False, evidence: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables by name. ``specimens``: processid, nuc, ord and whatever else there is.
+
+    ``evidence`` (J5): names found by the sequences of the genotypes (consensus_group, cluster_sp,
+    cluster_level, identity_pct, query_cov_pct), which decide the final name and label with the vote.
+    """
     config = config or Config()
-    first = qc.keep_first(qc.require_columns(specimens, ["processid", "nuc", "ord"]), "processid")
+    given = qc.require_columns(specimens, ["processid", "nuc", "ord"])
+    read, unlike, left = Observation(), Observation(), Observation()
+    first = qc.keep_first(given.observe(read, *qc.counters(given)), "processid").observe(unlike, F.count("*").alias("n"))
     g = config.geographic
     located = qc.with_coordinates(first)
-    kept = materialize(qc.filter_coordinates(located, g.exclude_centroids, g.exclude_zero_coords, g.exclude_missing), "specimens")
+    kept = materialize(qc.filter_coordinates(located, g.exclude_centroids, g.exclude_zero_coords, g.exclude_missing).observe(left, F.count("*").alias("n")), "specimens")
+    counters = counted(specimens.sparkSession, read, unlike, left)
     if polygons is not None and "coord" in kept.columns:
         kept = geo.assign_basins(kept.withColumnsRenamed({"latitude": "lat", "longitude": "lon"}), polygons)
     else:
@@ -48,14 +65,21 @@ def run(specimens: DataFrame, config: Config | None = None, polygons: DataFrame
     a = config.genotype_assignment
     base = materialize(assign.assign(kept, cons, a.min_identity, a.identity_method, a.tie_margin, a.tie_threshold), "diagnostics")
     diagnostics = materialize(assign.renamed_counts(base), "diagnostics")
-    grouped = kept.join(diagnostics.select("processid", "consensus_group"), "processid")
-    voted = materialize(taxonomy.labelled(taxonomy.vote(grouped, config.taxonomy.majority_species_threshold)), "taxonomy")
+    # One specimen to one assignment, checked in the plan.
+    grouped = kept.join(qc.unique(diagnostics.select("processid", "consensus_group"), "processid", "diagnostics"), "processid")
+    voted = taxonomy.labelled(taxonomy.vote(grouped, config.taxonomy.majority_species_threshold))
+    if evidence is not None:
+        t = config.taxonomy
+        known = taxonomy.with_evidence(voted, evidence, min_identity_pct=t.min_identity_pct, min_query_cov_pct=t.min_query_cov_pct, majority_threshold=t.majority_species_threshold)
+        known = known.withColumnsRenamed({"final_taxon": "final_group_sp", "final_level": "final_group_level", "provenance": "tax_provenance"})
+        voted = known.withColumn("consensus_group_sp", sequence.species_label(F.col("final_group_sp"), F.col("consensus_group")))
+    voted = materialize(voted, "taxonomy")
     annotated = taxonomy.joined(grouped, voted)
     annotated = materialize(
         annotated.withColumn("taxonomy_conflict", taxonomy.conflict(F.col("assignment_level"), F.col("species"), F.col("genus"), F.col("assigned_sp"))), "annotated"
     )
     return {
-        "annotated": annotated, "diagnostics": diagnostics, "consensus": cons, "labels": labels, "taxonomy": voted,
+        "counters": counters, "annotated": annotated, "diagnostics": diagnostics, "consensus": cons, "labels": labels, "taxonomy": voted,
         "species_counts": taxonomy.species_counts(taxonomy.normalised(grouped)),
         "assignment_summary": aggregates.assignment_summary(annotated, diagnostics), "characterisation": aggregates.characterisation(annotated, diagnostics),
         "conflicts": aggregates.conflict_report(annotated, diagnostics), "sequence_quality": aggregates.sequence_quality(annotated),

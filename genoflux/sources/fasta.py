@@ -1,4 +1,4 @@
-"""FASTA as a Spark data source, read in byte ranges, and FASTA text written by Spark.
+"""FASTA as a Spark data source, read in byte ranges and written by tasks with a manifest.
 
 The data source splits large files into ranges; a range owns the records whose '>'
 lies in it, so a record is read by one task wherever it ends. It opens files through
@@ -9,11 +9,14 @@ Spark's own text reader instead.
 from __future__ import annotations
 
 import io
+import json
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 
 def read_fasta(spark: SparkSession, path: str, allow_empty: bool = False) -> DataFrame:
@@ -50,7 +53,10 @@ def fasta_lines(df: DataFrame, header: str = "header", seq: str = "seq", width:
 
 
 def write_fasta(df: DataFrame, path: str, order: str | None = None, width: int = 80) -> None:
-    fasta_lines(df.orderBy(order) if order else df, width=width).write.text(path)
+    """A folder of parts in the order of ``order``, by the data source's writer."""
+    register(df.sparkSession)
+    rows = df.select("header", "seq") if order is None else df.repartitionByRange(order).sortWithinPartitions(order).select("header", "seq")
+    rows.write.format("fasta").mode("append").option("width", width).save(path)
 
 
 def _store(path: str):
@@ -105,8 +111,63 @@ class _Reader(DataSourceReader):
                 yield header, "".join(lines), at
 
 
+@dataclass
+class _Part(WriterCommitMessage):
+    number: int
+    name: str
+    records: int
+    size: int
+
+
+class _Writer(DataSourceWriter):
+    """Rows (header, seq) to a part for each task, under a name that starts with a dot until
+    all tasks have ended. A repeated task writes a file of its own; only the one whose message
+    the driver got is named. The manifest has the place of each part in the whole text, so
+    parts put together in its order are the file in the order of the rows."""
+
+    def __init__(self, path: str, width: int):
+        self.path, self.width = path, width
+
+    def write(self, rows: Iterator) -> _Part:
+        from pyspark import TaskContext
+
+        store, folder = _store(self.path)
+        store.create_dir(folder, recursive=True)
+        number = TaskContext.get().partitionId()
+        name, records, size = f"part-{number:05d}-{uuid.uuid4().hex[:12]}.fasta", 0, 0
+        with store.open_output_stream(f"{folder}/.{name}") as f:
+            for row in rows:
+                seq = row["seq"] or ""
+                lines = [seq[i : i + self.width] for i in range(0, len(seq), self.width)] if self.width else [seq]
+                text = ">" + (row["header"] or "") + "\n" + "\n".join(lines) + "\n"
+                size += f.write(text.encode())
+                records += 1
+        return _Part(number, name, records, size)
+
+    def commit(self, messages: list) -> None:
+        store, folder = _store(self.path)
+        parts, at = [], 0
+        for m in sorted((m for m in messages if m), key=lambda m: m.number):
+            if m.records:
+                store.move(f"{folder}/.{m.name}", f"{folder}/{m.name}")
+                parts.append({"file": m.name, "offset": at, "bytes": m.size, "records": m.records})
+                at += m.size
+            else:
+                store.delete_file(f"{folder}/.{m.name}")
+        store.create_dir(folder, recursive=True)
+        with store.open_output_stream(f"{folder}/_manifest-{uuid.uuid4().hex[:12]}.json") as f:
+            f.write(json.dumps({"bytes": at, "parts": parts}).encode())
+
+    def abort(self, messages: list) -> None:
+        store, folder = _store(self.path)
+        for m in messages:
+            if m:
+                store.delete_file(f"{folder}/.{m.name}")
+
+
 class FastaSource(DataSource):
-    """``spark.read.format("fasta").option("path", ...)``: header, seq, ord (by file and byte offset)."""
+    """``spark.read.format("fasta").option("path", ...)``: header, seq, ord (by file and byte offset).
+    Writing takes header and seq, and the option ``width`` (letters of a line, 0: one line)."""
 
     @classmethod
     def name(cls) -> str:
@@ -118,6 +179,9 @@ class FastaSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options["path"], int(self.options.get("rangeBytes", 64 << 20)))
 
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _Writer(self.options["path"], int(self.options.get("width", 80)))
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FastaSource)

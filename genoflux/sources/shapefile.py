@@ -242,7 +242,7 @@ def write_shapefile(df: DataFrame, path: str) -> None:
 def read_shapefile(spark: SparkSession, path: str, projected: projection.Projection | None = None) -> DataFrame:
     """basin_name, poly_ord, rings in degrees and their bounds, attributes.
 
-    The name is the first known attribute, else the first of all. A projection text beside the
+    The name is the first known attribute that the file has, else its first. A projection text beside the
     file (.prj) or ``projected`` tells how coordinates become degrees.
     """
     spark.dataSource.register(ShapefileSource)
@@ -254,7 +254,9 @@ def read_shapefile(spark: SparkSession, path: str, projected: projection.Project
         except Exception as error:  # a file without a projection text is in degrees
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-    names = [F.col("attributes")[n] for n in NAME_COLUMNS]
+    named = F.get(F.map_values("attributes"), 0)
+    for n in reversed(NAME_COLUMNS):
+        named = F.when(F.map_contains_key("attributes", n), F.col("attributes")[n]).otherwise(named)
     rings = F.col("rings")
     if projected is not None and projected.kind != "degrees":
 
@@ -263,5 +265,4 @@ def read_shapefile(spark: SparkSession, path: str, projected: projection.Project
             return F.struct(lon.alias("x"), lat.alias("y"))
 
         rings = F.transform("rings", lambda r: F.transform(r, degrees))
-    named = F.coalesce(*names, F.get(F.map_values("attributes"), 0))
     return with_bounds(raw.select(named.alias("basin_name"), F.col("ord").alias("poly_ord"), "part", rings.alias("rings"), "attributes"))

@@ -20,18 +20,22 @@ def na_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(f"`{c}`").isin(NA_TEXTS), F.col(f"`{c}`")).alias(c) if kind == "string" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
-def _utf8(spark: SparkSession, path: str) -> bool:
-    """Whether every line decodes as UTF-8 (checked on the executors)."""
-    bad = spark.read.text(path).where(~F.is_valid_utf8("value"))
-    return bad.limit(1).count() == 0
+def _kind(spark: SparkSession, path: str) -> tuple[bool, bool]:
+    """Whether every line decodes as UTF-8, and whether a line leaves a quote open, which the next then
+    continues (one scan on the executors)."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value")), F.bool_or(quotes % 2 == 1)).first()
+    return found[0] is not False, bool(found[1])
 
 
 def read_specimens(spark: SparkSession, path: str, required: tuple[str, ...] = ("processid", "nuc"), encoding: str | None = None, sep: str = "\t") -> DataFrame:
     """Every column as text, missing values null, the first row of each
     processid kept, and only then white space stripped. ``ord`` numbers the rows
-    in file order. Falls back to Latin-1 where the file is not UTF-8."""
-    encoding = encoding or ("UTF-8" if _utf8(spark, path) else "ISO-8859-1")
-    raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, encoding=encoding, multiLine=False, quote='"', escape='"')
+    in file order. Falls back to Latin-1 where the file is not UTF-8. A quoted field may
+    hold line breaks; a file with such fields is read file by file, others in ranges."""
+    utf8, broken = _kind(spark, path)
+    encoding = encoding or ("UTF-8" if utf8 else "ISO-8859-1")
+    raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, encoding=encoding, multiLine=broken, quote='"', escape='"')
     if not raw.columns:
         raise ValueError(f"{path} is empty")
     require_columns(raw, list(required))
@@ -75,11 +79,24 @@ def read_consensus(spark: SparkSession, fasta_path: str, metadata_path: str) ->
 NAME_COLUMNS = ("name", "NAME", "basin", "BASIN", "ocean", "OCEAN", "area_name", "AREA_NAME", "region", "REGION")
 
 
+def read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    """Names of genotypes by their sequences, as ``taxonomy.with_evidence`` takes them."""
+    raw = na_to_null(spark.read.csv(path, header=True))
+    number = lambda c: F.col(c).try_cast("double")
+    return raw.select(
+        "consensus_group", F.col("cluster_seq_sp").alias("cluster_sp"), F.col("cluster_seq_level").alias("cluster_level"), number("cluster_seq_best_identity").alias("identity_pct"), number("cluster_seq_qcov").alias("query_cov_pct")
+    )
+
+
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with rings, or GeoJSON features (Polygon and MultiPolygon).
+    """Parquet with rings, GeoJSON features (Polygon and MultiPolygon), or a shapefile.
 
     The name is the first known name property. Multi-polygons become one row per part.
     """
+    if path.endswith(".shp"):
+        from .shapefile import read_shapefile
+
+        return read_shapefile(spark, path)
     if path.endswith((".json", ".geojson")):
         text = spark.read.text(path, wholetext=True)
         point = "array<double>"
