@@ -104,9 +104,9 @@ def score_cut(cols: DataFrame) -> DataFrame:
     by_bin = cols.groupBy("bin").agg(F.count("*").cast("double").alias("n"), F.sum("bin").cast("double").alias("s"))
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parted = by_bin.select("bin", F.sum("n").over(below).alias("n0"), F.sum("s").over(below).alias("s0"), F.sum("n").over(whole).alias("n"), F.sum("s").over(whole).alias("s"))
+    parted = by_bin.select("bin", F.max("bin").over(below).alias("last"), F.sum("n").over(below).alias("n0"), F.sum("s").over(below).alias("s0"), F.sum("n").over(whole).alias("n"), F.sum("s").over(whole).alias("s"))
     n1, apart = F.col("n") - F.col("n0"), F.col("s0") * (F.col("n") - F.col("n0")) - (F.col("s") - F.col("s0")) * F.col("n0")
-    between = parted.where(F.col("n0").isNotNull()).select("bin", (apart * apart / (F.col("n0") * n1)).alias("v"))
+    between = parted.where(F.col("n0").isNotNull()).select("bin", "last", (apart * apart / (F.col("n0") * n1)).alias("v"))
     # Only columns that score under one half can go.
-    good = between.where((F.col("bin") <= BINS // 2) & (F.col("v") > 0))
+    good = between.where((F.col("last") < BINS // 2) & (F.col("v") > 0))
     return good.agg(F.coalesce(F.max_by("bin", F.struct("v", -F.col("bin"))), F.lit(0)).alias("cut"))

@@ -72,8 +72,8 @@ def test_repeated_keys_fail_the_job(spark):
 
 def test_run_with_evidence_and_counters(spark):
     a, b = "ACGTTGCA" * 20, "TTGACCAT" * 20
-    rows = [(f"p{i}", a if i < 6 else b, "[1.0, 2.0]" if i % 2 else None, "GPS" if i != 3 else "Country Centroid", "X y" if i < 6 else "Z w", i) for i in range(10)] + [("p0", b, None, "GPS", "X y", 10), ("p20", None, None, "GPS", "X y", 11)]
-    df = spark.createDataFrame(rows, "processid string, nuc string, coord string, coord_source string, species string, ord int")
+    rows = [(f"p{i}", a if i < 6 else b, "[1.0, 2.0]" if i % 2 else None, "GPS" if i != 3 else "Country Centroid", "X y" if i < 6 else "Z w", "X" if i < 6 else "Z", i) for i in range(10)] + [("p0", b, None, "GPS", "X y", "X", 10), ("p20", None, None, "GPS", "X y", "X", 11)]
+    df = spark.createDataFrame(rows, "processid string, nuc string, coord string, coord_source string, species string, genus string, ord int")
     config = Config().update(dereplication__min_sequence_length=100, dereplication__min_post_trim_length=100, geographic__exclude_missing=False, geographic__exclude_centroids=False)
     plain = run(df, config, aligned=True)
     assert plain["counters"].first().asDict() == {
