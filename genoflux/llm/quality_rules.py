@@ -3,14 +3,16 @@
 Per document: counts of words, word characters, symbols, repeated lines and
 words in repeated three-word windows. The base rule rejects short and highly
 repetitive texts. The method adds cutoffs on four ratios, chosen per stratum
-(language) from labelled documents. A document goes if any of the ratios is over its
-cutoff, so each ratio gets an equal share of ``RISK``: a cutoff is admissible if an
-exact binomial test shows that it rejects more than that share of the accepted
-documents of its stratum with probability at most ``DELTA`` over all tests together
-(Bonferroni over strata, ratios and grid points). Then, with probability 1 - ``DELTA``,
-the cutoffs of every stratum together reject at most ``RISK`` of its accepted documents.
-Of a ratio's admissible cutoffs the strictest is taken; strata with too few labels
-admit none and reject nothing.
+(language) from labelled documents. The cutoffs of all ratios together go along one path of
+LEVELS, each stricter than the one before; a document goes if any ratio is over its cutoff of
+the stratum's level. A level is tested by the exact binomial bound: it is admitted if, were its
+rule to reject more than ``RISK`` of the accepted documents of the stratum, so few
+rejected labelled ones would have at most the chance ``DELTA`` / strata. The levels of a
+stratum are tested in their fixed order up to the first that fails, so they need no
+correction among themselves; the strata are corrected for each other (Bonferroni). Then, with
+probability 1 - ``DELTA``, the rules of all strata together reject at most ``RISK`` of the accepted
+documents of each. A stratum needs some 220 accepted labelled documents (with four strata) before
+any level can be admitted; those with fewer reject nothing beyond the base rule.
 
 The binomial tail P(X <= k) of a share of RISK is summed in logarithms by its
 recurrence, so it neither under- nor overflows at any n.
@@ -41,17 +43,17 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 WIDTH = 3
 
 RISK, DELTA = 0.02, 0.05
-#: Ratio (numerator, denominator) and its grid of cutoffs in thousandths: a
-#: document is rejected if 1000 * numerator > cutoff * denominator.
+#: Ratio (numerator, denominator) and its cutoffs in thousandths, a level each, loosest
+#: first: a document is over one if 1000 * numerator > cutoff * denominator.
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", [10, 20, 40, 60, 80, 100, 150, 200]),
-    "lines": ("n_dup_lines", "n_lines", [50, 100, 200, 300, 400, 500]),
-    "repeats": ("n_repeat_words", "n_words", [50, 100, 150, 200, 300, 400]),
-    "long_words": ("word_chars", "n_words", [6000, 7000, 8000, 9000, 10000, 12000]),
+    "symbols": ("n_symbols", "word_chars", [200, 150, 100, 80, 60, 40, 20, 10]),
+    "lines": ("n_dup_lines", "n_lines", [500, 450, 400, 350, 300, 250, 200, 150]),
+    "repeats": ("n_repeat_words", "n_words", [400, 300, 200, 150, 100, 75, 50, 30]),
+    "long_words": ("word_chars", "n_words", [12000, 11000, 10000, 9000, 8000, 7500, 7000, 6500]),
 }
-#: Any one ratio may reject this share of a stratum's accepted documents.
-RISK_EACH = RISK / len(RATIOS)
-TESTS_PER_STRATUM = sum(len(r[2]) for r in RATIOS.values())
+LEVELS = 8
+#: Strata that are broadcast at most; more are dealt with the documents to so many parts each.
+STRATA, SALTS = 10_000, 64
 
 _POSITION_BITS = 20
 
@@ -132,7 +134,7 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def binomial_tail(k: Column, n: Column, p: float = RISK_EACH) -> Column:
+def binomial_tail(k: Column, n: Column, p: float = RISK) -> Column:
     """P(X <= k) for X ~ Bin(n, p), summed in logarithms."""
     odds = math.log(p / (1 - p))
     step = lambda acc, j: F.struct(
@@ -146,43 +148,45 @@ def binomial_tail(k: Column, n: Column, p: float = RISK_EACH) -> Column:
     return F.when(k > 0, F.least(tail, F.lit(1.0))).otherwise(F.exp(first))
 
 
-def exceeds(ratio: str, cutoff: Column) -> Column:
-    top, bottom, _ = RATIOS[ratio]
-    return F.lit(1000) * F.col(top) > cutoff * F.col(bottom)
+def over(level: int) -> Column:
+    """Whether any ratio is over its cutoff of a level (from 1)."""
+    out = F.lit(False)
+    for top, bottom, grid in RATIOS.values():
+        out = out | F.coalesce(F.lit(1000) * F.col(top) > F.lit(grid[level - 1]) * F.col(bottom), F.lit(False))
+    return out
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
-    """stratum and one column per ratio: the strictest admissible cutoff, or null.
-
-    One pass: per stratum, the number of accepted labelled documents and, for
-    every grid point, how many of them it would reject.
+    """Written strata (__stratum) with the strictest admitted level (0: none), the accepted
+    labelled documents behind it (n), and how many of them each level rejects.
     """
     accepted = (
         labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("lo")).where("lo = 1").select("doc_id")
     )
     good = counted.where(~F.col("base_failed")).join(accepted, "doc_id", "left_semi").groupBy(F.col(stratum).alias("__stratum"))
-    falsely = [
-        F.sum(exceeds(r, F.lit(c)).cast("int")).cast("int").alias(f"{r}_{c}") for r, (_, _, grid) in RATIOS.items() for c in grid
-    ]
-    rejected = materialize(good.agg(F.count("*").cast("int").alias("n"), *falsely), "strata")
+    rejected = materialize(good.agg(F.count("*").cast("int").alias("n"), *[F.count_if(over(t)).cast("int").alias(f"k{t}") for t in range(1, LEVELS + 1)]), "strata")
     # The correction counts every stratum that is tested.
-    level = F.lit(DELTA) / F.lit(max(rejected.count(), 1) * float(TESTS_PER_STRATUM))
-
-    def strictest(r: str) -> Column:
-        grid = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{r}_{c}").alias("k")) for c in sorted(RATIOS[r][2])])
-        fine = F.filter(grid, lambda g: binomial_tail(g["k"], F.col("n")) <= F.col("__level"))
-        return F.try_element_at(fine, F.lit(1))["c"].alias(f"__cut_{r}")
-
-    return rejected.withColumn("__level", level).select("__stratum", *[strictest(r) for r in RATIOS])
+    alpha = F.lit(DELTA / max(rejected.count(), 1))
+    level = F.lit(LEVELS)
+    for t in range(LEVELS, 0, -1):
+        level = F.when(binomial_tail(F.col(f"k{t}"), F.col("n")) > alpha, F.lit(t - 1)).otherwise(level)
+    return materialize(rejected.withColumn("level", level), "strata")
 
 
 def judged(counted: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
-    """Adds ``kept``: passes the base rule and every cutoff of its stratum."""
-    joined = counted.join(chosen, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
-    over = F.lit(False)
-    for r in RATIOS:
-        over = over | F.coalesce(exceeds(r, F.col(f"__cut_{r}")), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~over)
+    """Adds ``kept``: passes the base rule and the rule of its stratum's level."""
+    acting = chosen.where("level > 0").select("__stratum", F.col("level").alias("__level"))
+    same = F.col(stratum).eqNullSafe(F.col("__stratum"))
+    if acting.count() <= STRATA:
+        joined = counted.join(F.broadcast(acting), same, "left")
+    else:
+        dealt = counted.withColumn("__part", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)))
+        parts = acting.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        joined = dealt.join(parts, same & (F.col("__part") == F.col("__salt")), "left")
+    gone = F.lit(False)
+    for t in range(1, LEVELS + 1):
+        gone = gone | (F.coalesce(F.col("__level") == t, F.lit(False)) & over(t))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~gone)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,20 +199,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    falsely = ", ".join(
-        f"count(*) FILTER (1000 * {t} > {c} * {b}) AS {r}_{c}" for r, (t, b, grid) in RATIOS.items() for c in grid
-    )
+    rule = {t: " OR ".join(f"coalesce(1000 * {top} > {grid[t - 1]} * {bottom}, false)" for top, bottom, grid in RATIOS.values()) for t in range(1, LEVELS + 1)}
+    counts = ", ".join(f"count(*) FILTER ({r}) AS k{t}" for t, r in rule.items())
     tail = (
-        f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK_EACH}::DOUBLE) + (n - j) * ln(1 - {RISK_EACH}::DOUBLE)))"
-        " FROM unnest(range(0, {k} + 1)) AS q(j))"
-    )
-    chosen = ", ".join(
-        "least("
-        + ", ".join(f"CASE WHEN {tail.format(k=f'{r}_{c}')} <= {DELTA}::DOUBLE / (s * {TESTS_PER_STRATUM}) THEN {c} END" for c in grid)
-        + f") AS cut_{r}"
-        for r, (_, _, grid) in RATIOS.items()
+        f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}::DOUBLE) + (n - j) * ln(1 - {RISK}::DOUBLE)))"
+        " FROM unnest(range(0, k{t} + 1)) AS q(j))"
     )
-    over = " OR ".join(f"coalesce(1000 * {t} > cut_{r} * {b}, false)" for r, (t, b, _) in RATIOS.items())
+    level = "CASE " + " ".join(f"WHEN {tail.format(t=t)} > {DELTA}::DOUBLE / s THEN {t - 1}" for t in rule) + f" ELSE {LEVELS} END"
+    gone = " OR ".join(f"(level = {t} AND ({r}))" for t, r in rule.items())
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS u, doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT u, doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -223,10 +221,10 @@ c AS (
   FROM w LEFT JOIN cov ON cov.u = w.u),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c),
 ok AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-g AS (SELECT lang, count(*) AS n, {falsely} FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM ok) GROUP BY lang),
+g AS (SELECT lang, count(*) AS n, {counts} FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM ok) GROUP BY lang),
 s AS (SELECT g.*, (SELECT count(*) FROM g) AS s FROM g),
-cut AS (SELECT lang, {chosen} FROM s)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept
+cut AS (SELECT lang, {level} AS level FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({gone}, false) AS kept
 FROM b LEFT JOIN cut ON cut.lang IS NOT DISTINCT FROM b.lang
 """
 

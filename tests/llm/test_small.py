@@ -278,15 +278,50 @@ def test_binomial_tail(spark):
             assert 0 <= p < 1e-50
 
 
-def test_cutoffs_keep_their_promise(spark):
-    rows = [(i, prose(80) + (" ###" * 3 if i % 400 == 0 else ""), "en") for i in range(1200)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, __lang string")
-    labels = spark.createDataFrame([(i, 1) for i in range(1200)], "doc_id bigint, quality int")
-    counted = quality_rules.with_counts(df)
-    out = quality_rules.judged(counted, quality_rules.cutoffs(counted, labels, "__lang"), "__lang").where("NOT base_failed")
-    assert out.where("NOT kept").count() <= 0.02 * out.count()
-    none = quality_rules.cutoffs(counted, labels.limit(0), "__lang")
-    assert quality_rules.judged(counted, none, "__lang").where("NOT base_failed AND NOT kept").count() == 0
+def planted_quality(seed, n, lang):
+    """Counts of accepted texts whose ratios are small but for a few, and of rejected ones with large ratios."""
+    r = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        bad, odd = i % 5 == 0, r.random() < 0.03
+        share = r.uniform(0.05, 0.4) if bad else r.uniform(0.02, 0.12) if odd else r.uniform(0, 0.015)
+        rows.append((seed * 10**6 + i, lang, 100, 500, int(500 * share), 20, 0, int(100 * share), False, 0 if bad else 1))
+    return rows
+
+
+COUNTED = "doc_id bigint, __lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, quality int"
+
+
+@pytest.mark.parametrize("strata", [10_000, 0])
+def test_cutoffs_act_and_keep_their_promise(spark, monkeypatch, strata):
+    """Levels are admitted in large strata, reject junk, and reject few accepted rows that they never saw."""
+    monkeypatch.setattr(quality_rules, "STRATA", strata)
+    df = spark.createDataFrame(planted_quality(1, 2500, "en") + planted_quality(2, 2500, None) + planted_quality(3, 200, "fr"), COUNTED)
+    chosen = quality_rules.cutoffs(df.drop("quality"), df.select("doc_id", "quality"), "__lang")
+    levels = {r["__stratum"]: r["level"] for r in chosen.collect()}
+    assert levels["en"] >= 3 and levels[None] >= 3 and levels["fr"] == 0
+    fresh = spark.createDataFrame(planted_quality(4, 5000, "en") + planted_quality(5, 5000, None) + planted_quality(6, 500, "fr"), COUNTED)
+    out = quality_rules.judged(fresh, chosen, "__lang").groupBy("__lang", "quality").agg(F.avg((~F.col("kept")).cast("int")).alias("gone"), F.count("*").alias("n")).collect()
+    gone = {(r["__lang"], r["quality"]): r["gone"] for r in out}
+    assert sum(r["n"] for r in out) == 10_500
+    assert 0 < gone["en", 1] <= quality_rules.RISK and 0 < gone[None, 1] <= quality_rules.RISK
+    assert gone["en", 0] > 0.6 and gone[None, 0] > 0.6 and gone["fr", 0] == gone["fr", 1] == 0
+    none = quality_rules.cutoffs(df, df.select("doc_id", "quality").limit(0), "__lang")
+    assert quality_rules.judged(df, none, "__lang").where("NOT kept").count() == 0
+
+
+def test_levels_are_tested_in_their_order(spark):
+    """The first level that fails ends the path, though a later one might pass; the bound is exact."""
+    from math import comb
+
+    for k, passes in ((0, True), (1, True), (2, False)):
+        n = 300
+        rows = [(i, "en", 100, 500, 110 if i < k else 0, 20, 0, 0, False, 1) for i in range(n)]
+        df = spark.createDataFrame(rows, COUNTED)
+        level = quality_rules.cutoffs(df, df.select("doc_id", "quality"), "__lang").first()["level"]
+        tail = sum(comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1))
+        assert (tail <= quality_rules.DELTA) == passes and level == (quality_rules.LEVELS if passes else 0)
+    assert all(len(grid) == quality_rules.LEVELS and grid == sorted(grid, reverse=True) for *_, grid in quality_rules.RATIOS.values())
 
 
 def test_ranking_learns(spark):
