@@ -29,6 +29,7 @@ class Dereplication:
     max_n_content: float = 0.1
     min_post_trim_length: int = 300
     min_consensus_length_ratio: float = 0.75
+    align_method: str = "star"
     trim_method: str = "gaps"
 
     def __post_init__(self):
@@ -39,6 +40,8 @@ class Dereplication:
             _share(k, getattr(self, k))
         if self.clustering_method not in ("single", "complete", "average", "weighted", "ward"):
             raise ValueError(f"unknown clustering method {self.clustering_method!r}")
+        if self.align_method not in ("star", "progressive"):
+            raise ValueError(f"unknown alignment method {self.align_method!r}")
         if self.trim_method not in ("gaps", "similarity"):
             raise ValueError(f"unknown trim method {self.trim_method!r}")
         for k in ("min_sequence_length", "min_post_trim_length"):

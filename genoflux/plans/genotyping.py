@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import sequence
-from ..operators import aggregates, align, assign, cluster, consensus, geo, plotdata, qc, taxonomy, tree
+from ..operators import aggregates, align, assign, cluster, consensus, geo, plotdata, progressive, qc, taxonomy, tree
 from ..sources import sinks
 from .storage import materialize
 
@@ -21,7 +21,8 @@ def dereplicate(sequences: DataFrame, config: Config, aligned: bool = False) ->
     d = config.dereplication
     valid = sequences.where(sequence.invalid_reason(F.col("nuc"), d.min_sequence_length).isNull())
     rows = valid.select("processid", F.upper(sequence.stripped(F.col("nuc"))).alias("seq"), "ord")
-    laid = rows.withColumn("aln", F.col("seq")) if aligned else {"gaps": align.trim_columns, "similarity": align.trim_similar}[d.trim_method](align.star_align(rows))
+    put, trim = {"star": align.star_align, "progressive": progressive.align}[d.align_method], {"gaps": align.trim_columns, "similarity": align.trim_similar}[d.trim_method]
+    laid = rows.withColumn("aln", F.col("seq")) if aligned else trim(put(rows))
     laid = materialize(qc.filter_ungapped(laid, min(d.min_post_trim_length, d.min_sequence_length)), "aligned")
     # Equal aligned sequences are one node; the first stands for all.
     node = laid.groupBy("aln").agg(F.min("ord").alias("node"))

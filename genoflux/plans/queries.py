@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coords, sequence
-from ..operators import aggregates, align, assign, cluster, consensus, distance, geo, plotdata, qc, taxonomy, tree
+from ..operators import aggregates, align, assign, cluster, consensus, distance, geo, plotdata, progressive, qc, taxonomy, tree
 from . import fixtures as fx
 from .storage import materialize
 
@@ -824,6 +824,11 @@ def _(spark, d):
     return tree.tree_rows(spark, "((A:0.1,B_n2:0.2)90:0.05,('C c':0.3,D:0.4)60:0.1);")
 
 
+@query("e01_progressive_align")
+def _(spark, d):
+    return progressive.align(fx.specimens(spark, d).where("nuc IS NOT NULL").select("processid", F.col("nuc").alias("seq"))).select("processid", "aln")
+
+
 @query("e01_star_align")
 def _(spark, d):
     return align.trim_columns(align.star_align(fx.specimens(spark, d).where("nuc IS NOT NULL").select("processid", F.col("nuc").alias("seq"), "ord"))).select("processid", "aln")
