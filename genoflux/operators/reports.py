@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -48,22 +48,80 @@ def parameters(config: Config) -> str:
     return "; ".join(f"{part}.{key} = {value}" for part, inner in config.to_dict().items() for key, value in inner.items())
 
 
+def parameter_rows(spark: SparkSession, config: Config) -> DataFrame:
+    """The settings that decide most, one row each: place, parameter, value, as_identity (per cent), meaning."""
+    d, a = config.dereplication, config.genotype_assignment
+    rows = [
+        ("Clustering threshold", d.clustering_threshold, (1 - d.clustering_threshold) * 100, "Sequences within this distance may form one genotype; a smaller one gives more genotypes."),
+        ("Similarity threshold", a.min_identity, a.min_identity * 100, "Specimens whose best genotype is less alike than this stay unassigned."),
+        ("Tie margin", a.tie_margin, a.tie_margin * 100, "If the runner-up is nearer to the best than this, the specimen is a tie to be looked at."),
+        ("Tie threshold", a.tie_threshold, a.tie_threshold * 100, "Ties are sought only where the best genotype is at least so alike."),
+    ]
+    return spark.createDataFrame([(k + 1, *r) for k, r in enumerate(rows)], "place int, parameter string, value double, as_identity double, meaning string")
+
+
+def _rows(one: DataFrame, entries: list[tuple[str, Column, Column]], names: tuple[str, str, str]) -> DataFrame:
+    """A row of counters as a table: place, a title, a value, a share."""
+    each = F.array(*[F.struct(F.lit(k + 1).alias("place"), F.lit(t).alias(names[0]), v.cast("double").alias(names[1]), p.cast("double").alias(names[2])) for k, (t, v, p) in enumerate(entries)])
+    return one.select(F.explode(each).alias("r")).select("r.*")
+
+
+def summary_cards(annotated: DataFrame, summary: DataFrame) -> DataFrame:
+    """The cards on top of a report: place, title, value, share (per cent; null where none belongs)."""
+    one = summary.join(annotated.agg(F.count_distinct("ocean_basin").alias("n_basins")))
+    c, none = F.col, F.lit(None)
+    known = F.when(c("total_samples") > 0, c("samples_with_sequence") / c("total_samples") * 100).otherwise(F.lit(0.0))
+    cards = [
+        ("Samples", c("total_samples"), none), ("With sequence", c("samples_with_sequence"), known), ("Genotypes", c("n_consensus_groups"), none), ("Species", c("n_species_identified"), none),
+        ("Assigned", c("n_assigned"), c("pct_assigned")), ("Mean identity, per cent", c("mean_identity_assigned") * 100, none), ("Basins", c("n_basins"), none),
+        ("Conflicts of names", c("n_taxonomy_conflicts"), c("pct_taxonomy_conflicts")),
+    ]
+    # Without a conflict there is no card of conflicts.
+    return _rows(one, cards, ("title", "value", "share")).where("title <> 'Conflicts of names' OR value > 0")
+
+
+def status_rows(summary: DataFrame) -> DataFrame:
+    """How many specimens have each status, in the order of the report: place, status, n, share."""
+    return _rows(summary, [(s, F.col(f"n_{s}"), F.col(f"pct_{s}")) for s in aggregates.STATUSES], ("status", "n", "share"))
+
+
+def identity_rows(summary: DataFrame) -> DataFrame:
+    """Identities of the assigned in per cent: place, metric, identity."""
+    none = F.lit(None)
+    entries = [(k, F.col(f"{k}_identity_assigned") * 100, none) for k in ("mean", "median", "min", "max")]
+    return _rows(summary, entries, ("metric", "identity", "__none")).drop("__none")
+
+
+def geography(annotated: DataFrame) -> DataFrame:
+    """One row: samples with and without a known basin, without coordinates, and their shares."""
+    known = F.coalesce("ocean_basin", F.lit("Unknown")) != "Unknown"
+    share = lambda n: F.when(F.col("total") > 0, F.col(n) / F.col("total") * 100).otherwise(F.lit(0.0)).alias(f"pct_{n[2:]}")
+    one = annotated.agg(F.count("*").alias("total"), F.count_if(known).alias("n_placed"), F.count_if(~known).alias("n_unknown"), F.count_if(F.col("lat").isNull() | F.col("lon").isNull()).alias("n_missing"))
+    return one.select("*", *[share(n) for n in ("n_placed", "n_unknown", "n_missing")])
+
+
 def sections(tables: dict[str, DataFrame], config: Config) -> dict[str, DataFrame | str]:
     """Section titles with a table or a text, for ``sinks.html_report``."""
     ann, diag = tables["annotated"], tables["diagnostics"]
     summary = tables["assignment_summary"]
     row = summary.first().asDict()
+    rounded = lambda df: df.select(*[F.round(c, 3).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+    plain = lambda df: rounded(df.orderBy("place")).drop("place")
     return {
-        "Summary": summary.select(*[F.round(c, 3).alias(c) if k == "double" else F.col(c) for c, k in summary.dtypes]),
-        "Assignment": aggregates.status_counts(diag),
-        "Identity by status": aggregates.identity_by_status(diag),
+        "Summary": plain(summary_cards(ann, summary)),
+        "Records read": tables["counters"],
+        "Assignment": plain(status_rows(summary)),
+        "Identity of the assigned": plain(identity_rows(summary)),
+        "Identity by status": rounded(aggregates.identity_by_status(diag)),
         "Taxonomy": tables["taxonomy"].orderBy("consensus_group"),
+        "Species of genotypes": tables["species_counts"].where("consensus_group IS NOT NULL").orderBy("consensus_group", F.desc("n"), "reported_species"),
         "Conflicts": tables["conflicts"].orderBy(F.desc("identity_to_assigned_group"), "processid"),
         "Genotypes": tables["characterisation"].orderBy(F.desc("n_samples"), "consensus_group"),
-        "Basins": aggregates.basin_distribution(ann).orderBy(F.desc("n")),
+        "Geography": rounded(geography(ann)),
+        "Basins": aggregates.basin_distribution(ann).withColumn("pct", F.round("pct", 1)).orderBy(F.desc("n")),
         "Genotypes and basins": aggregates.crosstab(ann, include_unknown=False).orderBy(F.desc("row_total"), F.desc("column_total"), "genotype", "basin"),
-        "Missing geography": aggregates.missing_geography(ann),
         "Sequence quality": tables["sequence_quality"],
-        "Parameters": parameters(config),
+        "Parameters": plain(parameter_rows(ann.sparkSession, config)),
+        "All settings": parameters(config),
         "Methods": methods_text(config, row),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names, projection
-from ..operators import aggregates, cluster, distance, geo, plotdata, qc, taxonomy, tree
+from ..operators import aggregates, cluster, distance, geo, plotdata, qc, reports, taxonomy, tree
 from ..sources import fasta, shapefile, sinks, tables
 from . import fixtures as fx
 from .queries import ANNOT, CONS, DIAG, LOCATED, ORACLE_SQL, QUERIES, SPEC, annotated, diagnostics, located, query
@@ -326,3 +326,44 @@ def _(spark, d):
         lon, lat = projection.to_degrees(F.col(f"{name}_x"), F.col(f"{name}_y"), p)
         out = out.withColumn(f"{name}_ok", (F.abs(lon - F.col("lon") / shrink) < 1e-9) & (F.abs(lat - F.col("lat")) < 1e-9))
     return out.select("processid", F.round("mercator_x", 3).alias("x"), F.round("mercator_y", 3).alias("y"), *[f"{n}_ok" for n in kinds])
+
+
+# --- sections of the report ----------------------------------------------------------
+
+_SUM = f"s AS ({ORACLE_SQL['a09_assignment_summary']})"
+
+
+def _entries(rows: list[tuple[str, str, str]], a: str, b: str, c: str) -> str:
+    return " UNION ALL ".join(f"SELECT {k + 1} AS place, '{t}' AS {a}, ({v})::DOUBLE AS {b}, ({p})::DOUBLE AS {c} FROM s" for k, (t, v, p) in enumerate(rows))
+
+
+_CARDS = [
+    ("Samples", "total_samples", "NULL"), ("With sequence", "samples_with_sequence", "samples_with_sequence / total_samples * 100"), ("Genotypes", "n_consensus_groups", "NULL"), ("Species", "n_species_identified", "NULL"),
+    ("Assigned", "n_assigned", "pct_assigned"), ("Mean identity, per cent", "mean_identity_assigned * 100", "NULL"), ("Basins", "(SELECT count(DISTINCT ocean_basin) FROM b)", "NULL"),
+    ("Conflicts of names", "n_taxonomy_conflicts", "pct_taxonomy_conflicts"),
+]
+
+
+@query("v10_summary_cards", f"WITH {_SUM}, b AS (WITH {ANNOT} SELECT ocean_basin FROM ann), c AS ({_entries(_CARDS, 'title', 'value', 'share')}) SELECT * FROM c WHERE title <> 'Conflicts of names' OR value > 0")
+def _(spark, d):
+    ann, diag = annotated(spark, d)
+    return reports.summary_cards(ann, aggregates.assignment_summary(ann, diag))
+
+
+@query("v10_status_rows", f"WITH {_SUM} {_entries([(s, f'n_{s}', f'pct_{s}') for s in aggregates.STATUSES], 'status', 'n', 'share')}")
+def _(spark, d):
+    return reports.status_rows(aggregates.assignment_summary(*annotated(spark, d)))
+
+
+@query("v10_identity_rows", f"WITH {_SUM}, r AS ({_entries([(k, f'{k}_identity_assigned * 100', 'NULL') for k in ('mean', 'median', 'min', 'max')], 'metric', 'identity', 'gone')}) SELECT place, metric, identity FROM r")
+def _(spark, d):
+    return reports.identity_rows(aggregates.assignment_summary(*annotated(spark, d)))
+
+
+@query(
+    "v10_geography",
+    f"""WITH {ANNOT}, g AS (SELECT count(*) AS total, count(*) FILTER (ocean_basin <> 'Unknown') AS n_placed, count(*) FILTER (ocean_basin = 'Unknown') AS n_unknown, count(*) FILTER (lat IS NULL OR lon IS NULL) AS n_missing FROM ann)
+    SELECT *, n_placed / total * 100 AS pct_placed, n_unknown / total * 100 AS pct_unknown, n_missing / total * 100 AS pct_missing FROM g""",
+)
+def _(spark, d):
+    return reports.geography(annotated(spark, d)[0])
