@@ -3,7 +3,9 @@
 Each stage is ``f(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the
 columns of ``documents``. Rows that a stage's operator does not reject stay as
-they are: null and empty texts are neither toxic nor contaminated nor duplicates.
+they are: null and empty texts are neither toxic nor contaminated nor duplicates, ties
+and repeated rows stay together, an empty table gives empty stages, texts are read whole
+whatever their length, and extra columns stay, also those named like an operator's.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoflux.llm import decontaminate, jaccard_join, packing, secret_scan, toxicity
-from genoflux.llm.common import materialize, table
+from genoflux.llm.common import discard, materialize, scratch, table
 
 #: Near duplicates: five-word shingles, Jaccard similarity of 0.8 or more.
 SHINGLE, PERCENT = 5, 80
@@ -80,7 +82,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # What a stage writes for itself goes when its result stands, and so does the result before.
+        with scratch(spark) as keep:
+            last, docs = docs, keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        if hasattr(last, "_stored_at"):
+            discard(last)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
