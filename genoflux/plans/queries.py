@@ -192,6 +192,27 @@ def _(spark, d):
     return one.select("processid", (n("mismatches") + n("insertions") + n("deletions")).alias("edit_distance"), *[n(k).alias(k) for k in ("matches", "mismatches", "insertions", "deletions")])
 
 
+#: Cell by cell over the table of a pair, the last row held: cost and the operations of the path that
+#: takes the diagonal first, then the insertion, then the deletion.
+_CELLS = """WITH RECURSIVE p AS (SELECT p_partkey, lower(p_name) AS q, lower(p_type) AS t FROM part),
+  dp AS (SELECT p_partkey, q, t, length(q) AS n, length(t) AS m, 0 AS i, 0 AS j, [{'c': 0, 'e': 0, 'x': 0, 'a': 0, 'd': 0}] AS cells FROM p
+    UNION ALL SELECT p_partkey, q, t, n, m, i, j, list_append(cells[greatest(len(cells) - m, 1):], CASE
+      WHEN g IS NOT NULL AND g.c + w <= coalesce(u.c, 1000000) + 1 AND g.c + w <= coalesce(l.c, 1000000) + 1 THEN {'c': g.c + w, 'e': g.e + 1 - w, 'x': g.x + w, 'a': g.a, 'd': g.d}
+      WHEN u IS NOT NULL AND u.c <= coalesce(l.c, 1000000) THEN {'c': u.c + 1, 'e': u.e, 'x': u.x, 'a': u.a + 1, 'd': u.d}
+      ELSE {'c': l.c + 1, 'e': l.e, 'x': l.x, 'a': l.a, 'd': l.d + 1} END)
+    FROM (SELECT *, CASE WHEN j > 0 THEN cells[len(cells)] END AS l, CASE WHEN i > 0 THEN cells[len(cells) - m] END AS u, CASE WHEN i > 0 AND j > 0 THEN cells[len(cells) - m - 1] END AS g,
+        (substr(q, i::BIGINT, 1) <> substr(t, j::BIGINT, 1))::INT AS w
+      FROM (SELECT p_partkey, q, t, n, m, CASE WHEN j = m THEN i + 1 ELSE i END AS i, CASE WHEN j = m THEN 0 ELSE j + 1 END AS j, cells FROM dp WHERE i < n OR j < m) s0) s1)
+  SELECT p_partkey, f.e::BIGINT AS matches, f.x::BIGINT AS mismatches, f.a::BIGINT AS insertions, f.d::BIGINT AS deletions FROM (SELECT p_partkey, cells[len(cells)] AS f FROM dp WHERE i = n AND j = m)"""
+
+
+@query("p18_paths_of_parts", _CELLS)
+def _(spark, d):
+    """Paths between texts of different lengths, in every row of the table."""
+    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.lower("p_name").alias("q"), F.lower("p_type").alias("t")).withColumn("p", assign.path_identity("q", "t"))
+    return p.select("p_partkey", *[F.col(f"p.{k}").cast("bigint").alias(k) for k in ("matches", "mismatches", "insertions", "deletions")])
+
+
 @query(
     "p19_aligned_identity",
     f"""WITH {SPEC}, {CONS}, e AS (SELECT processid, substr(aln, i, 1) AS x, substr(consensus_seq, i, 1) AS y FROM spec JOIN cons ON cons.ord = fam, unnest(range(1, 129)) AS r(i)),
