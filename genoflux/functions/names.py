@@ -6,6 +6,9 @@ import re
 from datetime import datetime
 from pathlib import Path
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Words that are no species, and endings of file names.
 _NOT_SPECIES = {"data", "bold", "samples", "sequences"}
 _SUFFIXES = ("_bold_data", "_sequences", "_samples", "_data", "_bold", "_annotated", "_metadata")
@@ -17,6 +20,15 @@ def organism_of_path(path: str) -> str:
     return parts[0] if len(parts) < 2 or parts[1].lower() in _NOT_SPECIES else "_".join(parts[:2])
 
 
+def organism_column(path: Column) -> Column:
+    """P23 in a plan: what ``organism_of_path`` gives for a column of paths."""
+    base = F.element_at(F.split(path, "/"), -1)
+    parts = F.split(F.regexp_replace(base, r"(?<=.)\.[^.]*$", ""), "_")
+    second = F.get(parts, 1)
+    alone = second.isNull() | F.lower(second).isin(sorted(_NOT_SPECIES))
+    return F.when(alone, F.get(parts, 0)).otherwise(F.concat_ws("_", F.get(parts, 0), second))
+
+
 def organism_of_stem(path: str) -> str:
     """The stem without one of the known suffixes."""
     stem = Path(path).stem

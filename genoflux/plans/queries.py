@@ -840,9 +840,25 @@ def _(spark, d):
     return tree.relabelled(tips, labels)
 
 
-@query("s12_newick_nodes")
-def _(spark, d):
-    return tree.tree_rows(spark, "((A:0.1,B_n2:0.2)90:0.05,('C c':0.3,D:0.4)60:0.1);")
+@query(
+    "s12_newick_nodes",
+    """WITH tip AS (SELECT n_regionkey AS r, n_nationkey AS n, c_custkey AS k, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS i, count(*) OVER (PARTITION BY n_nationkey) AS size FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    inner_ AS (SELECT r, n, coalesce(sum(size + 1) OVER (PARTITION BY r ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS id FROM (SELECT DISTINCT r, n, size FROM tip))
+    SELECT r AS region, 0::BIGINT AS node_id, NULL::BIGINT AS parent_id, NULL::DOUBLE AS branch_length, r::DOUBLE AS support, NULL AS name, false AS is_tip FROM (SELECT DISTINCT r FROM tip)
+    UNION ALL SELECT r, id::BIGINT, 0::BIGINT, (n % 7)::DOUBLE / 8, n::DOUBLE, NULL, false FROM inner_
+    UNION ALL SELECT tip.r, (id + i)::BIGINT, id::BIGINT, (k % 97)::DOUBLE / 4, NULL, concat('c ', k), true FROM tip JOIN inner_ ON inner_.n = tip.n""",
+)
+def _(spark, d):
+    """A tree for each region, of its nations and their customers: one text a row, turned to nodes by the table function."""
+    at = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
+    rows = at("customer").join(at("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    tip = F.concat(F.lit("'c "), F.col("c_custkey").cast("string"), F.lit("':"), (F.col("c_custkey") % 97 / 4).cast("string"))
+    nation = rows.groupBy("n_regionkey", "n_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", tip.alias("t")))), lambda x: x["t"]), ",").alias("tips"))
+    inner = F.concat(F.lit("("), "tips", F.lit(")"), F.col("n_nationkey").cast("string"), F.lit(":"), (F.col("n_nationkey") % 7 / 8).cast("string"))
+    texts = nation.groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", inner.alias("t")))), lambda x: x["t"]), ",").alias("all"))
+    texts = texts.select(F.col("n_regionkey").alias("region"), F.concat(F.lit("("), "all", F.lit(")"), F.col("n_regionkey").cast("string"), F.lit(";")).alias("text"))
+    nodes = texts.lateralJoin(tree.newick_nodes(F.col("text").outer()))
+    return nodes.select("region", F.col("node_id").cast("bigint").alias("node_id"), F.col("parent_id").cast("bigint").alias("parent_id"), "branch_length", "support", "name", "is_tip")
 
 
 @query("e01_progressive_align")

@@ -99,21 +99,33 @@ def _(spark, d):
     return tables.read_diagnostics(spark, path).select("processid", "consensus_group", "identity", "status")
 
 
-@query("s08_polygon_scan", f"SELECT basin_name, poly_ord::BIGINT AS poly_ord, xmin, ymin, xmax, ymax FROM ({fx.BOXES_SQL}) b")
+_BANDS = f"WITH vert AS ({fx.VERTICES}) SELECT r_name AS basin_name, poly_ord::BIGINT AS poly_ord, min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax, count(*)::BIGINT AS vertices FROM vert JOIN region ON r_regionkey = poly_ord GROUP BY r_name, poly_ord"
+
+
+def _bounds(df: DataFrame) -> DataFrame:
+    return df.select("basin_name", F.col("poly_ord").cast("bigint"), "xmin", "ymin", "xmax", "ymax", F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)).cast("bigint").alias("vertices"))
+
+
+@query("s08_polygon_scan", _BANDS)
 def _(spark, d):
-    """GeoJSON in, bounds out."""
-    ring = lambda a, b, c, e: [[a, b], [c, b], [c, e], [a, e], [a, b]]
-    features = [{"type": "Feature", "properties": {"area_name": n}, "geometry": {"type": "Polygon", "coordinates": [ring(*box)]}} for n, _, *box in fx.BOXES]
+    """The jagged bands as GeoJSON and back; a file closes its rings, so their first vertex stands twice in it."""
+    point = lambda v: F.array(v["x"], v["y"])
+    rings = F.transform("rings", lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), point))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("basin_name").alias("area_name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"))
+    # One file has all features, as the format has it: a row for each region.
+    whole = fx.coasts(spark, d).agg(F.transform(F.array_sort(F.collect_list(F.struct("poly_ord", feature.alias("f")))), lambda x: x["f"]).alias("features"))
     path = _path(spark, "basins.geojson")
-    spark.createDataFrame([(json.dumps({"type": "FeatureCollection", "features": features}),)], "value string").coalesce(1).write.text(path)
-    return tables.read_polygons(spark, path).select("basin_name", F.col("poly_ord").cast("bigint"), "xmin", "ymin", "xmax", "ymax")
+    whole.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.text(path)
+    read = tables.read_polygons(spark, path)
+    return _bounds(read.withColumn("rings", F.transform("rings", lambda r: F.slice(r, F.lit(1), F.size(r) - 1))))
 
 
-@query("s09_land_polygons", f"SELECT basin_name, poly_ord::BIGINT AS poly_ord, xmin, ymin, xmax, ymax FROM ({fx.BOXES_SQL}) b")
+@query("s09_land_polygons", _BANDS)
 def _(spark, d):
+    """The same as a table of polygons."""
     path = _path(spark, "land")
-    fx.ringed(fx.boxes(spark)).select("basin_name", "poly_ord", "rings").write.parquet(path)
-    return tables.read_polygons(spark, path).select("basin_name", F.col("poly_ord").cast("bigint"), "xmin", "ymin", "xmax", "ymax")
+    fx.coasts(spark, d).select("basin_name", "poly_ord", "rings").write.parquet(path)
+    return _bounds(tables.read_polygons(spark, path))
 
 
 @query(
@@ -268,11 +280,15 @@ def _(spark, d):
     return geo.valid_marine(spots, fx.ringed(fx.boxes(spark)), buffer=1.5)
 
 
-@query("p23_organism_names", "SELECT DISTINCT concat(source, '_', lang, '_data.tsv') AS path, concat(source, '_', lang) AS organism FROM documents WHERE NOT contains(source, '_')")
+@query(
+    "p23_organism_names",
+    """SELECT doc_id, CASE WHEN lower(p[2]) IN ('data', 'bold', 'samples', 'sequences') THEN p[1] ELSE concat(p[1], '_', p[2]) END AS organism
+    FROM (SELECT doc_id, string_split(concat(source, '_', CASE WHEN doc_id % 3 = 0 THEN 'Data' ELSE lang END, '_x'), '_') AS p FROM documents)""",
+)
 def _(spark, d):
-    """One row per organism: names of files, which are the driver's."""
-    paths = [r[0] for r in fx.documents(spark, d).where(~F.col("source").contains("_")).select(F.concat("source", F.lit("_"), "lang", F.lit("_data.tsv"))).distinct().collect()]
-    return spark.createDataFrame([(p, names.organism_of_path(p)) for p in paths], "path string, organism string")
+    """The organism of a file's name, in every row."""
+    word = F.when(F.col("doc_id") % 3 == 0, "Data").otherwise(F.col("lang"))
+    return fx.documents(spark, d).select("doc_id", names.organism_column(F.concat(F.lit("/a.b/"), "source", F.lit("_"), word, F.lit("_x.tsv"))).alias("organism"))
 
 
 @query("p25_preflight", f"WITH {SPEC} SELECT true AS good, concat_ws('; ', concat(count(*) FILTER (coalesce(nuc, '') = ''), ' empty sequences')) AS issues FROM spec")
