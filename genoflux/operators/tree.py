@@ -124,6 +124,16 @@ class newick_nodes:  # noqa: N801
             n += 1
 
 
+@udtf(returnType="name string, x double, y double, is_tip boolean, support double")
+class newick_layout:  # noqa: N801
+    """V7 for trees that are rows of a table: where the nodes of each stand."""
+
+    def eval(self, text: str, min_support: float):
+        if text is not None:
+            for r in layout(parse(text), min_support):
+                yield r["name"], r["x"], r["y"], r["is_tip"], r["support"]
+
+
 def relabelled(tips: DataFrame, taxonomy: DataFrame, label: str = "consensus_group_sp", name: str = "name") -> DataFrame:
     """The label of a tip by its own name, else by its base name, else unchanged."""
     labels = taxonomy.where(F.col(label).isNotNull()).groupBy(F.col("consensus_group").alias("g")).agg(F.min(label).alias("l"))

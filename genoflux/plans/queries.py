@@ -840,6 +840,17 @@ def _(spark, d):
     return tree.relabelled(tips, labels)
 
 
+def region_trees(spark: SparkSession, d: str) -> DataFrame:
+    """region, text: a tree for each region, of its nations and their customers."""
+    at = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
+    rows = at("customer").join(at("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    tip = F.concat(F.lit("'c "), F.col("c_custkey").cast("string"), F.lit("':"), (F.col("c_custkey") % 97 / 4).cast("string"))
+    nation = rows.groupBy("n_regionkey", "n_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", tip.alias("t")))), lambda x: x["t"]), ",").alias("tips"))
+    inner = F.concat(F.lit("("), "tips", F.lit(")"), F.col("n_nationkey").cast("string"), F.lit(":"), (F.col("n_nationkey") % 7 / 8).cast("string"))
+    texts = nation.groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", inner.alias("t")))), lambda x: x["t"]), ",").alias("all"))
+    return texts.select(F.col("n_regionkey").alias("region"), F.concat(F.lit("("), "all", F.lit(")"), F.col("n_regionkey").cast("string"), F.lit(";")).alias("text"))
+
+
 @query(
     "s12_newick_nodes",
     """WITH tip AS (SELECT n_regionkey AS r, n_nationkey AS n, c_custkey AS k, row_number() OVER (PARTITION BY n_nationkey ORDER BY c_custkey) AS i, count(*) OVER (PARTITION BY n_nationkey) AS size FROM customer JOIN nation ON c_nationkey = n_nationkey),
@@ -849,18 +860,24 @@ def _(spark, d):
     UNION ALL SELECT tip.r, (id + i)::BIGINT, id::BIGINT, (k % 97)::DOUBLE / 4, NULL, concat('c ', k), true FROM tip JOIN inner_ ON inner_.n = tip.n""",
 )
 def _(spark, d):
-    """A tree for each region, of its nations and their customers: one text a row, turned to nodes by the table function."""
-    at = lambda t: spark.read.parquet(f"{d}/{t}.parquet")
-    rows = at("customer").join(at("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    tip = F.concat(F.lit("'c "), F.col("c_custkey").cast("string"), F.lit("':"), (F.col("c_custkey") % 97 / 4).cast("string"))
-    nation = rows.groupBy("n_regionkey", "n_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", tip.alias("t")))), lambda x: x["t"]), ",").alias("tips"))
-    inner = F.concat(F.lit("("), "tips", F.lit(")"), F.col("n_nationkey").cast("string"), F.lit(":"), (F.col("n_nationkey") % 7 / 8).cast("string"))
-    texts = nation.groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", inner.alias("t")))), lambda x: x["t"]), ",").alias("all"))
-    texts = texts.select(F.col("n_regionkey").alias("region"), F.concat(F.lit("("), "all", F.lit(")"), F.col("n_regionkey").cast("string"), F.lit(";")).alias("text"))
-    nodes = texts.lateralJoin(tree.newick_nodes(F.col("text").outer()))
+    """A tree for each region, turned to nodes by the table function."""
+    nodes = region_trees(spark, d).lateralJoin(tree.newick_nodes(F.col("text").outer()))
     return nodes.select("region", F.col("node_id").cast("bigint").alias("node_id"), F.col("parent_id").cast("bigint").alias("parent_id"), "branch_length", "support", "name", "is_tip")
 
 
+@query(
+    "v07_tree_layout",
+    """WITH tip AS (SELECT n_regionkey AS r, n_nationkey AS n, c_custkey AS k, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey, c_custkey) - 1 AS y FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    inner_ AS (SELECT r, n, (n % 7)::DOUBLE / 8 AS x, (min(y) + max(y))::DOUBLE / 2 AS y FROM tip GROUP BY r, n)
+    SELECT r AS region, concat('c ', k) AS name, (n % 7)::DOUBLE / 8 + (k % 97)::DOUBLE / 4 AS x, y::DOUBLE AS y, true AS is_tip, NULL::DOUBLE AS support FROM tip
+    UNION ALL SELECT r, NULL, x, y, false, CASE WHEN n >= 10 THEN n::DOUBLE END FROM inner_ UNION ALL SELECT r, NULL, 0e0, (min(y) + max(y)) / 2, false, NULL FROM inner_ GROUP BY r""",
+)
+def _(spark, d):
+    """Where the nodes of each region's tree stand; support is shown from 10 on."""
+    laid = region_trees(spark, d).lateralJoin(tree.newick_layout(F.col("text").outer(), F.lit(10.0)))
+    return laid.select("region", "name", "x", "y", "is_tip", "support")
+
+
 @query("e01_progressive_align")
 def _(spark, d):
     return progressive.align(fx.specimens(spark, d).where("nuc IS NOT NULL").select("processid", F.col("nuc").alias("seq"))).select("processid", "aln")

@@ -200,18 +200,6 @@ def _(spark, d):
     return rows.select("genotype", "sample_count", F.inline(F.from_json("points", point)))
 
 
-@query(
-    "v07_tree_layout",
-    f"""WITH {CONS}, t AS (SELECT consensus_group AS name, cluster_id::DOUBLE AS x, (row_number() OVER (ORDER BY ord) - 1)::DOUBLE AS y FROM cons)
-    SELECT name, x, y, true AS is_tip FROM t UNION ALL SELECT NULL, 0e0, (min(y) + max(y)) / 2, false FROM t""",
-)
-def _(spark, d):
-    """A star of the genotypes, each at its cluster's number: one tip per genotype, so one text."""
-    rows = fx.consensus(spark, d).orderBy("ord").select("consensus_group", "cluster_id").collect()
-    text = f"({','.join(f'{r[0]}:{r[1]}' for r in rows)});"
-    return spark.createDataFrame(tree.layout(tree.parse(text)), "name string, x double, y double, is_tip boolean, support double").drop("support")
-
-
 @query("v09_dendrogram")
 def _(spark, d):
     """Merges of the families' first aligned sequences by average linkage."""
