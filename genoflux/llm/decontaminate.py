@@ -9,9 +9,10 @@ and word numbers lead back to code-point offsets of the original text.
 The windows are made, combined and counted on the executors and written once to the
 shared folder. An automaton has to fit a worker's memory, so it holds at most
 ``block_windows`` of them (some 0.5 GB): the windows are dealt by hash to as many
-automata as that takes, one for every benchmark of usual size. Only one automaton's
-windows are on the driver at a time, from where they are broadcast. The text is read
-once; the automata pass over it one after another, each adding to the hits so far.
+automata as that takes, one for every benchmark of usual size. Windows are broadcast as
+compressed text, a thirtieth of an automaton, with the different lists of items once each. The
+text is read once: a worker holds some TURN bytes of it while each automaton is built, passes over
+them and goes, so it has one automaton at a time whatever the benchmark's size.
 
 Defined cases: null texts have no words and no hits; null or wordless items
 match nothing; repeated item rows count once; repeated documents are judged
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,11 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import enter, materialize, small_batches, table
+from .common import enter, materialize, scratch, small_batches, table
 
 WORDS_PER_WINDOW = 13
 #: Windows in one automaton at most: about 0.5 GB of nodes.
 BLOCK_WINDOWS = 200_000
+#: Bytes of text that each of several automata scans before the next takes its turn.
+TURN = 64 << 20
 #: A contaminated document has at least one hit word in this many words.
 SHARE = 20
 
@@ -65,20 +69,27 @@ def _windower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([item_id] * len(part), pa.string())], names=["window", "item_id"])
 
 
+def packed(windows: list[tuple[str, int]]) -> bytes:
+    """Windows and the numbers of their item lists, a line each; windows hold no tab or line break."""
+    return zlib.compress("\n".join(f"{w}\t{g}" for w, g in windows).encode("latin-1"), 1)
+
+
 _built: dict[str, object] = {}
 
 
-def automaton_of(windows: list[tuple[str, list[str]]], key: str):
-    """Built once in each Python worker; the worker keeps the last one."""
+def automaton_of(block: bytes, lists: dict[int, list[str]], key: str):
+    """Built when a Python worker needs it; the worker keeps the last one alone."""
     enter("decontaminate", _built.clear)
     if key not in _built:
         import ahocorasick
 
+        _built.clear()
         automaton = ahocorasick.Automaton()
-        for window, items in windows:
-            automaton.add_word(window, (window.count(" ") - 1, items))
+        for line in zlib.decompress(block).decode("latin-1").split("\n") if block else ():
+            window, _, number = line.rpartition("\t")
+            if window:
+                automaton.add_word(window, (window.count(" ") - 1, lists[int(number)]))
         automaton.make_automaton()
-        _built.clear()
         _built[key] = automaton
     return _built[key]
 
@@ -127,28 +138,44 @@ SPAN_SQL = "array<struct<start:bigint,end:bigint,first_word:bigint,end_word:bigi
 FOUND = ["n_words", "hit_spans", "hit_items"]
 
 
-def _scanner(windows, key: str, first: bool):
-    """The text is the last column but FOUND, which the first scan adds."""
+def _turns(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches held together until they have ``size`` bytes."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def _scanner(held, key: str, blocks: int):
+    """The text is the last column; FOUND takes its place. With several blocks each in turn
+    scans some TURN bytes of text, so a worker has one automaton at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = automaton_of(windows.value, key)
-        for batch in batches:
-            kept = batch.num_columns - (0 if first else len(FOUND))
-            before = [[], []] if first else [batch.column(kept + 1).to_pylist(), batch.column(kept + 2).to_pylist()]
-            n, spans, items = [], [], []
-            for k, x in enumerate(batch.column(kept - 1)):
-                text = x.as_py()
-                count, ranges, ids = scan_text(text, automaton)
-                if not first and before[0][k]:
-                    ranges = union([*ranges, *((s["first_word"], s["end_word"]) for s in before[0][k])])
-                    ids = sorted({*ids, *before[1][k]})
-                n.append(count)
-                spans.append(original_spans(text, ranges))
-                items.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(kept)), pa.array(n, pa.int64()), pa.array(spans, pa.list_(SPAN)), pa.array(items, pa.list_(pa.string()))],
-                names=[*batch.schema.names[:kept], *FOUND],
-            )
+        packs, lists = held.value
+        for turn in _turns(batches, TURN if blocks > 1 else 0):
+            texts = [x.as_py() for batch in turn for x in batch.column(batch.num_columns - 1)]
+            counts, ranges, items = [0] * len(texts), [[] for _ in texts], [[] for _ in texts]
+            for block in range(blocks):
+                automaton = automaton_of(packs[block], lists, f"{key}-{block}")
+                for k, text in enumerate(texts):
+                    counts[k], more, ids = scan_text(text, automaton)
+                    if more:
+                        ranges[k] = union([*ranges[k], *more]) if ranges[k] else more
+                        items[k] = sorted({*items[k], *ids}) if items[k] else ids
+            at = 0
+            for batch in turn:
+                part = slice(at, at + batch.num_rows)
+                at += batch.num_rows
+                spans = [original_spans(text, r) for text, r in zip(texts[part], ranges[part], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.array(counts[part], pa.int64()), pa.array(spans, pa.list_(SPAN)), pa.array(items[part], pa.list_(pa.string()))],
+                    names=[*batch.schema.names[:-1], *FOUND],
+                )
 
     return run
 
@@ -158,16 +185,21 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: li
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    windows = materialize(rows.mapInArrow(_windower, "window string, item_id string").groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
-    blocks = max(-(-windows.count() // block_windows), 1)
+    with scratch(spark):
+        windows = rows.mapInArrow(_windower, "window string, item_id string").groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        windows = materialize(windows.withColumn("list", F.xxhash64("items", F.size("items"))), "windows")
+        blocks = max(-(-windows.count() // block_windows), 1)
+        # Windows of one passage share their list of items, which comes once.
+        lists = {r["list"]: r["items"] for r in windows.groupBy("list").agg(F.first("items").alias("items")).collect()}
+        packs = []
+        for k in range(blocks):
+            mine = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).select("window", "list").orderBy("window").collect()
+            packs.append(packed([(r["window"], r["list"]) for r in mine]))
+    held = spark.sparkContext.broadcast((packs, lists))
     columns = [c for c in (docs.columns if keep is None else keep) if c not in FOUND]
-    out = docs.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__scanned"))
-    schema = T.StructType([*out.schema.fields, T.StructField("n_words", T.LongType()), *T._parse_datatype_string(f"hit_spans {SPAN_SQL}, hit_items array<string>").fields])
-    for k in range(blocks):
-        block = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).orderBy("window").collect()
-        held = spark.sparkContext.broadcast([(r["window"], r["items"]) for r in block])
-        out = out.mapInArrow(_scanner(held, uuid.uuid4().hex, k == 0), schema)
-    return out.drop("__scanned")
+    given = docs.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__scanned"))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("n_words", T.LongType()), *T._parse_datatype_string(f"hit_spans {SPAN_SQL}, hit_items array<string>").fields])
+    return given.mapInArrow(_scanner(held, uuid.uuid4().hex, blocks), schema)
 
 
 def judged(scanned: DataFrame) -> DataFrame:

@@ -117,6 +117,18 @@ def test_decontamination(spark, docs, block):
     assert not any(r["contaminated"] for r in decontaminate.judged(decontaminate.scan(docs, bench.limit(0))).collect())
 
 
+def test_blocks_take_turns_in_one_node(spark, docs):
+    """Five blocks are one node of the plan, whose worker holds one automaton; windows of a passage share their items."""
+    items = [(str(k), BASE[0]) for k in range(40)] + [("x", BASE[1])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    n = len({w for _, t in items for w in decontaminate.windows_of(t)})
+    one = decontaminate.scan(docs, bench, keep=["doc_id"])
+    five = decontaminate.scan(docs, bench, keep=["doc_id"], block_windows=-(-n // 5))
+    assert five._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, five.collect())) == sorted(map(str, one.collect()))
+    assert {len(r["hit_items"]) for r in one.collect()} >= {0, 40}
+
+
 def test_tokens_equal_library():
     bpe = word_bpe(default_path())
     letters = "aAbZzÉüßœıİŁſŠ 09.,!?'\"-_#@$&*<|>\n\tǅﬁ中😀ςΣ́\x1c\x85²"
