@@ -93,9 +93,10 @@ def trim_similar(df: DataFrame, aln: str = "aln") -> DataFrame:
 
     The cut parts the columns to two classes with the largest variance between them (Otsu), and is
     sought in the lower half alone: an alignment whose columns all score over one half stays whole.
+    Columns without a gap always stay, however their letters differ: they tell groups apart.
     """
     cols = column_scores(df, aln)
-    return _kept(df, cols.join(F.broadcast(score_cut(cols))).where("bin >= cut"), aln)
+    return _kept(df, cols.join(F.broadcast(score_cut(cols))).where("bin >= cut OR gap = 0"), aln)
 
 
 def score_cut(cols: DataFrame) -> DataFrame:

@@ -898,12 +898,12 @@ def _gappy(put: str, flags: str = "") -> str:
     f"""WITH {SPEC}, a AS (SELECT processid, {_gappy(chr(92) + "1-", ", 'g'")} AS aln FROM spec),
     c AS (SELECT i - 1 AS k, substr(aln, i, 1) AS c, count(*) AS m FROM a, unnest(range(1, 129)) AS r(i) GROUP BY ALL),
     q AS (SELECT k, sum(m)::DOUBLE AS n, coalesce(sum(m::DOUBLE * (m - 1)) FILTER (c <> '-'), 0) AS same, coalesce(sum(m) FILTER (c <> '-'), 0)::DOUBLE AS filled FROM c GROUP BY k),
-    t AS (SELECT k, least(floor(same / (n * (n - 1)) * (filled / n) * 100), 99)::INT AS bin FROM q),
+    t AS (SELECT k, filled = n AS full_, least(floor(same / (n * (n - 1)) * (filled / n) * 100), 99)::INT AS bin FROM q),
     b AS (SELECT bin, count(*)::DOUBLE AS n, sum(bin)::DOUBLE AS s FROM t GROUP BY bin),
     w AS (SELECT bin, max(bin) OVER lo AS last, sum(n) OVER lo AS n0, sum(s) OVER lo AS s0, sum(n) OVER () AS n, sum(s) OVER () AS s FROM b WINDOW lo AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
     v AS (SELECT bin, (s0 * (n - n0) - (s - s0) * n0) * (s0 * (n - n0) - (s - s0) * n0) / (n0 * (n - n0)) AS v FROM w WHERE n0 IS NOT NULL AND last < 50),
     cut AS (SELECT coalesce((SELECT bin FROM v WHERE v > 0 ORDER BY v DESC, bin LIMIT 1), 0) AS cut)
-    SELECT processid, string_agg(substr(aln, (k + 1)::INT, 1), '' ORDER BY k) AS aln FROM a, t, cut WHERE bin >= cut GROUP BY processid""",
+    SELECT processid, string_agg(substr(aln, (k + 1)::INT, 1), '' ORDER BY k) AS aln FROM a, t, cut WHERE bin >= cut OR full_ GROUP BY processid""",
 )
 def _(spark, d):
     return align.trim_similar(fx.specimens(spark, d).select("processid", F.expr(_gappy("$1-")).alias("aln")))

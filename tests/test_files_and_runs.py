@@ -55,7 +55,7 @@ def test_columns_by_similarity(spark):
     assert scores[0] == (0.0, 1.0) and scores[3] == (0.0, 0.6) and scores[4] == (0.6, 0.0) and scores[6] == (0.8, 0.0)
     assert [r["aln"] for r in align.trim_similar(df).orderBy("id").collect()] == ["ACGTAC", "ACGTAC", "ACGTAC", "ACGTAC", "ACGAAC"]
     # What scores over one half stays whole, and so do equal rows and a single one.
-    for some in (["ACGT", "ACGA", "ACGT"], ["AC-T"], ["ACGT"] * 3):
+    for some in (["ACGT", "ACGA", "ACGT"], ["ACGT"] * 3, ["ACGT", "ACTT", "ACAT", "ACCT"]):
         one = spark.createDataFrame(list(enumerate(some)), "id int, aln string")
         assert [r["aln"] for r in align.trim_similar(one).orderBy("id").collect()] == some
 
