@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, release, small_batches, table
+from .common import discard, enter, materialize, release, small_batches, table
 
 SHINGLE, PERCENT = 4, 85
 #: Min-hash keys of a set, and minima in each.
@@ -158,6 +158,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _begin() -> None:
+    """This operator keeps nothing in a worker; what another kept there goes."""
+    enter("jaccard", lambda: None)
+
+
 def _sketcher(width: int, percent: int):
     """doc_id and text in; size, fingerprint, keys, number of sampled tokens, and the
     leading 48 bits of the tokens that a prefix can need, ascending."""
@@ -166,6 +171,7 @@ def _sketcher(width: int, percent: int):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -188,6 +194,7 @@ def _setter(width: int, columns: list[str], bits: bool):
     """``columns`` and a text in; ``columns``, the set and, if wished, its bitmap out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for whole in batches:
             for at in range(0, max(whole.num_rows, 1), 256):
                 batch = whole.slice(at, 256)
@@ -218,6 +225,7 @@ def _set(x) -> np.ndarray:
 
 def _verifier(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in batches:
             good = pa.array([alike(_set(x), _set(y), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
@@ -286,6 +294,7 @@ def _matrix(rows: list[bytes]) -> np.ndarray:
 def _grouped(batches: Iterator[pa.RecordBatch], names: list[str], keys: int, flush) -> Iterator[pa.RecordBatch]:
     """Gives ``flush`` whole groups (rows sorted by the first ``keys`` columns, integers)
     and the starts of the groups with the end behind them."""
+    _begin()
     held: dict[str, np.ndarray] | None = None
     for batch in batches:
         now = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)}
