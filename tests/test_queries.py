@@ -18,7 +18,11 @@ def test_matches_sql(spark, name):
     same(spark, QUERIES[name], ORACLE_SQL[name], FOLDER)
 
 
+#: Held against repeated merging in ``test_agglomerate``.
+ELSEWHERE = {"k2_average_rounds"}
+
+
 @needs_data
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - ELSEWHERE))
 def test_gives_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).limit(1).count() == 1
