@@ -396,9 +396,8 @@ def _(spark, d):
     return _clustered(spark, d, "average", 0.03)
 
 
-@query("k2_average_rounds")
-def _(spark, d):
-    """The same clusters with every component dealt over many tasks."""
+def average_by_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """The clusters of ``k2_average_linkage`` with every component dealt over many tasks."""
     return _clustered(spark, d, "average", 0.03, group_rows=1)
 
 

@@ -9,7 +9,7 @@ import pytest
 from genoflux.operators import cluster, distance
 from genoflux.operators.agglomerate import UNIT
 from genoflux.plans import fixtures
-from genoflux.plans.queries import QUERIES
+from genoflux.plans.queries import QUERIES, average_by_rounds
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -84,10 +84,10 @@ def test_whole_table(spark):
     ords = sorted(first.values())
     seqs = {v: k for k, v in first.items()}
     d = cluster.masked_distances([seqs[o] for o in ords])
-    for name, method in (("k2_average_linkage", "average"), ("k2_average_rounds", "average"), ("k2_complete_linkage", "complete")):
+    for name, method in (("k2_average_linkage", "average"), ("rounds", "average"), ("k2_complete_linkage", "complete")):
         want = {frozenset(r["processid"] for r in s if first[r["aln"]] in {ords[i] for i in group}) for group in merged_one_by_one(d, 0.03, method)}
         got = {}
-        for r in QUERIES[name](spark, FOLDER).collect():
+        for r in (average_by_rounds if name == "rounds" else QUERIES[name])(spark, FOLDER).collect():
             got.setdefault(r["cluster_id"], set()).add(r["processid"])
         assert {frozenset(v) for v in got.values()} == want, name
 
