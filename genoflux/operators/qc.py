@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import coords, sequence
 
 
-def keep_first(df: DataFrame, key: str | list[str], order: str = "ord") -> DataFrame:
-    """The row with the smallest ``order`` of each key; null keys are a key."""
-    keys = [key] if isinstance(key, str) else key
-    rows = Window.partitionBy(*keys).orderBy(order)
+def keep_first(df: DataFrame, key: str | list[str], order: str | list[str] = "ord") -> DataFrame:
+    """The row with the smallest ``order`` of each key; null keys are a key. Further columns of ``order`` settle ties."""
+    keys, by = ([c] if isinstance(c, str) else c for c in (key, order))
+    rows = Window.partitionBy(*keys).orderBy(*by)
     return df.withColumn("__first", F.row_number().over(rows)).where("__first = 1").drop("__first")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coords, sequence
 from ..operators import aggregates, align, assign, cluster, consensus, distance, geo, plotdata, progressive, qc, taxonomy, tree
+from ..sources import tables
 from . import fixtures as fx
 from .storage import materialize
 
@@ -52,7 +53,10 @@ def located(spark: SparkSession, d: str) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS r FROM lineitem) WHERE r = 1",
 )
 def _(spark, d):
-    return qc.keep_first(spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", "l_linenumber")
+    """Line numbers of an order repeat; of equal ones the first in the files stays."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey"]
+    placed = tables.in_file_order(spark.read.parquet(f"{d}/lineitem.parquet")).select(*columns, "__file", "__row")
+    return qc.keep_first(placed, "l_orderkey", ["l_linenumber", "__file", "__row"]).select(*columns)
 
 
 @query("p01_strip", f"WITH {SPEC} SELECT processid, regexp_replace(concat('  ', species, '\t '), '^\\s+|\\s+$', '', 'g') AS species FROM spec")

@@ -113,6 +113,11 @@ def read_polygons(spark: SparkSession, path: str) -> DataFrame:
     return with_bounds(df)
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Adds __file and __row: a row's place in the Parquet files that ``df`` reads, whatever task reads it."""
+    return df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+
 def with_bounds(df: DataFrame) -> DataFrame:
     flat = F.flatten("rings")
     bound = lambda f, axis: f(F.transform(flat, lambda p: p[axis]))
