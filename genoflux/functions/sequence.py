@@ -13,6 +13,26 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """A double with ``digits`` (1 to 3) decimals, as C prints it: its binary value decides, ties go to
+    the even digit. (Java's format rounds the shortest decimal text, ties up.) Null stays null.
+
+    Twice the scaled value is taken as an exact sum of two doubles, from halves of the value's bits.
+    """
+    v, scale = F.abs(c), 10**digits
+    high = v * 134217729.0 - (v * 134217729.0 - v)
+    a, b = high * (2.0 * scale), (v - high) * (2.0 * scale)
+    total = a + b
+    rest = b - (total - a)
+    whole = F.floor(total)
+    below = F.when((total == whole) & (rest < 0), whole - 1).otherwise(whole)
+    tie = (total == whole) & (rest == 0)
+    up = (below % 2 == 1) & (~tie | (below % 4 == 3))
+    r = (F.shiftright(below, 1) + up.cast("bigint")).cast("bigint")
+    text = F.concat(F.floor(r / scale).cast("string"), F.lit("."), F.lpad((r % scale).cast("string"), digits, "0"))
+    return F.concat(F.when(c < 0, "-").otherwise(""), text)
+
+
 def count_of(text: Column, letters: str) -> Column:
     """How many characters are one of ``letters``."""
     return F.length(text) - F.length(F.translate(text, letters, ""))

@@ -23,7 +23,7 @@ def composition(df: DataFrame, by: str = "consensus_group", of: str = "species")
     """'species: n (p%)', most frequent first (ties by name), null species left out of the list."""
     counts = df.groupBy(by, of).agg(F.count("*").alias("n"))
     sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(by))).where(F.col(of).isNotNull())
-    text = F.concat(of, F.lit(": "), F.col("n").cast("string"), F.lit(" ("), F.format_string("%.1f", F.col("n") / F.col("total") * 100), F.lit("%)"))
+    text = F.concat(of, F.lit(": "), F.col("n").cast("string"), F.lit(" ("), sequence.fixed(F.col("n") / F.col("total") * 100, 1), F.lit("%)"))
     listed = sized.groupBy(by).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col(of).alias("s"), text.alias("t")))).alias("l"))
     return listed.select(by, F.array_join(F.transform("l", lambda x: x["t"]), ", ").alias("composition"))
 
@@ -82,9 +82,9 @@ def conflict_report(annotated: DataFrame, diagnostics: DataFrame) -> DataFrame:
     delta = F.col("identity") - F.col("runner_up_identity")
     said = F.concat_ws(
         "; ",
-        F.concat(F.lit("Genetic identity to assigned group: "), F.format_string("%.3f", F.bround("identity", 3))),
+        F.concat(F.lit("Genetic identity to assigned group: "), sequence.fixed(F.col("identity"), 3)),
         F.concat(F.lit("Group contains "), F.col("n_samples_in_assigned_group").cast("string"), F.lit(" samples")),
-        F.when(delta > 0.01, F.concat(F.lit("Identity "), F.format_string("%.3f", F.bround(delta, 3)), F.lit(" higher than runner-up"))),
+        F.when(delta > 0.01, F.concat(F.lit("Identity "), sequence.fixed(delta, 3), F.lit(" higher than runner-up"))),
         F.when(F.col("status") == "assigned", "High-confidence assignment")
         .when(F.col("status") == "low_confidence", "Low-confidence assignment - verify manually")
         .when(F.col("status") == "tie", "Tied assignment - verify manually"),

@@ -46,7 +46,7 @@ def vote(df: DataFrame, threshold: float = 0.5, group: str = "consensus_group",
         "consensus_group",
         F.when(wins, F.col("reported_species")).otherwise(g).alias("assigned_sp"),
         F.when(wins, "species").when(g != "", "genus").otherwise("unassigned").alias("assignment_level"),
-        F.when(wins, F.concat(F.lit("majority "), F.format_string("%.2f", F.col("frac"))))
+        F.when(wins, F.concat(F.lit("majority "), sequence.fixed(F.col("frac"), 2)))
         .when(g != "", "tie or not majority; fell back to genus")
         .otherwise("no genus available")
         .alias("assignment_notes"),
