@@ -77,3 +77,28 @@ def test_parts_of_one_feature_snap_to_their_own_coast(spark):
     marked = {(r["longitude"], r["location_type"]) for r in geo.classify_coordinates(df, land).collect()}
     assert marked == {(2.0, "country_centroid"), (13.5, "country_centroid"), (7.0, "precise"), (1.0, "precise")}
     assert geo.classify_coordinates(df, land, "drop").count() == 2
+
+
+def teeth(n):
+    """A band with narrow teeth north and south, as long whatever their number, and a hole alike."""
+    k = np.arange(n)
+    row = lambda x, y: list(zip(x.tolist(), y.tolist(), strict=True))
+    outer = row(-170 + 340 * k / n, 9 + (k * 7919 % 1000) / 100) + row(-170 + 340 * k[::-1] / n, -9 - (k[::-1] * 6007 % 1000) / 100)
+    return [outer, row(-120 + 240 * k / n, 1 + (k * 613 % 500) / 100) + row(-120 + 240 * k[::-1] / n, -1 - (k[::-1] * 419 % 500) / 100)]
+
+
+def test_narrow_teeth_lie_in_few_leaves(spark):
+    """Edges in leaves grow as those of the rings, not as their square; points are found as by all edges."""
+    for n in (1000, 8000):
+        rings = teeth(n)
+        leafs = quadtree.materialize(quadtree.cells(table(spark, [rings]), ["poly_ord"]), "leaves")
+        assert leafs.selectExpr("sum(size(edges))").first()[0] < 2 * 4 * n
+    r = np.random.default_rng(4)
+    points = sorted({(float(y), float(x)) for x, y in zip(r.uniform(-175, 175, 800), r.uniform(-22, 22, 800), strict=True)})
+    y, x = np.array(points).T
+    got = {tuple(p) for p in quadtree.hits(spark.createDataFrame(points, "point_lat double, point_lon double"), leafs, ["poly_ord"]).drop("poly_ord").collect()}
+    arrays = [np.array(ring) for ring in rings]
+    want = geo.rings_contain(x, y, arrays)
+    assert got == {p for p, k in zip(points, want, strict=True) if k} and 100 < len(got) < 700
+    flat = np.concatenate(arrays)
+    assert np.array_equal(quadtree.inside(quadtree.edges_of([len(a) for a in arrays], *flat.T), x, y), want)
