@@ -292,8 +292,11 @@ def hits(spots: DataFrame, leafs: DataFrame, keep: list[str]) -> DataFrame:
 def nearest_coast(pairs: DataFrame, polygons: DataFrame, key: str, rows: int = 50_000) -> DataFrame:
     """Adds x, y (the nearest point of the polygon's edges) and d (its squared distance, in
     degrees) to pairs of a point and the ``key`` of its polygon. The points of a polygon are dealt
-    to parts of some ``rows``; each part gets the polygon once and builds its tree."""
-    parts = materialize(pairs.groupBy(key).agg(F.ceil(F.count("*") / rows).cast("int").alias("parts")), "parts")
+    to parts of some ``rows``, of more where the polygon has over four times as many vertices, so that what the
+    parts get of polygons grows as the tables; each part gets the polygon once and builds its tree."""
+    vertices = polygons.select(key, F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)).alias("vertices"))
+    counted = pairs.groupBy(key).agg(F.count("*").alias("n")).join(vertices, key)
+    parts = materialize(counted.select(key, F.ceil(F.col("n") / F.greatest(F.lit(rows), F.col("vertices") / 4)).cast("int").alias("parts")), "parts")
     dealt = pairs.join(F.broadcast(parts), key).withColumn("part", F.pmod(F.xxhash64("point_lat", "point_lon"), F.col("parts")).cast("int"))
     shapes = flat(polygons, key).join(parts, key).select(key, "sizes", "xs", "ys", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
 
@@ -307,19 +310,32 @@ def nearest_coast(pairs: DataFrame, polygons: DataFrame, key: str, rows: int = 5
 
 
 class EdgeTree:
-    """Boxes of consecutive edges, FANOUT to a node, level on level; nearest edges by branch and bound."""
+    """Boxes of consecutive edges, FANOUT to a node, level on level; nearest edges by branch and bound.
 
-    FANOUT, AT_ONCE = 8, 4096
+    A node holds the vertices that lie farthest to each side: the nearest of them bounds the distance, also where
+    boxes are long and hold thin teeth.
+    """
+
+    FANOUT, AT_ONCE, MOST = 8, 4096, 1 << 20
 
     def __init__(self, edges: np.ndarray):
         self.edges = edges
-        lo = np.minimum(edges[:, :2], edges[:, 2:])
-        hi = np.maximum(edges[:, :2], edges[:, 2:])
-        self.levels = [(lo, hi)]
-        while len(lo) > 1:
-            at = np.arange(0, len(lo), self.FANOUT)
-            lo, hi = np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
-            self.levels.append((lo, hi))
+        #: Of each level above the edges: bounds (least x, y, greatest x, y) and the x, y of the vertices there.
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n, low = len(edges), None
+        while n > 1 or (n and low is None):
+            at = np.arange(0, n, self.FANOUT)
+            group = np.minimum(at[:, None] + np.arange(self.FANOUT), n - 1)
+            vx, vy = np.empty((len(at), 4)), np.empty((len(at), 4))
+            for k in range(4):
+                if low is None:
+                    x, y = edges[group][:, :, ::2].reshape(len(at), -1), edges[group][:, :, 1::2].reshape(len(at), -1)
+                else:
+                    x, y = low[0][group, k], low[1][group, k]
+                best = [x.argmin, y.argmin, x.argmax, y.argmax][k](axis=1)
+                vx[:, k], vy[:, k] = x[np.arange(len(at)), best], y[np.arange(len(at)), best]
+            low, n = (vx, vy), len(at)
+            self.levels.append((np.column_stack([vx[:, 0], vy[:, 1], vx[:, 2], vy[:, 3]]), vx, vy))
 
     def _exact(self, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         e = self.edges[k]
@@ -334,26 +350,42 @@ class EdgeTree:
     def nearest(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest point of the edges for each point; of equally near ones on the first edge."""
         nx, ny = x.astype(float), y.astype(float)
-        for s in range(0, len(x) if len(self.edges) else 0, self.AT_ONCE):
-            px, py = x[s : s + self.AT_ONCE].astype(float), y[s : s + self.AT_ONCE].astype(float)
-            point, node = np.arange(len(px)), np.zeros(len(px), int)
-            most = np.full(len(px), np.inf)
-            for level in range(len(self.levels) - 1, -1, -1):
-                lo, hi = self.levels[level]
-                x_, y_ = px[point], py[point]
-                near = np.maximum(np.maximum(lo[node, 0] - x_, x_ - hi[node, 0]), 0) ** 2 + np.maximum(np.maximum(lo[node, 1] - y_, y_ - hi[node, 1]), 0) ** 2
-                far = np.maximum(np.abs(lo[node, 0] - x_), np.abs(hi[node, 0] - x_)) ** 2 + np.maximum(np.abs(lo[node, 1] - y_), np.abs(hi[node, 1] - y_)) ** 2
-                # A box holds an edge, so its farthest corner bounds the nearest distance.
-                np.minimum.at(most, point, far)
-                good = near <= most[point] * (1 + 1e-12)
-                point, node = point[good], node[good]
-                if level:
-                    node = (node[:, None] * self.FANOUT + np.arange(self.FANOUT)).ravel()
-                    point = np.repeat(point, self.FANOUT)
-                    real = node < len(self.levels[level - 1][0])
-                    point, node = point[real], node[real]
-            ex, ey, d = self._exact(px[point], py[point], node)
-            order = np.lexsort((node, d, point))
-            first = order[np.concatenate([[True], np.diff(point[order]) > 0])]
-            nx[s + point[first]], ny[s + point[first]] = ex[first], ey[first]
+        work = [(s, min(s + self.AT_ONCE, len(x))) for s in range(0, len(x) if len(self.edges) else 0, self.AT_ONCE)]
+        while work:
+            s, end = work.pop()
+            found = self._some(x[s:end].astype(float), y[s:end].astype(float))
+            if found is None:  # too many candidates at once
+                work += [(s, (s + end) // 2), ((s + end) // 2, end)]
+            else:
+                nx[s:end], ny[s:end] = found
+        return nx, ny
+
+    def _some(self, px: np.ndarray, py: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        point, node = np.arange(len(px)), np.zeros(len(px), int)
+        most = np.full(len(px), np.inf)
+        for level in range(len(self.levels), -1, -1):
+            x_, y_ = px[point], py[point]
+            if level:
+                box, vx, vy = (v[node] for v in self.levels[level - 1])
+            else:
+                e = self.edges[node]
+                vx, vy = e[:, ::2], e[:, 1::2]
+                box = np.column_stack([vx.min(1), vy.min(1), vx.max(1), vy.max(1)])
+            near = np.maximum(np.maximum(box[:, 0] - x_, x_ - box[:, 2]), 0) ** 2 + np.maximum(np.maximum(box[:, 1] - y_, y_ - box[:, 3]), 0) ** 2
+            # A vertex lies on an edge, so it bounds the nearest distance.
+            np.minimum.at(most, point, ((vx - x_[:, None]) ** 2 + (vy - y_[:, None]) ** 2).min(axis=1))
+            good = near <= most[point] * (1 + 1e-12)
+            point, node = point[good], node[good]
+            if level:
+                if len(point) * self.FANOUT > self.MOST and len(px) > 1:
+                    return None
+                node = (node[:, None] * self.FANOUT + np.arange(self.FANOUT)).ravel()
+                point = np.repeat(point, self.FANOUT)
+                real = node < (len(self.levels[level - 2][0]) if level > 1 else len(self.edges))
+                point, node = point[real], node[real]
+        ex, ey, d = self._exact(px[point], py[point], node)
+        order = np.lexsort((node, d, point))
+        first = order[np.concatenate([[True], np.diff(point[order]) > 0])]
+        nx, ny = px.copy(), py.copy()
+        nx[point[first]], ny[point[first]] = ex[first], ey[first]
         return nx, ny

@@ -102,3 +102,18 @@ def test_narrow_teeth_lie_in_few_leaves(spark):
     assert got == {p for p, k in zip(points, want, strict=True) if k} and 100 < len(got) < 700
     flat = np.concatenate(arrays)
     assert np.array_equal(quadtree.inside(quadtree.edges_of([len(a) for a in arrays], *flat.T), x, y), want)
+
+
+def test_nearest_of_narrow_teeth_takes_few_candidates():
+    """Boxes of teeth are all as near; the vertices in them tell which to search."""
+    a = np.array(teeth(20_000)[0])
+    tree = quadtree.EdgeTree(quadtree.edges_of([len(a)], *a.T))
+    seen, exact = [], tree._exact
+    tree._exact = lambda x, y, k: (seen.append(len(k)), exact(x, y, k))[1]
+    r = np.random.default_rng(6)
+    x, y = r.uniform(-160, 160, 300), r.uniform(-8, 8, 300)
+    nx, ny = tree.nearest(x, y)
+    assert sum(seen) < 300 * 100
+    for k in range(0, 300, 10):
+        d = exact(np.full(len(a), x[k]), np.full(len(a), y[k]), np.arange(len(a)))[2]
+        assert (nx[k] - x[k]) ** 2 + (ny[k] - y[k]) ** 2 == d.min()
