@@ -17,9 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ..functions import projection
 from .fasta import _store
@@ -29,6 +30,10 @@ RING = "array<struct<x double, y double>>"
 SCHEMA = f"ord bigint, part int, rings array<{RING}>, attributes map<string,string>"
 #: Fixed values of the format: polygons plain, with heights, with measures.
 POLYGONS, FILE_CODE, VERSION = (5, 15, 25), 9994, 1000
+#: Vertices of a hole times those of a ring that are compared with each other.
+PLAIN = 1 << 20
+#: Vertices of the rows that a task hands to Spark at once.
+BATCH = 1 << 16
 
 
 def area(ring: np.ndarray) -> float:
@@ -39,10 +44,14 @@ def area(ring: np.ndarray) -> float:
 
 def _around(ring: np.ndarray, hole: np.ndarray) -> bool:
     """Whether a hole's vertices lie in a ring, by those that are on neither edge."""
-    from ..operators.geo import rings_contain
+    from ..operators import geo, quadtree
 
-    inside = rings_contain(hole[:, 0], hole[:, 1], [ring])
-    return bool(inside.any())
+    low, high = ring.min(axis=0), ring.max(axis=0)
+    x, y = hole[((hole > low) & (hole < high)).all(axis=1)].T
+    if len(x) * len(ring) <= PLAIN:
+        return bool(geo.rings_contain(x, y, [ring]).any())
+    # Most holes show by their first vertices; for the others each vertex meets a leaf's edges only.
+    return bool(geo.rings_contain(x[:4], y[:4], [ring]).any()) or bool(quadtree.inside(quadtree.edges_of([len(ring)], *ring.T), x, y).any())
 
 
 def polygons_of(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
@@ -52,14 +61,18 @@ def polygons_of(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
     areas = [area(r) for r in rings]
     outer = [[r] for r, a in zip(rings, areas, strict=True) if a <= 0]
     sizes = [-a for a in areas if a <= 0]
+    boxes = np.array([(*r[0].min(axis=0), *r[0].max(axis=0)) for r in outer]).reshape(-1, 4)
     for hole, a in zip(rings, areas, strict=True):
         if a > 0:
-            home = [k for k, parts in enumerate(outer) if sizes[k] >= a and _around(parts[0], hole)]
+            low, high = hole.min(axis=0), hole.max(axis=0)
+            near = np.flatnonzero((boxes[:, :2] < high).all(axis=1) & (boxes[:, 2:] > low).all(axis=1))
+            home = [k for k in near.tolist() if sizes[k] >= a and _around(outer[k][0], hole)]
             if home:
                 outer[min(home, key=lambda k: sizes[k])].append(hole)
             else:
                 outer.append([hole])
                 sizes.append(0.0)
+                boxes = np.vstack([boxes, [(*low, *high)]])
     return outer
 
 
@@ -91,6 +104,17 @@ def _sidecar(path: str, kind: str) -> str:
     return path[:-4] + kind
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of SCHEMA; vertices go to Arrow as they are, not as objects."""
+    every = [r for row in rows for r in row[2]]
+    points = np.concatenate(every) if every else np.zeros((0, 2))
+    ends = lambda sizes: pa.array(np.cumsum([0, *sizes]), pa.int32())
+    ring = pa.ListArray.from_arrays(ends(map(len, every)), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(points[:, k]), pa.float64()) for k in (0, 1)], ["x", "y"]))
+    rings = pa.ListArray.from_arrays(ends(len(row[2]) for row in rows), ring)
+    texts = pa.array([list(row[3].items()) for row in rows], pa.map_(pa.string(), pa.string()))
+    return pa.RecordBatch.from_arrays([pa.array([row[0] for row in rows], pa.int64()), pa.array([row[1] for row in rows], pa.int32()), rings, texts], names=["ord", "part", "rings", "attributes"])
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str, records: int):
         self.path, self.records = path, records
@@ -113,7 +137,19 @@ class _Reader(DataSourceReader):
             out += [_Range(file, k, a, min(self.records, n - a)) for a in range(0, n, self.records)]
         return out or [_Range("", 0, 0, 0)]
 
-    def read(self, part: _Range) -> Iterator[tuple]:
+    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
+        rows, vertices = [], 0
+        for row in self._records(part):
+            rows.append(row)
+            vertices += sum(map(len, row[2]))
+            if vertices > BATCH:
+                yield _batch(rows)
+                rows, vertices = [], 0
+        if rows:
+            yield _batch(rows)
+
+    def _records(self, part: _Range) -> Iterator[tuple]:
+        """ord, part, rings as arrays, attributes."""
         if not part.count:
             return
         store, path = _store(part.path)
@@ -140,7 +176,7 @@ class _Reader(DataSourceReader):
                     values[name] = text or None
                     at += size
                 for number, rings in enumerate(found):
-                    yield (part.file << 40) + part.first + k, number, [[{"x": x, "y": y} for x, y in r.tolist()] for r in rings], values
+                    yield (part.file << 40) + part.first + k, number, rings, values
 
 
 @dataclass
@@ -160,19 +196,26 @@ def _header(words: int, box: tuple) -> bytes:
     return struct.pack(">7i", FILE_CODE, 0, 0, 0, 0, 0, words) + struct.pack("<2i4d4d", VERSION, 5, *box, 0.0, 0.0, 0.0, 0.0)
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     """Rows (rings and further columns, which become text attributes)."""
 
     def __init__(self, path: str, columns: list[str]):
         self.path, self.columns = path, columns
 
-    def write(self, rows: Iterator) -> _Written:
+    def _given(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list]]:
+        """Rings as arrays and the other columns of each row."""
+        for batch in batches:
+            others = [batch.column(c).to_pylist() for c in self.columns]
+            for k, shape in enumerate(batch.column("rings")):
+                rings = [ring.values for ring in shape.values or () if ring.values is not None] if shape.is_valid else []
+                yield [np.column_stack([r.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")]).astype(float) for r in rings], [o[k] for o in others]
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
 
         places, shapes, values = [], [], []
         box = [np.inf, np.inf, -np.inf, -np.inf]
-        for row in rows:
-            rings = [np.array([(v["x"], v["y"]) for v in ring], float).reshape(-1, 2) for ring in row["rings"] or ()]
+        for rings, others in self._given(batches):
             rings = [r for r in rings if len(r) > 2]
             # The first ring is the outer one, clockwise; the others are its holes.
             rings = [r if (area(r) <= 0) == (k == 0) else r[::-1] for k, r in enumerate(rings)]
@@ -180,7 +223,7 @@ class _Writer(DataSourceWriter):
             if rings:
                 every = np.concatenate(rings)
                 box = [*np.minimum(box[:2], every.min(0)), *np.maximum(box[2:], every.max(0))]
-            values.append(["" if row[c] is None else str(row[c]) for c in self.columns])
+            values.append(["" if v is None else str(v) for v in others])
         if not shapes:
             return _Written()
         box = tuple(map(float, box)) if np.isfinite(box).all() else (0.0,) * 4
@@ -229,13 +272,14 @@ class ShapefileSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options["path"], int(self.options.get("rangeRecords", 1000)))
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(self.options["path"], [f.name for f in schema.fields if f.name != "rings"])
 
 
 def write_shapefile(df: DataFrame, path: str) -> None:
     """Polygons with ``rings`` (the outer one first) to a folder, a file for each partition, in its order."""
     df.sparkSession.dataSource.register(ShapefileSource)
+    df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) if kind == "timestamp" else F.col(f"`{c}`") for c, kind in df.dtypes])
     df.write.format("shapefile").mode("append").save(path)
 
 

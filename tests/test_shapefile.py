@@ -120,3 +120,22 @@ def test_projection_text_beside_a_file(spark, tmp_path):
     assert projection.parse('GEOGCS["WGS 84"]').kind == "degrees"
     with pytest.raises(ValueError):
         projection.parse('PROJECTION["Robinson"]')
+
+
+def test_long_hole_finds_its_ring_by_leaves(monkeypatch):
+    """A hole of thousands of vertices meets few edges of each ring: all vertices by all edges never meet."""
+    from genoflux.operators import geo
+
+    met, plain = [], geo.rings_contain
+    monkeypatch.setattr(geo, "rings_contain", lambda x, y, rings: (met.append(len(x) * sum(map(len, rings))), plain(x, y, rings))[1])
+
+    def jagged(n, x0, x1, y, high):
+        k = np.arange(n)
+        up = np.column_stack([x0 + (x1 - x0) * k / n, y + high + (k * 7919 % 1000) / 500 * high])
+        return np.vstack([up, np.column_stack([up[:, 0], y - high - (k * 6007 % 1000) / 500 * high])[::-1]])
+
+    rings = [jagged(8000, -170, 170, -30, 4), jagged(8000, -170, 170, 30, 4), jagged(4000, -100, 100, 30, 1)[::-1], jagged(4000, -100, 100, -30, 1)[::-1], jagged(4000, -100, 100, 0, 1)[::-1]]
+    got = shapefile.polygons_of(rings)
+    assert [len(p) for p in got] == [2, 2, 1] and got[0][1] is not None
+    assert (got[0][1] == rings[3]).all() and (got[1][1] == rings[2]).all()
+    assert sum(met) < 8000 * 16000 / 10
