@@ -863,8 +863,8 @@ def region_trees(spark: SparkSession, d: str) -> DataFrame:
     UNION ALL SELECT tip.r, (id + i)::BIGINT, id::BIGINT, (k % 97)::DOUBLE / 4, NULL, concat('c ', k), true FROM tip JOIN inner_ ON inner_.n = tip.n""",
 )
 def _(spark, d):
-    """A tree for each region, turned to nodes by the table function."""
-    nodes = region_trees(spark, d).lateralJoin(tree.newick_nodes(F.col("text").outer()))
+    """A tree for each region, turned to nodes."""
+    nodes = tree.node_rows(region_trees(spark, d), "region")
     return nodes.select("region", F.col("node_id").cast("bigint").alias("node_id"), F.col("parent_id").cast("bigint").alias("parent_id"), "branch_length", "support", "name", "is_tip")
 
 
@@ -877,8 +877,7 @@ def _(spark, d):
 )
 def _(spark, d):
     """Where the nodes of each region's tree stand; support is shown from 10 on."""
-    laid = region_trees(spark, d).lateralJoin(tree.newick_layout(F.col("text").outer(), F.lit(10.0)))
-    return laid.select("region", "name", "x", "y", "is_tip", "support")
+    return tree.layout_rows(region_trees(spark, d), "region", min_support=10.0)
 
 
 @query("e01_progressive_align")
