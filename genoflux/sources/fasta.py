@@ -70,6 +70,17 @@ class _Range(InputPartition):
         self.path, self.start, self.end, self.number = path, start, end, number
 
 
+class _Ranges(InputPartition):
+    """Neighbouring ranges that one task reads, one after the other."""
+
+    def __init__(self, ranges: list[_Range]):
+        self.ranges = ranges
+
+
+#: Tasks of a reading at most, unless TASK_BYTES a task make more.
+TASKS, TASK_BYTES = 256, 64 << 20
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str, size: int):
         self.path, self.size = path, size
@@ -85,9 +96,17 @@ class _Reader(DataSourceReader):
         if found.type == fs.FileType.Directory:
             files = sorted((f for f in store.get_file_info(fs.FileSelector(path)) if f.type == fs.FileType.File and f.base_name[:1] not in "_."), key=lambda f: f.path)
         base = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else "file://"
-        return [_Range(base + f.path, a, min(a + self.size, f.size), k) for k, f in enumerate(files) for a in range(0, max(f.size, 1), self.size)]
+        ranges = [_Range(base + f.path, a, min(a + self.size, f.size), k) for k, f in enumerate(files) for a in range(0, max(f.size, 1), self.size)]
+        # Short ranges of a long text are dealt to tasks in runs: a task for each would cost more than its reading.
+        tasks = max(TASKS, sum(f.size for f in files) // TASK_BYTES)
+        run = -(-len(ranges) // tasks)
+        return [_Ranges(ranges[k : k + run]) for k in range(0, len(ranges), max(run, 1))]
+
+    def read(self, part: _Ranges) -> Iterator[tuple]:
+        for one in part.ranges:
+            yield from self._read(one)
 
-    def read(self, part: _Range) -> Iterator[tuple]:
+    def _read(self, part: _Range) -> Iterator[tuple]:
         store, path = _store(part.path)
         #: Records of one file keep its order, and files theirs.
         before = part.number << 44
