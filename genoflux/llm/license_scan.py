@@ -296,11 +296,12 @@ def classified(paras: DataFrame, key: list[str], model: dict) -> DataFrame:
     each = paras.select(*key, "line", F.explode(gram_column(F.col("words"), (1, 2))).alias("gram"))
     summed = each.join(F.broadcast(weights), "gram", "left").groupBy(*key, "line").agg(F.count("*").alias("n"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
     logits = [(F.col(n) / F.sqrt("n") + F.lit(float(b))) / F.lit(float(model["temperature"])) for n, b in zip(names, model["bias"], strict=True)]
-    top = F.greatest(*logits)
-    odds = [F.exp(z - top) for z in logits]
-    total = sum(odds[1:], odds[0])
-    family = F.element_at(F.array_sort(F.array(*[F.struct((-o / total).alias("p"), F.lit(c).alias("c")) for o, c in zip(odds, CLASSES, strict=True)])), 1)
-    guess = summed.withColumn("__best", family).select(*key, "line", F.col("__best.c").alias("family"), (-F.col("__best.p")).alias("probability"))
+    # Step by step: written into each other, the odds of every class would repeat the logits of all in each.
+    odds = summed.select(*key, "line", F.array(*logits).alias("__z")).withColumn("__top", F.array_max("__z"))
+    odds = odds.withColumn("__odds", F.transform("__z", lambda z: F.exp(z - F.col("__top")))).withColumn("__total", F.aggregate("__odds", F.lit(0.0), lambda a, o: a + o))
+    names_of = F.array(*[F.lit(c) for c in CLASSES])
+    each_class = F.transform("__odds", lambda o, i: F.struct((-o / F.col("__total")).alias("p"), F.get(names_of, i).alias("c")))
+    guess = odds.withColumn("__best", F.array_min(each_class)).select(*key, "line", F.col("__best.c").alias("family"), (-F.col("__best.p")).alias("probability"))
     guess = guess.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model["least"]))
 
     shapes = [(f, i, g, len(gs)) for f, texts in TEMPLATES.items() for i, t in enumerate(texts) for gs in [grams(words_of(t), (min(3, len(words_of(t))),))] for g in sorted(gs)]
