@@ -11,12 +11,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.storage import discard, materialize
 from . import paths
 
+#: Distinct sequences that one task aligns. Their few bytes would all go to one task.
+TASK_ROWS = 200
 PIECES = T.StructType([T.StructField("pieces", T.ArrayType(T.StringType())), T.StructField("inserts", T.ArrayType(T.IntegerType()))])
 
 
@@ -43,12 +46,15 @@ def to_centre(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Dat
         yield pd.DataFrame(rows, columns=["pieces", "inserts"])
 
 
-def star_align(df: DataFrame, seq: str = "seq") -> DataFrame:
-    """Adds ``aln``; all aligned sequences are of one length."""
+def star_align(df: DataFrame, seq: str = "seq", weight: str | None = None) -> DataFrame:
+    """Adds ``aln``; all aligned sequences are of one length. ``weight``: a column that tells
+    for how many rows a row stands."""
     some = df.where(F.coalesce(seq, F.lit("")) != "")
-    distinct = some.groupBy(F.col(seq).alias("q")).agg(F.count("*").alias("n"))
+    distinct = materialize(some.groupBy(F.col(seq).alias("q")).agg(_rows(weight).alias("n")), "distinct")
     centre = distinct.agg(F.min_by("q", F.struct((-F.col("n")).alias("k"), F.col("q"))).alias("c"))
-    aligned = distinct.join(F.broadcast(centre)).withColumn("a", to_centre("q", "c")).select("q", "a.*")
+    spread = distinct.repartition(max(8, -(-distinct.count() // TASK_ROWS)), "q")
+    aligned = materialize(spread.join(F.broadcast(centre)).withColumn("a", to_centre("q", "c")).select("q", "a.*"), "pieces")
+    discard(distinct)
     widths = aligned.select(F.posexplode("inserts").alias("k", "w")).groupBy("k").agg(F.max("w").alias("w"))
     wide = widths.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "w"))), lambda s: s["w"]).alias("widths"))
     last = F.size("pieces") - 1
@@ -57,27 +63,38 @@ def star_align(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.join(rows, F.col(seq) == F.col("q"), "left").drop("q")
 
 
+def _rows(weight: str | None) -> Column:
+    return F.sum(weight) if weight else F.count("*")
+
+
 def _kept(df: DataFrame, columns: DataFrame, aln: str) -> DataFrame:
-    """The alignment with the columns ``k`` alone; their list has an entry a column, not a row."""
-    keep = columns.agg(F.array_sort(F.collect_list("k")).alias("keep"))
-    letters = F.split(aln, "")
-    return df.join(F.broadcast(keep)).withColumn(aln, F.array_join(F.transform(F.arrays_zip(F.col("keep"), F.array_repeat(F.lit(1), F.size("keep"))), lambda s: F.get(letters, s["keep"])), "")).drop("keep")
+    """The alignment with the columns where ``keep`` is true alone. ``columns`` has every place ``k``;
+    its list has an entry a column, not a row. Letters and flags go in step, so a row is split once."""
+    keep = columns.agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "keep"))), lambda s: s["keep"]).alias("__keep"))
+    letters = F.zip_with(F.split(aln, ""), "__keep", lambda c, stays: F.when(stays, c))
+    return df.join(F.broadcast(keep)).withColumn(aln, F.coalesce(F.array_join(letters, ""), F.lit(""))).drop("__keep")
+
+
+def _letters(df: DataFrame, text: Column, weight: str | None) -> DataFrame:
+    """k, c, n: the letters of each distinct text and the rows it stands for."""
+    return df.groupBy(text.alias("text")).agg(_rows(weight).alias("n")).select("n", F.posexplode(F.split("text", "")).alias("k", "c"))
 
 
-def trim_columns(df: DataFrame, max_gap: float = 0.5, aln: str = "aln") -> DataFrame:
+def trim_columns(df: DataFrame, max_gap: float = 0.5, aln: str = "aln", weight: str | None = None) -> DataFrame:
     """Drops alignment columns whose share of gaps exceeds ``max_gap``."""
-    cols = df.select(F.posexplode(F.split(aln, "")).alias("k", "c")).groupBy("k").agg(F.avg((F.col("c") == "-").cast("int")).alias("gap"))
-    return _kept(df, cols.where(F.col("gap") <= F.lit(max_gap)), aln)
+    gaps = F.sum(F.when(F.col("c") == "-", F.col("n")).otherwise(0)) / F.sum("n")
+    cols = _letters(df, F.col(aln), weight).groupBy("k").agg(gaps.alias("gap"))
+    return _kept(df, cols.withColumn("keep", F.col("gap") <= F.lit(max_gap)), aln)
 
 
 #: Scores are put in so many bins; a cut is sought in the lower half.
 BINS = 100
 
 
-def column_scores(df: DataFrame, aln: str = "aln") -> DataFrame:
+def column_scores(df: DataFrame, aln: str = "aln", weight: str | None = None) -> DataFrame:
     """k, gap (share of gaps), similarity (share of pairs of rows with the same letter, gaps never the
     same), score (similarity times the share without gap), bin of each alignment column."""
-    letters = df.select(F.posexplode(F.split(F.upper(aln), "")).alias("k", "c")).groupBy("k", "c").agg(F.count("*").alias("m"))
+    letters = _letters(df, F.upper(aln), weight).groupBy("k", "c").agg(F.sum("n").alias("m"))
     some = F.col("c") != "-"
     n = F.sum("m").cast("double")
     same = F.coalesce(F.sum(F.when(some, F.col("m").cast("double") * (F.col("m") - 1))), F.lit(0.0))
@@ -88,15 +105,15 @@ def column_scores(df: DataFrame, aln: str = "aln") -> DataFrame:
     return cols.withColumn("bin", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int"))
 
 
-def trim_similar(df: DataFrame, aln: str = "aln") -> DataFrame:
+def trim_similar(df: DataFrame, aln: str = "aln", weight: str | None = None) -> DataFrame:
     """Drops the columns under a cut that the distribution of the scores decides.
 
     The cut parts the columns to two classes with the largest variance between them (Otsu), and is
     sought in the lower half alone: an alignment whose columns all score over one half stays whole.
     Columns without a gap always stay, however their letters differ: they tell groups apart.
     """
-    cols = column_scores(df, aln)
-    return _kept(df, cols.join(F.broadcast(score_cut(cols))).where("bin >= cut OR gap = 0"), aln)
+    cols = column_scores(df, aln, weight)
+    return _kept(df, cols.join(F.broadcast(score_cut(cols))).withColumn("keep", F.expr("bin >= cut OR gap = 0")), aln)
 
 
 def score_cut(cols: DataFrame) -> DataFrame:

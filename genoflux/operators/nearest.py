@@ -14,7 +14,8 @@ Instead of every sequence with every consensus:
 4. The pairs left are scored exactly, within the number of edits that the floor allows.
 
 Rows that share an anchor or a seed (a common genotype may hold a third of all) are dealt to
-SALTS parts at each of these joins.
+SALTS parts at each of these joins. Sequences are short and an edit distance is much work, so
+sequences and pairs are dealt to tasks by their number, not by their bytes.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from ..plans.storage import materialize
 GRAM, SEEDS, SALTS = 11, 8, 16
 #: Rows of a block where all rows of one table meet all of another.
 BLOCK_ROWS = 2_000
+#: Sequences with their two guides, and pairs, of one task.
+TASK_ROWS, TASK_PAIRS = 2_000, 50_000
 
 
 def bounds(q: Column, t: Column, d: Column, identity_method: str, path: bool) -> tuple[Column, Column]:
@@ -86,7 +89,9 @@ def candidates(sequences: DataFrame, consensus: DataFrame, identity_method: str,
     """
     c = materialize(consensus, "consensus")
     n, first = c.agg(F.count("*"), F.min("c_ord")).first()
-    own = materialize(anchored(sequences, c).withColumn("anchor", F.coalesce("anchor", F.lit(first))), "anchored")
+    sequences = materialize(sequences, "sequences")
+    tasks = max(8, -(-sequences.count() // TASK_ROWS))
+    own = materialize(anchored(sequences.repartition(tasks, "nuc"), c).withColumn("anchor", F.coalesce("anchor", F.lit(first))), "anchored")
     used = own.select("anchor").distinct().join(c.select(F.col("c_ord").alias("anchor"), F.col("target").alias("anchor_seq")), "anchor")
     apart = dealt(used, c.select("c_ord", "target"), "anchor", "c_ord", n, n)
     apart = materialize(apart.select("anchor", "c_ord", F.length("target").alias("t"), F.levenshtein("anchor_seq", "target").alias("apart")), "apart")
@@ -95,15 +100,17 @@ def candidates(sequences: DataFrame, consensus: DataFrame, identity_method: str,
     text = lambda key, name: c.select(F.col("c_ord").alias(key), F.col("target").alias(name))
     guides = text("anchor", "one").join(beside, "anchor", "left").join(text("beside", "two"), "beside", "left")
     q = F.length("nuc")
-    known = own.join(_salted(guides.select("anchor", "one", "two")), ["anchor", "salt"]).withColumns({"d1": F.levenshtein("nuc", "one"), "d2": F.levenshtein("nuc", "two")})
+    known = own.join(_salted(guides.select("anchor", "one", "two")), ["anchor", "salt"]).repartition(tasks, "nuc").withColumns({"d1": F.levenshtein("nuc", "one"), "d2": F.levenshtein("nuc", "two")})
     lows = [bounds(q, F.length(name), F.col(d), identity_method, path)[0] for name, d in (("one", "d1"), ("two", "d2"))]
     # With one consensus only there is no second best to fall behind.
     floor = F.when(F.col("two").isNotNull(), F.least(*lows)).otherwise(F.lit(float("-inf")))
     known = materialize(known.select("nuc", "sid", "salt", "anchor", "d1", q.alias("q"), floor.alias("floor")), "known")
     least = F.greatest(F.col("apart") - F.col("d1"), F.abs(F.col("q") - F.col("t")))
     reached = bounds(F.col("q"), F.col("t"), least, identity_method, path)[1] >= F.col("floor") - 1e-9
-    pairs = known.join(_salted(apart), ["anchor", "salt"]).where(reached).select("nuc", "salt", "c_ord", "q", "floor")
-    full = pairs.join(_salted(c.select("c_ord", "consensus_group", "target")), ["c_ord", "salt"])
+    pairs = materialize(known.join(_salted(apart), ["anchor", "salt"]).where(reached).select("nuc", "salt", "c_ord", "q", "floor"), "pairs")
+    spread = pairs.repartition(max(8, -(-pairs.count() // TASK_PAIRS)), "nuc")
+    full = spread.join(_salted(c.select("c_ord", "consensus_group", "target")), ["c_ord", "salt"])
     edits = most_edits(F.col("q"), F.length("target"), F.greatest("floor", F.lit(-2.0)), identity_method, path)
-    scored = full.withColumn("edits", edits).withColumn("d", F.expr("levenshtein(nuc, target, edits)"))
-    return scored.where("d >= 0").select("nuc", "consensus_group", "target", "c_ord", "d")
+    # The distance is computed once: a condition on a plain column would be moved before it, and compute it again.
+    found = F.filter(F.array(F.expr("levenshtein(nuc, target, edits)")), lambda d: d >= 0)
+    return full.withColumn("edits", edits).select("nuc", "consensus_group", "target", "c_ord", F.explode(found).alias("d"))

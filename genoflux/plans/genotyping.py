@@ -6,6 +6,8 @@ distances, diagnostics) are written once to the shared folder.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +23,17 @@ def dereplicate(sequences: DataFrame, config: Config, aligned: bool = False) ->
     d = config.dereplication
     valid = sequences.where(sequence.invalid_reason(F.col("nuc"), d.min_sequence_length).isNull())
     rows = valid.select("processid", F.upper(sequence.stripped(F.col("nuc"))).alias("seq"), "ord")
-    put, trim = {"star": align.star_align, "progressive": progressive.align}[d.align_method], {"gaps": align.trim_columns, "similarity": align.trim_similar}[d.trim_method]
-    laid = rows.withColumn("aln", F.col("seq")) if aligned else trim(put(rows))
+    # Equal sequences are laid out and trimmed once, with the number of their rows.
+    kinds = materialize(rows.groupBy("seq").agg(F.min("ord").alias("ord"), F.count("*").alias("n")), "kinds")
+    put, trim = {"star": partial(align.star_align, weight="n"), "progressive": progressive.align}[d.align_method], {"gaps": align.trim_columns, "similarity": align.trim_similar}[d.trim_method]
+    laid = kinds.withColumn("aln", F.col("seq")) if aligned else trim(put(kinds), weight="n")
     laid = materialize(qc.filter_ungapped(laid, min(d.min_post_trim_length, d.min_sequence_length)), "aligned")
     # Equal aligned sequences are one node; the first stands for all.
     node = laid.groupBy("aln").agg(F.min("ord").alias("node"))
     reps = materialize(node.select(F.col("node").alias("ord"), "aln"), "nodes")
     labels = cluster.cluster_alignment(reps, d.clustering_threshold, d.clustering_method)
     members = laid.join(node, "aln").join(labels.withColumnRenamed("ord", "node"), "node")
-    labelled = materialize(members.select("processid", "ord", "aln", "cluster_id"), "labels")
+    labelled = materialize(rows.join(members.select("seq", "aln", "cluster_id"), "seq").select("processid", "ord", "aln", "cluster_id"), "labels")
     found = qc.filter_relative_length(consensus.consensus(labelled, d.consensus_frequency_cutoff), d.min_consensus_length_ratio)
     return materialize(found.withColumn("ord", F.col("cluster_id").cast("bigint")), "consensus"), labelled
 
